@@ -2,28 +2,138 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame computed over
 whole tables.  Column names match the DuckDB oracle in ``oracle_queries.py``.
+Report-style outputs round floating aggregates (2 to 6 places, as the
+upstream reports do) so that summation order cannot change the hash.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aeris.operators import enrich
+from aeris.functions import buckets
+from aeris.functions.dates import parse_multi_format_date
+from aeris.operators import cleaning, documents, enrich, graph, impute, validate
+from aeris.operators.joins import semi_join_reference
+from aeris.plans import cleaning as jobs
+from aeris.plans import climate_queries as cq
 from aeris.plans.vulnerability import country_vulnerability
+from aeris.session import scratch_path
 from aeris.sources import testdata as td
+from aeris.streaming import ingest, vulnerability_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 WEATHER_ID = ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "date"]
+TEMPS = ["avg_temp_c", "min_temp_c", "max_temp_c"]
+EXACT_MEDIAN = 1_000_000          # percentile_approx accuracy that is exact at these sizes
+CO2_FLOOR, CO2_AS_OF = "1996-01-01", "2001-06-30"   # the test dates span 1995-2001
 
 
 def scored_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_weather(td.weather_obs(spark, sf_dir))
 
 
-def q_vulnerability_batch(spark, sf_dir):
-    return country_vulnerability(scored_weather(spark, sf_dir), td.stations(spark, sf_dir))
+# -- scrubbing, cleaning, standardising ---------------------------------------
+
+def q_scrub_alpha(spark, sf_dir):
+    c = td.table(spark, sf_dir, "customer")
+    return cleaning.scrub_columns(c.select("c_custkey", "c_name"), alpha=["c_name"]) \
+        .withColumnRenamed("c_name", "c_name_alpha")
+
+
+def q_scrub_double(spark, sf_dir):
+    e = td.table(spark, sf_dir, "events").select("event_id", "props", "value")
+    return cleaning.scrub_columns(e, double=["props", "value"])
+
+
+def q_scrub_int(spark, sf_dir):
+    o = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return cleaning.scrub_columns(o, integer=["o_orderpriority"])
+
+
+def q_drop_columns(spark, sf_dir):
+    return cleaning.drop_columns(td.table(spark, sf_dir, "lineitem"), ["l_tax", "l_discount", "no_such_column"])
+
+
+def q_drop_null_rows(spark, sf_dir):
+    return cleaning.drop_null_rows(td.weather_obs(spark, sf_dir), TEMPS).select(*WEATHER_ID, *TEMPS)
+
+
+def q_dedup_by_key(spark, sf_dir):
+    return cleaning.dedup_by_key(td.weather_obs(spark, sf_dir), ["station_id", "date"])
+
+
+def respelled_order_dates(spark, sf_dir):
+    o = td.table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    raw = (F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit("bad"))
+           .when(F.col("o_orderkey") % 5 == 0, F.date_format(d, "dd/MM/yyyy"))
+           .when(F.col("o_orderkey") % 5 == 1, F.date_format(d, "d/M/yyyy"))
+           .when(F.col("o_orderkey") % 5 == 2, F.date_format(d, "yyyy-MM-dd"))
+           .when(F.col("o_orderkey") % 5 == 3, F.date_format(d, "yyyy/MM/dd"))
+           .otherwise(F.date_format(d, "ddMMyyyy")))
+    return o.select("o_orderkey", raw.alias("raw_date"))
+
+
+def q_parse_dates(spark, sf_dir):
+    return respelled_order_dates(spark, sf_dir).withColumn("parsed_date", parse_multi_format_date("raw_date"))
+
+
+def q_standardize_text(spark, sf_dir):
+    e = td.emissions(spark, sf_dir).select("o_orderkey", "country", "sector")
+    return cleaning.standardize_text(e, ["country", "sector"])
+
+
+def q_round_measures(spark, sf_dir):
+    e = td.emissions(spark, sf_dir).select("o_orderkey", "MtCO2_per_day")
+    return cleaning.round_columns(e, ["MtCO2_per_day"], 2)
+
+
+def q_temp_order_filter(spark, sf_dir):
+    return cleaning.filter_temp_order(td.weather_obs(spark, sf_dir)).select(*WEATHER_ID, *TEMPS)
+
+
+def q_global_median_fill(spark, sf_dir):
+    return impute.global_median_fill(td.emissions(spark, sf_dir), ["MtCO2_per_day"], EXACT_MEDIAN)
+
+
+def q_group_median(spark, sf_dir):
+    stats = impute.group_stats(td.weather_obs(spark, sf_dir), ["station_id"],
+                               median_cols=["max_temp_c"], accuracy=EXACT_MEDIAN)
+    return stats.withColumnRenamed("__max_temp_c_median", "median_max_temp")
+
+
+def q_impute_temps(spark, sf_dir):
+    out = impute.impute_temperatures(td.weather_obs(spark, sf_dir))
+    return out.select(*WEATHER_ID, *[F.round(c, 6).alias(c) for c in TEMPS])
+
+
+# -- derived attributes -------------------------------------------------------
+
+def q_temp_range(spark, sf_dir):
+    return td.weather_obs(spark, sf_dir).select(*WEATHER_ID, buckets.temp_range().alias("temp_range_c"))
+
+
+def q_temp_category(spark, sf_dir):
+    return td.weather_obs(spark, sf_dir).select(*WEATHER_ID, buckets.temp_category().alias("temp_category"))
+
+
+def q_precip_category(spark, sf_dir):
+    return td.weather_obs(spark, sf_dir).select(
+        *WEATHER_ID, buckets.precipitation_category().alias("precipitation_category"))
+
+
+def q_emission_level(spark, sf_dir):
+    e = enrich.enrich_emissions(td.emissions(spark, sf_dir))
+    return e.select("o_orderkey", "MtCO2_per_day", "emission_level")
+
+
+def q_sector_category(spark, sf_dir):
+    e = enrich.enrich_emissions(td.emissions(spark, sf_dir))
+    return e.select("o_orderkey", "sector", "sector_category")
 
 
 def q_spi_index(spark, sf_dir):
@@ -35,8 +145,236 @@ def q_risk_score(spark, sf_dir):
         *WEATHER_ID, "spi_index", "climate_risk_score", "climate_risk_level")
 
 
+def q_risk_level(spark, sf_dir):
+    return scored_weather(spark, sf_dir).groupBy("climate_risk_level").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+# -- validation ---------------------------------------------------------------
+
+def _report(result) -> DataFrame:
+    r = result.report.filter(F.col("item") != "processing_time")
+    return r.select("section", "item", F.round("value", 6).alias("value"))
+
+
+def weather_validation(spark, sf_dir):
+    return validate.validate(scored_weather(spark, sf_dir), jobs.weather_spec(),
+                             td.stations(spark, sf_dir))
+
+
+def co2_job(spark, sf_dir):
+    config = dataclasses.replace(jobs.CO2_CONFIG, median_accuracy=EXACT_MEDIAN)
+    return jobs.clean_co2(td.emissions(spark, sf_dir), td.countries(spark, sf_dir), config=config,
+                          spec=jobs.co2_spec(floor=CO2_FLOOR, as_of=CO2_AS_OF))
+
+
+def q_null_profile(spark, sf_dir):
+    return validate.null_profile(td.weather_obs(spark, sf_dir))
+
+
+def q_rule_violations_weather(spark, sf_dir):
+    return _report(weather_validation(spark, sf_dir))
+
+
+def q_rule_violations_co2(spark, sf_dir):
+    return _report(co2_job(spark, sf_dir)[1])
+
+
+def q_co2_quality_metrics(spark, sf_dir):
+    m = validate.co2_quality_metrics(co2_job(spark, sf_dir)[0])
+    return m.withColumn("avg_emission", F.round("avg_emission", 6))
+
+
+def q_fk_valid_rows(spark, sf_dir):
+    w = td.weather_obs(spark, sf_dir).select(*WEATHER_ID)
+    return semi_join_reference(w, td.stations(spark, sf_dir), "station_id")
+
+
+def q_clean_valid_rows(spark, sf_dir):
+    return weather_validation(spark, sf_dir).valid
+
+
+# -- documents ----------------------------------------------------------------
+
+def q_doc_weather(spark, sf_dir):
+    d = documents.weather_documents(scored_weather(spark, sf_dir))
+    return d.select(*WEATHER_ID, *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s, fs in [
+        ("temperature", ["avg", "min", "max", "range", "category"]),
+        ("precipitation", ["value", "category"]), ("risk", ["score", "level"])] for f in fs])
+
+
+def q_doc_co2(spark, sf_dir):
+    d = documents.co2_documents(enrich.enrich_emissions(td.emissions(spark, sf_dir)))
+    return d.select("o_orderkey", "country", "date", F.col("sector.type").alias("sector_type"),
+                    F.col("sector.category").alias("sector_category"), "mt_co2_per_day", "emission_level")
+
+
+def q_doc_city(spark, sf_dir):
+    d = documents.city_documents(td.stations(spark, sf_dir))
+    return d.select("station_id", "city_name", "country", "iso3",
+                    F.col("coordinates.lat").alias("coordinates_lat"),
+                    F.col("coordinates.long").alias("coordinates_long"))
+
+
+def q_doc_country(spark, sf_dir):
+    d = documents.country_documents(td.countries(spark, sf_dir))
+    return d.select("country", "iso3", "region", F.col("capital.name").alias("capital_name"),
+                    F.col("capital.lat").alias("capital_lat"), F.col("capital.long").alias("capital_long"))
+
+
+# -- joined questions ---------------------------------------------------------
+
+def q_list_countries(spark, sf_dir):
+    return cq.list_countries(td.countries(spark, sf_dir))
+
+
+def q_top_emission_day(spark, sf_dir):
+    t = cq.top_emission_day(td.emissions(spark, sf_dir))
+    return t.select("date", "country", F.round("total_emission", 4).alias("total_emission"))
+
+
+def q_top_day_hottest_cities(spark, sf_dir):
+    r = cq.top_emission_day_with_cities(td.emissions(spark, sf_dir), td.weather_obs(spark, sf_dir),
+                                        td.stations(spark, sf_dir))
+    return r.select("date", "country", F.round("total_emission", 4).alias("total_emission"),
+                    F.posexplode_outer("hottest_cities").alias("city_rank", "city")).select(
+        "date", "country", "total_emission", "city_rank",
+        F.col("city.city_name").alias("city_name"), F.col("city.max_temp").alias("max_temp"))
+
+
+def q_extreme_weather_emissions(spark, sf_dir):
+    r = cq.emission_vs_extreme_weather(scored_weather(spark, sf_dir), td.stations(spark, sf_dir),
+                                       td.emissions(spark, sf_dir))
+    return r.select("country", "date", "extreme_events", "max_temp",
+                    F.round("avg_risk", 2).alias("avg_risk"),
+                    F.round("total_emission", 4).alias("total_emission"))
+
+
+def _monthly(spark, sf_dir, dedup_fanout=False):
+    return cq.monthly_temp_and_co2(td.weather_obs(spark, sf_dir), td.stations(spark, sf_dir),
+                                   td.countries(spark, sf_dir), td.emissions(spark, sf_dir),
+                                   limit=None, dedup_fanout=dedup_fanout)
+
+
+def _monthly_report(df):
+    return df.select("country", "month", F.round("monthly_avg_temp", 2).alias("monthly_avg_temp"),
+                     F.round("monthly_total_co2", 2).alias("monthly_total_co2"))
+
+
+def q_monthly_temp_co2(spark, sf_dir):
+    return _monthly_report(_monthly(spark, sf_dir))
+
+
+def q_monthly_temp_co2_true(spark, sf_dir):
+    return _monthly_report(_monthly(spark, sf_dir, dedup_fanout=True))
+
+
+def q_monthly_daily_sample(spark, sf_dir):
+    m = _monthly(spark, sf_dir)
+    return m.select("country", "month", F.posexplode("daily_sample").alias("sample_idx", "s")).select(
+        "country", "month", "sample_idx", F.col("s.date").alias("date"),
+        F.round("s.avg_temp", 2).alias("avg_temp"), F.round("s.co2", 2).alias("co2"))
+
+
+def q_monthly_temp_pivot(spark, sf_dir):
+    countries = td.countries(spark, sf_dir)
+    # pivot columns come from the country dimension (a bounded list of names)
+    names = sorted(r[0] for r in countries.select("country").distinct().collect())
+    m = _monthly(spark, sf_dir).withColumn("monthly_avg_temp", F.round("monthly_avg_temp", 2))
+    return cq.monthly_temp_pivot(m, names)
+
+
+def q_hot_cities_co2(spark, sf_dir):
+    r = cq.hot_cities_vs_co2(td.weather_obs(spark, sf_dir), td.stations(spark, sf_dir),
+                             td.countries(spark, sf_dir), td.emissions(spark, sf_dir))
+    return r.select("city", "country", "hot_days_count", F.round("avg_co2", 2).alias("avg_co2"))
+
+
+def q_vulnerability_batch(spark, sf_dir):
+    return country_vulnerability(scored_weather(spark, sf_dir), td.stations(spark, sf_dir))
+
+
+# -- graph tables -------------------------------------------------------------
+
+def q_graph_nodes(spark, sf_dir):
+    w, e = td.weather_obs(spark, sf_dir), td.emissions(spark, sf_dir)
+    tables = [("City", graph.nodes(td.stations(spark, sf_dir))),
+              ("Country", graph.nodes(td.countries(spark, sf_dir))),
+              ("Weather", graph.nodes(w)), ("Co2", graph.nodes(e)),
+              ("Date", graph.date_nodes(w)), ("Sector", graph.sector_nodes(e)),
+              ("EmissionValue", graph.emission_value_nodes(e))]
+    out = None
+    for label, t in tables:
+        c = t.agg(F.lit(label).alias("label"), F.count(F.lit(1)).alias("node_count"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_edge_located_in(spark, sf_dir):
+    return graph.located_in(td.stations(spark, sf_dir), td.countries(spark, sf_dir))
+
+
+def q_edge_has_co2(spark, sf_dir):
+    return graph.has_co2(td.countries(spark, sf_dir), td.emissions(spark, sf_dir))
+
+
+def q_edge_has_weather(spark, sf_dir):
+    e = graph.has_weather(td.stations(spark, sf_dir), td.weather_obs(spark, sf_dir))
+    return e.select(*WEATHER_ID, "city")
+
+
+def q_edge_on_date(spark, sf_dir):
+    return graph.on_date(td.weather_obs(spark, sf_dir), keys=WEATHER_ID[:-1])
+
+
+def q_edge_emit_from(spark, sf_dir):
+    return graph.emit_from(td.emissions(spark, sf_dir)).select("o_orderkey", "country", "date", "sector_name")
+
+
+def q_edge_has_value(spark, sf_dir):
+    return graph.has_value(td.emissions(spark, sf_dir)).select(
+        "o_orderkey", "date", "country", "sector", "mtCo2PerDay")
+
+
+# -- JSON and streams ---------------------------------------------------------
+
+def q_json_round_trip(spark, sf_dir):
+    return ingest.json_round_trip(td.table(spark, sf_dir, "events"))
+
+
+def q_ingest_stream(spark, sf_dir):
+    events = td.table(spark, sf_dir, "events")
+    base = scratch_path(spark, "ingest")
+    ingest.publish_json(events, f"{base}/source", files=4)
+    queries = ingest.ingest(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
+                            events.schema, max_per_trigger=1, rejects=f"{base}/rejects")
+    ingest.await_all(queries)
+    return spark.read.schema(events.schema).parquet(f"{base}/sink")
+
+
+def q_vulnerability_stream(spark, sf_dir):
+    base = scratch_path(spark, "vulnerability")
+    scored = scored_weather(spark, sf_dir)
+    scored.repartition(3).write.parquet(f"{base}/weather")
+    plan = vulnerability_stream.vulnerability_plan(spark, f"{base}/weather", td.stations(spark, sf_dir))
+    q = vulnerability_stream.start(plan, sink="table", path=f"{base}/state",
+                                   checkpoint=f"{base}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return vulnerability_stream.latest_state(spark, f"{base}/state")
+
+
+# -- cleaning jobs ------------------------------------------------------------
+
+def q_weather_cleaned(spark, sf_dir):
+    valid, _ = jobs.clean_weather(td.weather_obs(spark, sf_dir), td.stations(spark, sf_dir))
+    return valid.drop("processing_time")
+
+
+def q_co2_cleaned(spark, sf_dir):
+    return co2_job(spark, sf_dir)[0].drop("processing_time")
+
+
 QUERIES: dict[str, Query] = {
-    "vulnerability_batch": q_vulnerability_batch,
-    "spi_index": q_spi_index,
-    "risk_score": q_risk_score,
+    name[2:]: fn for name, fn in sorted(globals().items())
+    if name.startswith("q_") and callable(fn)
 }

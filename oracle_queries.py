@@ -53,15 +53,15 @@ STATIONS = """
 stations AS (
   SELECT s_suppkey AS station_id, s_name AS city_name, n_name AS country,
     'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso3,
-    s_acctbal / 200 AS latitude, n_nationkey * 7.0 AS longitude
+    s_acctbal / 200 AS latitude, CAST(n_nationkey AS DOUBLE) * 7.0 AS longitude
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
 )"""
 
 COUNTRIES = """
 countries AS (
   SELECT n_name AS country, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso3,
-    n_name || '_CAPITAL' AS capital, n_nationkey * 3.5 - 40 AS capital_lat,
-    n_regionkey * 60.0 - 150 AS capital_lng, r_name AS region
+    n_name || '_CAPITAL' AS capital, CAST(n_nationkey AS DOUBLE) * 3.5 - 40 AS capital_lat,
+    CAST(n_regionkey AS DOUBLE) * 60.0 - 150 AS capital_lng, r_name AS region
   FROM nation JOIN region ON n_regionkey = r_regionkey
 )"""
 
@@ -165,14 +165,352 @@ SELECT country, avg_risk_score, max_risk_score, min_risk_score, low_cnt, moderat
 FROM indexed"""
 
 
+WEATHER_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "city_name", "date", "season",
+                "avg_temp_c", "min_temp_c", "max_temp_c", "precipitation_mm"]
+SCORED_EXTRA = ["temp_range_c", "temp_category", "precipitation_category", "spi_index",
+                "climate_risk_score", "climate_risk_level"]
+WID = "l_orderkey, l_linenumber, l_partkey, station_id, date"
+TEMPS = "avg_temp_c, min_temp_c, max_temp_c"
+F2 = ("(min_temp_c IS NULL OR avg_temp_c IS NULL OR max_temp_c IS NULL "
+      "OR (min_temp_c <= avg_temp_c AND avg_temp_c <= max_temp_c))")
+
+
+def dedup_cte(name: str, src: str, keys: list[str], cols: list[str]) -> str:
+    """Survivor = smallest row in the remaining columns, ascending, nulls first."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols if c not in keys)
+    return f"""
+{name} AS (
+  SELECT * EXCLUDE (__rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS __rn FROM {src})
+  WHERE __rn = 1
+)"""
+
+
+def impute_ctes(src: str, name: str = "imp") -> str:
+    i1 = ("CASE WHEN avg_temp_c IS NULL AND min_temp_c IS NOT NULL AND max_temp_c IS NOT NULL THEN "
+          "(CASE WHEN pavg >= min_temp_c AND pavg <= max_temp_c THEN pavg ELSE (min_temp_c + max_temp_c) / 2 END) "
+          "WHEN avg_temp_c IS NULL AND min_temp_c IS NOT NULL AND max_temp_c IS NULL THEN greatest(pavg, min_temp_c) "
+          "WHEN avg_temp_c IS NULL AND min_temp_c IS NULL AND max_temp_c IS NOT NULL THEN least(pavg, max_temp_c) "
+          "WHEN avg_temp_c IS NULL THEN pavg ELSE avg_temp_c END")
+    i2 = ("CASE WHEN min_temp_c IS NULL AND avg_temp_c IS NOT NULL THEN least(pmin, avg_temp_c) "
+          "WHEN min_temp_c IS NULL AND max_temp_c IS NOT NULL THEN least(pmin, max_temp_c) "
+          "WHEN min_temp_c IS NULL THEN pmin ELSE min_temp_c END")
+    i3 = ("CASE WHEN max_temp_c IS NULL AND avg_temp_c IS NOT NULL THEN greatest(pmax, avg_temp_c) "
+          "WHEN max_temp_c IS NULL AND min_temp_c IS NOT NULL THEN greatest(pmax, min_temp_c) "
+          "WHEN max_temp_c IS NULL THEN pmax ELSE max_temp_c END")
+    return f"""
+{name}_st AS (
+  SELECT station_id AS st_id, avg(avg_temp_c) AS pavg, avg(min_temp_c) AS pmin, avg(max_temp_c) AS pmax
+  FROM {src} GROUP BY station_id
+),
+{name}_1 AS (SELECT s.*, t.pavg, t.pmin, t.pmax FROM {src} s LEFT JOIN {name}_st t
+             ON s.station_id IS NOT DISTINCT FROM t.st_id),
+{name}_2 AS (SELECT * REPLACE ({i1} AS avg_temp_c) FROM {name}_1),
+{name}_3 AS (SELECT * REPLACE ({i2} AS min_temp_c) FROM {name}_2),
+{name}_4 AS (SELECT * REPLACE ({i3} AS max_temp_c) FROM {name}_3),
+{name} AS (
+  SELECT * EXCLUDE (pavg, pmin, pmax) REPLACE (
+    CASE WHEN min_temp_c IS NOT NULL AND avg_temp_c IS NOT NULL AND min_temp_c > avg_temp_c
+         THEN avg_temp_c ELSE min_temp_c END AS min_temp_c,
+    CASE WHEN max_temp_c IS NOT NULL AND avg_temp_c IS NOT NULL AND max_temp_c < avg_temp_c
+         THEN avg_temp_c ELSE max_temp_c END AS max_temp_c)
+  FROM {name}_4
+)"""
+
+
+def union_long(rows: list[tuple[str, str, str]], src: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{sec}' AS section, '{item}' AS item, CAST({expr} AS DOUBLE) AS value FROM {src}"
+        for sec, item, expr in rows)
+
+
+def null_rows(cols: list[str], src: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT 'null_count' AS section, '{c}' AS item, CAST(count(*) - count({c}) AS DOUBLE) AS value FROM {src}"
+        for c in cols)
+
+
+def report_sql(src: str, keys: list[str], dedup_keys: list[str], cols: list[str],
+               rules: list[tuple[str, str]], ref: tuple[str, str] | None, metrics: list[tuple[str, str]] = ()) -> tuple[str, str]:
+    """CTEs for validation over ``src`` -> (ctes, final SELECT of the long report); also defines v_valid."""
+    key_ok = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    flag = "CASE " + " ".join(f"WHEN NOT coalesce({cond}, false) THEN '{n}'" for n, cond in rules)
+    if ref:
+        flag += f" WHEN NOT coalesce({ref[0]} IN (SELECT {ref[1]} FROM v_refkeys), false) THEN 'referential_integrity'"
+    flag += " END"
+    names = [n for n, _ in rules] + (["referential_integrity"] if ref else [])
+    ctes = f"""
+v_keyed AS (SELECT * FROM {src} WHERE {key_ok}),{dedup_cte('v_dedup', 'v_keyed', dedup_keys, cols)},
+v_refkeys AS (SELECT DISTINCT {ref[1] if ref else 'NULL AS k'} FROM {ref[2] if ref and len(ref) > 2 else 'v_keyed'}),
+v_flag AS (SELECT *, {flag} AS first_failed_rule FROM v_dedup),
+v_valid AS (SELECT * EXCLUDE (first_failed_rule) FROM v_flag WHERE first_failed_rule IS NULL),
+v_before AS (SELECT count(*) AS initial_count, count_if({key_ok}) AS non_null_keys FROM {src}),
+v_counts AS (SELECT count(*) AS after_dedup, count_if(first_failed_rule IS NULL) AS final_count,
+  {', '.join(f"count_if(first_failed_rule = '{n}') AS rule_{i}" for i, n in enumerate(names))} FROM v_flag),
+v_one AS (SELECT * FROM v_before, v_counts)"""
+    rows = [("count", "initial_count", "initial_count"), ("issue", "null_keys", "initial_count - non_null_keys"),
+            ("issue", "duplicates", "non_null_keys - after_dedup")]
+    rows += [("issue", n, f"rule_{i}") for i, n in enumerate(names)]
+    rows += [("count", "final_count", "final_count")]
+    body = union_long(rows, "v_one")
+    if metrics:
+        body += " UNION ALL " + union_long([("metric", n, e) for n, e in metrics], "v_valid")
+    body += " UNION ALL " + null_rows(cols, src)
+    return ctes, f"SELECT section, item, {rnd('value', 6)} AS value FROM ({body})"
+
+
+WEATHER_RULES = [
+    ("temperature_logic", F2),
+    ("temperature_range", "avg_temp_c IS NULL OR (avg_temp_c >= -60 AND avg_temp_c <= 60)"),
+    ("negative_precipitation", "precipitation_mm IS NULL OR precipitation_mm >= 0"),
+]
+
+
+def co2_rules(floor: str, as_of: str) -> list[tuple[str, str]]:
+    return [
+        ("negative_emissions", "MtCO2_per_day IS NULL OR MtCO2_per_day >= 0"),
+        ("unrealistic_emissions", "MtCO2_per_day IS NULL OR MtCO2_per_day <= 1000"),
+        ("invalid_dates", f"date IS NULL OR (date >= DATE '{floor}' AND date <= DATE '{as_of}')"),
+        ("empty_country_sector", "country IS NOT NULL AND length(country) > 0 AND sector IS NOT NULL AND length(sector) > 0"),
+    ]
+
+
+CO2_FLOOR, CO2_AS_OF = "1996-01-01", "2001-06-30"
+EMISSION_COLS = ["o_orderkey", "country", "date", "sector", "MtCO2_per_day"]
+
+
+def co2_job_ctes() -> tuple[str, str]:
+    """Q-G over emissions: scrub, dedup, null keys, median fill, standardise, enrich, validate."""
+    ctes = f"""
+c_scrub AS (SELECT o_orderkey, country, date, regexp_replace(sector, '{ALPHA_RE}', '', 'g') AS sector,
+            MtCO2_per_day FROM emissions),{dedup_cte('c_dedup', 'c_scrub', ['country', 'date', 'sector'], EMISSION_COLS)},
+c_keys AS (SELECT * FROM c_dedup WHERE country IS NOT NULL AND date IS NOT NULL AND sector IS NOT NULL),
+c_fill AS (SELECT * REPLACE (coalesce(MtCO2_per_day, (SELECT quantile_disc(MtCO2_per_day, 0.5) FROM c_keys)) AS MtCO2_per_day)
+           FROM c_keys),
+c_std AS (SELECT o_orderkey, {initcap1('trim(country)')} AS country, date, {initcap1('trim(sector)')} AS sector,
+          {rnd('MtCO2_per_day', 6)} AS MtCO2_per_day FROM c_fill),
+c_enriched AS (SELECT *, {EMISSION_LEVEL} AS emission_level, {SECTOR_CATEGORY} AS sector_category FROM c_std),
+c_ref AS (SELECT {initcap1('trim(country)')} AS ref_country FROM countries)"""
+    cols = EMISSION_COLS + ["emission_level", "sector_category"]
+    metrics = [("countries", "count(DISTINCT country)"), ("sectors", "count(DISTINCT sector)"),
+               ("min_emission", "min(MtCO2_per_day)"), ("max_emission", "max(MtCO2_per_day)"),
+               ("avg_emission", "avg(MtCO2_per_day)"), ("emission_count", "count(MtCO2_per_day)")]
+    vctes, report = report_sql("c_enriched", ["country", "date", "sector"], ["country", "sector", "date"], cols,
+                               co2_rules(CO2_FLOOR, CO2_AS_OF), ("country", "ref_country", "c_ref"), metrics)
+    return ctes + "," + vctes, report
+
+
+def weather_job_ctes() -> str:
+    """Q-F over weather_obs up to (and including) validation; valid rows in v_valid."""
+    std = (f"SELECT l_orderkey, l_linenumber, l_partkey, station_id, {initcap1('trim(city_name)')} AS city_name, date, "
+           f"{initcap1('trim(season)')} AS season, {rnd('avg_temp_c', 1)} AS avg_temp_c, {rnd('min_temp_c', 1)} AS min_temp_c, "
+           f"{rnd('max_temp_c', 1)} AS max_temp_c, {rnd('precipitation_mm', 1)} AS precipitation_mm FROM w_imp")
+    ctes = f"""
+w_scrub AS (SELECT * REPLACE (regexp_replace(season, '{ALPHA_RE}', '', 'g') AS season) FROM weather_obs),
+w_order AS (SELECT * FROM w_scrub WHERE {F2}),{dedup_cte('w_dedup', 'w_order', ['station_id', 'date'], WEATHER_COLS)},
+w_nn AS (SELECT * FROM w_dedup WHERE station_id IS NOT NULL AND date IS NOT NULL AND city_name IS NOT NULL
+         AND precipitation_mm IS NOT NULL),{impute_ctes('w_nn', 'w_imp')},
+w_std AS ({std}),{scored_weather_cte('w_std', 'w_scored')}"""
+    vctes, _ = report_sql("w_scored", ["station_id", "date"], ["station_id", "date"], WEATHER_COLS + SCORED_EXTRA,
+                          WEATHER_RULES, ("station_id", "station_id", "stations"))
+    return ctes + "," + vctes
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
+    W = with_(WEATHER_OBS)
     q["vulnerability_batch"] = with_(WEATHER_OBS, STATIONS, scored_weather_cte(), vulnerability_sql("scored"))
-    q["spi_index"] = with_(WEATHER_OBS, spi_cte("weather_obs")) + (
-        " SELECT l_orderkey, l_linenumber, l_partkey, station_id, date, spi_index FROM spi")
+    q["spi_index"] = with_(WEATHER_OBS, spi_cte("weather_obs")) + f" SELECT {WID}, spi_index FROM spi"
     q["risk_score"] = with_(WEATHER_OBS, scored_weather_cte()) + (
-        " SELECT l_orderkey, l_linenumber, l_partkey, station_id, date, spi_index, climate_risk_score,"
-        " climate_risk_level FROM scored")
+        f" SELECT {WID}, spi_index, climate_risk_score, climate_risk_level FROM scored")
+    q["risk_level"] = with_(WEATHER_OBS, scored_weather_cte()) + (
+        " SELECT climate_risk_level, count(*) AS n_rows FROM scored GROUP BY climate_risk_level")
+
+    q["scrub_alpha"] = f"SELECT c_custkey, regexp_replace(c_name, '{ALPHA_RE}', '', 'g') AS c_name_alpha FROM customer"
+    q["scrub_double"] = ("SELECT event_id, TRY_CAST(regexp_replace(props, '[^0-9.-]', '', 'g') AS DOUBLE) AS props, "
+                         "value FROM events")
+    q["scrub_int"] = ("SELECT o_orderkey, TRY_CAST(regexp_replace(o_orderpriority, '[^0-9]', '', 'g') AS INTEGER) "
+                      "AS o_orderpriority FROM orders")
+    q["drop_columns"] = "SELECT * EXCLUDE (l_tax, l_discount) FROM lineitem"
+    q["drop_null_rows"] = W + (f" SELECT {WID}, {TEMPS} FROM weather_obs WHERE avg_temp_c IS NOT NULL "
+                               "AND min_temp_c IS NOT NULL AND max_temp_c IS NOT NULL")
+    q["dedup_by_key"] = with_(WEATHER_OBS, dedup_cte("d", "weather_obs", ["station_id", "date"], WEATHER_COLS)) + (
+        " SELECT * FROM d")
+    raw = ("CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'bad' "
+           "WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') "
+           "WHEN o_orderkey % 5 = 1 THEN strftime(o_orderdate, '%-d/%-m/%Y') "
+           "WHEN o_orderkey % 5 = 2 THEN strftime(o_orderdate, '%Y-%m-%d') "
+           "WHEN o_orderkey % 5 = 3 THEN strftime(o_orderdate, '%Y/%m/%d') "
+           "ELSE strftime(o_orderdate, '%d%m%Y') END")
+    q["parse_dates"] = (
+        f"WITH r AS (SELECT o_orderkey, {raw} AS raw_date FROM orders) "
+        "SELECT o_orderkey, raw_date, CAST(coalesce("
+        "CASE WHEN regexp_matches(raw_date, '^\\d{1,2}/\\d{1,2}/\\d{4}$') THEN try_strptime(raw_date, '%d/%m/%Y') END, "
+        "CASE WHEN regexp_matches(raw_date, '^\\d{4}-\\d{2}-\\d{2}$') THEN try_strptime(raw_date, '%Y-%m-%d') END, "
+        "CASE WHEN regexp_matches(raw_date, '^\\d{4}/\\d{2}/\\d{2}$') THEN try_strptime(raw_date, '%Y/%m/%d') END, "
+        "CASE WHEN regexp_matches(raw_date, '^\\d{8}$') THEN try_strptime(raw_date, '%d%m%Y') END) AS DATE) AS parsed_date "
+        "FROM r")
+    q["standardize_text"] = with_(EMISSIONS) + (
+        f" SELECT o_orderkey, {initcap1('trim(country)')} AS country, {initcap1('trim(sector)')} AS sector FROM emissions")
+    q["round_measures"] = with_(EMISSIONS) + f" SELECT o_orderkey, {rnd('MtCO2_per_day', 2)} AS MtCO2_per_day FROM emissions"
+    q["temp_order_filter"] = W + f" SELECT {WID}, {TEMPS} FROM weather_obs WHERE {F2}"
+    q["global_median_fill"] = with_(EMISSIONS) + (
+        " SELECT * REPLACE (coalesce(MtCO2_per_day, (SELECT quantile_disc(MtCO2_per_day, 0.5) FROM emissions)) "
+        "AS MtCO2_per_day) FROM emissions")
+    q["group_median"] = W + " SELECT station_id, quantile_disc(max_temp_c, 0.5) AS median_max_temp FROM weather_obs GROUP BY station_id"
+    q["impute_temps"] = with_(WEATHER_OBS, impute_ctes("weather_obs")) + (
+        f" SELECT {WID}, {rnd('avg_temp_c', 6)} AS avg_temp_c, {rnd('min_temp_c', 6)} AS min_temp_c, "
+        f"{rnd('max_temp_c', 6)} AS max_temp_c FROM imp")
+    q["temp_range"] = W + f" SELECT {WID}, {TEMP_RANGE} AS temp_range_c FROM weather_obs"
+    q["temp_category"] = W + f" SELECT {WID}, {TEMP_CATEGORY} AS temp_category FROM weather_obs"
+    q["precip_category"] = W + f" SELECT {WID}, {PRECIP_CATEGORY} AS precipitation_category FROM weather_obs"
+    q["emission_level"] = with_(EMISSIONS) + f" SELECT o_orderkey, MtCO2_per_day, {EMISSION_LEVEL} AS emission_level FROM emissions"
+    q["sector_category"] = with_(EMISSIONS) + f" SELECT o_orderkey, sector, {SECTOR_CATEGORY} AS sector_category FROM emissions"
+
+    # validation
+    q["null_profile"] = W + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, count(*) AS total_rows, "
+        f"CASE WHEN count(*) > 0 THEN {rnd(f'(count(*) - (count(*) - count({c}))) / count(*) * 100', 2)} ELSE 0.0 END "
+        f"AS completeness_pct FROM weather_obs" for c in WEATHER_COLS)
+    vctes, vreport = report_sql("scored", ["station_id", "date"], ["station_id", "date"], WEATHER_COLS + SCORED_EXTRA,
+                                WEATHER_RULES, ("station_id", "station_id", "stations"))
+    wv = with_(WEATHER_OBS, STATIONS, scored_weather_cte()) + "," + vctes
+    q["rule_violations_weather"] = wv + " " + vreport
+    q["clean_valid_rows"] = wv + " SELECT * FROM v_valid"
+    cctes, creport = co2_job_ctes()
+    cj = with_(EMISSIONS, COUNTRIES) + "," + cctes
+    q["rule_violations_co2"] = cj + " " + creport
+    q["co2_cleaned"] = cj + " SELECT * FROM v_valid"
+    q["co2_quality_metrics"] = cj + (
+        f" SELECT count(DISTINCT country) AS countries, count(DISTINCT sector) AS sectors, min(date) AS min_date, "
+        f"max(date) AS max_date, min(MtCO2_per_day) AS min_emission, max(MtCO2_per_day) AS max_emission, "
+        f"{rnd('avg(MtCO2_per_day)', 6)} AS avg_emission, count(MtCO2_per_day) AS emission_count FROM v_valid")
+    q["fk_valid_rows"] = with_(WEATHER_OBS, STATIONS) + (
+        f" SELECT {WID} FROM weather_obs WHERE station_id IN (SELECT station_id FROM stations)")
+    q["weather_cleaned"] = with_(WEATHER_OBS, STATIONS) + "," + weather_job_ctes() + " SELECT * FROM v_valid"
+
+    # documents
+    q["doc_weather"] = with_(WEATHER_OBS, scored_weather_cte()) + (
+        " SELECT l_orderkey, l_linenumber, l_partkey, station_id, strftime(date, '%Y-%m-%d') AS date, "
+        "avg_temp_c AS temperature_avg, min_temp_c AS temperature_min, max_temp_c AS temperature_max, "
+        "temp_range_c AS temperature_range, temp_category AS temperature_category, "
+        "precipitation_mm AS precipitation_value, precipitation_category, "
+        "climate_risk_score AS risk_score, climate_risk_level AS risk_level FROM scored")
+    q["doc_co2"] = with_(EMISSIONS) + (
+        f" SELECT o_orderkey, country, strftime(date, '%Y-%m-%d') AS date, sector AS sector_type, "
+        f"{SECTOR_CATEGORY} AS sector_category, MtCO2_per_day AS mt_co2_per_day, {EMISSION_LEVEL} AS emission_level "
+        "FROM emissions")
+    q["doc_city"] = with_(STATIONS) + (
+        " SELECT station_id, city_name, country, iso3, latitude AS coordinates_lat, longitude AS coordinates_long FROM stations")
+    q["doc_country"] = with_(COUNTRIES) + (
+        " SELECT country, iso3, region, capital AS capital_name, capital_lat, capital_lng AS capital_long FROM countries")
+
+    # joined questions
+    daily = "SELECT date, country, coalesce(sum(MtCO2_per_day), 0.0) AS total_emission FROM emissions GROUP BY date, country"
+    top = f"top AS ({daily} ORDER BY total_emission DESC, date ASC, country ASC LIMIT 1)"
+    q["list_countries"] = with_(COUNTRIES) + " SELECT country FROM countries"
+    q["top_emission_day"] = with_(EMISSIONS, top) + f" SELECT date, country, {rnd('total_emission', 4)} AS total_emission FROM top"
+    q["top_day_hottest_cities"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, top, f"""
+per_city AS (
+  SELECT t.date AS d, t.country AS c, st.city_name, max(w.max_temp_c) AS max_temp
+  FROM weather_obs w JOIN top t ON w.date = t.date JOIN stations st ON w.station_id = st.station_id
+  WHERE st.country = t.country GROUP BY t.date, t.country, st.city_name
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY d, c ORDER BY max_temp DESC NULLS LAST, city_name) AS rk FROM per_city
+)""") + (f" SELECT t.date, t.country, {rnd('t.total_emission', 4)} AS total_emission, "
+         "CAST(r.rk - 1 AS INTEGER) AS city_rank, r.city_name, r.max_temp "
+         "FROM top t LEFT JOIN (SELECT * FROM ranked WHERE rk <= 5) r ON t.date = r.d AND t.country = r.c")
+    q["extreme_weather_emissions"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, scored_weather_cte(), f"""
+daily AS ({daily}),
+j AS (
+  SELECT s.date, st.country, s.max_temp_c, s.climate_risk_score, d.total_emission
+  FROM scored s JOIN stations st ON s.station_id = st.station_id
+  JOIN daily d ON d.date = s.date AND d.country = st.country
+  WHERE s.climate_risk_level IN ('HIGH', 'SEVERE') OR s.max_temp_c >= 35.0
+),
+g AS (
+  SELECT country, date, count(*) AS extreme_events, max(max_temp_c) AS max_temp,
+    avg(climate_risk_score) AS avg_risk, max(total_emission) AS total_emission
+  FROM j GROUP BY country, date HAVING max(max_temp_c) > 35.0
+  ORDER BY total_emission DESC, country, date LIMIT 50
+)""") + (f" SELECT country, date, extreme_events, max_temp, {rnd('avg_risk', 2)} AS avg_risk, "
+         f"{rnd('total_emission', 4)} AS total_emission FROM g")
+
+    fan = f"""
+cc AS (SELECT st.station_id, st.city_name, co.country FROM stations st JOIN countries co ON st.iso3 = co.iso3),
+pat AS (
+  SELECT cc.country, w.date, w.avg_temp_c, e.MtCO2_per_day
+  FROM weather_obs w JOIN cc ON w.station_id = cc.station_id
+  JOIN emissions e ON e.country = cc.country AND e.date = w.date
+),
+daily_f AS (
+  SELECT country, date, avg(avg_temp_c) AS daily_avg_temp, coalesce(sum(MtCO2_per_day), 0.0) AS daily_total_co2,
+    strftime(date, '%Y-%m') AS month FROM pat GROUP BY country, date
+),
+wd AS (SELECT cc.country, w.date, avg(w.avg_temp_c) AS daily_avg_temp FROM weather_obs w
+       JOIN cc ON w.station_id = cc.station_id WHERE w.date IS NOT NULL GROUP BY cc.country, w.date),
+cd AS (SELECT e.country, e.date, coalesce(sum(e.MtCO2_per_day), 0.0) AS co2 FROM emissions e
+       WHERE e.country IN (SELECT country FROM countries) AND e.date IS NOT NULL GROUP BY e.country, e.date),
+daily_t AS (SELECT wd.country, wd.date, wd.daily_avg_temp, cd.co2 AS daily_total_co2, strftime(wd.date, '%Y-%m') AS month
+            FROM wd JOIN cd ON wd.country = cd.country AND wd.date = cd.date)"""
+    monthly = lambda d: (f" SELECT country, month, {rnd('avg(daily_avg_temp)', 2)} AS monthly_avg_temp, "
+                         f"{rnd('sum(daily_total_co2)', 2)} AS monthly_total_co2 FROM {d} GROUP BY country, month")
+    base = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES, fan)
+    q["monthly_temp_co2"] = base + monthly("daily_f")
+    q["monthly_temp_co2_true"] = base + monthly("daily_t")
+    q["monthly_daily_sample"] = base + (
+        " SELECT country, month, CAST(rn - 1 AS INTEGER) AS sample_idx, date, "
+        f"{rnd('daily_avg_temp', 2)} AS avg_temp, {rnd('daily_total_co2', 2)} AS co2 FROM ("
+        " SELECT *, row_number() OVER (PARTITION BY country, month ORDER BY date) AS rn FROM daily_f) WHERE rn <= 5")
+    pivot_cols = ", ".join(f"max(CASE WHEN country = 'NATION_{i}' THEN t END) AS \"NATION_{i}\"" for i in range(25))
+    q["monthly_temp_pivot"] = base + (
+        f", m AS (SELECT country, month, {rnd('avg(daily_avg_temp)', 2)} AS t FROM daily_f GROUP BY country, month)"
+        f" SELECT month, {pivot_cols} FROM m GROUP BY month")
+    q["hot_cities_co2"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES, """
+hot AS (SELECT station_id, count(date) AS hot_days_count FROM weather_obs WHERE avg_temp_c > 30 GROUP BY station_id),
+cc AS (SELECT st.station_id, st.city_name, co.country FROM stations st JOIN countries co ON st.iso3 = co.iso3),
+pc AS (SELECT country, avg(MtCO2_per_day) AS avg_co2 FROM emissions GROUP BY country),
+r AS (SELECT DISTINCT cc.city_name AS city, cc.country, hot.hot_days_count, pc.avg_co2
+      FROM hot JOIN cc ON hot.station_id = cc.station_id JOIN pc ON pc.country = cc.country
+      ORDER BY hot_days_count DESC, city, country LIMIT 20)""") + (
+        f" SELECT city, country, hot_days_count, {rnd('avg_co2', 2)} AS avg_co2 FROM r")
+
+    # graph tables
+    wnodes = "(SELECT DISTINCT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM weather_obs)"
+    enodes = "(SELECT DISTINCT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM emissions)"
+    q["graph_nodes"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES) + " " + " UNION ALL ".join([
+        "SELECT 'City' AS label, count(*) AS node_count FROM (SELECT DISTINCT * FROM stations)",
+        "SELECT 'Country' AS label, count(*) AS node_count FROM (SELECT DISTINCT * FROM countries)",
+        f"SELECT 'Weather' AS label, count(*) AS node_count FROM {wnodes}",
+        f"SELECT 'Co2' AS label, count(*) AS node_count FROM {enodes}",
+        f"SELECT 'Date' AS label, count(DISTINCT date) AS node_count FROM {wnodes}",
+        f"SELECT 'Sector' AS label, count(DISTINCT sector) AS node_count FROM {enodes}",
+        f"SELECT 'EmissionValue' AS label, count(*) AS node_count FROM (SELECT DISTINCT date, country, sector FROM {enodes} "
+        "WHERE date IS NOT NULL AND country IS NOT NULL AND sector IS NOT NULL)"])
+    q["edge_located_in"] = with_(STATIONS, COUNTRIES) + (
+        " SELECT DISTINCT s.station_id, s.city_name, c.country, 'cities.csv' AS source FROM (SELECT DISTINCT * FROM stations) s"
+        " JOIN (SELECT DISTINCT iso3, country FROM countries) c ON s.iso3 = c.iso3")
+    q["edge_has_co2"] = with_(EMISSIONS, COUNTRIES) + (
+        f" SELECT e.*, e.MtCO2_per_day AS emissions FROM {enodes} e JOIN (SELECT DISTINCT country FROM countries) c"
+        " ON e.country = c.country")
+    q["edge_has_weather"] = with_(WEATHER_OBS, STATIONS) + (
+        f" SELECT w.l_orderkey, w.l_linenumber, w.l_partkey, w.station_id, w.date, s.city_name AS city FROM {wnodes} w"
+        " JOIN (SELECT DISTINCT station_id, city_name FROM stations) s ON w.station_id = s.station_id")
+    q["edge_on_date"] = with_(WEATHER_OBS) + (
+        f" SELECT l_orderkey, l_linenumber, l_partkey, station_id, date AS date_value FROM {wnodes} WHERE date IS NOT NULL")
+    q["edge_emit_from"] = with_(EMISSIONS) + (
+        f" SELECT o_orderkey, country, date, sector AS sector_name FROM {enodes} WHERE sector IS NOT NULL")
+    q["edge_has_value"] = with_(EMISSIONS) + (
+        f" SELECT e.o_orderkey, e.date, e.country, e.sector, v.mtCo2PerDay FROM {enodes} e JOIN ("
+        f"SELECT date, country, sector, max(MtCO2_per_day) AS mtCo2PerDay FROM {enodes} WHERE date IS NOT NULL "
+        "AND country IS NOT NULL AND sector IS NOT NULL GROUP BY date, country, sector) v "
+        "ON e.date = v.date AND e.country = v.country AND e.sector = v.sector")
+
+    # JSON and streams: the decoded rows equal the source table
+    q["json_round_trip"] = "SELECT * FROM events"
+    q["ingest_stream"] = "SELECT * FROM events"
+    q["vulnerability_stream"] = q["vulnerability_batch"]
     return q
 
 
