@@ -8,17 +8,17 @@ precipitation with that station's history:
     W3  station spread sample stddev of W1 over the station's rows
     SPI                round((W1 - W2) / W3, 1), null when W3 is null or 0
 
-W2 and W3 weigh every month by its row count.  Rather than two window
-passes (which shuffle and sort the whole table by station and put a hot
-station into one task), the statistics come from a station-month aggregate
-(partial aggregation, small output), a weighted mean and a two-pass
-variance over that aggregate, and one join of the station-month SPI back to
-the rows through a checked-size broadcast.
+W2 and W3 weigh every month by its row count.  Rather than window passes
+over the rows (which shuffle and sort the whole table by station and put a
+hot station into one task), the statistics come from a station-month
+aggregate (partial aggregation, small output), a weighted mean and a
+two-pass variance as windows over that aggregate, and one join of the
+station-month SPI back to the rows through a checked-size broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -34,26 +34,29 @@ def _as_date(df: DataFrame, column: str):
 
 def spi_table(df: DataFrame, station: str = "station_id", date: str = "date",
               precip: str = "precipitation_mm") -> DataFrame:
-    """SPI per (station, year, month): columns station, __y, __m, spi_index."""
+    """SPI per (station, year, month): columns station, __y, __m, spi_index.
+
+    One aggregate gives each station-month's mean and row count; the
+    station's weighted mean and two-pass sample variance are windows over
+    that small table partitioned by station, which share one exchange.
+    """
     d = _as_date(df, date)
     monthly = (df.select(F.col(station), F.year(d).alias("__y"), F.month(d).alias("__m"),
                          F.col(precip).cast("double").alias("__p"))
                .groupBy(station, "__y", "__m")
                .agg(F.avg("__p").alias("__mavg"), F.count(F.lit(1)).alias("__n")))
-    weighted = monthly.filter(F.col("__mavg").isNotNull())
-    mean = (weighted.groupBy(station)
-            .agg((F.sum(F.col("__n") * F.col("__mavg")) / F.sum("__n")).alias("__mean"),
-                 F.sum("__n").alias("__cnt")))
-    spread = (weighted.join(mean, station)
-              .groupBy(station, "__mean", "__cnt")
-              .agg(F.sum(F.col("__n") * (F.col("__mavg") - F.col("__mean")) ** 2).alias("__ss")))
-    stats = spread.select(
-        station, "__mean",
-        F.when(F.col("__cnt") > 1, F.sqrt(F.col("__ss") / (F.col("__cnt") - 1))).alias("__std"))
-    spi = F.when(F.col("__std").isNull() | (F.col("__std") == 0), F.lit(None).cast("double")).otherwise(
-        (F.col("__mavg") - F.col("__mean")) / F.col("__std"))
-    return (monthly.join(stats, station, "left")
-            .select(station, "__y", "__m", F.round(spi, 1).alias("spi_index")))
+    by_station = Window.partitionBy(station)
+    # rows of a month without any precipitation value carry no monthly mean
+    n = F.when(F.col("__mavg").isNotNull(), F.col("__n"))
+    with_mean = monthly.withColumns({
+        "__cnt": F.sum(n).over(by_station),
+        "__mean": F.sum(n * F.col("__mavg")).over(by_station) / F.sum(n).over(by_station),
+    })
+    ss = F.sum(n * (F.col("__mavg") - F.col("__mean")) ** 2).over(by_station)
+    std = F.when(F.col("__cnt") > 1, F.sqrt(ss / (F.col("__cnt") - 1)))
+    spi = F.when(std.isNull() | (std == 0), F.lit(None).cast("double")).otherwise(
+        (F.col("__mavg") - F.col("__mean")) / std)
+    return with_mean.select(station, "__y", "__m", F.round(spi, 1).alias("spi_index"))
 
 
 def add_spi_index(df: DataFrame, station: str = "station_id", date: str = "date",

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from aeris.functions.dates import parse_iso_date, parse_multi_format_date
 from aeris.operators import cleaning, enrich, impute, validate
 from aeris.operators.validate import ReferenceCheck, ValidationResult, ValidationSpec
+from aeris.session import materialize
 from aeris.sources.schemas import CO2_REQUIRED, WEATHER_REQUIRED
 
 
@@ -96,12 +97,20 @@ def co2_spec(floor: str = "2019-01-01", as_of: str | _dt.date | None = None, min
 
 def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
                   config: CleaningConfig = WEATHER_CONFIG, as_of_time: _dt.datetime | None = None,
-                  spec: ValidationSpec | None = None) -> tuple[DataFrame, ValidationResult]:
-    """Weather cleaning job (Q-F)."""
+                  spec: ValidationSpec | None = None,
+                  materialize_stage: bool = True) -> tuple[DataFrame, ValidationResult]:
+    """Weather cleaning job (Q-F).
+
+    With ``materialize_stage`` the deduplicated rows are written to the shared
+    checkpoint folder once; the station statistics, the SPI table and the
+    output all read that table instead of repeating the dedup shuffle.
+    """
     out = _prepare(raw, config, as_of_time)
     out = cleaning.filter_temp_order(out)
     out = cleaning.dedup_by_key(out, config.primary_key)
     out = cleaning.drop_null_rows(out, config.required_non_null)
+    if materialize_stage:
+        out = materialize(out, "weather-dedup")
     out = impute.impute_temperatures(out, mean_cols=config.mean_cols, median_cols=config.median_cols,
                                      accuracy=config.median_accuracy)
     out = _declared_fills(out, config)
@@ -121,11 +130,14 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
 
 def clean_co2(raw: DataFrame, countries: DataFrame | list | None = None,
               config: CleaningConfig = CO2_CONFIG, as_of_time: _dt.datetime | None = None,
-              spec: ValidationSpec | None = None) -> tuple[DataFrame, ValidationResult]:
-    """CO2 cleaning job (Q-G)."""
+              spec: ValidationSpec | None = None,
+              materialize_stage: bool = True) -> tuple[DataFrame, ValidationResult]:
+    """CO2 cleaning job (Q-G); ``materialize_stage`` as in ``clean_weather``."""
     out = _prepare(raw, config, as_of_time)
     out = cleaning.dedup_by_key(out, config.primary_key)
     out = cleaning.drop_null_rows(out, config.required_non_null)
+    if materialize_stage:
+        out = materialize(out, "co2-dedup")
     out = impute.global_median_fill(out, config.median_cols, config.median_accuracy)
     out = _declared_fills(out, config)
     std = {}
