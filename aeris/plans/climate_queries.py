@@ -93,7 +93,9 @@ def emission_vs_extreme_weather(weather: DataFrame, cities: DataFrame, co2: Data
                          | (F.col("max_temp_c") >= temp_threshold))
     city = cities.select("station_id", "country")
     located = hot.join(_dim(city), "station_id")
-    joined = located.join(daily_emissions(co2, emission), ["date", "country"])
+    # one row per (date, country): broadcast after its size check, so the
+    # weather rows are never shuffled for this join
+    joined = located.join(_dim(daily_emissions(co2, emission)), ["date", "country"])
     grouped = joined.groupBy("country", "date").agg(
         F.count(F.lit(1)).alias("extreme_events"),
         F.max("max_temp_c").alias("max_temp"),

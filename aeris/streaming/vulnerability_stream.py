@@ -31,6 +31,12 @@ STREAM_CONF = {
 }
 
 
+def configure_stream_session(spark: SparkSession, conf: dict[str, str] | None = None) -> None:
+    """Apply the state-store settings (T4) to a session before starting the query."""
+    for key, value in (conf or STREAM_CONF).items():
+        spark.conf.set(key, value)
+
+
 def vulnerability_plan(spark: SparkSession, weather_path: str, cities: DataFrame,
                        schema: StructType | None = None, max_files_per_trigger: int = 1,
                        standardize_dimension: bool = True) -> DataFrame:

@@ -99,3 +99,16 @@ def test_vulnerability_unknown_and_hyphenated(spark):
     assert "Russia" not in strict                    # raw hyphenated name does not match
     total = fr["pct_low"] + fr["pct_moderate"] + fr["pct_high"] + fr["pct_critical"]
     assert total == pytest.approx(100.0, abs=0.05)
+
+
+def test_reports_relabel_and_round(spark, dims):
+    from aeris.plans import reports
+    cities, countries = dims
+    co2 = spark.createDataFrame([("Aland", D1, "P", 2.123456)], CO2)
+    weather = spark.createDataFrame([("1", D1, 31.0, 36.0, 1.234, "HIGH")], WEATHER)
+    r = reports.extreme_weather_report(cq.emission_vs_extreme_weather(weather, cities, co2)).collect()[0]
+    assert r["Avg Risk Score"] == 1.23 and r["Total Emission (MtCO₂/day)"] == 2.1235
+    h = reports.hot_cities_report(cq.hot_cities_vs_co2(weather, cities, countries, co2)).collect()[0]
+    assert (h["City"], h["Hot Days Count"], h["Avg CO₂ (MtCO₂/day)"]) == ("Alpha", 1, 2.12)
+    t = reports.top_day_report(cq.top_emission_day_with_cities(co2, weather, cities)).collect()
+    assert [(x["City"], x["Max Temp (°C)"]) for x in t] == [("Alpha", 36.0)]
