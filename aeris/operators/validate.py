@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeris.functions.numeric import exact_avg
 from aeris.operators.cleaning import dedup_by_key, temp_order_ok
 from aeris.operators.joins import checked_small
 
@@ -235,7 +236,7 @@ def co2_report_metrics(country="country", sector="sector", emission="MtCO2_per_d
             F.count_distinct(sector).alias("sectors"),
             F.min(emission).alias("min_emission"),
             F.max(emission).alias("max_emission"),
-            F.avg(emission).alias("avg_emission"),
+            exact_avg(emission).alias("avg_emission"),
             F.count(emission).alias("emission_count"),
         )
     return build
@@ -251,6 +252,6 @@ def co2_quality_metrics(df: DataFrame, country="country", sector="sector", date=
         F.max(date).alias("max_date"),
         F.min(emission).alias("min_emission"),
         F.max(emission).alias("max_emission"),
-        F.avg(emission).alias("avg_emission"),
+        exact_avg(emission).alias("avg_emission"),
         F.count(emission).alias("emission_count"),
     )

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeris.functions.dates import month_key
+from aeris.functions.numeric import EXACT, exact_avg, exact_sum
 from aeris.operators.joins import checked_small
 
 
@@ -33,7 +34,7 @@ def list_countries(countries: DataFrame, column: str = "country") -> DataFrame:
 def daily_emissions(co2: DataFrame, emission: str = "MtCO2_per_day") -> DataFrame:
     """Total emission per (date, country); a group of only nulls sums to 0 (A4, Q17)."""
     return co2.groupBy("date", "country").agg(
-        F.coalesce(F.sum(emission), F.lit(0.0)).alias("total_emission"))
+        F.coalesce(exact_sum(emission), F.lit(0.0)).alias("total_emission"))
 
 
 def top_emission_day(co2: DataFrame, country: str | None = None,
@@ -99,7 +100,7 @@ def emission_vs_extreme_weather(weather: DataFrame, cities: DataFrame, co2: Data
     grouped = joined.groupBy("country", "date").agg(
         F.count(F.lit(1)).alias("extreme_events"),
         F.max("max_temp_c").alias("max_temp"),
-        F.avg("climate_risk_score").alias("avg_risk"),
+        exact_avg("climate_risk_score").alias("avg_risk"),
         F.max("total_emission").alias("total_emission"),   # constant within a group
     )
     ranked = grouped.filter(F.col("max_temp") > temp_threshold).orderBy(
@@ -128,11 +129,13 @@ def daily_temp_co2(weather: DataFrame, cities: DataFrame, countries: DataFrame,
     w = (weather.filter(F.col("date").isNotNull()).select("station_id", "date", "avg_temp_c")
          .join(_dim(sc.select("station_id", "country")), "station_id")
          .groupBy("country", "date")
-         .agg(F.avg("avg_temp_c").alias("daily_avg_temp"), F.count(F.lit(1)).alias("__nw")))
+         .agg(exact_avg("avg_temp_c").alias("daily_avg_temp"), F.count(F.lit(1)).alias("__nw")))
     names = countries.select("country").dropDuplicates()
     c = (co2.filter(F.col("date").isNotNull()).join(_dim(names), "country")
-         .groupBy("country", "date").agg(F.coalesce(F.sum(emission), F.lit(0.0)).alias("__co2")))
-    total = F.col("__co2") if dedup_fanout else F.col("__co2") * F.col("__nw")
+         .groupBy("country", "date")
+         .agg(F.coalesce(F.sum(F.col(emission).cast(EXACT)), F.lit(0).cast(EXACT)).alias("__co2")))
+    # exact decimal product: the fan-out total is the true total times the row count
+    total = (F.col("__co2") if dedup_fanout else F.col("__co2") * F.col("__nw")).cast("double")
     return (w.join(c, ["country", "date"])
             .select("country", "date", "daily_avg_temp", total.alias("daily_total_co2"),
                     month_key("date").alias("month")))
@@ -149,8 +152,8 @@ def monthly_temp_and_co2(weather: DataFrame, cities: DataFrame, countries: DataF
     """
     daily = daily_temp_co2(weather, cities, countries, co2, dedup_fanout, emission)
     monthly = daily.groupBy("country", "month").agg(
-        F.avg("daily_avg_temp").alias("monthly_avg_temp"),
-        F.sum("daily_total_co2").alias("monthly_total_co2"),
+        exact_avg("daily_avg_temp").alias("monthly_avg_temp"),
+        exact_sum("daily_total_co2").alias("monthly_total_co2"),
         # at most 31 days per (country, month): a bounded list
         F.slice(F.sort_array(F.collect_list(F.struct(
             F.col("date"), F.col("daily_avg_temp").alias("avg_temp"),
@@ -178,7 +181,7 @@ def hot_cities_vs_co2(weather: DataFrame, cities: DataFrame, countries: DataFram
     hot = (weather.filter(F.col("avg_temp_c") > hot_threshold)
            .groupBy("station_id").agg(F.count("date").alias("hot_days_count")))
     sc = _city_country(cities, countries)
-    per_country = co2.groupBy("country").agg(F.avg(emission).alias("avg_co2"))
+    per_country = co2.groupBy("country").agg(exact_avg(emission).alias("avg_co2"))
     out = (hot.join(_dim(sc), "station_id")
            .join(per_country, "country")
            .select(F.col("city_name").alias("city"), "country", "hot_days_count", "avg_co2")

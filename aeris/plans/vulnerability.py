@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from aeris.functions.buckets import pct, vulnerability_category
 from aeris.functions.dates import parse_iso_timestamp
+from aeris.functions.numeric import exact_avg
 from aeris.operators.cleaning import dedup_by_key
 from aeris.operators.joins import checked_small
 
@@ -58,7 +59,7 @@ def aggregate_risk(events: DataFrame, country_col: str = "country") -> DataFrame
     """Per-country risk statistics and counts."""
     level = F.col("climate_risk_level")
     return events.groupBy(country_col).agg(
-        F.round(F.avg("climate_risk_score"), 2).alias("avg_risk_score"),
+        F.round(exact_avg("climate_risk_score"), 2).alias("avg_risk_score"),
         F.max("climate_risk_score").alias("max_risk_score"),
         F.min("climate_risk_score").alias("min_risk_score"),
         F.count_if(level == "LOW").alias("low_cnt"),

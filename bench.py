@@ -45,7 +45,9 @@ def main() -> None:
     from aeris.plans.registry import QUERIES
     from aeris.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app_name="aeris-bench")
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if "=" in kv)
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app_name="aeris-bench",
+                          extra=extra)
 
     def run(name: str) -> float:
         t0 = time.perf_counter()

@@ -18,6 +18,16 @@ def rnd(expr: str, n: int) -> str:
     return f"CAST(ROUND(CAST(({expr}) AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
 
+def xavg(expr: str) -> str:
+    """Exact (order-independent) average, as aeris.functions.numeric.exact_avg."""
+    return f"CAST(avg(CAST(({expr}) AS DECIMAL(38,12))) AS DOUBLE)"
+
+
+def xsum(expr: str) -> str:
+    """Exact (order-independent) sum, as aeris.functions.numeric.exact_sum."""
+    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,12))) AS DOUBLE)"
+
+
 def initcap1(expr: str) -> str:
     return f"(upper(substr(({expr}), 1, 1)) || lower(substr(({expr}), 2)))"
 
@@ -139,7 +149,7 @@ labelled AS (
   SELECT s.*, coalesce(d.country, 'Unknown') AS country FROM {scored} s LEFT JOIN dim d ON s.city_name = d.city_name
 ),
 grouped AS (
-  SELECT country, {rnd('avg(climate_risk_score)', 2)} AS avg_risk_score,
+  SELECT country, {rnd(xavg('climate_risk_score'), 2)} AS avg_risk_score,
     max(climate_risk_score) AS max_risk_score, min(climate_risk_score) AS min_risk_score,
     CAST(count_if(climate_risk_level = 'LOW') AS BIGINT) AS low_cnt,
     CAST(count_if(climate_risk_level = 'MODERATE') AS BIGINT) AS moderate_cnt,
@@ -200,7 +210,7 @@ def impute_ctes(src: str, name: str = "imp") -> str:
           "WHEN max_temp_c IS NULL THEN pmax ELSE max_temp_c END")
     return f"""
 {name}_st AS (
-  SELECT station_id AS st_id, avg(avg_temp_c) AS pavg, avg(min_temp_c) AS pmin, avg(max_temp_c) AS pmax
+  SELECT station_id AS st_id, {xavg('avg_temp_c')} AS pavg, {xavg('min_temp_c')} AS pmin, {xavg('max_temp_c')} AS pmax
   FROM {src} GROUP BY station_id
 ),
 {name}_1 AS (SELECT s.*, t.pavg, t.pmin, t.pmax FROM {src} s LEFT JOIN {name}_st t
@@ -294,7 +304,7 @@ c_ref AS (SELECT {initcap1('trim(country)')} AS ref_country FROM countries)"""
     cols = EMISSION_COLS + ["emission_level", "sector_category"]
     metrics = [("countries", "count(DISTINCT country)"), ("sectors", "count(DISTINCT sector)"),
                ("min_emission", "min(MtCO2_per_day)"), ("max_emission", "max(MtCO2_per_day)"),
-               ("avg_emission", "avg(MtCO2_per_day)"), ("emission_count", "count(MtCO2_per_day)")]
+               ("avg_emission", xavg("MtCO2_per_day")), ("emission_count", "count(MtCO2_per_day)")]
     vctes, report = report_sql("c_enriched", ["country", "date", "sector"], ["country", "sector", "date"], cols,
                                co2_rules(CO2_FLOOR, CO2_AS_OF), ("country", "ref_country", "c_ref"), metrics)
     return ctes + "," + vctes, report
@@ -384,7 +394,7 @@ def build() -> dict[str, str]:
     q["co2_quality_metrics"] = cj + (
         f" SELECT count(DISTINCT country) AS countries, count(DISTINCT sector) AS sectors, min(date) AS min_date, "
         f"max(date) AS max_date, min(MtCO2_per_day) AS min_emission, max(MtCO2_per_day) AS max_emission, "
-        f"{rnd('avg(MtCO2_per_day)', 6)} AS avg_emission, count(MtCO2_per_day) AS emission_count FROM v_valid")
+        f"{rnd(xavg('MtCO2_per_day'), 6)} AS avg_emission, count(MtCO2_per_day) AS emission_count FROM v_valid")
     q["fk_valid_rows"] = with_(WEATHER_OBS, STATIONS) + (
         f" SELECT {WID} FROM weather_obs WHERE station_id IN (SELECT station_id FROM stations)")
     q["weather_cleaned"] = with_(WEATHER_OBS, STATIONS) + "," + weather_job_ctes() + " SELECT * FROM v_valid"
@@ -406,7 +416,8 @@ def build() -> dict[str, str]:
         " SELECT country, iso3, region, capital AS capital_name, capital_lat, capital_lng AS capital_long FROM countries")
 
     # joined questions
-    daily = "SELECT date, country, coalesce(sum(MtCO2_per_day), 0.0) AS total_emission FROM emissions GROUP BY date, country"
+    daily = ("SELECT date, country, coalesce(" + xsum("MtCO2_per_day") + ", 0.0) AS total_emission "
+             "FROM emissions GROUP BY date, country")
     top = f"top AS ({daily} ORDER BY total_emission DESC, date ASC, country ASC LIMIT 1)"
     q["list_countries"] = with_(COUNTRIES) + " SELECT country FROM countries"
     q["top_emission_day"] = with_(EMISSIONS, top) + f" SELECT date, country, {rnd('total_emission', 4)} AS total_emission FROM top"
@@ -431,7 +442,7 @@ j AS (
 ),
 g AS (
   SELECT country, date, count(*) AS extreme_events, max(max_temp_c) AS max_temp,
-    avg(climate_risk_score) AS avg_risk, max(total_emission) AS total_emission
+    {xavg('climate_risk_score')} AS avg_risk, max(total_emission) AS total_emission
   FROM j GROUP BY country, date HAVING max(max_temp_c) > 35.0
   ORDER BY total_emission DESC, country, date LIMIT 50
 )""") + (f" SELECT country, date, extreme_events, max_temp, {rnd('avg_risk', 2)} AS avg_risk, "
@@ -445,17 +456,17 @@ pat AS (
   JOIN emissions e ON e.country = cc.country AND e.date = w.date
 ),
 daily_f AS (
-  SELECT country, date, avg(avg_temp_c) AS daily_avg_temp, coalesce(sum(MtCO2_per_day), 0.0) AS daily_total_co2,
+  SELECT country, date, avg(avg_temp_c) AS daily_avg_temp, coalesce({xsum('MtCO2_per_day')}, 0.0) AS daily_total_co2,
     strftime(date, '%Y-%m') AS month FROM pat GROUP BY country, date
 ),
-wd AS (SELECT cc.country, w.date, avg(w.avg_temp_c) AS daily_avg_temp FROM weather_obs w
+wd AS (SELECT cc.country, w.date, {xavg('w.avg_temp_c')} AS daily_avg_temp FROM weather_obs w
        JOIN cc ON w.station_id = cc.station_id WHERE w.date IS NOT NULL GROUP BY cc.country, w.date),
-cd AS (SELECT e.country, e.date, coalesce(sum(e.MtCO2_per_day), 0.0) AS co2 FROM emissions e
+cd AS (SELECT e.country, e.date, coalesce({xsum('e.MtCO2_per_day')}, 0.0) AS co2 FROM emissions e
        WHERE e.country IN (SELECT country FROM countries) AND e.date IS NOT NULL GROUP BY e.country, e.date),
 daily_t AS (SELECT wd.country, wd.date, wd.daily_avg_temp, cd.co2 AS daily_total_co2, strftime(wd.date, '%Y-%m') AS month
             FROM wd JOIN cd ON wd.country = cd.country AND wd.date = cd.date)"""
-    monthly = lambda d: (f" SELECT country, month, {rnd('avg(daily_avg_temp)', 2)} AS monthly_avg_temp, "
-                         f"{rnd('sum(daily_total_co2)', 2)} AS monthly_total_co2 FROM {d} GROUP BY country, month")
+    monthly = lambda d: (f" SELECT country, month, {rnd(xavg('daily_avg_temp'), 2)} AS monthly_avg_temp, "
+                         f"{rnd(xsum('daily_total_co2'), 2)} AS monthly_total_co2 FROM {d} GROUP BY country, month")
     base = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES, fan)
     q["monthly_temp_co2"] = base + monthly("daily_f")
     q["monthly_temp_co2_true"] = base + monthly("daily_t")
@@ -465,12 +476,12 @@ daily_t AS (SELECT wd.country, wd.date, wd.daily_avg_temp, cd.co2 AS daily_total
         " SELECT *, row_number() OVER (PARTITION BY country, month ORDER BY date) AS rn FROM daily_f) WHERE rn <= 5")
     pivot_cols = ", ".join(f"max(CASE WHEN country = 'NATION_{i}' THEN t END) AS \"NATION_{i}\"" for i in range(25))
     q["monthly_temp_pivot"] = base + (
-        f", m AS (SELECT country, month, {rnd('avg(daily_avg_temp)', 2)} AS t FROM daily_f GROUP BY country, month)"
+        f", m AS (SELECT country, month, {rnd(xavg('daily_avg_temp'), 2)} AS t FROM daily_t GROUP BY country, month)"
         f" SELECT month, {pivot_cols} FROM m GROUP BY month")
-    q["hot_cities_co2"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES, """
+    q["hot_cities_co2"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES, f"""
 hot AS (SELECT station_id, count(date) AS hot_days_count FROM weather_obs WHERE avg_temp_c > 30 GROUP BY station_id),
 cc AS (SELECT st.station_id, st.city_name, co.country FROM stations st JOIN countries co ON st.iso3 = co.iso3),
-pc AS (SELECT country, avg(MtCO2_per_day) AS avg_co2 FROM emissions GROUP BY country),
+pc AS (SELECT country, {xavg('MtCO2_per_day')} AS avg_co2 FROM emissions GROUP BY country),
 r AS (SELECT DISTINCT cc.city_name AS city, cc.country, hot.hot_days_count, pc.avg_co2
       FROM hot JOIN cc ON hot.station_id = cc.station_id JOIN pc ON pc.country = cc.country
       ORDER BY hot_days_count DESC, city, country LIMIT 20)""") + (
