@@ -63,6 +63,7 @@ class ValidationResult:
     report: DataFrame
     spec: ValidationSpec
     warnings: list[str] = field(default_factory=list)
+    steps: dict = field(default_factory=dict)   # step name -> pyspark Observation (A16)
 
     def summary(self) -> dict[str, float]:
         """The long report as a dict (a few dozen rows at most)."""

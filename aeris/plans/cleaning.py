@@ -15,7 +15,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aeris.functions.dates import parse_iso_date, parse_multi_format_date
@@ -70,6 +70,18 @@ def _prepare(df: DataFrame, config: CleaningConfig, as_of_time: _dt.datetime | N
     return cleaning.scrub_columns(out, config.alpha_cols, config.integer_cols, config.double_cols)
 
 
+def _count_step(df: DataFrame, steps: dict[str, Observation], name: str) -> DataFrame:
+    """Row count after a step (A16), collected by the next action without a job of its own."""
+    obs = Observation(name)
+    steps[name] = obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+
+def step_counts(steps: dict[str, Observation]) -> dict[str, int]:
+    """Counts of the observed steps; call after an action has run on the job's output."""
+    return {name: obs.get["rows"] for name, obs in steps.items()}
+
+
 def _declared_fills(df: DataFrame, config: CleaningConfig) -> DataFrame:
     if not config.apply_declared_fills:
         return df
@@ -105,10 +117,12 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
     checkpoint folder once; the station statistics, the SPI table and the
     output all read that table instead of repeating the dedup shuffle.
     """
-    out = _prepare(raw, config, as_of_time)
-    out = cleaning.filter_temp_order(out)
-    out = cleaning.dedup_by_key(out, config.primary_key)
-    out = cleaning.drop_null_rows(out, config.required_non_null)
+    steps: dict[str, Observation] = {}
+    out = _count_step(_prepare(raw, config, as_of_time), steps, "weather_input")
+    out = _count_step(cleaning.filter_temp_order(out), steps, "weather_after_order_filter")
+    out = _count_step(cleaning.dedup_by_key(out, config.primary_key), steps, "weather_after_dedup")
+    out = _count_step(cleaning.drop_null_rows(out, config.required_non_null), steps,
+                      "weather_after_null_drop")
     if materialize_stage:
         out = materialize(out, "weather-dedup")
     out = impute.impute_temperatures(out, mean_cols=config.mean_cols, median_cols=config.median_cols,
@@ -125,6 +139,7 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
             std[c] = F.round(F.col(c).cast("double"), 1)
     out = enrich.enrich_weather(out.withColumns(std))
     result = validate.validate(out, spec or weather_spec(), stations)
+    result.steps = steps
     return result.valid, result
 
 
@@ -133,9 +148,10 @@ def clean_co2(raw: DataFrame, countries: DataFrame | list | None = None,
               spec: ValidationSpec | None = None,
               materialize_stage: bool = True) -> tuple[DataFrame, ValidationResult]:
     """CO2 cleaning job (Q-G); ``materialize_stage`` as in ``clean_weather``."""
-    out = _prepare(raw, config, as_of_time)
-    out = cleaning.dedup_by_key(out, config.primary_key)
-    out = cleaning.drop_null_rows(out, config.required_non_null)
+    steps: dict[str, Observation] = {}
+    out = _count_step(_prepare(raw, config, as_of_time), steps, "co2_input")
+    out = _count_step(cleaning.dedup_by_key(out, config.primary_key), steps, "co2_after_dedup")
+    out = _count_step(cleaning.drop_null_rows(out, config.required_non_null), steps, "co2_after_null_drop")
     if materialize_stage:
         out = materialize(out, "co2-dedup")
     out = impute.global_median_fill(out, config.median_cols, config.median_accuracy)
@@ -152,6 +168,7 @@ def clean_co2(raw: DataFrame, countries: DataFrame | list | None = None,
     out = enrich.enrich_emissions(out.withColumns(std))
     result = validate.validate(out, spec or co2_spec(), countries,
                                metrics=validate.co2_report_metrics())
+    result.steps = steps
     return result.valid, result
 
 

@@ -94,9 +94,15 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema:
            fmt: str = "text", max_per_trigger: int | None = None,
            block_size: int = 64 * 1024 * 1024, rejects: str | None = None,
            available_now: bool = True, processing_time: str | None = None,
-           **source_opts) -> list[StreamingQuery]:
-    """Start the ingest query (and a rejects query when ``rejects`` is given)."""
+           files_per_batch: int | None = None, **source_opts) -> list[StreamingQuery]:
+    """Start the ingest query (and a rejects query when ``rejects`` is given).
+
+    ``files_per_batch`` caps the files each micro-batch writes (``coalesce``,
+    no shuffle), like the upstream one-file-per-flush.
+    """
     decoded = decode(read_events(spark, source, fmt, max_per_trigger, **source_opts), schema)
+    if files_per_batch:
+        decoded = decoded.coalesce(files_per_batch)
     queries = []
     for frame, path, name in [(accepted(decoded), sink, "accepted"),
                               (rejected(decoded) if rejects else None, rejects, "rejected")]:

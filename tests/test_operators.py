@@ -256,3 +256,16 @@ def test_co2_job_end_to_end(spark):
                    ("China", "Power", 1.5, "Energy", "Medium"),
                    ("India", "Residential", 3.0, "Buildings", "Medium")]
     assert result.summary()["issue.null_keys"] == 1     # "bad" date
+
+
+def test_step_counts_are_observed(spark):
+    import datetime as dt
+    data = [("1", "A", "2020-01-01", "w", 10.0, 5.0, 15.0, 1.0), ("1", "A", "2020-01-01", "w", 10.0, 5.0, 15.0, 1.0),
+            ("1", "A", "2020-01-02", "w", 10.0, 20.0, 15.0, 1.0), ("1", None, "2020-01-03", "w", 1.0, 0.0, 2.0, 1.0)]
+    raw = spark.createDataFrame(data, "station_id string, city_name string, date string, season string, "
+                                      "avg_temp_c double, min_temp_c double, max_temp_c double, precipitation_mm double")
+    valid, result = jobs.clean_weather(raw, None, spec=jobs.weather_spec(min_rows=1))
+    valid.count()
+    assert jobs.step_counts(result.steps) == {
+        "weather_input": 4, "weather_after_order_filter": 3, "weather_after_dedup": 2,
+        "weather_after_null_drop": 1}
