@@ -69,6 +69,18 @@ class ValidationResult:
         """The long report as a dict (a few dozen rows at most)."""
         return {f"{r['section']}.{r['item']}": r["value"] for r in self.report.collect()}
 
+    def issues_found(self) -> dict[str, int]:
+        """Non-zero issue counts among the recorded ones.
+
+        The weather spec records only duplicates and referential integrity,
+        the CO2 spec every rule; the long ``report`` always has all counts.
+        """
+        s = self.summary()
+        recorded = self.spec.recorded_issues
+        return {k.split(".", 1)[1]: int(v) for k, v in s.items()
+                if k.startswith("issue.") and v > 0
+                and (recorded is None or k.split(".", 1)[1] in recorded)}
+
     def check_gates(self) -> dict[str, float]:
         """Raise below ``min_rows`` (V7); warn on drop ratio and coverage (V8, V9)."""
         s = self.summary()

@@ -3,7 +3,6 @@ import math
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from aeris.operators import cleaning, enrich, impute, validate
 from aeris.operators.joins import semi_join_reference
@@ -166,6 +165,7 @@ def test_validation_counts_first_failed_rule_once(spark):
     assert s["null_count.station_id"] == 1
     assert rows(result.valid, "station_id") == [("1",)]
     assert result.warnings                           # drop ratio far above 2 %
+    assert result.issues_found() == {"duplicates": 1, "referential_integrity": 1}
 
 
 def test_validation_gate_raises(spark):

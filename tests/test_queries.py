@@ -4,7 +4,6 @@ import pytest
 
 from aeris.plans import climate_queries as cq
 from aeris.plans.vulnerability import country_vulnerability
-from tests.conftest import rows
 
 D1, D2 = dt.date(2020, 7, 1), dt.date(2020, 7, 2)
 CO2 = "country string, date date, sector string, MtCO2_per_day double"
