@@ -60,10 +60,18 @@ class ValidationSpec:
 class ValidationResult:
     valid: DataFrame
     flagged: DataFrame
-    report: DataFrame
     spec: ValidationSpec
+    build_report: Callable[[], DataFrame]
     warnings: list[str] = field(default_factory=list)
     steps: dict = field(default_factory=dict)   # step name -> pyspark Observation (A16)
+    _report: DataFrame | None = None
+
+    @property
+    def report(self) -> DataFrame:
+        """Long report (section, item, value); its plan is built on first use."""
+        if self._report is None:
+            self._report = self.build_report()
+        return self._report
 
     def summary(self) -> dict[str, float]:
         """The long report as a dict (a few dozen rows at most)."""
@@ -166,30 +174,33 @@ def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list
     flagged = flag_rules(deduped, spec.rules, spec.reference, reference_df)
     valid = flagged.filter(F.col("first_failed_rule").isNull()).drop("first_failed_rule")
 
-    names = [r.name for r in spec.rules]
-    if spec.reference is not None and reference_df is not None:
-        names.append(spec.reference.name)
-    rule = F.col("first_failed_rule")
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("after_dedup"),
-        F.count_if(rule.isNull()).alias("final_count"),
-        *[F.count_if(rule == n).alias(f"rule_{i}") for i, n in enumerate(names)],
-    )
-    before = df.agg(F.count(F.lit(1)).alias("initial_count"),
-                    F.count_if(key_ok).alias("non_null_keys"))
-    items = [("count", "initial_count", F.col("initial_count")),
-             ("issue", "null_keys", F.col("initial_count") - F.col("non_null_keys")),
-             ("issue", "duplicates", F.col("non_null_keys") - F.col("after_dedup")),
-             *[("issue", n, F.col(f"rule_{i}")) for i, n in enumerate(names)],
-             ("count", "final_count", F.col("final_count"))]
-    report = _long(_zip_rows(before, counts), items)
-    if metrics is not None:
-        m = metrics(valid)
-        report = report.unionByName(_long(m, [("metric", c, F.col(c)) for c in m.columns]))
-    profile = null_profile(df).select(F.lit("null_count").alias("section"),
-                                      F.col("column_name").alias("item"),
-                                      F.col("null_count").cast("double").alias("value"))
-    return ValidationResult(valid=valid, flagged=flagged, report=report.unionByName(profile), spec=spec)
+    def build_report() -> DataFrame:
+        names = [r.name for r in spec.rules]
+        if spec.reference is not None and reference_df is not None:
+            names.append(spec.reference.name)
+        rule = F.col("first_failed_rule")
+        counts = flagged.agg(
+            F.count(F.lit(1)).alias("after_dedup"),
+            F.count_if(rule.isNull()).alias("final_count"),
+            *[F.count_if(rule == n).alias(f"rule_{i}") for i, n in enumerate(names)],
+        )
+        before = df.agg(F.count(F.lit(1)).alias("initial_count"),
+                        F.count_if(key_ok).alias("non_null_keys"))
+        items = [("count", "initial_count", F.col("initial_count")),
+                 ("issue", "null_keys", F.col("initial_count") - F.col("non_null_keys")),
+                 ("issue", "duplicates", F.col("non_null_keys") - F.col("after_dedup")),
+                 *[("issue", n, F.col(f"rule_{i}")) for i, n in enumerate(names)],
+                 ("count", "final_count", F.col("final_count"))]
+        report = _long(_zip_rows(before, counts), items)
+        if metrics is not None:
+            m = metrics(valid)
+            report = report.unionByName(_long(m, [("metric", c, F.col(c)) for c in m.columns]))
+        profile = null_profile(df).select(F.lit("null_count").alias("section"),
+                                          F.col("column_name").alias("item"),
+                                          F.col("null_count").cast("double").alias("value"))
+        return report.unionByName(profile)
+
+    return ValidationResult(valid=valid, flagged=flagged, spec=spec, build_report=build_report)
 
 
 def _long(one_row: DataFrame, items) -> DataFrame:

@@ -85,3 +85,27 @@ def latest_state(spark: SparkSession, path: str, key: str = "country") -> DataFr
     newest = updates.groupBy(key).agg(
         F.max_by(F.struct(*cols), F.col("batch_id")).alias("__row"))
     return newest.select(key, *[F.col(f"__row.{c}").alias(c) for c in cols])
+
+
+def process_stream(spark: SparkSession, weather_path: str, cities: DataFrame,
+                   checkpoint: str | None = None, trigger_seconds: int = 20,
+                   timeout_seconds: float | None = None) -> StreamingQuery:
+    """Run the vulnerability stream on the console in update mode until stopped.
+
+    The session gets the state-store settings first.  ``timeout_seconds`` bounds
+    the wait (``None`` waits until the query ends); an interrupt stops the
+    query cleanly, and a failed query raises.
+    """
+    configure_stream_session(spark)
+    query = start(vulnerability_plan(spark, weather_path, cities), sink="console",
+                  output_mode="update", checkpoint=checkpoint, trigger_seconds=trigger_seconds)
+    try:
+        query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
+    except KeyboardInterrupt:
+        pass
+    finally:
+        if query.isActive:
+            query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return query

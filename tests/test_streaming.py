@@ -76,3 +76,15 @@ def test_stream_equals_batch(spark):
     batch = rows(country_vulnerability(spark.read.parquet(f"{base}/weather"), cities)
                  .select(*[F.col(c) for c in vulnerability_stream.VULNERABILITY_COLUMNS]))
     assert streamed == batch
+
+
+def test_console_stream_runs_and_stops(spark):
+    base = tempfile.mkdtemp(prefix="console-")
+    cities = spark.createDataFrame([("1", "Paris", "France")], "station_id string, city_name string, country string")
+    spark.createDataFrame([("Paris", "2020-01-01", 0.2, "LOW")],
+                          "city_name string, date string, climate_risk_score double, climate_risk_level string") \
+        .write.parquet(f"{base}/weather")
+    q = vulnerability_stream.process_stream(spark, f"{base}/weather", cities, checkpoint=f"{base}/ckpt",
+                                            trigger_seconds=1, timeout_seconds=8)
+    assert not q.isActive
+    assert q.lastProgress is not None
