@@ -23,9 +23,15 @@ def _dim(df: DataFrame) -> DataFrame:
     return F.broadcast(small) if fits else small
 
 
-def nodes(df: DataFrame) -> DataFrame:
-    """Node table for one label: ISO dates, duplicates on all properties merged (G1)."""
-    return dates_to_iso_strings(df).dropDuplicates()
+def nodes(df: DataFrame, assume_unique: bool = False) -> DataFrame:
+    """Node table for one label: ISO dates, duplicates on all properties merged (G1).
+
+    The merge is a shuffle of the whole table.  A cleaned table is already
+    unique on its key, so no two of its rows can be equal; ``assume_unique``
+    skips the merge for such input.
+    """
+    iso = dates_to_iso_strings(df)
+    return iso if assume_unique else iso.dropDuplicates()
 
 
 def located_in(cities: DataFrame, countries: DataFrame, source: str = "cities.csv") -> DataFrame:
@@ -37,17 +43,18 @@ def located_in(cities: DataFrame, countries: DataFrame, source: str = "cities.cs
                     F.lit(source).alias("source")))
 
 
-def has_co2(countries: DataFrame, co2: DataFrame, emission: str = "MtCO2_per_day") -> DataFrame:
+def has_co2(countries: DataFrame, co2: DataFrame, emission: str = "MtCO2_per_day",
+            assume_unique: bool = False) -> DataFrame:
     """Country -[:HAS_CO2]-> Co2 on country; the Co2 end gains ``emissions``."""
     names = countries.select("country").dropDuplicates()
-    return (nodes(co2).join(_dim(names), "country")
+    return (nodes(co2, assume_unique).join(_dim(names), "country")
             .withColumn("emissions", F.col(emission)))
 
 
-def has_weather(cities: DataFrame, weather: DataFrame) -> DataFrame:
+def has_weather(cities: DataFrame, weather: DataFrame, assume_unique: bool = False) -> DataFrame:
     """City -[:HAS_WEATHER]-> Weather on station_id (G4); the City end's name is ``city``."""
     city = nodes(cities).select("station_id", F.col("city_name").alias("city"))
-    return nodes(weather).join(_dim(city), "station_id")
+    return nodes(weather, assume_unique).join(_dim(city), "station_id")
 
 
 def date_nodes(weather: DataFrame, date: str = "date") -> DataFrame:
@@ -56,9 +63,10 @@ def date_nodes(weather: DataFrame, date: str = "date") -> DataFrame:
             .filter(F.col("value").isNotNull()).distinct())
 
 
-def on_date(weather: DataFrame, keys: Sequence[str] = ("station_id", "date")) -> DataFrame:
+def on_date(weather: DataFrame, keys: Sequence[str] = ("station_id", "date"),
+            assume_unique: bool = False) -> DataFrame:
     """Weather -[:ON_DATE]-> Date."""
-    w = nodes(weather)
+    w = nodes(weather, assume_unique)
     return w.filter(F.col("date").isNotNull()).select(*keys, F.col("date").alias("date_value"))
 
 
@@ -67,9 +75,9 @@ def sector_nodes(co2: DataFrame) -> DataFrame:
     return nodes(co2).filter(F.col("sector").isNotNull()).select(F.col("sector").alias("name")).distinct()
 
 
-def emit_from(co2: DataFrame) -> DataFrame:
+def emit_from(co2: DataFrame, assume_unique: bool = False) -> DataFrame:
     """Co2 -[:EMIT_FROM]-> Sector for rows with a sector."""
-    c = nodes(co2)
+    c = nodes(co2, assume_unique)
     return c.filter(F.col("sector").isNotNull()).withColumn("sector_name", F.col("sector"))
 
 
@@ -85,8 +93,18 @@ def emission_value_nodes(co2: DataFrame, emission: str = "MtCO2_per_day") -> Dat
             .agg(F.max(emission).alias("mtCo2PerDay")))
 
 
-def has_value(co2: DataFrame, emission: str = "MtCO2_per_day") -> DataFrame:
-    """Co2 -[:HAS_VALUE]-> EmissionValue on (date, country, sector)."""
+def has_value(co2: DataFrame, emission: str = "MtCO2_per_day", assume_unique: bool = False) -> DataFrame:
+    """Co2 -[:HAS_VALUE]-> EmissionValue on (date, country, sector).
+
+    On unique (cleaned) input every Co2 row is its own EmissionValue, so the
+    edge needs no join at all.
+    """
+    if assume_unique:
+        c = nodes(co2, True).filter(F.col("date").isNotNull() & F.col("country").isNotNull()
+                                    & F.col("sector").isNotNull())
+        keys = ["date", "country", "sector"]
+        return c.select(*keys, *[x for x in c.columns if x not in keys],
+                        F.col(emission).alias("mtCo2PerDay"))
     ev = emission_value_nodes(co2, emission)
     return nodes(co2).join(ev, ["date", "country", "sector"])
 

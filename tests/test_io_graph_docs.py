@@ -77,3 +77,11 @@ def test_graph_nodes_edges_and_idempotent_merge(spark):
     edges = graph.located_in(cities, countries)
     again = graph.merge_edges(edges, edges, ["station_id", "country"])
     assert again.count() == edges.count()
+
+
+def test_graph_edges_on_unique_input_skip_the_merge(spark):
+    co2 = spark.createDataFrame([("Aland", D, "Power", 1.0), ("Aland", D, "Transport", 2.0)],
+                                "country string, date date, sector string, MtCO2_per_day double")
+    assert rows(graph.has_value(co2, assume_unique=True)) == rows(graph.has_value(co2))
+    plan_rows = graph.nodes(co2, assume_unique=True)
+    assert plan_rows.count() == 2
