@@ -116,14 +116,25 @@ def check_required(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"Schema validation failed: missing columns {missing}")
 
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """(column_name, null_count, total_rows, completeness_pct) in one aggregate."""
+def _null_counts(df: DataFrame, extra: list[Column] = ()) -> tuple[DataFrame, list[str]]:
+    """One-row aggregate: ``__n`` rows, ``__c{i}`` nulls of column i, plus ``extra``."""
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"__c{i}") for i, c in enumerate(cols)])
+                 *[F.count_if(F.col(c).isNull()).alias(f"__c{i}") for i, c in enumerate(cols)],
+                 *extra)
+    return row, cols
+
+
+def _profile_rows(row: DataFrame, cols: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__c{i}").alias("null_count"))
                       for i, c in enumerate(cols)])
-    long = row.select(F.col("__n").alias("total_rows"), F.inline(pairs))
+    return row.select(F.col("__n").alias("total_rows"), F.inline(pairs))
+
+
+def null_profile(df: DataFrame) -> DataFrame:
+    """(column_name, null_count, total_rows, completeness_pct) in one aggregate."""
+    row, cols = _null_counts(df)
+    long = _profile_rows(row, cols)
     return long.select(
         "column_name", "null_count", "total_rows",
         F.when(F.col("total_rows") > 0,
@@ -184,10 +195,11 @@ def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list
             F.count_if(rule.isNull()).alias("final_count"),
             *[F.count_if(rule == n).alias(f"rule_{i}") for i, n in enumerate(names)],
         )
-        before = df.agg(F.count(F.lit(1)).alias("initial_count"),
-                        F.count_if(key_ok).alias("non_null_keys"))
-        items = [("count", "initial_count", F.col("initial_count")),
-                 ("issue", "null_keys", F.col("initial_count") - F.col("non_null_keys")),
+        # one pass over the input gives its row count, non-null keys and null profile
+        before, cols = _null_counts(df, [F.count_if(key_ok).alias("non_null_keys")])
+        before = before.persist()
+        items = [("count", "initial_count", F.col("__n")),
+                 ("issue", "null_keys", F.col("__n") - F.col("non_null_keys")),
                  ("issue", "duplicates", F.col("non_null_keys") - F.col("after_dedup")),
                  *[("issue", n, F.col(f"rule_{i}")) for i, n in enumerate(names)],
                  ("count", "final_count", F.col("final_count"))]
@@ -195,9 +207,9 @@ def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list
         if metrics is not None:
             m = metrics(valid)
             report = report.unionByName(_long(m, [("metric", c, F.col(c)) for c in m.columns]))
-        profile = null_profile(df).select(F.lit("null_count").alias("section"),
-                                          F.col("column_name").alias("item"),
-                                          F.col("null_count").cast("double").alias("value"))
+        profile = _profile_rows(before, cols).select(F.lit("null_count").alias("section"),
+                                                     F.col("column_name").alias("item"),
+                                                     F.col("null_count").cast("double").alias("value"))
         return report.unionByName(profile)
 
     return ValidationResult(valid=valid, flagged=flagged, spec=spec, build_report=build_report)

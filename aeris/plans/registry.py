@@ -355,7 +355,7 @@ def q_ingest_stream(spark, sf_dir):
 def q_vulnerability_stream(spark, sf_dir):
     base = scratch_path(spark, "vulnerability")
     scored = scored_weather(spark, sf_dir)
-    scored.repartition(3).write.parquet(f"{base}/weather")
+    scored.repartition(3, "station_id").write.parquet(f"{base}/weather")   # three files, one per trigger
     plan = vulnerability_stream.vulnerability_plan(spark, f"{base}/weather", td.stations(spark, sf_dir))
     q = vulnerability_stream.start(plan, sink="table", path=f"{base}/state",
                                    checkpoint=f"{base}/checkpoint", available_now=True)
