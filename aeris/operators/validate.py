@@ -198,12 +198,14 @@ def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list
         # one pass over the input gives its row count, non-null keys and null profile
         before, cols = _null_counts(df, [F.count_if(key_ok).alias("non_null_keys")])
         before = before.persist()
-        items = [("count", "initial_count", F.col("__n")),
-                 ("issue", "null_keys", F.col("__n") - F.col("non_null_keys")),
-                 ("issue", "duplicates", F.col("non_null_keys") - F.col("after_dedup")),
+        # the input's counts enter the flagged-side row as scalar subqueries (one value each)
+        total, non_null = before.select("__n").scalar(), before.select("non_null_keys").scalar()
+        items = [("count", "initial_count", total),
+                 ("issue", "null_keys", total - non_null),
+                 ("issue", "duplicates", non_null - F.col("after_dedup")),
                  *[("issue", n, F.col(f"rule_{i}")) for i, n in enumerate(names)],
                  ("count", "final_count", F.col("final_count"))]
-        report = _long(_zip_rows(before, counts), items)
+        report = _long(counts, items)
         if metrics is not None:
             m = metrics(valid)
             report = report.unionByName(_long(m, [("metric", c, F.col(c)) for c in m.columns]))
@@ -229,12 +231,6 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
-def _zip_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Combine two one-row aggregates into one row (an equi-join on a constant key)."""
-    return (left.withColumn("__one", F.lit(1)).alias("b")
-            .join(right.withColumn("__one", F.lit(1)).alias("c"), "__one"))
-
-
 # ---------------------------------------------------------------------------
 # Rule sets of the two datasets
 
