@@ -17,6 +17,32 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Starting point for a large cluster (hundreds of executors, ~100 TB inputs).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions, so no
+# reduce task holds more than a few hundred MB whatever the data size; scans
+# split files into 512 MB tasks; skewed join partitions (5x the median and
+# above 512 MB) are split; broadcasts stay behind the explicit row check in
+# ``operators.joins`` (Spark's own size-based broadcast is kept small).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "aeris.broadcast.maxRows": "2000000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set the SQL-level settings above on a running session (static ones belong in spark-submit)."""
+    for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+
 
 def build_session(
     master: str = "local[8]",
