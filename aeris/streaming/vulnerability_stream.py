@@ -51,8 +51,15 @@ def vulnerability_plan(spark: SparkSession, weather_path: str, cities: DataFrame
 def start(plan: DataFrame, sink: str = "console", output_mode: str = "update",
           checkpoint: str | None = None, path: str | None = None, query_name: str = "climate_risk_score",
           trigger_seconds: int | None = 20, available_now: bool = False,
-          num_rows: int = 20, truncate: bool = False) -> StreamingQuery:
-    """Start the query on a console, memory or keyed-table sink."""
+          num_rows: int = 20, truncate: bool = False,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start the query on a console, memory or keyed-table sink.
+
+    ``state_partitions`` sets the number of state-store partitions (fixed in
+    the checkpoint at the first run).  The state is one row per country, so a
+    handful is plenty; by default the cluster's default parallelism is used
+    instead of the session's shuffle width.
+    """
     writer = plan.writeStream.outputMode(output_mode).queryName(query_name)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
@@ -75,7 +82,14 @@ def start(plan: DataFrame, sink: str = "console", output_mode: str = "update",
         writer = writer.foreachBatch(write_batch)
     else:
         raise ValueError(f"unknown sink {sink}")
-    return writer.start()
+    spark = plan.sparkSession
+    width = state_partitions or spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        return writer.start()   # the query clones the session (and this setting) here
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def latest_state(spark: SparkSession, path: str, key: str = "country") -> DataFrame:
