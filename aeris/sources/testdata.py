@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# The key of each driver fact table, used to spread a narrow scan.
+# Key column of each driver fact table, used to spread a narrow scan.
 FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
              "events": "event_id"}
 
