@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 WEATHER_ID = ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "date"]
 TEMPS = ["avg_temp_c", "min_temp_c", "max_temp_c"]
 EXACT_MEDIAN = 1_000_000          # percentile_approx accuracy that is exact at these sizes
+MAX_PIVOT = 1000                  # widest month x country table
 CO2_FLOOR, CO2_AS_OF = "1996-01-01", "2001-06-30"   # the test dates span 1995-2001
 
 
@@ -278,8 +279,10 @@ def q_monthly_daily_sample(spark, sf_dir):
 
 def q_monthly_temp_pivot(spark, sf_dir):
     countries = td.countries(spark, sf_dir)
-    # pivot columns come from the country dimension (a bounded list of names)
-    names = sorted(r[0] for r in countries.select("country").distinct().collect())
+    # pivot columns come from the country dimension, read with an explicit bound
+    names = sorted(r[0] for r in countries.select("country").distinct().limit(MAX_PIVOT + 1).collect())
+    if len(names) > MAX_PIVOT:
+        raise ValueError(f"more than {MAX_PIVOT} countries: a pivot would be too wide")
     m = _monthly(spark, sf_dir).withColumn("monthly_avg_temp", F.round("monthly_avg_temp", 2))
     return cq.monthly_temp_pivot(m, names)
 
