@@ -11,12 +11,14 @@ computed in two aggregate passes.  Nothing is collected except that report.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from aeris.functions.dates import parse_iso_date, parse_multi_format_date
 from aeris.operators import cleaning, enrich, impute, validate
@@ -107,6 +109,21 @@ def co2_spec(floor: str = "2019-01-01", as_of: str | _dt.date | None = None, min
         min_rows=min_rows, max_invalid_ratio=max_invalid_ratio, min_countries=5, min_sectors=3)
 
 
+def _dedup_survives_standardizing(raw: DataFrame, config: CleaningConfig, spec: ValidationSpec) -> bool:
+    """True when the first dedup already makes the validation keys unique.
+
+    That holds when validation dedups on the primary key, the date arrives as a
+    DATE (standardising maps it to itself) and no other key column is
+    rewritten.  A string date can gain duplicates when parsed (decision Q8).
+    """
+    keys = set(config.primary_key)
+    rewritten = set(config.alpha_cols) | set(config.double_cols) | set(config.integer_cols) | {
+        "city_name", "season"}
+    return (set(spec.dedup_keys) == keys and "date" in raw.columns
+            and isinstance(raw.schema["date"].dataType, DateType)
+            and not (keys - {"date"}) & rewritten)
+
+
 def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
                   config: CleaningConfig = WEATHER_CONFIG, as_of_time: _dt.datetime | None = None,
                   spec: ValidationSpec | None = None,
@@ -138,7 +155,10 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
         if c in out.columns:
             std[c] = F.round(F.col(c).cast("double"), 1)
     out = enrich.enrich_weather(out.withColumns(std))
-    result = validate.validate(out, spec or weather_spec(), stations)
+    spec = spec or weather_spec()
+    if _dedup_survives_standardizing(raw, config, spec):
+        spec = dataclasses.replace(spec, keys_unique=True)
+    result = validate.validate(out, spec, stations)
     result.steps = steps
     return result.valid, result
 
