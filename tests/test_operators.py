@@ -269,3 +269,17 @@ def test_step_counts_are_observed(spark):
     assert jobs.step_counts(result.steps) == {
         "weather_input": 4, "weather_after_order_filter": 3, "weather_after_dedup": 2,
         "weather_after_null_drop": 1}
+
+
+def test_validation_dedup_skipped_only_when_provably_unique(spark):
+    from aeris.plans.cleaning import WEATHER_CONFIG, _dedup_survives_standardizing
+    spec = jobs.weather_spec()
+    typed = spark.createDataFrame([("1", dt_date())], "station_id string, date date")
+    text = spark.createDataFrame([("1", "2020-01-01")], "station_id string, date string")
+    assert _dedup_survives_standardizing(typed, WEATHER_CONFIG, spec)
+    assert not _dedup_survives_standardizing(text, WEATHER_CONFIG, spec)
+
+
+def dt_date():
+    import datetime as dt
+    return dt.date(2020, 1, 1)
