@@ -32,19 +32,12 @@ def _as_date(df: DataFrame, column: str):
     return F.col(column) if isinstance(dtype, DateType) else parse_iso_date(column)
 
 
-def spi_table(df: DataFrame, station: str = "station_id", date: str = "date",
-              precip: str = "precipitation_mm") -> DataFrame:
-    """SPI per (station, year, month): columns station, __y, __m, spi_index.
+def spi_from_monthly(monthly: DataFrame, station: str = "station_id") -> DataFrame:
+    """Add ``spi_index`` to a station-month table with ``__mavg`` (mean) and ``__n`` (rows).
 
-    One aggregate gives each station-month's mean and row count; the
-    station's weighted mean and two-pass sample variance are windows over
+    The station's weighted mean and two-pass sample variance are windows over
     that small table partitioned by station, which share one exchange.
     """
-    d = _as_date(df, date)
-    monthly = (df.select(F.col(station), F.year(d).alias("__y"), F.month(d).alias("__m"),
-                         F.col(precip).cast("double").alias("__p"))
-               .groupBy(station, "__y", "__m")
-               .agg(F.avg("__p").alias("__mavg"), F.count(F.lit(1)).alias("__n")))
     by_station = Window.partitionBy(station)
     # rows of a month without any precipitation value carry no monthly mean
     n = F.when(F.col("__mavg").isNotNull(), F.col("__n"))
@@ -56,7 +49,22 @@ def spi_table(df: DataFrame, station: str = "station_id", date: str = "date",
     std = F.when(F.col("__cnt") > 1, F.sqrt(ss / (F.col("__cnt") - 1)))
     spi = F.when(std.isNull() | (std == 0), F.lit(None).cast("double")).otherwise(
         (F.col("__mavg") - F.col("__mean")) / std)
-    return with_mean.select(station, "__y", "__m", F.round(spi, 1).alias("spi_index"))
+    return with_mean.withColumn("spi_index", F.round(spi, 1)).drop("__cnt", "__mean")
+
+
+def spi_table(df: DataFrame, station: str = "station_id", date: str = "date",
+              precip: str = "precipitation_mm") -> DataFrame:
+    """SPI per (station, year, month): columns station, __y, __m, spi_index.
+
+    One aggregate gives each station-month's mean and row count; the station
+    statistics follow from it (``spi_from_monthly``).
+    """
+    d = _as_date(df, date)
+    monthly = (df.select(F.col(station), F.year(d).alias("__y"), F.month(d).alias("__m"),
+                         F.col(precip).cast("double").alias("__p"))
+               .groupBy(station, "__y", "__m")
+               .agg(F.avg("__p").alias("__mavg"), F.count(F.lit(1)).alias("__n")))
+    return spi_from_monthly(monthly, station).select(station, "__y", "__m", "spi_index")
 
 
 def add_spi_index(df: DataFrame, station: str = "station_id", date: str = "date",

@@ -16,12 +16,14 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from aeris.functions.dates import parse_iso_date, parse_multi_format_date
+from aeris.functions.numeric import EXACT
 from aeris.operators import cleaning, enrich, impute, validate
+from aeris.operators.joins import attach_group_stats
 from aeris.operators.validate import ReferenceCheck, ValidationResult, ValidationSpec
 from aeris.session import materialize
 from aeris.sources.schemas import CO2_REQUIRED, WEATHER_REQUIRED
@@ -124,15 +126,48 @@ def _dedup_survives_standardizing(raw: DataFrame, config: CleaningConfig, spec:
             and not (keys - {"date"}) & rewritten)
 
 
+def _impute_and_standardize_fused(df: DataFrame, config: CleaningConfig, std: dict) -> DataFrame:
+    """Imputation (I1-I4) + standardising + SPI (W1-W4) from one station-month aggregate.
+
+    Per (station, year, month of the standardised date) the aggregate keeps
+    the exact decimal sum and count of each temperature column and the mean
+    and row count of the standardised precipitation.  Windows by station over
+    that small table give the station means (sum of sums / sum of counts, the
+    same decimal division as an average) and the SPI.  One checked-size
+    broadcast join brings both back to the rows.
+    """
+    temps = [c for c in config.mean_cols if c in impute.TEMP_COLUMNS and c in df.columns]
+    d = parse_iso_date("date")
+    keyed = df.withColumns({"__y": F.year(d), "__m": F.month(d)})
+    aggs = [F.avg(F.round(F.col("precipitation_mm").cast("double"), 1)).alias("__mavg"),
+            F.count(F.lit(1)).alias("__n")]
+    for c in temps:
+        aggs += [F.sum(F.col(c).cast("double").cast(EXACT)).alias(f"__s_{c}"), F.count(c).alias(f"__c_{c}")]
+    monthly = keyed.groupBy("station_id", "__y", "__m").agg(*aggs)
+    by_station = Window.partitionBy("station_id")
+    means = {}
+    for c in temps:
+        total, count = F.sum(f"__s_{c}").over(by_station), F.sum(f"__c_{c}").over(by_station)
+        means[f"__{c}_mean"] = F.when(count > 0, total / count).cast("double")
+    stats = enrich.spi_from_monthly(monthly.withColumns(means)).select(
+        "station_id", "__y", "__m", "spi_index", *means)
+    joined = attach_group_stats(keyed, stats, ["station_id", "__y", "__m"])
+    filled = impute.fill_temperatures(joined, {c: F.col(f"__{c}_mean") for c in temps})
+    filled = _declared_fills(filled.drop(*means, "__y", "__m"), config)
+    return filled.withColumns(std)
+
+
 def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
                   config: CleaningConfig = WEATHER_CONFIG, as_of_time: _dt.datetime | None = None,
-                  spec: ValidationSpec | None = None,
-                  materialize_stage: bool = True) -> tuple[DataFrame, ValidationResult]:
+                  spec: ValidationSpec | None = None, materialize_stage: bool = True,
+                  fuse_statistics: bool = True) -> tuple[DataFrame, ValidationResult]:
     """Weather cleaning job (Q-F).
 
     With ``materialize_stage`` the deduplicated rows are written to the shared
-    checkpoint folder once; the station statistics, the SPI table and the
-    output all read that table instead of repeating the dedup shuffle.
+    checkpoint folder once; the statistics and the output read that table
+    instead of repeating the dedup shuffle.  With ``fuse_statistics`` the
+    station means (imputation) and the SPI come from one station-month
+    aggregate and reach the rows through one join.
     """
     steps: dict[str, Observation] = {}
     out = _count_step(_prepare(raw, config, as_of_time), steps, "weather_input")
@@ -142,9 +177,6 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
                       "weather_after_null_drop")
     if materialize_stage:
         out = materialize(out, "weather-dedup")
-    out = impute.impute_temperatures(out, mean_cols=config.mean_cols, median_cols=config.median_cols,
-                                     accuracy=config.median_accuracy)
-    out = _declared_fills(out, config)
     std = {}
     if "date" in out.columns:
         std["date"] = parse_iso_date("date")
@@ -154,7 +186,17 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
     for c in config.double_cols:
         if c in out.columns:
             std[c] = F.round(F.col(c).cast("double"), 1)
-    out = enrich.enrich_weather(out.withColumns(std))
+    if fuse_statistics and not config.median_cols and {"station_id", "date", "precipitation_mm"} <= set(out.columns):
+        out = _impute_and_standardize_fused(out, config, std)
+    else:
+        out = impute.impute_temperatures(out, mean_cols=config.mean_cols, median_cols=config.median_cols,
+                                         accuracy=config.median_accuracy)
+        out = _declared_fills(out, config)
+        out = enrich.add_spi_index(out.withColumns(std))
+    out = enrich.add_risk_scores(enrich.add_weather_attributes(out))
+    out = out.select(*[c for c in out.columns if c not in ("spi_index", "climate_risk_score",
+                                                            "climate_risk_level")],
+                     "spi_index", "climate_risk_score", "climate_risk_level")
     spec = spec or weather_spec()
     if _dedup_survives_standardizing(raw, config, spec):
         spec = dataclasses.replace(spec, keys_unique=True)
