@@ -57,8 +57,9 @@ def test_documents_nest_and_rename(spark):
     assert cdoc["sector"] == {"type": "Power", "category": None} and cdoc["mt_co2_per_day"] == 1.0
     base = tempfile.mkdtemp(prefix="docs-")
     documents.write_documents(documents.co2_documents(c), f"{base}/co2")
-    assert '"category":null' in open([os.path.join(f"{base}/co2", f) for f in os.listdir(f"{base}/co2")
-                                      if f.endswith(".json")][0]).read()
+    text = "".join(open(os.path.join(f"{base}/co2", f)).read() for f in os.listdir(f"{base}/co2")
+                   if f.endswith(".json"))
+    assert '"category":null' in text
 
 
 def test_graph_nodes_edges_and_idempotent_merge(spark):
