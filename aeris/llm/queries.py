@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from aeris.llm import quality_rules
+from aeris.llm import bpe, packing, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op3_bpe": bpe.op3_bpe,
+    "op9_packing": packing.op9_packing,
 }
 
 ORACLE_SQL = {
