@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aeris.session import materialize
 
@@ -29,23 +31,54 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def replace_columns(df: DataFrame, new: DataFrame, names: list[str]) -> list[str]:
-    """Columns of ``df`` that ``new`` does not bring along."""
-    return [c for c in df.columns if c not in names]
+def held_out(doc_id: str | Column = "doc_id") -> Column:
+    return fold(doc_id) == 0
 
 
-def bounded_sample(df: DataFrame, by: str, per_value: int, key: str = "doc_id", salt: int = 7) -> DataFrame:
-    """About ``per_value`` rows for each value of ``by``, chosen by a hash of ``key``.
+def append_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], fn) -> DataFrame:
+    """``df`` with new columns that ``fn(batch)`` gives as Arrow arrays, batch by batch.
+
+    A column of ``df`` that bears one of the new names is replaced.  Rows
+    stay where they are read, in the same number and order.
+    """
+    names = {n.lower() for n, _ in fields}
+    kept = df.select(*[c for c in df.columns if c.lower() not in names])
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, *fn(b)], names=[*b.schema.names, *[n for n, _ in fields]])
+
+    return kept.mapInArrow(run, schema)
+
+
+def bounded_sample(df: DataFrame, by: str, per_value: int, key: str = "doc_id", salt: int = 7):
+    """(about ``per_value`` rows for each value of ``by``, rows there are of each).
 
     The counts per value come from one partial aggregate (as many rows as
-    there are values); the choice is a filter, so nothing is shuffled.
+    there are values); rows are chosen by a hash of ``key``, a filter, so nothing
+    is shuffled.  Where there are fewer rows than the bound, all are taken.
     """
     counts = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(1.0, per_value / max(n, 1)))).otherwise(share)
     spot = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    return df.filter(spot < share)
+    return df.filter(spot < share), counts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: int):
+    """(doc_id, text, lang, label, fold) of a bounded sample of labelled training rows, and label counts.
+
+    The sample is drawn from the labels, so what is broadcast is bounded by
+    ``per_value`` rows for each of the two labels.
+    """
+    train = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    drawn, counts = bounded_sample(train, "label", per_value)
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    texts = docs.select("doc_id", whole_text().alias("text"), lang.alias("lang"))
+    return texts.join(F.broadcast(drawn), "doc_id").withColumn("fold", fold().cast("int")), counts
 
 
 def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
