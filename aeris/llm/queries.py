@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from aeris.llm import bpe, packing, quality_rules
+from aeris.llm import bpe, langid, packing, quality_gam, quality_rules, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op3_bpe": bpe.op3_bpe,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op7_language_id": langid.op7_language_id,
+    "op8_warc": warc.op8_warc,
     "op9_packing": packing.op9_packing,
+    "op10_quality": quality_gam.op10_quality,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
+    "op8_warc": warc.ORACLE_SQL,
 }
