@@ -40,7 +40,7 @@ from aeris.session import materialize
 
 CAPACITY = 4096
 CLOSING_ID = 1
-ROWS_PER_GROUP = 20_000  # pieces of one length ranked together, on average
+ROWS_PER_GROUP = 500  # pieces of one length ranked together, on average
 
 
 class LibraryCoder(bpe.Bpe):
@@ -180,10 +180,11 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with length) plus sequence_id and offset; ``pieces`` is read twice, so give a written table."""
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = pieces.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
-    salts = 1 + max(counts.values(), default=0) // ROWS_PER_GROUP
+    spread = pieces.sparkSession.createDataFrame(
+        [(k, 1 + n // ROWS_PER_GROUP) for k, n in counts.items()], "length long, _salts long")
     cols = pieces.columns
-    salted = pieces.withColumn("_uid", F.monotonically_increasing_id()).withColumn(
-        "_salt", F.pmod(F.xxhash64("_uid"), F.lit(salts)))
+    salted = pieces.withColumn("_uid", F.monotonically_increasing_id()).join(F.broadcast(spread), "length").withColumn(
+        "_salt", F.pmod(F.xxhash64("_uid"), F.col("_salts")))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     first = sizes.withColumn("_first", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n"))
     rank = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("_uid")) - 1
