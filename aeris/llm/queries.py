@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from aeris.llm import bpe, embeddings, langid, packing, quality_gam, quality_rules, toxicity, warc
+from aeris.llm import bpe, embeddings, langid, minhash, packing, quality_gam, quality_rules, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_minhash": minhash.op2_minhash,
     "op3_bpe": bpe.op3_bpe,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_embedding_dedup": embeddings.op5_embedding_dedup,
