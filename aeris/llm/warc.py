@@ -3,8 +3,10 @@ r"""WARC archives through a chunked record table.
 ``chunk_table`` turns pages into rows (record, chunk number, data) of bounded
 size, each with the length and SHA-256 of the payload so far, so that the last row
 of a record knows both for the whole without anything holding the whole twice.
+Only those last rows, without data, are kept to find equal payloads; the chunks
+are made again when the archives are written, and reach them through one shuffle.
 Archives are plain WARC 1.1 files that Spark's text writer makes: one row
-is one record, the record separator is the line separator.  A payload of more than one
+is one record, the record separator is the line separator; files are gzipped.  A payload of more than one
 chunk becomes a segmented record (first segment and ``continuation`` records), so no row grows
 with its payload.
 
@@ -13,15 +15,15 @@ chunk also ends inside every version line that a payload holds; files can thus b
 and read in parallel, and Content-Length is checked for every record.
 
 Of records with equal payloads of at least ``LEAST_REVISIT`` bytes the one with the smallest page_id (null
-ids last, then the earlier row) is ``response``, the others are ``revisit`` records
-without payload.  Defined cases: null html counts as empty; a null page_id or url is written as an empty
-header and read back as null; rows that share a page_id are records of their own; an empty table gives
+ids last) is ``response``, the others are ``revisit`` records without payload.  Defined cases: null html counts as empty; a null page_id or url is written as an empty
+header and read back as null; rows that share a page_id are records of their own, of one type where the html is equal too; an empty table gives
 an empty archive; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +38,7 @@ DATE = "2000-01-01T00:00:00Z"
 VERSION = "WARC/1.1\r\n"
 _BATCH = 1 << 23  # bytes of data a batch of chunks holds, about
 _CHUNK_SCHEMA = ("record long, page_id long, url string, chunk int, data string, bytes_so_far long, "
-                 "digest_so_far string, last boolean")
+                 "digest_so_far string, last boolean, payload_bytes long, payload_digest string")
 
 
 def pieces(text: str, size: int = CHUNK):
@@ -54,11 +56,15 @@ def pieces(text: str, size: int = CHUNK):
 
 
 def chunk_table(pages: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Rows (record, page_id, url, chunk, data, bytes_so_far, digest_so_far, last)."""
-    source = pages.select(F.monotonically_increasing_id().alias("record"), F.col("page_id").cast("long"),
-                          F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    """Rows (record, page_id, url, chunk, data, bytes_so_far, digest_so_far, last, payload_bytes, payload_digest).
+
+    ``record`` is a random number that holds the chunks of one row together.
+    """
+    source = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
+                          F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     names = [f.split()[0] for f in _CHUNK_SCHEMA.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.bool_(),
+             pa.int64(), pa.string()]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -67,44 +73,44 @@ def chunk_table(pages: DataFrame, size: int = CHUNK) -> DataFrame:
     def run(batches):
         rows, held = [], 0
         for b in batches:
-            for record, page, url, html in zip(*b.columns, strict=True):
-                digest, total, waiting = hashlib.sha256(), 0, None
-                for k, part in enumerate(pieces(html.as_py(), size)):
-                    if waiting is not None:
-                        rows.append((*waiting, False))
+            for page, url, html in zip(*b.columns, strict=True):
+                text, number = html.as_py(), int.from_bytes(os.urandom(8), "little") >> 1
+                whole, length = hashlib.sha256(), 0
+                for part in pieces(text, size):
+                    raw = part.encode("utf-8")
+                    whole.update(raw)
+                    length += len(raw)
+                digest, total, done = hashlib.sha256(), 0, 0
+                for k, part in enumerate(pieces(text, size)):
                     raw = part.encode("utf-8")
                     digest.update(raw)
                     total += len(raw)
                     held += len(raw)
-                    waiting = (record.as_py(), page.as_py(), url.as_py(), k, part, total, digest.hexdigest())
-                    if held >= _BATCH and rows:
+                    done += len(part)
+                    rows.append((number, page.as_py(), url.as_py(), k, part, total, digest.hexdigest(), done == len(text),
+                                 length, whole.hexdigest()))
+                    if held >= _BATCH:
                         yield batch(rows)
                         rows, held = [], 0
-                rows.append((*waiting, True))
         if rows:
             yield batch(rows)
 
     return source.mapInArrow(run, _CHUNK_SCHEMA)
 
 
-def decide(chunks: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """(record, payload_bytes, payload_digest, refers_to, refers_record), one row per record; refers_* null for responses."""
-    whole = chunks.filter("last").select("record", "page_id", F.col("bytes_so_far").alias("payload_bytes"),
-                                         F.col("digest_so_far").alias("payload_digest"))
-    shared = (whole.filter(F.col("payload_bytes") >= least).groupBy("payload_digest")
-              .agg(F.count(F.lit(1)).alias("_n"),
-                   F.min(F.struct(F.col("page_id").isNull().alias("x"), F.col("page_id").alias("p"),
-                                  F.col("record").alias("r"))).alias("_first"))
-              .filter("_n > 1").drop("_n"))
-    revisits = whole.join(shared, "payload_digest", "left").withColumn("_again", F.col("_first.r") != F.col("record"))
-    return revisits.select("record", "payload_bytes", "payload_digest",
-                           F.coalesce("_again", F.lit(False)).alias("revisit"),
-                           F.when(F.col("_again"), F.col("_first.p")).alias("refers_to"),
-                           F.when(F.col("_again"), F.col("_first.r")).alias("refers_record"))
-
-
-def _urn(record: Column, chunk: Column) -> Column:
-    h = F.md5(F.concat_ws(":", F.lit("record"), record.cast("string"), chunk.cast("string")))
+def revisits(chunks: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
+    """(page_id, payload_digest, refers_to) of the records whose payload an earlier page has."""
+    whole = chunks.filter("last").select("page_id", F.col("bytes_so_far").alias("n"), F.col("digest_so_far").alias("payload_digest"))
+    whole = materialize(whole.filter(F.col("n") >= least).groupBy("page_id", "payload_digest").agg(F.count(F.lit(1)).alias("n")),
+                        "warc-digests")
+    shared = whole.groupBy("payload_digest").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("page_id").isNull().alias("x"), F.col("page_id").alias("p"))).alias("first"))
+    return whole.drop("n").join(shared.filter("n > 1").select("payload_digest", "first"), "payload_digest").filter(
+        ~F.col("page_id").eqNullSafe(F.col("first.p"))).select("page_id", "payload_digest", F.col("first.p").alias("refers_to"))
+
+
+def _urn(page: Column, digest: Column, chunk: Column) -> Column:
+    h = F.md5(F.concat_ws(":", F.coalesce(page.cast("string"), F.lit("null")), digest, chunk.cast("string")))
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[h.substr(a, n) for a, n in
                                                            ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
 
@@ -114,10 +120,11 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
 
-def write_archive(chunks: DataFrame, decisions: DataFrame, path: str, date: str = DATE) -> None:
+def write_archive(chunks: DataFrame, revisits: DataFrame, path: str, date: str = DATE) -> None:
     """Write the chunk table as WARC files under ``path``; revisits keep their headers only."""
-    rows = chunks.select("record", "page_id", "url", "chunk", "data", "last").join(decisions, "record").filter(
-        ~F.col("revisit") | (F.col("chunk") == 0))
+    again_ = revisits.select(F.col("page_id").alias("_p"), F.col("payload_digest").alias("_d"), "refers_to", F.lit(True).alias("revisit"))
+    rows = chunks.join(again_, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("payload_digest") == F.col("_d")), "left")
+    rows = rows.withColumn("revisit", F.coalesce("revisit", F.lit(False))).filter(~F.col("revisit") | (F.col("chunk") == 0))
     first, again = F.col("chunk") == 0, F.col("revisit")
     segmented = ~again & (~first | ~F.col("last"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -126,20 +133,20 @@ def write_archive(chunks: DataFrame, decisions: DataFrame, path: str, date: str
     kind = F.when(again, F.lit("revisit")).when(first, F.lit("response")).otherwise(F.lit("continuation"))
     url = F.regexp_replace(F.col("url"), r"[\x00-\x20\x7f]", "%20")
     record = F.concat(
-        F.lit(VERSION), _header("WARC-Type", kind), _header("WARC-Record-ID", _urn(F.col("record"), F.col("chunk"))),
+        F.lit(VERSION), _header("WARC-Type", kind), _header("WARC-Record-ID", _urn(F.col("page_id"), F.col("payload_digest"), F.col("chunk"))),
         _header("WARC-Date", F.lit(date)), _header("WARC-Target-URI", url),
         _header("Content-Type", F.lit("application/http; msgtype=response")),
         _header("WARC-Payload-Digest", F.when(first, F.concat(F.lit("sha256:"), F.col("payload_digest")))),
         _header("WARC-Profile", F.when(again, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
-        _header("WARC-Refers-To", F.when(again, _urn(F.col("refers_record"), F.lit(0)))),
+        _header("WARC-Refers-To", F.when(again, _urn(F.col("refers_to"), F.col("payload_digest"), F.lit(0)))),
         _header("WARC-Segment-Number", F.when(segmented, F.col("chunk") + 1)),
-        _header("WARC-Segment-Origin-ID", F.when(segmented & ~first, _urn(F.col("record"), F.lit(0)))),
+        _header("WARC-Segment-Origin-ID", F.when(segmented & ~first, _urn(F.col("page_id"), F.col("payload_digest"), F.lit(0)))),
         _header("WARC-Segment-Total-Length", F.when(segmented & F.col("last"),
                                                     F.col("payload_bytes") + F.octet_length(http))),
         _header("Record-Number", F.col("record")), _header("Page-Id", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
         _header("Refers-To-Page-Id", F.when(again, F.coalesce(F.col("refers_to").cast("string"), F.lit("")))),
         _header("Content-Length", F.octet_length("_block")), F.lit("\r\n"), F.col("_block"))
-    rows.withColumn("_block", block).select(record.alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+    rows.withColumn("_block", block).select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -179,13 +186,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     together in order and digested one after the other, never joined.
     """
     parts = read_segments(spark, path)
-    single = parts.filter((F.col("segment") == 0) & (F.col("type") == "response")).select(
-        "page_id", F.octet_length("data").cast("long").alias("payload_bytes"),
-        F.sha2(F.col("data").cast("binary"), 256).alias("payload_digest"),
-        F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "url", "stated_digest")
-    again = parts.filter(F.col("type") == "revisit").select(
-        "page_id", F.col("stated_bytes").alias("payload_bytes"), F.col("stated_digest").alias("payload_digest"),
-        F.lit("revisit").alias("record_type"), "refers_to", "url", "stated_digest")
+    full = F.col("type") == "response"
+    single = parts.filter(F.col("segment") == 0).select(
+        "page_id", F.when(full, F.octet_length("data").cast("long")).otherwise(F.col("stated_bytes")).alias("payload_bytes"),
+        F.when(full, F.sha2(F.col("data").cast("binary"), 256)).otherwise(F.col("stated_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"), F.when(~full, F.col("refers_to")).alias("refers_to"), "url", "stated_digest")
     segments = parts.filter(F.col("segment") > 0).select("record", "segment", "page_id", "url", "stated_digest", "data")
     in_order = segments.repartition("record").sortWithinPartitions("record", "segment")
     names = [f.split()[0] for f in _RECORD_SCHEMA.split(", ")]
@@ -213,7 +218,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)],
                                              names=names)
 
-    whole = single.unionByName(in_order.mapInArrow(fold_segments, _RECORD_SCHEMA)).unionByName(again)
+    whole = single.unionByName(in_order.mapInArrow(fold_segments, _RECORD_SCHEMA))
     return whole.withColumn("payload_digest", F.when(F.col("payload_digest") == F.col("stated_digest"), F.col("payload_digest"))
                             .otherwise(F.raise_error(F.concat(F.lit("digest differs: page "), F.col("page_id").cast("string"))))
                             ).drop("stated_digest")
@@ -221,10 +226,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def archive(pages: DataFrame, path: str | None = None, size: int = CHUNK) -> str:
     """Write ``pages`` as archives and give their folder."""
-    spark = pages.sparkSession
-    chunks = materialize(chunk_table(pages, size), "warc-chunks")
-    path = path or scratch_path(spark, "warc")
-    write_archive(chunks, decide(chunks), path)
+    path = path or scratch_path(pages.sparkSession, "warc")
+    chunks = chunk_table(pages, size)
+    write_archive(chunks, revisits(chunks), path)
     return path
 
 
