@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,11 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """Each row as one struct ``_row``, so that columns added beside it cannot clash with its own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` once and use it many times in ``body`` (evaluated a single time per row)."""
     return F.transform(F.array(value), body).getItem(0)
@@ -81,6 +88,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: i
     return texts.join(F.broadcast(drawn), "doc_id").withColumn("fold", fold().cast("int")), counts
 
 
+@contextmanager
+def shuffle_files_removed(spark: SparkSession):
+    """While this is open, Spark removes the shuffle files of every SQL execution when it has ended.
+
+    For operators that write each phase to the shared folder and never run a plan twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable id for every vertex of ``edges`` (a, b): rows (id, component).
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeris.llm.common import append_columns, bounded_sample, fold, held_out, read_table
+from aeris.llm.common import append_columns, bounded_sample, fold, held_out, read_table, whole_rows
 
 BUCKETS = 1 << 14
 PER_LANGUAGE = 500
@@ -33,6 +33,7 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.05  # of the learner
 BLOCK = 1 << 19  # characters counted at a time
 UNKNOWN = "und"
+LEAST_SCORE = 0.35  # below it a text is taken to be in none of the languages
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -227,6 +228,12 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
                           [("lang_pred", T.StringType()), ("score", T.DoubleType())], score)
 
 
+def keep(docs: DataFrame, model: LanguageModel, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language is told with some certainty, all columns unchanged."""
+    rows = whole_rows(docs).withColumn("text", F.col("_row.text"))
+    return predict(rows, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_row.*")
+
+
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scored = predict(docs.select("doc_id", "text"), fit(docs))

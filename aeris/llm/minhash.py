@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import connected_components, read_table, whole_text
+from aeris.llm.common import connected_components, read_table, whole_rows, whole_text
 from aeris.llm.hashing import mix, shingle_hashes, word_hashes
 from aeris.session import materialize
 
@@ -239,9 +239,10 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group, all columns unchanged."""
     stay = groups(docs, similarity).filter("doc_id = group_id").select(
         F.col("doc_id").alias("_id"), F.coalesce("key", F.lit("")).alias("_key")).distinct()
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(TOP))).withColumn(
-        "_key", F.coalesce(words_key(whole_text()), F.lit("")))
-    return marked.join(stay, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
+    marked = whole_rows(docs).withColumn("_id", F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(TOP))).withColumn(
+        "_key", F.coalesce(words_key(text), F.lit("")))
+    return marked.join(stay, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"]).select("_row.*")
 
 
 def op2_minhash(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import let, whole_text
+from aeris.llm.common import let, read_table, whole_rows, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -135,6 +135,12 @@ def judge(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
         "kept", verdict("base-1") & verdict(policy))
 
 
+def keep(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """The rows of ``docs`` that pass, all columns unchanged."""
+    rows = whole_rows(docs).withColumn("text", F.col("_row.text"))
+    return judge(rows, policy).filter("kept").select("_row.*")
+
+
 ORACLE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT k, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
@@ -161,7 +167,5 @@ FROM b
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
-    from aeris.llm.common import read_table
-
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs).select("doc_id", *MEASURES, "failed_bits", "base_failed", "kept")

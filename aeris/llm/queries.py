@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aeris.llm import bpe, embeddings, langid, minhash, packing, quality_gam, quality_rules, toxicity, warc
+from aeris.llm import bpe, embeddings, langid, minhash, packing, quality_gam, quality_rules, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe": bpe.op3_bpe,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_embedding_dedup": embeddings.op5_embedding_dedup,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_language_id": langid.op7_language_id,
     "op8_warc": warc.op8_warc,
     "op9_packing": packing.op9_packing,

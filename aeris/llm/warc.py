@@ -23,9 +23,9 @@ an empty archive; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ def pieces(text: str, size: int = CHUNK):
 def chunk_table(pages: DataFrame, size: int = CHUNK) -> DataFrame:
     """Rows (record, page_id, url, chunk, data, bytes_so_far, digest_so_far, last, payload_bytes, payload_digest).
 
-    ``record`` is a random number that holds the chunks of one row together.
+    ``record`` holds the chunks of one row together; a task that is run again gives the same numbers.
     """
     source = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                           F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
@@ -71,10 +71,10 @@ def chunk_table(pages: DataFrame, size: int = CHUNK) -> DataFrame:
                                           names=names)
 
     def run(batches):
-        rows, held = [], 0
+        rows, held, number = [], 0, TaskContext.get().partitionId() << 33
         for b in batches:
             for page, url, html in zip(*b.columns, strict=True):
-                text, number = html.as_py(), int.from_bytes(os.urandom(8), "little") >> 1
+                text, number = html.as_py(), number + 1
                 whole, length = hashlib.sha256(), 0
                 for part in pieces(text, size):
                     raw = part.encode("utf-8")
