@@ -2,10 +2,11 @@
 
     python -m aeris ingest        --source DIR --sink DIR --checkpoint DIR --dataset weather|co2
     python -m aeris clean-weather --input PATH --cities CSV --output DIR
-    python -m aeris clean-co2     --input PATH --countries CSV --output DIR [--floor D] [--as-of D]
+    python -m aeris clean-co2     --input PATH --countries CSV --output DIR [--floor D] [--as-of D] [--mode append]
     python -m aeris documents     --weather P --co2 P --cities CSV --countries CSV --output DIR
     python -m aeris graph         --weather P --co2 P --cities CSV --countries CSV --output DIR
-    python -m aeris query NAME    --weather P --co2 P --cities CSV --countries CSV [--output DIR]
+    python -m aeris query NAME    --weather P --co2 P --cities CSV --countries CSV [--output DIR] [--report]
+                                  [--threshold T] [--risk-levels L ...] [--limit N] [--country C] [--true-sum]
     python -m aeris vulnerability --weather DIR --cities CSV [--stream] [--checkpoint DIR]
 
 Paths may be parquet or CSV (``read_any``); the city and country CSVs are
@@ -24,11 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from aeris.operators import documents, graph
 from aeris.plans import climate_queries as cq
 from aeris.plans import cleaning as jobs
+from aeris.plans import reports
 from aeris.plans.vulnerability import country_vulnerability
 from aeris.sources.readers import read_any
 from aeris.sources.schemas import CITY_SCHEMA, CO2_RAW_SCHEMA, COUNTRY_SCHEMA, WEATHER_RAW_SCHEMA
 from aeris.streaming import ingest, vulnerability_stream
 
+REPORTS = {"top-day": reports.top_day_report, "extreme": reports.extreme_weather_report,
+           "monthly": reports.monthly_report, "hot-cities": reports.hot_cities_report}
 QUERY_NAMES = ["top-day", "extreme", "monthly", "hot-cities", "countries"]
 
 
@@ -64,6 +68,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         c.add_argument("--floor", default="2019-01-01")
         c.add_argument("--as-of")
         c.add_argument("--min-rows", type=int)
+        c.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     for name in ("documents", "graph", "query"):
         c = sub.add_parser(name)
         if name == "query":
@@ -71,6 +76,9 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
             c.add_argument("--country")
             c.add_argument("--limit", type=int)
             c.add_argument("--true-sum", action="store_true")
+            c.add_argument("--report", action="store_true")
+            c.add_argument("--threshold", type=float)
+            c.add_argument("--risk-levels", nargs="+", default=["HIGH", "SEVERE"])
         for a in ("--weather", "--co2", "--cities", "--countries", "--output"):
             c.add_argument(a)
     v = sub.add_parser("vulnerability")
@@ -85,13 +93,12 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
 
     if args.cmd == "ingest":
         schema = WEATHER_RAW_SCHEMA if args.dataset == "weather" else CO2_RAW_SCHEMA
-        qs = ingest.ingest(spark, args.source, args.sink, args.checkpoint, schema,
-                           max_per_trigger=args.max_files_per_trigger, rejects=args.rejects, files_per_batch=1)
-        ingest.await_all(qs)
+        ingest.await_query(ingest.ingest(spark, args.source, args.sink, args.checkpoint, schema,
+                                         max_per_trigger=args.max_files_per_trigger, rejects=args.rejects))
         return {"ingested": args.sink}
 
     if args.cmd in ("clean-weather", "clean-co2"):
-        raw = read_any(spark, args.input)
+        raw = read_any(spark, args.input, WEATHER_RAW_SCHEMA if args.cmd == "clean-weather" else CO2_RAW_SCHEMA)
         cities, countries = _dims(spark, args)
         gate = {"min_rows": args.min_rows} if args.min_rows is not None else {}
         if args.cmd == "clean-weather":
@@ -100,9 +107,11 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
             valid, result = jobs.clean_co2(raw, countries,
                                            spec=jobs.co2_spec(floor=args.floor, as_of=args.as_of, **gate))
         summary = result.check_gates()          # raises before anything is written (V7)
-        jobs.write_cleaned(valid, args.output, files=args.files)
+        jobs.write_cleaned(valid, args.output, mode=args.mode, files=args.files)
+        result.release(spark)
         summary["steps"] = jobs.step_counts(result.steps)
         summary["issues_found"] = result.issues_found()
+        summary["checks"] = result.checks()
         print(json.dumps(summary, default=str))
         return summary
 
@@ -124,16 +133,16 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         out = args.output.rstrip("/")
         tables = {
             "nodes/City": graph.nodes(cities), "nodes/Country": graph.nodes(countries),
-            "nodes/Weather": graph.nodes(weather, assume_unique=True),
-            "nodes/Co2": graph.nodes(co2, assume_unique=True),
+            "nodes/Weather": graph.nodes(weather),
+            "nodes/Co2": graph.nodes(co2),
             "nodes/Date": graph.date_nodes(weather), "nodes/Sector": graph.sector_nodes(co2),
             "nodes/EmissionValue": graph.emission_value_nodes(co2),
             "edges/LOCATED_IN": graph.located_in(cities, countries),
-            "edges/HAS_CO2": graph.has_co2(countries, co2, assume_unique=True),
-            "edges/HAS_WEATHER": graph.has_weather(cities, weather, assume_unique=True),
-            "edges/ON_DATE": graph.on_date(weather, assume_unique=True),
-            "edges/EMIT_FROM": graph.emit_from(co2, assume_unique=True),
-            "edges/HAS_VALUE": graph.has_value(co2, assume_unique=True),
+            "edges/HAS_CO2": graph.has_co2(countries, co2),
+            "edges/HAS_WEATHER": graph.has_weather(cities, weather),
+            "edges/ON_DATE": graph.on_date(weather),
+            "edges/EMIT_FROM": graph.emit_from(co2),
+            "edges/HAS_VALUE": graph.has_value(co2),
         }
         for name, df in tables.items():
             graph.write_nodes(df, f"{out}/{name}")
@@ -146,12 +155,16 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         elif args.name == "top-day":
             df = cq.top_emission_day_with_cities(co2, weather, cities, country=args.country)
         elif args.name == "extreme":
-            df = cq.emission_vs_extreme_weather(weather, cities, co2, limit=limit or 50)
+            df = cq.emission_vs_extreme_weather(weather, cities, co2, limit=limit or 50, risk_levels=args.risk_levels,
+                                                temp_threshold=35.0 if args.threshold is None else args.threshold)
         elif args.name == "monthly":
             df = cq.monthly_temp_and_co2(weather, cities, countries, co2, limit=limit or 30,
                                          dedup_fanout=args.true_sum)
         else:
-            df = cq.hot_cities_vs_co2(weather, cities, countries, co2, limit=limit or 20)
+            df = cq.hot_cities_vs_co2(weather, cities, countries, co2, limit=limit or 20,
+                                      hot_threshold=30.0 if args.threshold is None else args.threshold)
+        if args.report and args.name in REPORTS:
+            df = REPORTS[args.name](df)
         _emit(df, args.output, args.name)
         return {"query": args.name}
 

@@ -6,23 +6,41 @@ rounded to two places) can then round either way from run to run.  Summing
 the values as DECIMAL(38,12) is exact, so the result is the same for every
 partitioning.  Inputs are first rounded to 12 decimal places, which is far
 below the precision any report keeps.
+
+A group that holds a value outside that type (NaN, an infinity, 1e26 or
+more), or whose total leaves it, is summed as doubles instead: NaN stays NaN and nothing is left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,12)"
 
 
 def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+    return (F.col(col) if isinstance(col, str) else col).cast("double")
+
+
+def _or_plain(value: Column, exact: Column, plain: Column) -> Column:
+    outside = F.count_if(value.isNotNull() & value.try_cast(EXACT).isNull())
+    return F.when(outside == 0, F.coalesce(exact.cast("double"), plain)).otherwise(plain)
 
 
 def exact_sum(col: str | Column) -> Column:
-    return F.sum(_c(col).cast(EXACT)).cast("double")
+    c = _c(col)
+    return _or_plain(c, F.try_sum(c.try_cast(EXACT)), F.sum(c))
 
 
 def exact_avg(col: str | Column) -> Column:
-    return F.avg(_c(col).cast(EXACT)).cast("double")
+    c = _c(col)
+    return _or_plain(c, F.try_avg(c.try_cast(EXACT)), F.avg(c))
+
+
+def exact_sum_over(col: Column, window: WindowSpec) -> Column:
+    """``exact_sum`` as a window function."""
+    c = _c(col)
+    outside = F.count_if(c.isNotNull() & c.try_cast(EXACT).isNull()).over(window)
+    exact = F.try_sum(c.try_cast(EXACT)).over(window).cast("double")
+    return F.when(outside == 0, F.coalesce(exact, F.sum(c).over(window))).otherwise(F.sum(c).over(window))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import DataType, NumericType
 
 # The three scrub patterns (characters NOT matched are removed).
 ALPHA_PATTERN = r"[^a-zA-Z\s\-''·\.]"
@@ -36,9 +36,5 @@ def to_int(col: str | Column, dtype: DataType | None = None) -> Column:
     """Strip every non-digit (the sign too) and read the rest as an int."""
     c = F.col(col) if isinstance(col, str) else col
     if dtype is not None and isinstance(dtype, NumericType):
-        return c.cast("int")
+        return c.try_cast("int")
     return F.regexp_replace(c.cast("string"), INTEGER_PATTERN, "").try_cast("int")
-
-
-def is_string(dtype: DataType) -> bool:
-    return isinstance(dtype, StringType)

@@ -61,21 +61,24 @@ def filter_temp_order(df: DataFrame, **cols) -> DataFrame:
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key with a deterministic survivor.
 
-    The survivor is the row that is smallest in ``order_by`` and then in every
-    remaining column (ascending, nulls first), so reruns give the same rows.
-    It is computed as an aggregate, ``min(struct(...))`` per key, which Spark
-    combines map-side before the shuffle: a key that holds a third of the
-    table reaches the exchange as one row per input partition, never as one
-    huge group in a single task.
+    The most complete row survives (fewest nulls outside the key); among equally
+    complete ones the smallest in ``order_by`` and then in every remaining
+    column, nulls last, so reruns give the same rows.  It is an aggregate,
+    ``min(struct(...))`` per key, which Spark combines map-side before the
+    shuffle: a key that holds a third of the table reaches the exchange as one
+    row per input partition, never as one huge group in a single task.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
     order = [c for c in (order_by or []) if c in rest]
-    packed = order + [c for c in rest if c not in order]
-    agg = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in packed])).alias("__row"))
-    return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
+    missing = F.size(F.filter(F.array(*[F.col(c).isNull() for c in rest]), lambda gone: gone))
+    rank = [missing.alias("__missing")]
+    for k, c in enumerate(order + [c for c in rest if c not in order]):
+        rank += [F.col(c).isNull().alias(f"__null_{k}"), F.col(c)]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*rank)).alias("__row"))
+    return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def standardize_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeris.functions.dates import dates_to_iso_strings
+from aeris.functions.dates import document_dates
 
 
 def _field(df: DataFrame, name: str, alias: str) -> Column:
@@ -28,7 +28,7 @@ def _nest(df: DataFrame, nests: dict[str, list[tuple[str, str]]],
 
 def weather_documents(df: DataFrame) -> DataFrame:
     """temperature{avg,min,max,range,category}, precipitation{value,category}, risk{score,level}."""
-    return _nest(dates_to_iso_strings(df), {
+    return _nest(document_dates(df), {
         "temperature": [("avg_temp_c", "avg"), ("min_temp_c", "min"), ("max_temp_c", "max"),
                         ("temp_range_c", "range"), ("temp_category", "category")],
         "precipitation": [("precipitation_mm", "value"), ("precipitation_category", "category")],
@@ -38,20 +38,20 @@ def weather_documents(df: DataFrame) -> DataFrame:
 
 def co2_documents(df: DataFrame) -> DataFrame:
     """sector{type,category}; MtCO2_per_day renamed mt_co2_per_day."""
-    return _nest(dates_to_iso_strings(df),
+    return _nest(document_dates(df),
                  {"sector": [("sector", "type"), ("sector_category", "category")]},
                  renames={"MtCO2_per_day": "mt_co2_per_day"})
 
 
 def country_documents(df: DataFrame) -> DataFrame:
     """capital{name,lat,long}."""
-    return _nest(dates_to_iso_strings(df), {
+    return _nest(document_dates(df), {
         "capital": [("capital", "name"), ("capital_lat", "lat"), ("capital_lng", "long")]})
 
 
 def city_documents(df: DataFrame) -> DataFrame:
     """coordinates{lat,long}."""
-    return _nest(dates_to_iso_strings(df), {
+    return _nest(document_dates(df), {
         "coordinates": [("latitude", "lat"), ("longitude", "long")]})
 
 

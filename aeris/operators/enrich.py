@@ -13,25 +13,21 @@ over the rows (which shuffle and sort the whole table by station and put a
 hot station into one task), the statistics come from a station-month
 aggregate (partial aggregation, small output), a weighted mean and a
 two-pass variance as windows over that aggregate, and one join of the
-station-month SPI back to the rows through a checked-size broadcast.
+station-month SPI back to the rows.  Means and squares are summed as decimals, so
+the index does not depend on the order of the rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
 from aeris.functions import buckets
-from aeris.functions.dates import parse_iso_date
+from aeris.functions.dates import as_date
+from aeris.functions.numeric import exact_avg, exact_sum_over
 from aeris.operators.joins import attach_group_stats
 
 
-def _as_date(df: DataFrame, column: str):
-    dtype = df.schema[column].dataType
-    return F.col(column) if isinstance(dtype, DateType) else parse_iso_date(column)
-
-
 def spi_from_monthly(monthly: DataFrame, station: str = "station_id") -> DataFrame:
     """Add ``spi_index`` to a station-month table with ``__mavg`` (mean) and ``__n`` (rows).
 
@@ -41,11 +37,9 @@ def spi_from_monthly(monthly: DataFrame, station: str = "station_id") -> DataFra
     by_station = Window.partitionBy(station)
     # rows of a month without any precipitation value carry no monthly mean
     n = F.when(F.col("__mavg").isNotNull(), F.col("__n"))
-    with_mean = monthly.withColumns({
-        "__cnt": F.sum(n).over(by_station),
-        "__mean": F.sum(n * F.col("__mavg")).over(by_station) / F.sum(n).over(by_station),
-    })
-    ss = F.sum(n * (F.col("__mavg") - F.col("__mean")) ** 2).over(by_station)
+    with_mean = monthly.withColumn("__cnt", F.sum(n).over(by_station)).withColumn(
+        "__mean", exact_sum_over(n * F.col("__mavg"), by_station) / F.col("__cnt"))
+    ss = exact_sum_over(n * (F.col("__mavg") - F.col("__mean")) ** 2, by_station)
     std = F.when(F.col("__cnt") > 1, F.sqrt(ss / (F.col("__cnt") - 1)))
     spi = F.when(std.isNull() | (std == 0), F.lit(None).cast("double")).otherwise(
         (F.col("__mavg") - F.col("__mean")) / std)
@@ -59,23 +53,22 @@ def spi_table(df: DataFrame, station: str = "station_id", date: str = "date",
     One aggregate gives each station-month's mean and row count; the station
     statistics follow from it (``spi_from_monthly``).
     """
-    d = _as_date(df, date)
+    d = as_date(df, date)
     monthly = (df.select(F.col(station), F.year(d).alias("__y"), F.month(d).alias("__m"),
                          F.col(precip).cast("double").alias("__p"))
                .groupBy(station, "__y", "__m")
-               .agg(F.avg("__p").alias("__mavg"), F.count(F.lit(1)).alias("__n")))
+               .agg(exact_avg("__p").alias("__mavg"), F.count(F.lit(1)).alias("__n")))
     return spi_from_monthly(monthly, station).select(station, "__y", "__m", "spi_index")
 
 
 def add_spi_index(df: DataFrame, station: str = "station_id", date: str = "date",
-                  precip: str = "precipitation_mm", out: str = "spi_index",
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+                  precip: str = "precipitation_mm", out: str = "spi_index") -> DataFrame:
     """Attach the station-month SPI to every row."""
-    d = _as_date(df, date)
+    d = as_date(df, date)
     keyed = df.withColumns({"__y": F.year(d), "__m": F.month(d)})
     table = spi_table(df, station, date, precip).withColumnRenamed("spi_index", out)
     joined = attach_group_stats(keyed.drop(out) if out in df.columns else keyed,
-                                table, [station, "__y", "__m"], max_broadcast_rows)
+                                table, [station, "__y", "__m"])
     return joined.drop("__y", "__m")
 
 
@@ -97,10 +90,10 @@ def add_risk_scores(df: DataFrame) -> DataFrame:
     return scored.withColumn("climate_risk_level", buckets.climate_risk_level())
 
 
-def enrich_weather(df: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def enrich_weather(df: DataFrame) -> DataFrame:
     """Range, categories, SPI and risk in the order the scores depend on them."""
     out = add_weather_attributes(df)
-    out = add_spi_index(out, max_broadcast_rows=max_broadcast_rows)
+    out = add_spi_index(out)
     return add_risk_scores(out)
 
 

@@ -3,8 +3,7 @@ table per relationship type, built with joins instead of a graph store.
 
 Nodes are merged on all their properties (exact duplicate rows collapse, a
 hash aggregate with map-side combine); dates are ISO strings as in the store.
-Each edge row carries the natural key of both ends.  Dimension sides (cities,
-countries) are joined through a checked-size broadcast.
+Each edge row carries the natural key of both ends.
 """
 
 from __future__ import annotations
@@ -14,13 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeris.functions.dates import dates_to_iso_strings
-from aeris.operators.joins import checked_small
-
-
-def _dim(df: DataFrame) -> DataFrame:
-    small, fits = checked_small(df)
-    return F.broadcast(small) if fits else small
+from aeris.functions.dates import graph_dates
 
 
 def nodes(df: DataFrame, assume_unique: bool = False) -> DataFrame:
@@ -30,7 +23,7 @@ def nodes(df: DataFrame, assume_unique: bool = False) -> DataFrame:
     unique on its key, so no two of its rows can be equal; ``assume_unique``
     skips the merge for such input.
     """
-    iso = dates_to_iso_strings(df)
+    iso = graph_dates(df)
     return iso if assume_unique else iso.dropDuplicates()
 
 
@@ -38,7 +31,7 @@ def located_in(cities: DataFrame, countries: DataFrame, source: str = "cities.cs
     """City -[:LOCATED_IN {source}]-> Country where iso3 matches."""
     country = countries.select(F.col("iso3"), F.col("country").alias("country_name")).dropDuplicates()
     return (nodes(cities).select("station_id", "city_name", "iso3")
-            .join(_dim(country), "iso3")
+            .join(country, "iso3")
             .select("station_id", "city_name", F.col("country_name").alias("country"),
                     F.lit(source).alias("source")))
 
@@ -47,14 +40,14 @@ def has_co2(countries: DataFrame, co2: DataFrame, emission: str = "MtCO2_per_day
             assume_unique: bool = False) -> DataFrame:
     """Country -[:HAS_CO2]-> Co2 on country; the Co2 end gains ``emissions``."""
     names = countries.select("country").dropDuplicates()
-    return (nodes(co2, assume_unique).join(_dim(names), "country")
+    return (nodes(co2, assume_unique).join(names, "country")
             .withColumn("emissions", F.col(emission)))
 
 
 def has_weather(cities: DataFrame, weather: DataFrame, assume_unique: bool = False) -> DataFrame:
     """City -[:HAS_WEATHER]-> Weather on station_id (G4); the City end's name is ``city``."""
     city = nodes(cities).select("station_id", F.col("city_name").alias("city"))
-    return nodes(weather, assume_unique).join(_dim(city), "station_id")
+    return nodes(weather, assume_unique).join(city, "station_id")
 
 
 def date_nodes(weather: DataFrame, date: str = "date") -> DataFrame:
@@ -81,37 +74,32 @@ def emit_from(co2: DataFrame, assume_unique: bool = False) -> DataFrame:
     return c.filter(F.col("sector").isNotNull()).withColumn("sector_name", F.col("sector"))
 
 
+EMISSION_KEY = ["date", "country", "sector"]
+
+
 def emission_value_nodes(co2: DataFrame, emission: str = "MtCO2_per_day") -> DataFrame:
     """EmissionValue keyed (date, country, sector).
 
     The store overwrites mtCo2PerDay on every re-match, so the surviving
     value depends on match order; here it is the largest value, a fixed choice.
+    Merging equal rows first would not change a maximum, so one aggregate does.
     """
-    return (nodes(co2).filter(F.col("date").isNotNull() & F.col("country").isNotNull()
-                              & F.col("sector").isNotNull())
-            .groupBy("date", "country", "sector")
-            .agg(F.max(emission).alias("mtCo2PerDay")))
+    keyed = graph_dates(co2.select(*EMISSION_KEY, emission)).na.drop(subset=EMISSION_KEY)
+    return keyed.groupBy(*EMISSION_KEY).agg(F.max(emission).alias("mtCo2PerDay"))
 
 
 def has_value(co2: DataFrame, emission: str = "MtCO2_per_day", assume_unique: bool = False) -> DataFrame:
-    """Co2 -[:HAS_VALUE]-> EmissionValue on (date, country, sector).
-
-    On unique (cleaned) input every Co2 row is its own EmissionValue, so the
-    edge needs no join at all.
-    """
-    if assume_unique:
-        c = nodes(co2, True).filter(F.col("date").isNotNull() & F.col("country").isNotNull()
-                                    & F.col("sector").isNotNull())
-        keys = ["date", "country", "sector"]
-        return c.select(*keys, *[x for x in c.columns if x not in keys],
-                        F.col(emission).alias("mtCo2PerDay"))
-    ev = emission_value_nodes(co2, emission)
-    return nodes(co2).join(ev, ["date", "country", "sector"])
+    """Co2 -[:HAS_VALUE]-> EmissionValue on (date, country, sector)."""
+    return nodes(co2, assume_unique).join(emission_value_nodes(co2, emission), EMISSION_KEY)
 
 
 def merge_edges(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Idempotent re-link (G8): add only edges whose key is not present yet."""
-    return existing.unionByName(new.join(existing.select(*keys).distinct(), list(keys), "left_anti"))
+    """Idempotent re-link (G8): add each edge whose key, nulls included, is not present yet, once."""
+    have = existing.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & new[k].eqNullSafe(have[f"__{k}"])
+    return existing.unionByName(new.join(have, same, "left_anti").dropDuplicates(list(keys)))
 
 
 def write_nodes(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,86 +1,48 @@
-"""Joins whose broadcast side has a checked size.
+"""Joins of facts with dimensions and per-key statistics.
 
-A dimension or a per-key statistics table is broadcast only after its row
-count has been measured against a limit; above the limit the join stays a
-shuffle join, where AQE's skew handling splits a hot key's partition.  The
-measured side is persisted first so the count and the join share one
-computation (a lost executor recomputes its blocks from lineage).
+No side is persisted, counted or hinted: Spark broadcasts a side whose byte
+size is known (scans) or has been measured (AQE) to be below
+``spark.sql.autoBroadcastJoinThreshold``; anything larger is a shuffle join, where
+AQE splits a hot key's partition.  A table that changes between two
+runs is read again each time.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS_CONF = "aeris.broadcast.maxRows"
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
-
-def max_broadcast_rows(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
-    return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
-
-
-def checked_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Persist ``df`` and report whether its row count is within the limit."""
-    limit = max_broadcast_rows(df) if max_rows is None else max_rows
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    # A full count materialises the cache that the join then reads.
-    n = cached.count()
-    return cached, n <= limit
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
-    """Join ``big`` to a side that is usually small; broadcast only if checked."""
-    small, fits = checked_small(small, max_rows)
-    return big.join(F.broadcast(small) if fits else small, on, how)
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality on every key where null matches null (grouping semantics)."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def attach_group_stats(df: DataFrame, stats: DataFrame, keys: list[str],
-                       max_rows: int | None = None) -> DataFrame:
+def attach_group_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Left join per-group statistics back to their rows.
 
     Null keys form their own group, as in ``groupBy``; the join therefore
     matches null to null.
     """
-    renamed = stats
+    right = stats.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    cond = F.lit(True)
     for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__k_{k}")
-    renamed, fits = checked_small(renamed, max_rows)
-    right = F.broadcast(renamed) if fits else renamed
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(renamed[f"__k_{k}"])
-        cond = c if cond is None else cond & c
-    joined = df.join(right, cond, "left")
-    return joined.drop(*[f"__k_{k}" for k in keys])
+        cond = cond & df[k].eqNullSafe(right[f"__k_{k}"])
+    return df.join(right, cond, "left").drop(*[f"__k_{k}" for k in keys])
+
+
+def reference_keys(df: DataFrame, column: str, reference: DataFrame, key: Column) -> DataFrame:
+    """Distinct reference keys as ``__ref_key``, in the type of the checked column.
+
+    A key that has no value of that type (text against a number) cannot match and is left out.
+    """
+    typed = key.try_cast(df.schema[column].dataType)
+    return reference.select(typed.alias("__ref_key")).filter("__ref_key IS NOT NULL").distinct()
 
 
 def semi_join_reference(df: DataFrame, reference: DataFrame | list, column: str,
-                        ref_column: str | None = None, anti: bool = False,
-                        max_rows: int | None = None) -> DataFrame:
+                        ref_column: str | None = None, anti: bool = False) -> DataFrame:
     """Keep (or with ``anti`` drop) rows whose key exists in the reference.
 
     The reference may be a DataFrame or a plain list of allowed values.
     """
-    how = "left_anti" if anti else "left_semi"
     if not isinstance(reference, DataFrame):
-        values = list(reference)
-        cond = F.col(column).isin(values)
+        cond = F.col(column).isin(list(reference))
         return df.filter(~cond | F.col(column).isNull() if anti else cond)
-    ref_col = ref_column or column
-    keys = reference.select(F.col(ref_col).alias("__ref_key")).distinct()
-    keys, fits = checked_small(keys, max_rows)
-    right = F.broadcast(keys) if fits else keys
-    return df.join(right, df[column] == keys["__ref_key"], how)
+    keys = reference_keys(df, column, reference, F.col(ref_column or column))
+    return df.join(keys, df[column] == keys["__ref_key"], "left_anti" if anti else "left_semi")

@@ -8,8 +8,8 @@ it.  The report then needs two aggregates: the null profile of the input
 and one pass of conditional counts over the flagged rows.
 
 Order of work: schema check (no job) -> null profile -> drop null keys ->
-deterministic dedup -> rule flags (referential rule as a checked-size
-broadcast left join against the distinct reference keys) -> counts.
+deterministic dedup -> rule flags (referential rule as a left join against
+the distinct reference keys, cast to the data's type) -> counts.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from aeris.functions.numeric import exact_avg
 from aeris.operators.cleaning import dedup_by_key, temp_order_ok
-from aeris.operators.joins import checked_small
+from aeris.operators.joins import reference_keys
+from aeris.session import remove_paths
 
 log = logging.getLogger(__name__)
 
@@ -65,7 +66,9 @@ class ValidationResult:
     build_report: Callable[[], DataFrame]
     warnings: list[str] = field(default_factory=list)
     steps: dict = field(default_factory=dict)   # step name -> pyspark Observation (A16)
+    scratch: list[str] = field(default_factory=list)   # folders of the job's lineage cuts
     _report: DataFrame | None = None
+    _summary: dict[str, float] | None = None
 
     @property
     def report(self) -> DataFrame:
@@ -75,8 +78,21 @@ class ValidationResult:
         return self._report
 
     def summary(self) -> dict[str, float]:
-        """The long report as a dict (a few dozen rows at most)."""
-        return {f"{r['section']}.{r['item']}": r["value"] for r in self.report.collect()}
+        """The long report as a dict (a few dozen rows at most); computed once."""
+        if self._summary is None:
+            self._summary = {f"{r['section']}.{r['item']}": r["value"] for r in self.report.collect()}
+        return dict(self._summary)
+
+    def checks(self) -> list[str]:
+        """Names of the checks that the report covers, in order."""
+        named = [r.name for r in self.spec.rules]
+        done = ["required_columns", "null_keys", "duplicates", *named]
+        return done + ([self.spec.reference.name] if f"issue.{self.spec.reference.name}" in self.summary() else []) \
+            if self.spec.reference is not None else done
+
+    def release(self, spark) -> None:
+        """Delete the job's lineage cuts; call when its results have been written."""
+        remove_paths(spark, self.scratch)
 
     def issues_found(self) -> dict[str, int]:
         """Non-zero issue counts among the recorded ones.
@@ -93,11 +109,10 @@ class ValidationResult:
     def check_gates(self) -> dict[str, float]:
         """Raise below ``min_rows`` (V7); warn on drop ratio and coverage (V8, V9)."""
         s = self.summary()
-        final, initial = s["count.final_count"], s["count.initial_count"]
+        final = s["count.final_count"]
         if final < self.spec.min_rows:
-            raise ValueError(f"Quality gate failed: {int(final)} rows after validation "
-                             f"(minimum {self.spec.min_rows})")
-        ratio = (initial - final) / initial if initial > 0 else 0.0
+            raise ValueError(f"too few valid rows: {int(final)}, at least {self.spec.min_rows} are wanted")
+        ratio = s["count.drop_ratio"]
         if ratio > self.spec.max_invalid_ratio:
             self.warnings.append(f"drop ratio {ratio:.2%} exceeds {self.spec.max_invalid_ratio:.2%}")
         if self.spec.min_countries is not None and s.get("metric.countries", 0) < self.spec.min_countries:
@@ -106,7 +121,6 @@ class ValidationResult:
             self.warnings.append(f"only {int(s.get('metric.sectors', 0))} sectors")
         for w in self.warnings:
             log.warning(w)
-        s["count.drop_ratio"] = ratio
         return s
 
 
@@ -114,7 +128,7 @@ def check_required(df: DataFrame, required: Sequence[str]) -> None:
     """Schema validation (V1): raises on missing columns without running a job."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Schema validation failed: missing columns {missing}")
+        raise ValueError(f"columns not found: {missing}")
 
 
 def _null_counts(df: DataFrame, extra: list[Column] = ()) -> tuple[DataFrame, list[str]]:
@@ -153,11 +167,8 @@ def flag_rules(df: DataFrame, rules: Sequence[Rule], reference: ReferenceCheck |
             key = F.col(reference.ref_column or reference.column)
             if reference.transform is not None:
                 key = reference.transform(key)
-            keys = reference_df.select(key.alias("__ref_key")).distinct()
-            keys, fits = checked_small(keys)
-            keys = keys.withColumn("__ref_hit", F.lit(True))
-            out = out.join(F.broadcast(keys) if fits else keys,
-                           out[reference.column] == keys["__ref_key"], "left").drop("__ref_key")
+            keys = reference_keys(df, reference.column, reference_df, key).withColumn("__ref_hit", F.lit(True))
+            out = out.join(keys, out[reference.column] == keys["__ref_key"], "left").drop("__ref_key")
             ref_ok = F.col("__ref_hit").isNotNull()
         else:
             ref_ok = F.col(reference.column).isin(list(reference_df))
@@ -197,24 +208,23 @@ def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list
             F.count_if(rule.isNull()).alias("final_count"),
             *[F.count_if(rule == n).alias(f"rule_{i}") for i, n in enumerate(names)],
         )
-        # one pass over the input gives its row count, non-null keys and null profile
+        # one pass over the input gives its row count, non-null keys and null profile; the
+        # one row enters the flagged side as a scalar
         before, cols = _null_counts(df, [F.count_if(key_ok).alias("non_null_keys")])
-        before = before.persist()
-        # the input's counts enter the flagged-side row as scalar subqueries (one value each)
-        total, non_null = before.select("__n").scalar(), before.select("non_null_keys").scalar()
+        both = counts.withColumn("__b", before.select(F.struct("*")).scalar())
+        total, non_null, final = F.col("__b.__n"), F.col("__b.non_null_keys"), F.col("final_count")
         items = [("count", "initial_count", total),
                  ("issue", "null_keys", total - non_null),
                  ("issue", "duplicates", non_null - F.col("after_dedup")),
                  *[("issue", n, F.col(f"rule_{i}")) for i, n in enumerate(names)],
-                 ("count", "final_count", F.col("final_count"))]
-        report = _long(counts, items)
+                 ("count", "final_count", final),
+                 ("count", "drop_ratio", F.when(total > 0, (total - final) / total).otherwise(0.0)),
+                 *[("null_count", c, F.col(f"__b.__c{i}")) for i, c in enumerate(cols)]]
+        report = _long(both, items)
         if metrics is not None:
             m = metrics(valid)
             report = report.unionByName(_long(m, [("metric", c, F.col(c)) for c in m.columns]))
-        profile = _profile_rows(before, cols).select(F.lit("null_count").alias("section"),
-                                                     F.col("column_name").alias("item"),
-                                                     F.col("null_count").cast("double").alias("value"))
-        return report.unionByName(profile)
+        return report
 
     return ValidationResult(valid=valid, flagged=flagged, spec=spec, build_report=build_report)
 
@@ -262,10 +272,15 @@ def co2_rules(emission="MtCO2_per_day", date="date", country="country", sector="
     ]
 
 
-def co2_report_metrics(country="country", sector="sector", emission="MtCO2_per_day"):
-    """Numeric quality metrics for the report (A13, A14); dates stay in co2_quality_metrics."""
+def co2_report_metrics(country="country", sector="sector", emission="MtCO2_per_day", date="date"):
+    """Quality metrics for the report (A13, A14); the date range as numbers yyyyMMdd."""
+    def day(c):
+        return F.date_format(c, "yyyyMMdd").cast("double")
+
     def build(valid: DataFrame) -> DataFrame:
         return valid.agg(
+            day(F.min(date)).alias("min_date"),
+            day(F.max(date)).alias("max_date"),
             F.count_distinct(country).alias("countries"),
             F.count_distinct(sector).alias("sectors"),
             F.min(emission).alias("min_emission"),

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from aeris.functions.dates import parse_iso_date, parse_multi_format_date
-from aeris.functions.numeric import EXACT
+from aeris.functions.dates import as_date, parse_multi_format_date
+from aeris.functions.numeric import EXACT, exact_avg
 from aeris.operators import cleaning, enrich, impute, validate
 from aeris.operators.joins import attach_group_stats
 from aeris.operators.validate import ReferenceCheck, ValidationResult, ValidationSpec
@@ -133,22 +133,26 @@ def _impute_and_standardize_fused(df: DataFrame, config: CleaningConfig, std: di
     the exact decimal sum and count of each temperature column and the mean
     and row count of the standardised precipitation.  Windows by station over
     that small table give the station means (sum of sums / sum of counts, the
-    same decimal division as an average) and the SPI.  One checked-size
-    broadcast join brings both back to the rows.
+    same decimal division as an average) and the SPI.  One join brings both back
+    to the rows.
     """
     temps = [c for c in config.mean_cols if c in impute.TEMP_COLUMNS and c in df.columns]
-    d = parse_iso_date("date")
+    d = as_date(df, "date")
     keyed = df.withColumns({"__y": F.year(d), "__m": F.month(d)})
-    aggs = [F.avg(F.round(F.col("precipitation_mm").cast("double"), 1)).alias("__mavg"),
+    aggs = [exact_avg(F.round(F.col("precipitation_mm").cast("double"), 1)).alias("__mavg"),
             F.count(F.lit(1)).alias("__n")]
     for c in temps:
-        aggs += [F.sum(F.col(c).cast("double").cast(EXACT)).alias(f"__s_{c}"), F.count(c).alias(f"__c_{c}")]
+        value = F.col(c).cast("double")
+        aggs += [F.try_sum(value.try_cast(EXACT)).alias(f"__s_{c}"), F.sum(value).alias(f"__p_{c}"), F.count(c).alias(f"__c_{c}"),
+                 F.count_if(value.isNotNull() & value.try_cast(EXACT).isNull()).alias(f"__o_{c}")]
     monthly = keyed.groupBy("station_id", "__y", "__m").agg(*aggs)
     by_station = Window.partitionBy("station_id")
     means = {}
     for c in temps:
-        total, count = F.sum(f"__s_{c}").over(by_station), F.sum(f"__c_{c}").over(by_station)
-        means[f"__{c}_mean"] = F.when(count > 0, total / count).cast("double")
+        total, count = F.try_sum(f"__s_{c}").over(by_station), F.sum(f"__c_{c}").over(by_station)
+        plain, outside = F.sum(f"__p_{c}").over(by_station), F.sum(f"__o_{c}").over(by_station)
+        mean = F.when(outside == 0, F.coalesce((total / count).cast("double"), plain / count)).otherwise(plain / count)
+        means[f"__{c}_mean"] = F.when(count > 0, mean)
     stats = enrich.spi_from_monthly(monthly.withColumns(means)).select(
         "station_id", "__y", "__m", "spi_index", *means)
     joined = attach_group_stats(keyed, stats, ["station_id", "__y", "__m"])
@@ -170,16 +174,17 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
     aggregate and reach the rows through one join.
     """
     steps: dict[str, Observation] = {}
+    scratch: list[str] = []
     out = _count_step(_prepare(raw, config, as_of_time), steps, "weather_input")
     out = _count_step(cleaning.filter_temp_order(out), steps, "weather_after_order_filter")
     out = _count_step(cleaning.dedup_by_key(out, config.primary_key), steps, "weather_after_dedup")
     out = _count_step(cleaning.drop_null_rows(out, config.required_non_null), steps,
                       "weather_after_null_drop")
     if materialize_stage:
-        out = materialize(out, "weather-dedup")
+        out = materialize(out, "weather-dedup", scratch)
     std = {}
     if "date" in out.columns:
-        std["date"] = parse_iso_date("date")
+        std["date"] = as_date(out, "date")
     for c in ("city_name", "season"):
         if c in out.columns:
             std[c] = F.initcap(F.trim(F.col(c)))
@@ -201,7 +206,7 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
     if _dedup_survives_standardizing(raw, config, spec):
         spec = dataclasses.replace(spec, keys_unique=True)
     result = validate.validate(out, spec, stations)
-    result.steps = steps
+    result.steps, result.scratch = steps, scratch
     return result.valid, result
 
 
@@ -211,16 +216,17 @@ def clean_co2(raw: DataFrame, countries: DataFrame | list | None = None,
               materialize_stage: bool = True) -> tuple[DataFrame, ValidationResult]:
     """CO2 cleaning job (Q-G); ``materialize_stage`` as in ``clean_weather``."""
     steps: dict[str, Observation] = {}
+    scratch: list[str] = []
     out = _count_step(_prepare(raw, config, as_of_time), steps, "co2_input")
     out = _count_step(cleaning.dedup_by_key(out, config.primary_key), steps, "co2_after_dedup")
     out = _count_step(cleaning.drop_null_rows(out, config.required_non_null), steps, "co2_after_null_drop")
     if materialize_stage:
-        out = materialize(out, "co2-dedup")
+        out = materialize(out, "co2-dedup", scratch)
     out = impute.global_median_fill(out, config.median_cols, config.median_accuracy)
     out = _declared_fills(out, config)
     std = {}
     if "date" in out.columns:
-        std["date"] = parse_multi_format_date("date")
+        std["date"] = as_date(out, "date", parse_multi_format_date)
     for c in ("country", "sector"):
         if c in out.columns:
             std[c] = F.initcap(F.trim(F.col(c)))
@@ -230,11 +236,11 @@ def clean_co2(raw: DataFrame, countries: DataFrame | list | None = None,
     out = enrich.enrich_emissions(out.withColumns(std))
     result = validate.validate(out, spec or co2_spec(), countries,
                                metrics=validate.co2_report_metrics())
-    result.steps = steps
+    result.steps, result.scratch = steps, scratch
     return result.valid, result
 
 
-def write_cleaned(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = 10,
+def write_cleaned(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
                   compression: str = "gzip") -> None:
     """Cleaned-table sink (S12): compressed parquet, optionally capped file count.
 

@@ -4,8 +4,7 @@ Inputs are DataFrames: cleaned weather (station_id, date, max/avg temp,
 risk), cleaned emissions (country, date, sector, MtCO2_per_day), the city
 dimension (station_id, city_name, country, iso3) and the country dimension
 (country, iso3).  Emissions are always aggregated to (date, country) before
-they meet weather rows, so no join fans rows out; dimensions are joined
-through a checked-size broadcast; top-k uses ``orderBy().limit()``, which
+they meet weather rows, so no join fans rows out; top-k uses ``orderBy().limit()``, which
 Spark runs as a per-partition top-k plus a merge, not a global sort.
 """
 
@@ -18,12 +17,6 @@ from pyspark.sql import functions as F
 
 from aeris.functions.dates import month_key
 from aeris.functions.numeric import EXACT, exact_avg, exact_sum
-from aeris.operators.joins import checked_small
-
-
-def _dim(df: DataFrame) -> DataFrame:
-    small, fits = checked_small(df)
-    return F.broadcast(small) if fits else small
 
 
 def list_countries(countries: DataFrame, column: str = "country") -> DataFrame:
@@ -64,7 +57,7 @@ def top_emission_day_with_cities(co2: DataFrame, weather: DataFrame, cities: Dat
     city = cities.select("station_id", "city_name", F.col("country").alias("__city_country"))
     cand = (weather.select("station_id", "date", "max_temp_c")
             .join(F.broadcast(day), F.col("date") == F.col("__d"))      # one row by construction
-            .join(_dim(city), "station_id")
+            .join(city, "station_id")
             .filter(F.col("__city_country") == F.col("__c")))
     per_city = cand.groupBy("__d", "__c", "city_name").agg(F.max("max_temp_c").alias("max_temp"))
     w = Window.partitionBy("__d", "__c").orderBy(F.col("max_temp").desc_nulls_last(), F.col("city_name"))
@@ -93,10 +86,9 @@ def emission_vs_extreme_weather(weather: DataFrame, cities: DataFrame, co2: Data
     hot = weather.filter(F.col("climate_risk_level").isin(list(risk_levels))
                          | (F.col("max_temp_c") >= temp_threshold))
     city = cities.select("station_id", "country")
-    located = hot.join(_dim(city), "station_id")
-    # one row per (date, country): broadcast after its size check, so the
-    # weather rows are never shuffled for this join
-    joined = located.join(_dim(daily_emissions(co2, emission)), ["date", "country"])
+    located = hot.join(city, "station_id")
+    # one row per (date, country): no fan-out
+    joined = located.join(daily_emissions(co2, emission), ["date", "country"])
     grouped = joined.groupBy("country", "date").agg(
         F.count(F.lit(1)).alias("extreme_events"),
         F.max("max_temp_c").alias("max_temp"),
@@ -112,7 +104,7 @@ def _city_country(cities: DataFrame, countries: DataFrame) -> DataFrame:
     """station_id -> country through iso3 (City-[:LOCATED_IN]->Country)."""
     country = countries.select("iso3", F.col("country").alias("__country")).dropDuplicates()
     return (cities.select("station_id", "city_name", "iso3").dropDuplicates()
-            .join(_dim(country), "iso3").select("station_id", "city_name", F.col("__country").alias("country")))
+            .join(country, "iso3").select("station_id", "city_name", F.col("__country").alias("country")))
 
 
 def daily_temp_co2(weather: DataFrame, cities: DataFrame, countries: DataFrame, co2: DataFrame,
@@ -127,15 +119,19 @@ def daily_temp_co2(weather: DataFrame, cities: DataFrame, countries: DataFrame,
     """
     sc = _city_country(cities, countries)
     w = (weather.filter(F.col("date").isNotNull()).select("station_id", "date", "avg_temp_c")
-         .join(_dim(sc.select("station_id", "country")), "station_id")
+         .join(sc.select("station_id", "country"), "station_id")
          .groupBy("country", "date")
          .agg(exact_avg("avg_temp_c").alias("daily_avg_temp"), F.count(F.lit(1)).alias("__nw")))
     names = countries.select("country").dropDuplicates()
-    c = (co2.filter(F.col("date").isNotNull()).join(_dim(names), "country")
+    c = (co2.filter(F.col("date").isNotNull()).join(names, "country")
          .groupBy("country", "date")
-         .agg(F.coalesce(F.sum(F.col(emission).cast(EXACT)), F.lit(0).cast(EXACT)).alias("__co2")))
-    # exact decimal product: the fan-out total is the true total times the row count
-    total = (F.col("__co2") if dedup_fanout else F.col("__co2") * F.col("__nw")).cast("double")
+         .agg(F.try_sum(F.col(emission).try_cast(EXACT)).alias("__co2"), exact_sum(emission).alias("__plain"),
+              F.count_if(F.col(emission).isNotNull() & F.col(emission).try_cast(EXACT).isNull()).alias("__outside")))
+    # the fan-out total is the true total times the row count: an exact product of narrower decimals
+    # (26,12) x (11,0) wherever the total fits them, a product of doubles beyond
+    times = F.lit(1).cast("decimal(11,0)") if dedup_fanout else F.col("__nw").cast("decimal(11,0)")
+    exact = F.when(F.col("__outside") == 0, F.col("__co2").try_cast("decimal(26,12)") * times).cast("double")
+    total = F.coalesce(exact, F.col("__plain") * times.cast("double"), F.lit(0.0))
     return (w.join(c, ["country", "date"])
             .select("country", "date", "daily_avg_temp", total.alias("daily_total_co2"),
                     month_key("date").alias("month")))
@@ -164,7 +160,7 @@ def monthly_temp_and_co2(weather: DataFrame, cities: DataFrame, countries: DataF
 
 
 def monthly_temp_pivot(monthly: DataFrame, countries: Sequence[str]) -> DataFrame:
-    """Month x country table of monthly_avg_temp (A17); pivot values are given."""
+    """Month x country table of monthly_avg_temp (A17); the countries are its columns, so they are given."""
     return (monthly.groupBy("month").pivot("country", list(countries))
             .agg(F.first("monthly_avg_temp")))
 
@@ -182,7 +178,7 @@ def hot_cities_vs_co2(weather: DataFrame, cities: DataFrame, countries: DataFram
            .groupBy("station_id").agg(F.count("date").alias("hot_days_count")))
     sc = _city_country(cities, countries)
     per_country = co2.groupBy("country").agg(exact_avg(emission).alias("avg_co2"))
-    out = (hot.join(_dim(sc), "station_id")
+    out = (hot.join(sc, "station_id")
            .join(per_country, "country")
            .select(F.col("city_name").alias("city"), "country", "hot_days_count", "avg_co2")
            .dropDuplicates())

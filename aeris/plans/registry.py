@@ -8,7 +8,7 @@ upstream reports do) so that summation order cannot change the hash.
 
 from __future__ import annotations
 
-import dataclasses
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +20,16 @@ from aeris.operators import cleaning, documents, enrich, graph, impute, validate
 from aeris.operators.joins import semi_join_reference
 from aeris.plans import cleaning as jobs
 from aeris.plans import climate_queries as cq
+from aeris.plans import reports
 from aeris.plans.vulnerability import country_vulnerability
 from aeris.session import scratch_path
+from aeris.sources import readers
 from aeris.sources import testdata as td
 from aeris.streaming import ingest, vulnerability_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 WEATHER_ID = ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "date"]
 TEMPS = ["avg_temp_c", "min_temp_c", "max_temp_c"]
-EXACT_MEDIAN = 1_000_000          # percentile_approx accuracy that is exact at these sizes
-MAX_PIVOT = 1000                  # widest month x country table
 CO2_FLOOR, CO2_AS_OF = "1996-01-01", "2001-06-30"   # the test dates span 1995-2001
 
 
@@ -98,12 +98,12 @@ def q_temp_order_filter(spark, sf_dir):
 
 
 def q_global_median_fill(spark, sf_dir):
-    return impute.global_median_fill(td.emissions(spark, sf_dir), ["MtCO2_per_day"], EXACT_MEDIAN)
+    return impute.global_median_fill(td.emissions(spark, sf_dir), ["MtCO2_per_day"])
 
 
 def q_group_median(spark, sf_dir):
     stats = impute.group_stats(td.weather_obs(spark, sf_dir), ["station_id"],
-                               median_cols=["max_temp_c"], accuracy=EXACT_MEDIAN)
+                               median_cols=["max_temp_c"])
     return stats.withColumnRenamed("__max_temp_c_median", "median_max_temp")
 
 
@@ -164,9 +164,7 @@ def weather_validation(spark, sf_dir):
 
 
 def co2_job(spark, sf_dir):
-    config = dataclasses.replace(jobs.CO2_CONFIG, median_accuracy=EXACT_MEDIAN)
-    return jobs.clean_co2(td.emissions(spark, sf_dir), td.countries(spark, sf_dir), config=config,
-                          spec=jobs.co2_spec(floor=CO2_FLOOR, as_of=CO2_AS_OF))
+    return jobs.clean_co2(td.emissions(spark, sf_dir), td.countries(spark, sf_dir), spec=jobs.co2_spec(floor=CO2_FLOOR, as_of=CO2_AS_OF))
 
 
 def q_null_profile(spark, sf_dir):
@@ -279,10 +277,8 @@ def q_monthly_daily_sample(spark, sf_dir):
 
 def q_monthly_temp_pivot(spark, sf_dir):
     countries = td.countries(spark, sf_dir)
-    # pivot columns come from the country dimension, read with an explicit bound
-    names = sorted(r[0] for r in countries.select("country").distinct().limit(MAX_PIVOT + 1).collect())
-    if len(names) > MAX_PIVOT:
-        raise ValueError(f"more than {MAX_PIVOT} countries: a pivot would be too wide")
+    # the names of the country dimension are the columns of the result
+    names = sorted(r[0] for r in countries.select("country").distinct().collect())
     m = _monthly(spark, sf_dir).withColumn("monthly_avg_temp", F.round("monthly_avg_temp", 2))
     return cq.monthly_temp_pivot(m, names)
 
@@ -299,20 +295,34 @@ def q_vulnerability_batch(spark, sf_dir):
 
 # -- graph tables -------------------------------------------------------------
 
+def _node_rows(label: str, df: DataFrame, cols: list[str]) -> DataFrame:
+    """Every node as (label, properties joined by a bar), so that tables of any shape compare."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols]
+    return df.select(F.lit(label).alias("label"), F.concat_ws("|", *text).alias("node"))
+
+
 def q_graph_nodes(spark, sf_dir):
     w, e = td.weather_obs(spark, sf_dir), td.emissions(spark, sf_dir)
-    tables = [("City", graph.nodes(td.stations(spark, sf_dir))),
-              ("Country", graph.nodes(td.countries(spark, sf_dir))),
-              ("Weather", graph.nodes(w)), ("Co2", graph.nodes(e)),
-              ("Date", graph.date_nodes(w)), ("Sector", graph.sector_nodes(e)),
-              ("EmissionValue", graph.emission_value_nodes(e))]
-    out = None
-    for label, t in tables:
-        c = t.agg(F.lit(label).alias("label"), F.count(F.lit(1)).alias("node_count"))
-        out = c if out is None else out.unionByName(c)
+    parts = [_node_rows("City", graph.nodes(td.stations(spark, sf_dir)), ["station_id", "city_name", "country", "iso3"]),
+             _node_rows("Country", graph.nodes(td.countries(spark, sf_dir)), ["country", "iso3", "capital", "region"]),
+             _node_rows("Weather", graph.nodes(w), ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "city_name",
+                                                    "date", "season"]),
+             _node_rows("Co2", graph.nodes(e), ["o_orderkey", "country", "date", "sector"]),
+             _node_rows("Date", graph.date_nodes(w), ["value"]), _node_rows("Sector", graph.sector_nodes(e), ["name"]),
+             _node_rows("EmissionValue", graph.emission_value_nodes(e), ["date", "country", "sector"])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+def q_edge_relinked(spark, sf_dir):
+    """One half of the edges linked, then all of them twice; each is there once."""
+    e = graph.on_date(td.weather_obs(spark, sf_dir), keys=WEATHER_ID[:-1])
+    keys = [*WEATHER_ID[:-1], "date_value"]
+    return graph.merge_edges(e.filter(F.col("l_linenumber") % 2 == 0), e.unionByName(e), keys)
+
+
 def q_edge_located_in(spark, sf_dir):
     return graph.located_in(td.stations(spark, sf_dir), td.countries(spark, sf_dir))
 
@@ -345,20 +355,36 @@ def q_json_round_trip(spark, sf_dir):
     return ingest.json_round_trip(td.table(spark, sf_dir, "events"))
 
 
-def q_ingest_stream(spark, sf_dir):
+def _ingest_events(spark, sf_dir):
+    """Events and some bad payloads through the ingest query; gives (sink, rejects, schema)."""
     events = td.table(spark, sf_dir, "events")
     base = scratch_path(spark, "ingest")
-    ingest.publish_json(events, f"{base}/source", files=4)
-    queries = ingest.ingest(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
-                            events.schema, max_per_trigger=1, rejects=f"{base}/rejects")
-    ingest.await_all(queries)
-    return spark.read.schema(events.schema).parquet(f"{base}/sink")
+    bad = events.filter("event_id % 50 = 0").select(F.concat(
+        F.element_at(F.array(*map(F.lit, BAD_PAYLOADS)), (F.col("event_id") / 50 % len(BAD_PAYLOADS) + 1).cast("int")),
+        F.when(F.col("event_id") % 100 == 0, F.lit("")).otherwise(F.lit(" "))).alias("value"))
+    ingest.to_json_lines(events).unionByName(bad).write.text(f"{base}/source")
+    query = ingest.ingest(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", events.schema)
+    ingest.await_query(query)
+    return f"{base}/sink", f"{base}/sink_rejects", events.schema
+
+
+# Not one JSON object each: an array, null, cut short, something after the object, no JSON at all.
+BAD_PAYLOADS = ["[1, 2]", "null", '{"event_id": 1', '{"event_id": 1} tail', "event"]
+
+
+def q_ingest_stream(spark, sf_dir):
+    sink, _, schema = _ingest_events(spark, sf_dir)
+    return ingest.ingested(spark, sink, schema)
+
+
+def q_ingest_rejects(spark, sf_dir):
+    _, rejects, _ = _ingest_events(spark, sf_dir)
+    return ingest.refused(spark, rejects).groupBy("payload").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_vulnerability_stream(spark, sf_dir):
     base = scratch_path(spark, "vulnerability")
-    scored = scored_weather(spark, sf_dir)
-    scored.repartition(3, "station_id").write.parquet(f"{base}/weather")   # three files, one per trigger
+    scored_weather(spark, sf_dir).write.parquet(f"{base}/weather")
     plan = vulnerability_stream.vulnerability_plan(spark, f"{base}/weather", td.stations(spark, sf_dir))
     q = vulnerability_stream.start(plan, sink="table", path=f"{base}/state",
                                    checkpoint=f"{base}/checkpoint", available_now=True)
@@ -377,6 +403,55 @@ def q_co2_cleaned(spark, sf_dir):
     return co2_job(spark, sf_dir)[0].drop("processing_time")
 
 
+# -- single operators that the jobs above contain -----------------------------
+
+def q_country_top_day(spark, sf_dir):
+    """the top day of one country."""
+    t = cq.top_emission_day(td.emissions(spark, sf_dir), country="NATION_7")
+    return t.select("date", "country", F.round("total_emission", 4).alias("total_emission"))
+
+
+def q_processing_time(spark, sf_dir):
+    e = cleaning.add_processing_time(td.emissions(spark, sf_dir).select("o_orderkey"), as_of=dt.datetime(2024, 5, 6, 7, 8, 9))
+    return e.select("o_orderkey", F.date_format("processing_time", "yyyy-MM-dd HH:mm:ss").alias("processing_time"))
+
+
+def q_mode_value_fill(spark, sf_dir):
+    e = impute.mode_fill(td.emissions(spark, sf_dir).select("o_orderkey", "sector", "country"), ["sector"])
+    return impute.value_fill(e, {"country": "nowhere"})
+
+
+def q_string_date_documents(spark, sf_dir):
+    """Text that looks like a date stays as it is, timestamps become ISO text."""
+    d = respelled_order_dates(spark, sf_dir).join(td.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"),
+                                                  "o_orderkey")
+    return documents.country_documents(d.withColumnRenamed("raw_date", "date")).select("o_orderkey", "date", "o_orderdate")
+
+
+def q_timestamp_weather_cleaned(spark, sf_dir):
+    """The weather job on timestamp dates gives what it gives on dates."""
+    raw = td.weather_obs(spark, sf_dir).withColumn("date", F.col("date").cast("timestamp"))
+    valid, _ = jobs.clean_weather(raw, td.stations(spark, sf_dir))
+    return valid.drop("processing_time")
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """The city dimension written as CSV and read with its schema."""
+    path = f"{scratch_path(spark, 'csv')}/stations.csv"
+    s = td.stations(spark, sf_dir)
+    s.select("station_id", "city_name", "country", "iso3", "latitude", "longitude").write.option(
+        "header", "true").csv(path)
+    schema = "station_id string, city_name string, country string, iso3 string, latitude double, longitude double"
+    return readers.read_many(spark, [("stations", path), ("none", None)], {"stations": schema})["stations"]
+
+
+def q_extreme_weather_report(spark, sf_dir):
+    """The report select of the extreme-weather question."""
+    r = cq.emission_vs_extreme_weather(scored_weather(spark, sf_dir), td.stations(spark, sf_dir), td.emissions(spark, sf_dir),
+                                       temp_threshold=38.0, risk_levels=("CRITICAL",), limit=None)
+    return reports.extreme_weather_report(r)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -1,7 +1,6 @@
 """Country climate vulnerability (Q-E), one definition for batch and stream.
 
-scored weather -> left join city dimension on city name (broadcast after a
-size check) -> unknown country labelled "Unknown" -> per-country risk
+scored weather -> left join city dimension on city name -> unknown country labelled "Unknown" -> per-country risk
 aggregate (partial aggregation; the state of the streaming form is one row
 per country) -> percentages, ratio, index and category.
 """
@@ -15,8 +14,8 @@ from aeris.functions.buckets import pct, vulnerability_category
 from aeris.functions.dates import parse_iso_timestamp
 from aeris.functions.numeric import exact_avg
 from aeris.operators.cleaning import dedup_by_key
-from aeris.operators.joins import checked_small
 
+# The result's columns in order.
 VULNERABILITY_COLUMNS = [
     "country", "avg_risk_score", "max_risk_score", "min_risk_score",
     "low_cnt", "moderate_cnt", "high_cnt", "critical_cnt", "events",
@@ -42,16 +41,13 @@ def city_dimension(cities: DataFrame, city_col: str = "city_name", country_col:
 
 
 def risk_events(weather: DataFrame, dimension: DataFrame, city_col: str = "city_name",
-                country_col: str = "country", dimension_fits: bool | None = None) -> DataFrame:
+                country_col: str = "country") -> DataFrame:
     """Weather rows labelled with their country, "Unknown" when unmatched."""
     activity = weather
     if "date" in weather.columns:
         activity = weather.withColumn("date", parse_iso_timestamp("date"))
-    if dimension_fits is None:
-        dimension, dimension_fits = checked_small(dimension)
-    right = F.broadcast(dimension) if dimension_fits else dimension
     drop_existing = [country_col] if country_col in activity.columns else []
-    joined = activity.drop(*drop_existing).join(right, city_col, "left")
+    joined = activity.drop(*drop_existing).join(dimension, city_col, "left")
     return joined.withColumn(country_col, F.coalesce(F.col(country_col), F.lit("Unknown")))
 
 

@@ -21,8 +21,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # Shuffles start wide and AQE coalesces them to ~256 MB partitions, so no
 # reduce task holds more than a few hundred MB whatever the data size; scans
 # split files into 512 MB tasks; skewed join partitions (5x the median and
-# above 512 MB) are split; broadcasts stay behind the explicit row check in
-# ``operators.joins`` (Spark's own size-based broadcast is kept small).
+# above 512 MB) are split; a join side is broadcast when its size is known or
+# measured to be below 64 MB.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,7 +33,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "aeris.broadcast.maxRows": "2000000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -73,12 +72,15 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared checkpoint folder; a local one is made only for a local master that names none."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors of {master} share")
     local = tempfile.mkdtemp(prefix="aeris-ckpt-", dir=os.environ.get("AERIS_SCRATCH", "/tmp"))
     spark.conf.set(CHECKPOINT_CONF, local)
     spark.sparkContext.setCheckpointDir(local)
@@ -90,15 +92,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/aeris/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, paths: list[str] | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
-    This cuts the lineage at a stage boundary: later jobs (statistics, size
-    checks, the final write) read the written table instead of recomputing
-    the shuffles above it, and a lost executor cannot force that
-    recomputation either.  The folder belongs to the caller's run.
+    This cuts the lineage at a stage boundary: later jobs (statistics, the
+    final write) read the written table instead of recomputing the shuffles above it, and
+    a lost executor cannot force that recomputation either.  The folder is
+    appended to ``paths``; hand that list to ``remove_paths`` when the results are written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if paths is not None:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of ``materialize`` on whatever file system they are."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    paths.clear()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -33,21 +34,23 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_any(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Path-dispatched scan.
+# Suffix of a path -> how it is read; a folder's own files decide where there is none of these.
+FORMATS = {".parquet": "parquet", "/": "parquet", ".csv": "csv"}
 
-    ``.parquet`` or a trailing ``/`` reads parquet, ``.csv`` reads CSV with a
-    header; anything else tries parquet first and falls back to CSV.
-    """
-    lowered = (path or "").lower()
-    if lowered.endswith(".parquet") or lowered.endswith("/"):
-        return read_parquet(spark, path)
-    if lowered.endswith(".csv"):
-        return read_csv(spark, path, schema=schema, infer=schema is None)
-    try:
+
+def _format_of(spark: SparkSession, path: str) -> str:
+    known = [fmt for suffix, fmt in FORMATS.items() if path.lower().endswith(suffix)]
+    if known:
+        return known[0]
+    files = spark.read.format("binaryFile").load(path).select("path")   # names only, no contents
+    return "csv" if files.filter(F.lower("path").endswith(".parquet")).isEmpty() else "parquet"
+
+
+def read_any(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Path-dispatched scan (S4): parquet, or CSV with a header (inferred where no schema is given)."""
+    if _format_of(spark, path) == "parquet":
         return read_parquet(spark, path)
-    except Exception:  # noqa: BLE001 - not parquet: fall back to CSV
-        return read_csv(spark, path, schema=schema, infer=schema is None)
+    return read_csv(spark, path, schema=schema, infer=schema is None)
 
 
 def read_many(spark: SparkSession, items: Iterable[tuple[str, str | None]],

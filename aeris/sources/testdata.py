@@ -5,12 +5,17 @@ derived from its tables.  The same derivations are written as SQL in
 ``oracle_queries.py`` so DuckDB computes the identical input.
 
 weather_obs   one row per lineitem: station = supplier, observation date =
-              ship date, temperatures from quantity/tax/discount with nulls
-              injected by order key, precipitation from discount x quantity.
+              ship date, temperatures from quantity/tax/discount, precipitation
+              from discount x quantity.
 emissions     one row per order: country = customer nation, sector = market
-              segment, emission = total price / 10 000 (nulls injected).
+              segment or a real sector name, emission = total price / 10 000.
 stations      supplier + nation (the city dimension).
 countries     nation + region (the country dimension).
+
+Faults are injected by order key, so that every cleaning and validation rule
+finds some: null and unknown keys, implausible temperatures, negative rain and
+emissions, emissions above the ceiling, cities that no dimension knows, null,
+blank, padded and differently written labels, stations with constant rain.
 """
 
 from __future__ import annotations
@@ -19,28 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Key column of each driver fact table, used to spread a narrow scan.
-FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
-             "events": "event_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (projections and filters reach the parquet scan).
-
-    Each driver table is one file with one row group, which Spark cannot
-    split, so its scan is a single task.  When a fact table's scan yields
-    fewer partitions than there are cores, it is hash-partitioned on its
-    (uniform) key right after the scan; hash partitioning needs no sort,
-    unlike round-robin.  Checking the partition count here only plans the
-    scan.  At scale a scan yields many partitions and nothing is added.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = FACT_KEYS.get(name)
-    if key is not None and spark.conf.get("aeris.testdata.spread", "true") == "true":
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, key)
-    return df
+    """Read one driver table (projections and filters reach the parquet scan)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _iso3(nationkey: Column) -> Column:
@@ -58,34 +44,49 @@ def _season(ts: Column) -> Column:
 def weather_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     q, tax, disc, key = F.col("l_quantity"), F.col("l_tax"), F.col("l_discount"), F.col("l_orderkey")
+    supp = F.col("l_suppkey")
+    hot = key % 101 == 0   # in order, but above any plausible average
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        F.col("l_suppkey").alias("station_id"),
-        F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("city_name"),
+        F.when(key % 97 == 0, F.lit(None)).when(key % 89 == 0, F.concat(F.lit("D"), supp.cast("string")))
+         .otherwise(supp.cast("string")).alias("station_id"),
+        F.when(key % 113 == 0, F.lit(None)).when(key % 83 == 0, F.lit(" old harbour-town "))
+         .otherwise(F.concat(F.lit("Supplier#"), F.lpad(supp.cast("string"), 9, "0"))).alias("city_name"),
         F.col("l_shipdate").cast("date").alias("date"),
         _season(F.col("l_shipdate")).alias("season"),
-        F.when(key % 13 == 0, F.lit(None)).otherwise(q - 10).alias("avg_temp_c"),
-        F.when(key % 11 == 0, F.lit(None))
+        F.when(hot, F.lit(75.0)).when(key % 13 == 0, F.lit(None)).otherwise(q - 10).alias("avg_temp_c"),
+        F.when(hot, F.lit(70.0)).when(key % 11 == 0, F.lit(None))
          .when((F.col("l_returnflag") == "R") & (tax > 0.06), q - 10 + tax * 100)
          .otherwise(q - 10 - tax * 100).alias("min_temp_c"),
-        F.when(key % 7 == 0, F.lit(None)).otherwise(q - 10 + disc * 100).alias("max_temp_c"),
-        F.round(disc * q * 12, 1).alias("precipitation_mm"),
+        F.when(hot, F.lit(80.0)).when(key % 7 == 0, F.lit(None)).otherwise(q - 10 + disc * 100).alias("max_temp_c"),
+        F.when(supp % 50 == 7, F.lit(5.0)).when(key % 107 == 0, F.lit(None)).when(key % 103 == 0, F.lit(-1.5))
+         .otherwise(F.round(disc * q * 12, 1)).alias("precipitation_mm"),
     )
 
 
+def _sector(key: Column, segment: Column) -> Column:
+    return (F.when(key % 109 == 0, F.lit(None)).when(key % 107 == 0, F.lit("  "))
+            .when(key % 113 == 0, F.lit(" ground transport ")).when(key % 16 == 0, F.lit("POWER"))
+            .when(key % 8 == 0, F.lit("power")).when(key % 8 == 1, F.lit("Industry")).when(key % 8 == 2, F.lit("aviation"))
+            .when(key % 8 == 3, F.lit("residential")).otherwise(segment))
+
+
 def emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
+    key = F.col("o_orderkey")
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select(
             "o_orderkey",
-            F.col("n_name").alias("country"),
+            F.when(key % 127 == 0, F.lit(None)).when(key % 131 == 0, F.lit("lost atlantis"))
+             .otherwise(F.col("n_name")).alias("country"),
             F.col("o_orderdate").cast("date").alias("date"),
-            F.col("c_mktsegment").alias("sector"),
-            F.when(F.col("o_orderkey") % 17 == 0, F.lit(None))
+            _sector(key, F.col("c_mktsegment")).alias("sector"),
+            F.when(key % 17 == 0, F.lit(None)).when(key % 103 == 0, F.lit(-3.0)).when(key % 101 == 0, F.lit(2500.0))
+             .when(key % 59 == 0, F.lit(0.0)).when(key % 61 == 0, F.lit(0.05))
              .otherwise(F.col("o_totalprice") / 10000).alias("MtCO2_per_day"),
         )
     )
@@ -95,7 +96,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-        F.col("s_suppkey").alias("station_id"),
+        F.col("s_suppkey").cast("string").alias("station_id"),
         F.col("s_name").alias("city_name"),
         F.col("n_name").alias("country"),
         _iso3(F.col("n_nationkey")).alias("iso3"),

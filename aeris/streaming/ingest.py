@@ -6,12 +6,12 @@ buffers records in the driver before writing parquet.  Here:
 * publishing is one distributed write of ``to_json(struct(*))`` lines (or a
   Kafka write when the connector is on the classpath);
 * ingest is one Structured Streaming query: text (or Kafka) source ->
-  ``from_json`` with a fixed schema -> parquet file sink with a checkpoint,
-  which makes the output exactly-once; ``availableNow`` drains what is there
+  ``from_json`` with a fixed schema -> parquet, decoded once per micro-batch;
+  a batch writes its own folder and a replayed batch writes the same one again, which
+  makes the output exactly-once; ``availableNow`` drains what is there
   and stops (S9), ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` bound a
   micro-batch (S10);
-* payloads that are not JSON objects go to a rejects sink instead of being
-  dropped silently (S8).
+* payloads that are not one JSON object go to a rejects folder, always (S8).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 # JSON options: keep null fields (as upstream does) and microsecond timestamps.
 JSON_OPTIONS = {
@@ -35,12 +35,9 @@ def to_json_lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value"))
 
 
-def publish_json(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
-    """Write a table as JSON lines, the file form of an event topic."""
-    out = to_json_lines(df)
-    if files:
-        out = out.repartition(files)
-    out.write.mode(mode).text(path)
+def publish_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write a table as JSON lines, the file form of an event topic (S5); a file for each task of the table."""
+    to_json_lines(df).write.mode(mode).text(path)
 
 
 def publish_kafka(df: DataFrame, servers: str, topic: str) -> None:
@@ -52,16 +49,16 @@ def publish_kafka(df: DataFrame, servers: str, topic: str) -> None:
 def decode(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Parse JSON payloads; adds ``_is_object``.
 
-    A payload is accepted when it is a JSON object that parses; arrays, bare
-    ``null``, empty and malformed text are flagged, because ``from_json``
-    alone turns several of them into a non-null struct.
+    A payload is accepted when it is one JSON object that parses, with white space
+    around it at most; arrays, bare ``null``, empty and malformed text and anything that
+    follows the object are flagged, because ``from_json`` alone lets several of them pass.
     """
     text = F.col(value).cast("string")
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
     opts = dict(JSON_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     parsed = raw.select(text.alias("__raw"), F.from_json(text, full, opts).alias("__r"))
-    is_object = (F.ltrim(F.col("__raw")).startswith("{")
-                 & F.col("__r").isNotNull() & F.col(f"__r.{CORRUPT}").isNull())
+    alone = F.json_array_length(F.concat(F.lit("["), F.col("__raw"), F.lit("]"))) == 1
+    is_object = (F.col("__raw").rlike(r"^\s*\{") & alone & F.col("__r").isNotNull() & F.col(f"__r.{CORRUPT}").isNull())
     return parsed.select("__raw", *[F.col(f"__r.{f.name}").alias(f.name) for f in schema.fields],
                          F.coalesce(is_object, F.lit(False)).alias("_is_object"))
 
@@ -93,35 +90,45 @@ def read_events(spark: SparkSession, source: str, fmt: str = "text",
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: StructType,
            fmt: str = "text", max_per_trigger: int | None = None,
            block_size: int = 64 * 1024 * 1024, rejects: str | None = None,
-           available_now: bool = True, processing_time: str | None = None,
-           files_per_batch: int | None = None, **source_opts) -> list[StreamingQuery]:
-    """Start the ingest query (and a rejects query when ``rejects`` is given).
+           available_now: bool = True, processing_time: str | None = None, **source_opts) -> StreamingQuery:
+    """Start the ingest query (S6, T5); accepted rows go below ``sink``, others below ``rejects``.
 
-    ``files_per_batch`` caps the files each micro-batch writes (``coalesce``,
-    no shuffle), like the upstream one-file-per-flush.
+    ``rejects`` is ``<sink>_rejects`` unless named.  Every batch is decoded once
+    and writes ``batch_id=N`` in both; read them back with ``ingested``.
     """
+    away = rejects or f"{sink.rstrip('/')}_rejects"
     decoded = decode(read_events(spark, source, fmt, max_per_trigger, **source_opts), schema)
-    if files_per_batch:
-        decoded = decoded.coalesce(files_per_batch)
-    queries = []
-    for frame, path, name in [(accepted(decoded), sink, "accepted"),
-                              (rejected(decoded) if rejects else None, rejects, "rejected")]:
-        if frame is None:
-            continue
-        writer = (frame.writeStream.format("parquet" if name == "accepted" else "json")
-                  .option("path", path).option("checkpointLocation", f"{checkpoint}/{name}")
-                  .option("parquet.block.size", str(block_size)).outputMode("append"))
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-            processingTime=processing_time or "1 second")
-        queries.append(writer.start())
-    return queries
-
-
-def await_all(queries: list[StreamingQuery]) -> None:
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            (accepted(batch).write.mode("overwrite").option("parquet.block.size", str(block_size))
+             .parquet(f"{sink}/batch_id={batch_id}"))
+            rejected(batch).write.mode("overwrite").json(f"{away}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=processing_time or "1 second")
+    return writer.start()
+
+
+def ingested(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
+    """The accepted rows of all batches."""
+    full = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(full).parquet(sink).drop("batch_id")
+
+
+def refused(spark: SparkSession, rejects: str) -> DataFrame:
+    """The rejected payloads of all batches."""
+    return spark.read.schema("payload string, batch_id long").json(rejects).drop("batch_id")
+
+
+def await_query(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
 
 
 def json_round_trip(df: DataFrame) -> DataFrame:

@@ -1,16 +1,19 @@
 """Streaming country vulnerability (Q-E, T1-T4).
 
-A file stream of scored weather (one file per trigger by default) runs the
+A file stream of scored weather runs the
 same plan as the batch form in ``aeris.plans.vulnerability``: stream-static
-left join to the city dimension (broadcast after a size check on the static
-side), then an unwindowed per-country aggregation whose state is one row per
+left join to the city dimension, then an unwindowed per-country aggregation whose state is one row per
 country.  No watermark is needed: state is bounded by the number of
 countries.
 
 Sinks: console (as upstream), memory, or a keyed table.  The keyed table is
-written with ``foreachBatch``: the update rows of batch N go to
-``<path>/batch_id=N`` with overwrite, so a replayed batch rewrites the same
-folder (idempotent), and ``latest_state`` keeps the newest row per country.
+written with ``foreachBatch``: batch N merges its update rows into the table of
+the batch before and writes the whole (one row per country) to ``<path>/batch_id=N``
+with overwrite, so a replayed batch writes the same folder again.  Older folders
+are deleted but for the one before, which a replay needs.
+
+The width of the state is the session's ``spark.sql.shuffle.partitions`` when the query
+first starts; set it before, to about the number of cores, for a state this small.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from aeris.operators.joins import checked_small
+from aeris.session import remove_paths
 from aeris.plans.vulnerability import (VULNERABILITY_COLUMNS, aggregate_risk, city_dimension,
                                        risk_events, vulnerability_metrics)
 
@@ -38,28 +41,25 @@ def configure_stream_session(spark: SparkSession, conf: dict[str, str] | None =
 
 
 def vulnerability_plan(spark: SparkSession, weather_path: str, cities: DataFrame,
-                       schema: StructType | None = None, max_files_per_trigger: int = 1,
+                       schema: StructType | None = None, max_files_per_trigger: int | None = None,
                        standardize_dimension: bool = True) -> DataFrame:
-    """Streaming DataFrame of per-country vulnerability rows."""
+    """Streaming DataFrame of per-country vulnerability rows.
+
+    Without ``max_files_per_trigger`` a micro-batch takes all new files (upstream: one).
+    """
     schema = schema or spark.read.parquet(weather_path).schema
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(weather_path))
-    dim, fits = checked_small(city_dimension(cities, standardize=standardize_dimension))
-    return vulnerability_metrics(aggregate_risk(risk_events(stream, dim, dimension_fits=fits)))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    dim = city_dimension(cities, standardize=standardize_dimension)
+    return vulnerability_metrics(aggregate_risk(risk_events(reader.parquet(weather_path), dim)))
 
 
 def start(plan: DataFrame, sink: str = "console", output_mode: str = "update",
           checkpoint: str | None = None, path: str | None = None, query_name: str = "climate_risk_score",
           trigger_seconds: int | None = 20, available_now: bool = False,
-          num_rows: int = 20, truncate: bool = False,
-          state_partitions: int | None = None) -> StreamingQuery:
-    """Start the query on a console, memory or keyed-table sink.
-
-    ``state_partitions`` sets the number of state-store partitions (fixed in
-    the checkpoint at the first run).  The state is one row per country, so a
-    handful is plenty; by default the cluster's default parallelism is used
-    instead of the session's shuffle width.
-    """
+          num_rows: int = 20, truncate: bool = False) -> StreamingQuery:
+    """Start the query on a console, memory or keyed-table sink."""
     writer = plan.writeStream.outputMode(output_mode).queryName(query_name)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
@@ -76,31 +76,44 @@ def start(plan: DataFrame, sink: str = "console", output_mode: str = "update",
             raise ValueError("sink='table' needs a path")
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            # the folder name carries the batch id (read back by partition discovery)
-            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            spark = batch.sparkSession
+            older = sorted(n for n in _batches(spark, path) if n < batch_id)
+            merged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            if older:
+                last = spark.read.parquet(f"{path}/batch_id={older[-1]}")
+                merged = merged.unionByName(last.withColumn("batch_id", F.lit(older[-1]).cast("long")))
+            _newest(merged).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            remove_paths(spark, [f"{path}/batch_id={n}" for n in older[:-1]])
 
         writer = writer.foreachBatch(write_batch)
     else:
         raise ValueError(f"unknown sink {sink}")
-    spark = plan.sparkSession
-    width = state_partitions or spark.sparkContext.defaultParallelism
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    try:
-        return writer.start()   # the query clones the session (and this setting) here
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return writer.start()
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished batch folders below ``path``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root)]
+    return [int(p.getName().split("=")[1]) for p in found
+            if p.getName().startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
 
 
-def latest_state(spark: SparkSession, path: str, key: str = "country") -> DataFrame:
-    """Newest update row per key from a keyed-table sink (the merged result table)."""
-    updates = spark.read.parquet(path)
+def _newest(rows: DataFrame, key: str = "country") -> DataFrame:
     cols = [c for c in VULNERABILITY_COLUMNS if c != key]
-    newest = updates.groupBy(key).agg(
-        F.max_by(F.struct(*cols), F.col("batch_id")).alias("__row"))
+    newest = rows.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("__row"))
     return newest.select(key, *[F.col(f"__row.{c}").alias(c) for c in cols])
 
 
+def latest_state(spark: SparkSession, path: str) -> DataFrame:
+    """The keyed table as of its newest batch."""
+    return spark.read.parquet(f"{path}/batch_id={max(_batches(spark, path))}").select(*VULNERABILITY_COLUMNS)
+
+
 def process_stream(spark: SparkSession, weather_path: str, cities: DataFrame,
                    checkpoint: str | None = None, trigger_seconds: int = 20,
                    timeout_seconds: float | None = None) -> StreamingQuery:

@@ -7,8 +7,7 @@ inputs are re-derived in SQL with the same rules as ``aeris.sources.testdata``.
 Rounding: Spark rounds a double half-up on its shortest decimal form
 (1.005 -> 1.01) while DuckDB rounds the binary value (1.005 -> 1.0), so the
 oracle rounds through DECIMAL(38,12) first (``rnd``).  DuckDB has no
-``initcap``; every value it is applied to here is one word, so
-upper(first letter) || lower(rest) is equivalent (``initcap1``).
+``initcap``; ``initcap1`` builds it word by word (words end at a blank).
 """
 
 from __future__ import annotations
@@ -29,7 +28,8 @@ def xsum(expr: str) -> str:
 
 
 def initcap1(expr: str) -> str:
-    return f"(upper(substr(({expr}), 1, 1)) || lower(substr(({expr}), 2)))"
+    return (f"array_to_string(list_transform(string_split(({expr}), ' '), "
+            "lambda x: upper(substr(x, 1, 1)) || lower(substr(x, 2))), ' ')")
 
 
 ALPHA_RE = "[^a-zA-Z\\s\\-''·\\.]"  # same class as aeris.functions.scrub.ALPHA_PATTERN
@@ -37,31 +37,42 @@ ALPHA_RE = "[^a-zA-Z\\s\\-''·\\.]"  # same class as aeris.functions.scrub.ALPHA
 WEATHER_OBS = f"""
 weather_obs AS (
   SELECT l_orderkey, l_linenumber, l_partkey,
-    l_suppkey AS station_id,
-    'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS city_name,
+    CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_orderkey % 89 = 0 THEN 'D' || l_suppkey ELSE CAST(l_suppkey AS VARCHAR) END AS station_id,
+    CASE WHEN l_orderkey % 113 = 0 THEN NULL WHEN l_orderkey % 83 = 0 THEN ' old harbour-town '
+         ELSE 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') END AS city_name,
     CAST(l_shipdate AS DATE) AS date,
     CASE WHEN month(l_shipdate) IN (12, 1, 2) THEN 'winter'
          WHEN month(l_shipdate) IN (3, 4, 5) THEN 'spring'
          WHEN month(l_shipdate) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
-    CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_quantity - 10 END AS avg_temp_c,
-    CASE WHEN l_orderkey % 11 = 0 THEN NULL
+    CASE WHEN l_orderkey % 101 = 0 THEN 75.0 WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_quantity - 10 END AS avg_temp_c,
+    CASE WHEN l_orderkey % 101 = 0 THEN 70.0 WHEN l_orderkey % 11 = 0 THEN NULL
          WHEN l_returnflag = 'R' AND l_tax > 0.06 THEN l_quantity - 10 + l_tax * 100
          ELSE l_quantity - 10 - l_tax * 100 END AS min_temp_c,
-    CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity - 10 + l_discount * 100 END AS max_temp_c,
-    {rnd('l_discount * l_quantity * 12', 1)} AS precipitation_mm
+    CASE WHEN l_orderkey % 101 = 0 THEN 80.0 WHEN l_orderkey % 7 = 0 THEN NULL
+         ELSE l_quantity - 10 + l_discount * 100 END AS max_temp_c,
+    CASE WHEN l_suppkey % 50 = 7 THEN 5.0 WHEN l_orderkey % 107 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN -1.5
+         ELSE {rnd('l_discount * l_quantity * 12', 1)} END AS precipitation_mm
   FROM lineitem
 )"""
 
 EMISSIONS = """
 emissions AS (
-  SELECT o_orderkey, n_name AS country, CAST(o_orderdate AS DATE) AS date, c_mktsegment AS sector,
-    CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice / 10000 END AS MtCO2_per_day
+  SELECT o_orderkey,
+    CASE WHEN o_orderkey % 127 = 0 THEN NULL WHEN o_orderkey % 131 = 0 THEN 'lost atlantis' ELSE n_name END AS country,
+    CAST(o_orderdate AS DATE) AS date,
+    CASE WHEN o_orderkey % 109 = 0 THEN NULL WHEN o_orderkey % 107 = 0 THEN '  '
+         WHEN o_orderkey % 113 = 0 THEN ' ground transport ' WHEN o_orderkey % 16 = 0 THEN 'POWER'
+         WHEN o_orderkey % 8 = 0 THEN 'power' WHEN o_orderkey % 8 = 1 THEN 'Industry' WHEN o_orderkey % 8 = 2 THEN 'aviation'
+         WHEN o_orderkey % 8 = 3 THEN 'residential' ELSE c_mktsegment END AS sector,
+    CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 103 = 0 THEN -3.0 WHEN o_orderkey % 101 = 0 THEN 2500.0
+         WHEN o_orderkey % 59 = 0 THEN 0.0 WHEN o_orderkey % 61 = 0 THEN 0.05
+         ELSE o_totalprice / 10000 END AS MtCO2_per_day
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 )"""
 
 STATIONS = """
 stations AS (
-  SELECT s_suppkey AS station_id, s_name AS city_name, n_name AS country,
+  SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS city_name, n_name AS country,
     'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso3,
     s_acctbal / 200 AS latitude, CAST(n_nationkey AS DOUBLE) * 7.0 AS longitude
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
@@ -142,7 +153,7 @@ def vulnerability_sql(scored: str) -> str:
 dim AS (
   SELECT city_name, country FROM (
     SELECT {initcap1('trim(city_name)')} AS city_name, country,
-      row_number() OVER (PARTITION BY {initcap1('trim(city_name)')} ORDER BY station_id NULLS FIRST, country NULLS FIRST) AS rn
+      row_number() OVER (PARTITION BY {initcap1('trim(city_name)')} ORDER BY (country IS NULL)::INT, station_id, country) AS rn
     FROM stations WHERE {initcap1('trim(city_name)')} IS NOT NULL) WHERE rn = 1
 ),
 labelled AS (
@@ -186,8 +197,9 @@ F2 = ("(min_temp_c IS NULL OR avg_temp_c IS NULL OR max_temp_c IS NULL "
 
 
 def dedup_cte(name: str, src: str, keys: list[str], cols: list[str]) -> str:
-    """Survivor = smallest row in the remaining columns, ascending, nulls first."""
-    order = ", ".join(f"{c} NULLS FIRST" for c in cols if c not in keys)
+    """Survivor = fewest nulls outside the key, then smallest in the remaining columns, nulls last."""
+    rest = [c for c in cols if c not in keys]
+    order = ", ".join([" + ".join(f"({c} IS NULL)::INT" for c in rest), *[f"{c} NULLS LAST" for c in rest]])
     return f"""
 {name} AS (
   SELECT * EXCLUDE (__rn) FROM (
@@ -261,7 +273,8 @@ v_one AS (SELECT * FROM v_before, v_counts)"""
     rows = [("count", "initial_count", "initial_count"), ("issue", "null_keys", "initial_count - non_null_keys"),
             ("issue", "duplicates", "non_null_keys - after_dedup")]
     rows += [("issue", n, f"rule_{i}") for i, n in enumerate(names)]
-    rows += [("count", "final_count", "final_count")]
+    rows += [("count", "final_count", "final_count"),
+             ("count", "drop_ratio", "CASE WHEN initial_count > 0 THEN (initial_count - final_count) / initial_count ELSE 0 END")]
     body = union_long(rows, "v_one")
     if metrics:
         body += " UNION ALL " + union_long([("metric", n, e) for n, e in metrics], "v_valid")
@@ -302,7 +315,9 @@ c_std AS (SELECT o_orderkey, {initcap1('trim(country)')} AS country, date, {init
 c_enriched AS (SELECT *, {EMISSION_LEVEL} AS emission_level, {SECTOR_CATEGORY} AS sector_category FROM c_std),
 c_ref AS (SELECT {initcap1('trim(country)')} AS ref_country FROM countries)"""
     cols = EMISSION_COLS + ["emission_level", "sector_category"]
-    metrics = [("countries", "count(DISTINCT country)"), ("sectors", "count(DISTINCT sector)"),
+    metrics = [("min_date", "CAST(strftime(min(date), '%Y%m%d') AS DOUBLE)"),
+               ("max_date", "CAST(strftime(max(date), '%Y%m%d') AS DOUBLE)"),
+               ("countries", "count(DISTINCT country)"), ("sectors", "count(DISTINCT sector)"),
                ("min_emission", "min(MtCO2_per_day)"), ("max_emission", "max(MtCO2_per_day)"),
                ("avg_emission", xavg("MtCO2_per_day")), ("emission_count", "count(MtCO2_per_day)")]
     vctes, report = report_sql("c_enriched", ["country", "date", "sector"], ["country", "sector", "date"], cols,
@@ -490,15 +505,21 @@ r AS (SELECT DISTINCT cc.city_name AS city, cc.country, hot.hot_days_count, pc.a
     # graph tables
     wnodes = "(SELECT DISTINCT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM weather_obs)"
     enodes = "(SELECT DISTINCT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM emissions)"
+    def node_rows(label, src, cols):
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols)
+        return f"SELECT '{label}' AS label, concat_ws('|', {text}) AS node FROM {src}"
+
     q["graph_nodes"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, COUNTRIES) + " " + " UNION ALL ".join([
-        "SELECT 'City' AS label, count(*) AS node_count FROM (SELECT DISTINCT * FROM stations)",
-        "SELECT 'Country' AS label, count(*) AS node_count FROM (SELECT DISTINCT * FROM countries)",
-        f"SELECT 'Weather' AS label, count(*) AS node_count FROM {wnodes}",
-        f"SELECT 'Co2' AS label, count(*) AS node_count FROM {enodes}",
-        f"SELECT 'Date' AS label, count(DISTINCT date) AS node_count FROM {wnodes}",
-        f"SELECT 'Sector' AS label, count(DISTINCT sector) AS node_count FROM {enodes}",
-        f"SELECT 'EmissionValue' AS label, count(*) AS node_count FROM (SELECT DISTINCT date, country, sector FROM {enodes} "
-        "WHERE date IS NOT NULL AND country IS NOT NULL AND sector IS NOT NULL)"])
+        node_rows("City", "(SELECT DISTINCT * FROM stations)", ["station_id", "city_name", "country", "iso3"]),
+        node_rows("Country", "(SELECT DISTINCT * FROM countries)", ["country", "iso3", "capital", "region"]),
+        node_rows("Weather", wnodes, ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "city_name", "date", "season"]),
+        node_rows("Co2", enodes, ["o_orderkey", "country", "date", "sector"]),
+        node_rows("Date", f"(SELECT DISTINCT date FROM {wnodes} WHERE date IS NOT NULL)", ["date"]),
+        node_rows("Sector", f"(SELECT DISTINCT sector FROM {enodes} WHERE sector IS NOT NULL)", ["sector"]),
+        node_rows("EmissionValue", f"(SELECT DISTINCT date, country, sector FROM {enodes} "
+                  "WHERE date IS NOT NULL AND country IS NOT NULL AND sector IS NOT NULL)", ["date", "country", "sector"])])
+    q["edge_relinked"] = with_(WEATHER_OBS) + (
+        f" SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, station_id, date AS date_value FROM {wnodes} WHERE date IS NOT NULL")
     q["edge_located_in"] = with_(STATIONS, COUNTRIES) + (
         " SELECT DISTINCT s.station_id, s.city_name, c.country, 'cities.csv' AS source FROM (SELECT DISTINCT * FROM stations) s"
         " JOIN (SELECT DISTINCT iso3, country FROM countries) c ON s.iso3 = c.iso3")
@@ -521,7 +542,37 @@ r AS (SELECT DISTINCT cc.city_name AS city, cc.country, hot.hot_days_count, pc.a
     # JSON and streams: the decoded rows equal the source table
     q["json_round_trip"] = "SELECT * FROM events"
     q["ingest_stream"] = "SELECT * FROM events"
+    bad = ["[1, 2]", "null", '{"event_id": 1', '{"event_id": 1} tail', "event"]
+    pick = " ".join(f"WHEN {i} THEN '{b}'" for i, b in enumerate(bad))
+    q["ingest_rejects"] = (
+        f"SELECT (CASE (event_id // 50) % {len(bad)} {pick} END) || (CASE WHEN event_id % 100 = 0 THEN '' ELSE ' ' END) AS payload, "
+        "count(*) AS n FROM events WHERE event_id % 50 = 0 GROUP BY 1")
     q["vulnerability_stream"] = q["vulnerability_batch"]
+
+    # single operators
+    q["country_top_day"] = with_(EMISSIONS) + (
+        f" SELECT date, country, {rnd(xsum('MtCO2_per_day'), 4)} AS total_emission FROM emissions WHERE country = 'NATION_7' "
+        f"GROUP BY date, country ORDER BY coalesce({xsum('MtCO2_per_day')}, 0) DESC, date LIMIT 1")
+    q["processing_time"] = "SELECT o_orderkey, '2024-05-06 07:08:09' AS processing_time FROM orders"
+    q["mode_value_fill"] = with_(EMISSIONS) + (
+        ", m AS (SELECT sector AS common FROM emissions WHERE sector IS NOT NULL GROUP BY sector ORDER BY count(*) DESC, sector LIMIT 1)"
+        " SELECT o_orderkey, coalesce(sector, (SELECT common FROM m)) AS sector, coalesce(country, 'nowhere') AS country FROM emissions")
+    q["string_date_documents"] = (
+        f"SELECT o_orderkey, {raw} AS date, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || "
+        "CASE WHEN microsecond(o_orderdate) % 1000000 = 0 THEN '' ELSE strftime(o_orderdate, '.%f') END AS o_orderdate FROM orders")
+    q["timestamp_weather_cleaned"] = q["weather_cleaned"]
+    q["csv_round_trip"] = with_(STATIONS) + (
+        " SELECT station_id, city_name, country, iso3, latitude, longitude FROM stations")
+    q["extreme_weather_report"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, scored_weather_cte(), f"""
+daily AS ({daily}),
+j AS (
+  SELECT s.date, st.country, s.max_temp_c, s.climate_risk_score, d.total_emission
+  FROM scored s JOIN stations st ON s.station_id = st.station_id
+  JOIN daily d ON d.date = s.date AND d.country = st.country
+  WHERE s.climate_risk_level = 'CRITICAL' OR s.max_temp_c >= 38.0
+)""") + (f" SELECT country AS \"Country\", date AS \"Date\", count(*) AS \"Extreme Events\", "
+         f"max(max_temp_c) AS \"Max Temp (°C)\", {rnd(xavg('climate_risk_score'), 2)} AS \"Avg Risk Score\", "
+         f"{rnd('max(total_emission)', 4)} AS \"Total Emission (MtCO₂/day)\" FROM j GROUP BY country, date HAVING max(max_temp_c) > 38.0")
     return q
 
 

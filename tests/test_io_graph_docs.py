@@ -2,11 +2,15 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from aeris.operators import documents, graph
 from aeris.plans.cleaning import write_cleaned
 from aeris.sources import readers
 from aeris.sources.schemas import CITY_SCHEMA
 from aeris.streaming import ingest
+from aeris.sources.readers import read_any
 from tests.conftest import rows
 
 D = dt.date(2020, 1, 1)
@@ -37,7 +41,7 @@ def test_write_cleaned_and_publish(spark):
     files = [f for f in os.listdir(f"{base}/out") if f.endswith(".parquet")]
     assert len(files) == 2 and all(".gz" in f for f in files)
     assert spark.read.parquet(f"{base}/out").count() == 100
-    ingest.publish_json(df, f"{base}/events", files=3)
+    ingest.publish_json(df, f"{base}/events")
     assert spark.read.text(f"{base}/events").count() == 100
 
 
@@ -86,3 +90,38 @@ def test_graph_edges_on_unique_input_skip_the_merge(spark):
     assert rows(graph.has_value(co2, assume_unique=True)) == rows(graph.has_value(co2))
     plan_rows = graph.nodes(co2, assume_unique=True)
     assert plan_rows.count() == 2
+
+
+def test_relink_adds_each_missing_edge_once_and_knows_null_keys(spark):
+    edges = spark.createDataFrame([("a", None), ("b", "1")], "x string, y string")
+    new = spark.createDataFrame([("a", None), ("c", "2"), ("c", "2"), ("b", "1")], "x string, y string")
+    assert rows(graph.merge_edges(edges, new, ["x", "y"])) == rows(
+        spark.createDataFrame([("a", None), ("b", "1"), ("c", "2")], "x string, y string"))
+
+
+def test_has_value_takes_the_largest_value_of_a_key(spark):
+    co2 = spark.createDataFrame([("Aland", D, "Power", 1.0), ("Aland", D, "Power", 2.0)],
+                                "country string, date date, sector string, MtCO2_per_day double")
+    for flag in (False, True):
+        got = sorted((r["MtCO2_per_day"], r["mtCo2PerDay"]) for r in graph.has_value(co2, assume_unique=flag).collect())
+        assert got == [(1.0, 2.0), (2.0, 2.0)]
+
+
+def test_documents_keep_text_dates_and_print_timestamps_as_iso(spark):
+    df = spark.createDataFrame([("05/01/2020", dt.datetime(2020, 1, 5, 6, 7, 8), dt.datetime(2020, 1, 5, 6, 7, 8, 90))],
+                               "date string, at timestamp, fine timestamp")
+    got = documents.city_documents(df).collect()[0]
+    assert (got["date"], got["at"], got["fine"]) == ("05/01/2020", "2020-01-05T06:07:08", "2020-01-05T06:07:08.000090")
+    nodes = graph.nodes(df)
+    assert nodes.schema["at"].dataType.simpleString() == "timestamp"
+    assert nodes.collect()[0]["date"] is None
+
+
+def test_paths_without_a_suffix_are_told_by_their_files(spark):
+    base = tempfile.mkdtemp(prefix="kind-")
+    spark.range(3).write.parquet(f"{base}/p")
+    spark.range(3).write.option("header", "true").csv(f"{base}/c")
+    assert read_any(spark, f"{base}/p").count() == 3
+    assert read_any(spark, f"{base}/c").columns == ["id"]
+    with pytest.raises(AnalysisException):
+        read_any(spark, f"{base}/none")

@@ -1,12 +1,16 @@
 import itertools
 import math
+import os
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from aeris.functions.numeric import exact_avg, exact_sum
 from aeris.operators import cleaning, enrich, impute, validate
 from aeris.operators.joins import semi_join_reference
 from aeris.plans import cleaning as jobs
+from aeris.plans import climate_queries as cq
 from tests.conftest import rows
 
 TEMP_SCHEMA = "station_id string, k int, min_temp_c double, avg_temp_c double, max_temp_c double"
@@ -115,14 +119,97 @@ def test_spi_index_cases(spark):
     assert all(got[i] is None for i in range(6))
 
 
-def test_dedup_is_deterministic_and_keeps_smallest(spark):
+def test_dedup_is_deterministic_and_prefers_complete_rows(spark):
     df = spark.createDataFrame(
-        [("A", 1, 3.0, "z"), ("A", 1, 1.0, "y"), ("A", 1, None, "x"), ("B", 2, 5.0, "q")],
+        [("A", 1, 3.0, "z"), ("A", 1, 1.0, "y"), ("A", 1, None, "x"), ("B", 2, 5.0, "q"), ("C", 3, None, "b"),
+         ("C", 3, None, "a")],
         "s string, d int, v double, t string")
     got = rows(cleaning.dedup_by_key(df, ["s", "d"]))
-    assert got == [("A", 1, None, "x"), ("B", 2, 5.0, "q")]       # nulls sort first
+    assert got == [("A", 1, 1.0, "y"), ("B", 2, 5.0, "q"), ("C", 3, None, "a")]
     got2 = rows(cleaning.dedup_by_key(df, ["s", "d"], order_by=["t"]))
-    assert got2 == [("A", 1, None, "x"), ("B", 2, 5.0, "q")]
+    assert got2 == [("A", 1, 1.0, "y"), ("B", 2, 5.0, "q"), ("C", 3, None, "a")]
+
+
+def test_jobs_keep_the_complete_one_of_two_rows_with_a_key(spark):
+    import datetime as dt
+    day = dt.date(2020, 1, 1)
+    weather = _weather(spark, [("1", "A", day, "Winter", 10.0, 5.0, 15.0, 3.0), ("1", "A", day, "Winter", 10.0, 5.0, 15.0, None)])
+    valid, _ = jobs.clean_weather(weather, ["1"], spec=jobs.weather_spec(min_rows=1))
+    assert [r["precipitation_mm"] for r in valid.collect()] == [3.0]
+    co2 = spark.createDataFrame([("Aland", day, "Power", 7.0), ("Aland", day, "Power", None), ("Aland", day, "Industry", 100.0),
+                                 ("Aland", day, "Ships", 100.0)],
+                                "country string, date date, sector string, MtCO2_per_day double")
+    valid, _ = jobs.clean_co2(co2, ["Aland"])
+    assert {r["sector"]: r["MtCO2_per_day"] for r in valid.collect()} == {"Power": 7.0, "Industry": 100.0, "Ships": 100.0}
+
+
+def test_statistics_are_read_again_when_a_file_is_added(spark):
+    import datetime as dt
+    import shutil
+    import tempfile
+    base = tempfile.mkdtemp(prefix="grow-")
+
+    def write(data, name):
+        _weather(spark, data).coalesce(1).write.parquet(f"{base}/{name}")
+
+    def day(month, rain):
+        return ("1", "A", dt.date(2020, month, 1), "Winter", 10.0, 5.0, 15.0, rain)
+
+    def spi():
+        spark.catalog.refreshByPath(f"{base}/all")
+        df = spark.read.schema(_weather(spark, []).schema).parquet(f"{base}/all")
+        return sorted(r["spi_index"] for r in enrich.add_spi_index(df).collect()), df
+
+    write([day(1, 1.0), day(2, 2.0)], "all")
+    assert spi()[0] == [-0.7, 0.7]
+    write([day(3, 5.0)], "more")
+    for f in os.listdir(f"{base}/more"):
+        if f.endswith(".parquet"):
+            shutil.copy(f"{base}/more/{f}", f"{base}/all/")      # another process appends a file
+    values, df = spi()
+    assert values == [-0.8, -0.3, 1.1]
+    filled = impute.impute_temperatures(df.withColumn("avg_temp_c", F.when(F.month("date") < 3, F.col("avg_temp_c"))))
+    assert filled.count() == 3
+    result = validate.validate(df, jobs.weather_spec(min_rows=1), spark.createDataFrame([(1,)], "station_id int"))
+    assert result.summary()["count.final_count"] == 3
+
+
+def test_exact_median_does_not_depend_on_accuracy(spark):
+    values = [float((i * 7919) % 1009) for i in range(3000)] + [None] * 5
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    want = sorted(v for v in values if v is not None)[(3000 + 1) // 2 - 1]
+    assert {impute.exact_median(df, "v", accuracy) for accuracy in (20, 100, 10000)} == {want}
+    assert impute.exact_median(df.filter("v IS NULL"), "v") is None
+    assert impute.exact_median(spark.createDataFrame([(1.0,)] * 500, "v double"), "v", 10) == 1.0
+
+
+def test_exact_sums_fall_back_to_doubles_for_values_outside_the_type(spark):
+    df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("b", 1e27), ("b", 1.0), ("c", float("nan")), ("c", 2.0), ("d", None)],
+                               "k string, v double")
+    got = {r["k"]: (r["s"], r["a"]) for r in df.groupBy("k").agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).collect()}
+    assert got["a"] == (0.3, 0.15) and got["b"][0] == 1e27 and got["d"] == (None, None)
+    assert got["c"][0] != got["c"][0] and got["c"][1] != got["c"][1]
+
+
+def test_fanout_total_keeps_twelve_decimals(spark):
+    import datetime as dt
+    day = dt.date(2020, 1, 1)
+    w = spark.createDataFrame([("1", day, 1.0)] * 3, "station_id string, date date, avg_temp_c double")
+    cities = spark.createDataFrame([("1", "A", "FR")], "station_id string, city_name string, iso3 string")
+    countries = spark.createDataFrame([("France", "FR")], "country string, iso3 string")
+    co2 = spark.createDataFrame([("France", day, 1.234e-7)], "country string, date date, MtCO2_per_day double")
+    assert [r["daily_total_co2"] for r in cq.daily_temp_co2(w, cities, countries, co2).collect()] == [3.702e-7]
+
+
+def test_number_columns_beyond_the_integer_range_become_null(spark):
+    df = spark.createDataFrame([(3e12,), (4.0,)], "n double")
+    assert rows(cleaning.scrub_columns(df, integer=["n"])) == [(None,), (4,)]
+
+
+def test_text_reference_keys_meet_number_columns(spark):
+    df = spark.createDataFrame([(1,), (2,)], "station_id int")
+    ref = spark.createDataFrame([("1",), ("D1051",)], "station_id string")
+    assert rows(semi_join_reference(df, ref, "station_id")) == [(1,)]
 
 
 def test_semi_join_reference(spark):
@@ -172,13 +259,13 @@ def test_validation_gate_raises(spark):
     import datetime as dt
     data = [("1", "A", dt.date(2020, 1, 1), "Winter", 10.0, 5.0, 15.0, 1.0)]
     result = validate.validate(_weather(spark, data), jobs.weather_spec(min_rows=100), None)
-    with pytest.raises(ValueError, match="Quality gate"):
+    with pytest.raises(ValueError, match="too few valid rows"):
         result.check_gates()
 
 
 def test_validation_schema_check(spark):
     df = spark.createDataFrame([(1,)], "station_id int")
-    with pytest.raises(ValueError, match="missing columns"):
+    with pytest.raises(ValueError, match="columns not found"):
         validate.validate(df, jobs.weather_spec(), None)
 
 

@@ -23,13 +23,14 @@ def con():
 
 
 def _names():
-    from __spark_entry__ import oracle_sql
-    return sorted(oracle_sql())
+    from oracle_queries import ORACLE_SQL
+    return sorted(ORACLE_SQL)
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from aeris.plans.registry import QUERIES
+    from oracle_queries import ORACLE_SQL
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 @pytest.mark.parametrize("name", _names())

@@ -1,4 +1,9 @@
-from aeris.session import CHECKPOINT_CONF, CLUSTER_CONF, apply_cluster_conf, materialize, scratch_path
+import os
+
+import pytest
+
+from aeris.session import (CHECKPOINT_CONF, CLUSTER_CONF, apply_cluster_conf, ensure_checkpoint_dir, materialize,
+                           remove_paths, scratch_path)
 
 
 def test_scratch_and_materialize_use_the_session_checkpoint_dir(spark):
@@ -22,3 +27,29 @@ def test_cluster_conf_applies_and_restores(spark):
     for key in CLUSTER_CONF:
         if key.startswith("spark.sql.") and key != "spark.sql.shuffle.partitions":
             spark.conf.unset(key)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="share"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_lineage_cuts_can_be_removed(spark):
+    kept = []
+    df = materialize(spark.range(3), "gone", kept)
+    assert df.count() == 3 and len(kept) == 1
+    folder = kept[0]
+    remove_paths(spark, kept)
+    assert not os.path.exists(folder) and kept == []
