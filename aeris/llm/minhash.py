@@ -8,11 +8,15 @@ register keeps its earliest point, so two texts agree in a register with a proba
 their weighted Jaccard similarity.  Only points up to a time by which all registers are
 filled with near certainty are ever drawn; where one is not, the time is doubled.
 
-Signatures are cut into ``BANDS`` of ``ROWS`` registers.  Texts with the same words are one class.
-Within a bucket every member is compared with a pivot, and exact multiset overlap decides; members of a
-bucket that are not connected yet are then compared with other pivots, and what is still open after
-``PIVOTS`` rounds pair by pair.  So every two classes that share a bucket are either compared or
-already connected, without all pairs of a large group of near copies being made.
+Signatures are cut into ``BANDS`` of ``ROWS`` registers.  Two texts are candidates if they share a band and
+agree in ``LIKELY`` registers (a pair of similarity 0.8 falls short of that with a probability of 1e-7); one
+byte of each register is enough to see that, so texts without a candidate are never fetched.  Texts with the same words are one class, and
+buckets with the same members one bucket.  Within a bucket every member is compared with a pivot, and
+exact multiset overlap decides; members that are not connected yet are compared with the member that shares
+most buckets, then with others.  What is still open after ``PIVOTS`` rounds is compared in
+blocks: a unit of work holds two blocks of a bucket and reports a spanning forest of the links between members
+that were not connected, never the pairs.  So every two classes that share a bucket are either compared
+or already connected.
 
 Words are runs of characters other than blank and U+0009..U+000D, taken as they are; a text of fewer than
 five words is one shingle.  Defined cases: a null text or one without words is a group of its own; rows
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import connected_components, read_table, whole_rows, whole_text
+from aeris.llm.common import connected_components, read_table, shuffle_files_removed, whole_rows, whole_text
 from aeris.llm.hashing import mix, shingle_hashes, word_hashes
 from aeris.session import materialize
 
@@ -37,7 +41,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS = 5
 BANDS = 30
-PIVOTS = 3
+PIVOTS = 1
+LIKELY = 94  # of the 150 registers
+BLOCK = 256  # members of a bucket compared with one another in one unit, about
+BLOCK_BYTES = 1 << 24
+_COLUMNS = 1 << 13  # shingles that a comparison takes at a time
 TOP = (1 << 63) - 1
 _TOGETHER = 1 << 15  # shingles whose points are drawn together, at least
 _BATCH = 1 << 24  # bytes of shingles in a batch, about
@@ -130,23 +138,27 @@ def words_key(text: Column) -> Column:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of every row; key and bands are null for texts without words."""
+    """(doc_id, key, bands, sketch) of every row; all but doc_id are null for texts without words.
+
+    ``sketch`` has the low byte of each register.
+    """
     def run(batches):
         for b in batches:
-            bands, bags, held = [], [], 0
+            bands, sketches, bags, held = [], [], [], 0
             for k, t in enumerate(b.column("_text")):
                 bags.append(shingles(t.as_py()))
                 held += len(bags[-1][0])
                 if held >= _TOGETHER or k == b.num_rows - 1:
-                    bands += [band_names(sig, BANDS, ROWS) if len(sig) else None
-                              for sig in bag_minhashes(bags, BANDS * ROWS)]
+                    for sig in bag_minhashes(bags, BANDS * ROWS):
+                        bands.append(band_names(sig, BANDS, ROWS) if len(sig) else None)
+                        sketches.append(sig.astype(np.uint8).tobytes() if len(sig) else None)
                     bags, held = [], 0
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(bands, pa.list_(pa.int64()))],
-                                             ["doc_id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(bands, pa.list_(pa.int64())),
+                                              pa.array(sketches, pa.binary())], ["doc_id", "key", "bands", "sketch"])
 
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(TOP)).alias("doc_id"),
                        words_key(whole_text()).alias("key"), whole_text().alias("_text")).mapInArrow(
-        run, "doc_id long, key string, bands array<long>")
+        run, "doc_id long, key string, bands array<long>, sketch binary")
 
 
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -195,41 +207,184 @@ def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
 
 
+def _compare(bags: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.ndarray:
+    """Which bags overlap enough, all against all: shared (shingle, level) cells are counted by a matrix product."""
+    owner = np.repeat(np.arange(len(bags)), [int(c.sum()) for _, c in bags])
+    cells = np.concatenate([mix(np.repeat(x, c) + _levels(c)) for x, c in bags])
+    _, cell, seen = np.unique(cells, return_inverse=True, return_counts=True)
+    common = seen[cell] > 1
+    place = np.cumsum(seen > 1) - 1
+    owner, cell = owner[common], place[cell[common]]
+    order = np.argsort(cell, kind="stable")
+    owner, cell = owner[order], cell[order]
+    both = np.zeros((len(bags), len(bags)), np.float32)
+    for low in range(0, int(cell[-1]) + 1 if len(cell) else 0, _COLUMNS):
+        a, b = np.searchsorted(cell, (low, low + _COLUMNS))
+        table = np.zeros((len(bags), _COLUMNS), np.float32)
+        table[owner[a:b], cell[a:b] - low] = 1
+        both += table @ table.T
+    size = np.array([float(c.sum()) for _, c in bags])
+    return both >= similarity * (size[:, None] + size[None, :] - both)
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """0 .. c - 1 for each count c, spread over the 64-bit numbers."""
+    at = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return at.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` vertices the smallest one that the pairs connect it with."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        if (root == before).all():
+            return root
+
+
+def _in_blocks(rows: DataFrame, blocks: DataFrame, cols: list[str]) -> DataFrame:
+    """``rows`` of each bucket dealt to units of two blocks: band, bi, bj and ``cols``; ``blocks`` (band, blocks)."""
+    return rows.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", F.least("block", "_other").alias("bi"), F.greatest("block", "_other").alias("bj"), *cols)
+
+
+def _sketches(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+
+
+def _with_candidates(live: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(band, id) of the members of a bucket that have a candidate in it."""
+    blocks = live.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    units = _in_blocks(live.join(sketches, "id"), blocks, ["id", "sketch"])
+    keys = ["band", "bi", "bj"]
+
+    def run(batches):
+        key, held, found = None, [], []
+
+        def close():
+            s = _sketches([h[1] for h in held])
+            for a in range(0, len(s), 64):
+                agree = (s[a:a + 64, None, :] == s[None, :, :]).sum(axis=2) >= LIKELY
+                agree[np.arange(len(agree)), np.arange(a, a + len(agree))] = False
+                found.extend((key[0], held[a + k][0]) for k in np.flatnonzero(agree.any(axis=1)))
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found, strict=True)], ["band", "id"])
+
+        for b in batches:
+            for *own, i, sketch in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if own != key:
+                    if len(held) > 1:
+                        close()
+                    key, held = own, []
+                held.append((i, sketch))
+            if found:
+                yield batch()
+                found.clear()
+        if len(held) > 1:
+            close()
+        if found:
+            yield batch()
+
+    return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "band long, id long").distinct()
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that agree in enough registers."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                keep = (_sketches(b.column(2).to_pylist()) == _sketches(b.column(3).to_pylist())).sum(axis=1) >= LIKELY
+                yield pa.RecordBatch.from_arrays(list(b.columns[:2]), ["a", "b"]).filter(pa.array(keep))
+
+    full = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a").join(
+        sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
+    return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _open_links(placed: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the parts that are left in each bucket (band, id, part)."""
+    full = placed.join(bags, "id")
+    blocks = full.groupBy("band").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("bag")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    units = _in_blocks(full, blocks, ["id", "part", "bag"])
+    keys = ["band", "bi", "bj"]
+
+    def run(batches):
+        key, held = None, []
+
+        def close():
+            parts = np.array([h[1] for h in held])
+            if len(held) < 2 or (parts == parts[0]).all():
+                return None
+            close_by = _compare([_bag(h[2]) for h in held], similarity) & (parts[:, None] != parts[None, :])
+            a, b = np.nonzero(np.triu(close_by, 1))
+            root = _forest(a, b, len(held))
+            ids, at = np.array([h[0] for h in held], np.int64), np.flatnonzero(root != np.arange(len(held)))
+            return pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[root[at]])], ["a", "b"]) if len(at) else None
+
+        for b in batches:
+            for *own, i, part, bag in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if own != key:
+                    if (out := close() if held else None) is not None:
+                        yield out
+                    key, held = own, []
+                held.append((i, part, bag))
+        if (out := close() if held else None) is not None:
+            yield out
+
+    return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, key, group_id) for every row of ``docs``; doc_id TOP stands for null."""
+    with shuffle_files_removed(docs.sparkSession):
+        return _groups(docs, similarity)
+
+
+def _groups(docs: DataFrame, similarity: float) -> DataFrame:
     rows = materialize(signatures(docs), "signatures")
     classes = materialize(rows.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "text-classes")
+        F.min("doc_id").alias("id"), F.first(F.struct("bands", "sketch")).alias("s")).select("key", "id", "s.*"), "text-classes")
     entries = classes.select("id", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).filter("n > 1")
-    live = materialize(entries.join(shared.drop("n"), "band"), "buckets")
-    bags = materialize(_bags(docs, live.select("id").distinct()), "bags")
-
-    tested = materialize(_ordered(live, "id", "pivot"), "pairs-0")
-    links = materialize(_verified(tested, bags, similarity), "links-0")
+    shared = entries.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")).filter("n > 1")
+    apart = shared.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
+    sketches = classes.select("id", "sketch")
+    near = materialize(_with_candidates(materialize(entries.join(apart, "band"), "buckets"), sketches), "candidates")
+    members = materialize(near.join(near.groupBy("id").agg(F.count(F.lit(1)).alias("weight")), "id"), "members")
+    bags = materialize(_bags(docs, near.select("id").distinct()), "bags")
+
+    pivots = near.groupBy("band").agg(F.min("id").alias("pivot"))
+    tested = materialize(_ordered(near.join(pivots, "band"), "id", "pivot"), "pairs-0")
+    links = materialize(_verified(_likely(tested, sketches), bags, similarity), "links-0")
     parts = materialize(connected_components(links, "texts-0"), "parts-0")
-    members = live.select("band", "id")
-    for k in range(1, PIVOTS + 2):
-        placed = members.join(parts, "id", "left").select("band", "id", F.coalesce("component", "id").alias("part"))
-        split = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"),
-                                           F.min_by(F.struct(F.col("id").alias("pivot"), F.col("part").alias("home")),
-                                                    F.xxhash64(F.lit(k), "id")).alias("p")).filter("low <> high")
+    for k in range(1, PIVOTS + 1):
+        placed = members.join(parts, "id", "left").select("band", "id", "weight", F.coalesce("component", "id").alias("part"))
+        order = -F.col("weight") if k == 1 else F.xxhash64(F.lit(k), "id")
+        split = placed.groupBy("band").agg(
+            F.min("part").alias("low"), F.max("part").alias("high"),
+            F.min_by(F.struct(F.col("id").alias("pivot"), F.col("part").alias("home")), F.struct(order, "id")).alias("p")).filter("low <> high")
         # whole buckets leave as soon as all their members are connected
         placed = materialize(placed.join(split.select("band", "p.pivot", "p.home"), "band"), f"open-{k}")
-        if k <= PIVOTS:
-            pairs = placed.filter("part <> home").select("id", "pivot")
-        else:
-            left, right = placed.select("band", "id", "part"), placed.select("band", F.col("id").alias("pivot"), F.col("part").alias("home"))
-            pairs = left.join(right, "band").filter("part <> home AND id > pivot").select("id", "pivot")
+        pairs = placed.filter("part <> home").select("id", "pivot")
         fresh = materialize(_ordered(pairs, "id", "pivot").join(tested, ["a", "b"], "left_anti"), f"pairs-{k}")
+        members = placed.select("band", "id", "weight")
         if fresh.isEmpty():
-            if k <= PIVOTS:
-                continue
-            break
-        new = materialize(_verified(fresh, bags, similarity), f"links-{k}")
-        tested, links = tested.union(fresh), links.union(new)
+            continue
+        tested, links = tested.union(fresh), links.union(
+            materialize(_verified(_likely(fresh, sketches), bags, similarity), f"links-{k}"))
         parts = materialize(connected_components(links, f"texts-{k}"), f"parts-{k}")
-        members = placed.select("band", "id")
+    placed = members.join(parts, "id", "left").select("band", "id", F.coalesce("component", "id").alias("part"))
+    split = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    rest = materialize(_open_links(materialize(placed.join(split.select("band"), "band"), "open"), bags, similarity), "links")
+    if not rest.isEmpty():
+        parts = materialize(connected_components(links.union(rest), "texts"), "parts")
     owner = classes.join(parts, "id", "left").select("key", F.coalesce("component", "id").alias("group_id"))
     return rows.select("doc_id", "key").join(owner, "key", "left").select(
         "doc_id", "key", F.coalesce("group_id", "doc_id").alias("group_id"))

@@ -182,3 +182,14 @@ def test_hashing_block_by_block_changes_nothing(monkeypatch):
     whole = suffix_dedup.hashes_at(raw, at, suffix_dedup.NAME_LENGTH)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
     assert np.array_equal(suffix_dedup.hashes_at(raw, at, suffix_dedup.NAME_LENGTH), whole)
+
+
+def test_blocks_alone_find_the_same_groups(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PIVOTS", 0)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "_COLUMNS", 50)
+    rnd = random.Random(8)
+    base = [f"w{j}" for j in range(100)]
+    rows = [(k, edited(rnd, base, rnd.randrange(0, 9))) for k in range(60)] + [(90, "a b " * 40), (91, "a b " * 37), (92, "a b " * 20)]
+    got = {r["doc_id"]: r["group_id"] for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_copies(rows)
