@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aeris.llm.common import connected_components, read_table
 from aeris.session import materialize
@@ -105,19 +106,25 @@ def _unit(a: np.ndarray) -> np.ndarray:
     return a / np.sqrt((a * a).sum(axis=-1, keepdims=True))
 
 
-def packed(vectors: DataFrame, vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, vec): the numbers as bytes of doubles, null where the vector can link with nothing."""
+def packed(vectors: DataFrame, kind: str, vec_col: str = "embedding") -> DataFrame:
+    """(vec_id, vec): the numbers as bytes of ``kind``, null where the vector can link with nothing."""
     def run(batches):
         for b in batches:
             raw = [_usable(v) for v in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([None if a is None else a.tobytes() for a in raw], pa.binary())], ["vec_id", "vec"])
+                [b.column(0), pa.array([None if a is None else a.astype(kind).tobytes() for a in raw], pa.binary())],
+                ["vec_id", "vec"])
 
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(run, "vec_id long, vec binary")
 
 
-def _named(classes: DataFrame, hashes: int, tables: int) -> DataFrame:
+def _doubles(raw: list[bytes], kind: str) -> np.ndarray:
+    """Packed vectors of one length as rows of doubles."""
+    return np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+
+
+def _named(classes: DataFrame, hashes: int, tables: int, kind: str, name_kind: str) -> DataFrame:
     """Classes with their bucket names as bytes."""
     def run(batches):
         for b in batches:
@@ -127,26 +134,26 @@ def _named(classes: DataFrame, hashes: int, tables: int) -> DataFrame:
             for k, v in enumerate(vecs):
                 by_length.setdefault(len(v), []).append(k)
             for own in by_length.values():
-                x = _unit(np.frombuffer(b"".join([vecs[k] for k in own]), np.float64).reshape(len(own), -1))
-                for k, row in zip(own, bucket_names(x, hashes, tables), strict=True):
+                x = _unit(_doubles([vecs[k] for k in own], kind))
+                for k, row in zip(own, bucket_names(x, hashes, tables).astype(name_kind), strict=True):
                     names[k] = row.tobytes()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.binary())], [*b.schema.names, "names"])
 
     return classes.mapInArrow(run, "key string, rep long, copies long, vec binary, names binary")
 
 
-def _entries(named: DataFrame, tables: int) -> DataFrame:
+def _entries(named: DataFrame, tables: int, kind: str, name_kind: str) -> DataFrame:
     """One row for each bucket that a class is indexed in or looks into: (rep, dim, t, name, own)."""
     def run(batches):
         for b in batches:
             n = b.num_rows
-            names = np.frombuffer(b"".join(b.column("names").to_pylist()), np.int64).reshape(n, tables, PROBES)
-            dims = np.array([len(v) // 8 for v in b.column("vec").to_pylist()], np.int32)
+            names = np.frombuffer(b"".join(b.column("names").to_pylist()), name_kind).astype(np.int64)
+            dims = np.array([len(v) // np.dtype(kind).itemsize for v in b.column("vec").to_pylist()], np.int32)
             each = tables * PROBES
             yield pa.RecordBatch.from_arrays([
                 *[c.take(pa.array(np.repeat(np.arange(n), each))) for c in b.columns],
                 pa.array(np.repeat(dims, each)), pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), PROBES), n)),
-                pa.array(names.reshape(-1)), pa.array(np.tile(np.arange(PROBES) == 0, n * tables))],
+                pa.array(names), pa.array(np.tile(np.arange(PROBES) == 0, n * tables))],
                 [*b.schema.names, "dim", "t", "name", "own"])
 
     return named.select("rep", "copies", "vec", "names").mapInArrow(
@@ -195,7 +202,7 @@ def _compare(rows: dict[str, np.ndarray], t: int, name: int, across: bool, thres
     return rep[at], links[at].astype(np.int64), _forest(len(rep), a, b, rep)[at]
 
 
-def _units(placed: DataFrame, tables: int, threshold: float) -> DataFrame:
+def _units(placed: DataFrame, tables: int, threshold: float, kind: str, name_kind: str) -> DataFrame:
     keys = ["dim", "t", "name", "bi", "bj"]
     ordered = placed.repartition(*keys).sortWithinPartitions(*keys)
 
@@ -207,9 +214,9 @@ def _units(placed: DataFrame, tables: int, threshold: float) -> DataFrame:
                 return None
             rows = {
                 "rep": np.array([r[0] for r in held], np.int64), "copies": np.array([r[1] for r in held], np.int64),
-                "vec": np.frombuffer(b"".join([r[2] for r in held]), np.float64).reshape(len(held), -1),
+                "vec": _doubles([r[2] for r in held], kind),
                 "own": np.array([r[3] for r in held], bool), "block": np.array([r[4] for r in held], np.int64),
-                "names": np.frombuffer(b"".join([r[5] for r in held]), np.int64).reshape(len(held), tables, PROBES)}
+                "names": np.frombuffer(b"".join([r[5] for r in held]), name_kind).reshape(len(held), tables, PROBES)}
             return _compare(rows, key[1], key[2], key[3] != key[4], threshold)
 
         for batch in batches:
@@ -236,22 +243,27 @@ def _links(found) -> pa.RecordBatch:
 
 def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row of ``vectors`` (vec_id, embedding)."""
-    rows = materialize(packed(vectors).withColumn("key", F.sha2("vec", 256)), "vectors")
+    element = vectors.schema["embedding"].dataType.elementType
+    kind = "<f4" if isinstance(element, T.FloatType) else "<f8"   # the numbers as they are; cosines are doubles
+    rows = materialize(packed(vectors, kind).withColumn("key", F.sha2("vec", 256)), "vectors")
     top = F.lit((1 << 63) - 1)
     classes = rows.filter("vec IS NOT NULL").groupBy("key").agg(
         F.min(F.coalesce("vec_id", top)).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
     classes = materialize(classes, "vector-classes")
     shape = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("vec")).alias("bytes")).first()
-    hashes, tables = tables_for(shape["n"], (shape["bytes"] or 16) // 8)
-    named = materialize(_named(classes.select("key", "rep", "copies", "vec"), hashes, tables), "vector-names")
-    entries = _entries(named, tables)
+    dim = (shape["bytes"] or 16) // np.dtype(kind).itemsize
+    hashes, tables = tables_for(shape["n"], dim)
+    # a name is a number below (2 * padded length) ** hashes
+    name_kind = "<i4" if hashes * (1 + max(1, (dim - 1).bit_length())) < 31 else "<i8"
+    named = materialize(_named(classes.select("key", "rep", "copies", "vec"), hashes, tables, kind, name_kind), "vector-names")
+    entries = _entries(named, tables, kind, name_kind)
     large = entries.groupBy("dim", "t", "name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK).select(
         "dim", "t", "name", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     placed = entries.join(large, ["dim", "t", "name"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(
         "block", F.pmod(F.xxhash64("rep", "vec"), F.col("blocks")).cast("int")).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "bi", F.least("block", "_other")).withColumn("bj", F.greatest("block", "_other")).drop("_other", "blocks")
-    found = materialize(_units(placed, tables, threshold), "vector-links")
+    found = materialize(_units(placed, tables, threshold, kind, name_kind), "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vector-parts")
     per_class = (classes.select("key", "rep", "copies").join(links, "rep", "left")
