@@ -72,6 +72,8 @@ def byte_symbols() -> list[str]:
 class Bpe:
     """Encoder and decoder for one vocabulary file (the text of its JSON)."""
 
+    most_runs: int | None = None  # KNOWN_RUNS where not set
+
     def __init__(self, spec: str):
         d = json.loads(spec)
         model = d["model"]
@@ -89,7 +91,7 @@ class Bpe:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.runs: dict[str, tuple] = {}
+        self.runs: dict = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -143,8 +145,8 @@ class Bpe:
             ids += [self.special[part]] if part in self.special else self._plain(part) if part else []
         return ids
 
-    def _keep(self, run: str, out: tuple) -> tuple:
-        if len(self.runs) < KNOWN_RUNS and len(run) <= LONGEST_KNOWN:
+    def _keep(self, run: str, out):
+        if len(self.runs) < (self.most_runs or KNOWN_RUNS) and len(run) <= LONGEST_KNOWN:
             self.runs[run] = out
         return out
 

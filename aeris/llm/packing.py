@@ -47,6 +47,8 @@ ROWS_PER_GROUP = 500  # pieces of one length ranked together, on average
 class LibraryCoder(bpe.Bpe):
     """Ids by the tokenizers library: its model merges each new piece, the run table answers for known ones."""
 
+    most_runs = 500_000  # ids only, so the table may be longer
+
     def __init__(self, spec: str):
         super().__init__(spec)
         self.model = Tokenizer.from_str(spec).model
@@ -55,9 +57,13 @@ class LibraryCoder(bpe.Bpe):
     def merge(self, piece: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.symbols))]
 
-    def _run(self, run: str) -> tuple[int, bytes]:
+    def _run(self, run: str) -> bytes:
         ids = self._ids(run)
-        return self._keep(run, (len(ids), struct.pack(f"<{len(ids)}I", *ids)))
+        return self._keep(run, struct.pack(f"<{len(ids)}I", *ids))
+
+    def encode(self, text: str) -> np.ndarray:
+        known, miss = self.runs.get, self._run
+        return np.frombuffer(b"".join([known(r) or miss(r) for r in bpe.runs_of(text)]), "<u4")
 
 
 @lru_cache(maxsize=2)
