@@ -45,6 +45,7 @@ PIVOTS = 1
 LIKELY = 94  # of the 150 registers
 BLOCK = 256  # members of a bucket compared with one another in one unit, about
 BLOCK_BYTES = 1 << 24
+MARKS = 1 << 26  # bits of the map that tells texts without a candidate
 _COLUMNS = 1 << 13  # shingles that a comparison takes at a time
 TOP = (1 << 63) - 1
 _TOGETHER = 1 << 15  # shingles whose points are drawn together, at least
@@ -161,19 +162,36 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, "doc_id long, key string, bands array<long>, sketch binary")
 
 
+def _marks(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with the hashed ids of ``wanted`` (id): 2048 rows of 4 KB at most reach the driver."""
+    spot = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    rows = wanted.groupBy(F.floor(spot / 32768).cast("long").alias("page")).agg(
+        F.bitmap_construct_agg(spot % 32768).alias("bits")).collect()
+    out = np.zeros(MARKS // 8, np.uint8)
+    for r in rows:
+        out[r["page"] * 4096:(r["page"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, bag) of the documents whose id is in ``wanted`` (id): shingles and counts as bytes."""
+    """(id, bag) of the documents whose id is in ``wanted`` (id): shingles and counts as bytes.
+
+    The bitmap spares most other texts the work; the join decides.  Texts are not shuffled, bags are.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(wanted))
+
     def run(batches):
-        ids, bags, held = [], [], 0
+        marks, ids, bags, held = shared.value, [], [], 0
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bags, pa.binary())], ["id", "bag"])
 
         for b in batches:
-            for i, t in zip(*b.columns, strict=True):
-                found, counts = shingles(t.as_py())
+            spot = b.column(2).to_numpy()
+            for k in np.flatnonzero(marks[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).tolist():
+                found, counts = shingles(b.column(1)[k].as_py())
                 if len(found):
-                    ids.append(i.as_py())
+                    ids.append(b.column(0)[k].as_py())
                     bags.append(found.tobytes() + counts.astype(np.int32).tobytes())
                     held += len(bags[-1])
                 if held >= _BATCH:
@@ -183,7 +201,8 @@ def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch()
 
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(TOP)).alias("id"), whole_text().alias("t"))
-    return texts.join(wanted, "id", "left_semi").select("id", "t").mapInArrow(run, "id long, bag binary")
+    made = texts.withColumn("spot", F.pmod(F.xxhash64("id"), F.lit(MARKS))).mapInArrow(run, "id long, bag binary")
+    return made.join(wanted, "id", "left_semi")
 
 
 def _bag(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
