@@ -1,6 +1,7 @@
 import itertools
 import math
 import os
+import random
 
 import pandas as pd
 import pytest
@@ -183,6 +184,27 @@ def test_exact_median_does_not_depend_on_accuracy(spark):
     assert impute.exact_median(spark.createDataFrame([(1.0,)] * 500, "v double"), "v", 10) == 1.0
 
 
+@pytest.mark.parametrize("n", [29, 87, 149])
+def test_exact_median_asks_for_its_rank(spark, n):
+    df = spark.createDataFrame([(float(k),) for k in range(1, n + 1)], "v double")
+    assert impute.exact_median(df, "v") == (n + 1) // 2
+
+
+def test_exact_median_of_bracketed_ranks(spark):
+    rng = random.Random(3)
+    for n in (487, 730, 1111, 2903):
+        values = rng.sample(range(10 ** 6), n)
+        df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
+        for accuracy in (29, 87, 149):
+            assert impute.exact_median(df, "v", accuracy) == sorted(values)[(n + 1) // 2 - 1], (n, accuracy)
+
+
+def test_exact_median_between_two_frequent_values(spark):
+    df = spark.createDataFrame([(0.0,)] * 300 + [(1.0,)] * 300, "v double")
+    assert impute.exact_median(df, "v", 10) == 0.0
+    assert impute.exact_median(df.union(df.filter("v = 1")), "v", 10) == 1.0
+
+
 def test_exact_sums_fall_back_to_doubles_for_values_outside_the_type(spark):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("b", 1e27), ("b", 1.0), ("c", float("nan")), ("c", 2.0), ("d", None)],
                                "k string, v double")
