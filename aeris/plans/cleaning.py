@@ -195,7 +195,7 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
         out = _impute_and_standardize_fused(out, config, std)
     else:
         out = impute.impute_temperatures(out, mean_cols=config.mean_cols, median_cols=config.median_cols,
-                                         accuracy=config.median_accuracy)
+                                         accuracy=config.median_accuracy, paths=scratch)
         out = _declared_fills(out, config)
         out = enrich.add_spi_index(out.withColumns(std))
     out = enrich.add_risk_scores(enrich.add_weather_attributes(out))

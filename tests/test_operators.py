@@ -205,6 +205,17 @@ def test_exact_median_between_two_frequent_values(spark):
     assert impute.exact_median(df.union(df.filter("v = 1")), "v", 10) == 1.0
 
 
+def test_group_medians_do_not_depend_on_group_size(spark):
+    hot = spark.range(30001).select(F.when(F.col("id") < 0, "").alias("g"), ((F.col("id") * 7919) % 30011).cast("double").alias("v"))
+    small = [("a", v) for v in (1.0, 2.0, 3.0, None)] + [("b", 5.0)] * 4 + [("b", 6.0)] * 4 + [("c", None)]
+    df = hot.union(spark.createDataFrame(small, "g string, v double")).repartition(4)
+    values = sorted((k * 7919) % 30011 for k in range(30001))
+    want = {None: values[15000], "a": 2.0, "b": 5.0, "c": None}
+    for accuracy in (100, impute.DEFAULT_ACCURACY):
+        stats = impute.group_stats(df, ["g"], median_cols=["v"], accuracy=accuracy).collect()
+        assert len(stats) == 4 and {r["g"]: r["__v_median"] for r in stats} == want
+
+
 def test_exact_sums_fall_back_to_doubles_for_values_outside_the_type(spark):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("b", 1e27), ("b", 1.0), ("c", float("nan")), ("c", 2.0), ("d", None)],
                                "k string, v double")
