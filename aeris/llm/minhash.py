@@ -18,9 +18,13 @@ blocks: a unit of work holds two blocks of a bucket and reports a spanning fores
 that were not connected, never the pairs.  So every two classes that share a bucket are either compared
 or already connected.
 
+Vertices, bucket members and join keys are classes, named by a 64-bit hash of their words; doc_ids only come in
+at the end, where a group is named by the smallest one of its rows.  Different texts under one doc_id, or
+without one, are thus told apart.
+
 Words are runs of characters other than blank and U+0009..U+000D, taken as they are; a text of fewer than
-five words is one shingle.  Defined cases: a null text or one without words is a group of its own; rows
-that share a doc_id are one vertex, and rows that repeat doc_id and words share their verdict;
+five words is one shingle.  Defined cases: a null text or one without words is a group of its own; of each group
+the class with the smallest doc_id (then digest) stays, so rows that repeat doc_id and words share their verdict;
 a null doc_id counts as the largest id; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -138,6 +142,11 @@ def words_key(text: Column) -> Column:
     return F.when(F.length(words) > 0, F.sha2(words, 256))
 
 
+def class_id(key: Column) -> Column:
+    """Name of a text class in links, buckets and joins."""
+    return F.xxhash64(key)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, key, bands, sketch) of every row; all but doc_id are null for texts without words.
 
@@ -163,8 +172,8 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _marks(wanted: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with the hashed ids of ``wanted`` (id): 2048 rows of 4 KB at most reach the driver."""
-    spot = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    """A bitmap of fixed size with the hashes of ``wanted`` (id, rep): 2048 rows of 4 KB at most reach the driver."""
+    spot = F.pmod(F.xxhash64("id", "rep"), F.lit(MARKS))
     rows = wanted.groupBy(F.floor(spot / 32768).cast("long").alias("page")).agg(
         F.bitmap_construct_agg(spot % 32768).alias("bits")).collect()
     out = np.zeros(MARKS // 8, np.uint8)
@@ -174,14 +183,15 @@ def _marks(wanted: DataFrame) -> np.ndarray:
 
 
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, bag) of the documents whose id is in ``wanted`` (id): shingles and counts as bytes.
+    """(id, bag) of the classes in ``wanted`` (id, smallest doc_id): shingles and counts as bytes.
 
-    The bitmap spares most other texts the work; the join decides.  Texts are not shuffled, bags are.
+    The bitmap spares most other texts and copies the work; the join decides.  Texts are not shuffled, bags are,
+    one of a class from each task at most.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_marks(wanted))
 
     def run(batches):
-        marks, ids, bags, held = shared.value, [], [], 0
+        marks, ids, bags, held, done = shared.value, [], [], 0, set()
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bags, pa.binary())], ["id", "bag"])
@@ -189,9 +199,13 @@ def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             spot = b.column(2).to_numpy()
             for k in np.flatnonzero(marks[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).tolist():
+                own = b.column(0)[k].as_py()
+                if own in done:
+                    continue
+                done.add(own)
                 found, counts = shingles(b.column(1)[k].as_py())
                 if len(found):
-                    ids.append(b.column(0)[k].as_py())
+                    ids.append(own)
                     bags.append(found.tobytes() + counts.astype(np.int32).tobytes())
                     held += len(bags[-1])
                 if held >= _BATCH:
@@ -200,9 +214,11 @@ def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         if ids:
             yield batch()
 
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(TOP)).alias("id"), whole_text().alias("t"))
-    made = texts.withColumn("spot", F.pmod(F.xxhash64("id"), F.lit(MARKS))).mapInArrow(run, "id long, bag binary")
-    return made.join(wanted, "id", "left_semi")
+    rep = F.coalesce(F.col("doc_id").cast("long"), F.lit(TOP))
+    texts = docs.select(class_id(words_key(whole_text())).alias("id"), whole_text().alias("t"), rep.alias("rep"))
+    made = texts.select("id", "t", F.pmod(F.xxhash64("id", "rep"), F.lit(MARKS)).alias("spot")).mapInArrow(
+        run, "id long, bag binary")
+    return made.join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
 def _bag(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -360,7 +376,7 @@ def _open_links(placed: DataFrame, bags: DataFrame, similarity: float) -> DataFr
 
 
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, key, group_id) for every row of ``docs``; doc_id TOP stands for null."""
+    """(doc_id, key, group_id, kept) for every row of ``docs``; doc_id TOP stands for null."""
     with shuffle_files_removed(docs.sparkSession):
         return _groups(docs, similarity)
 
@@ -368,7 +384,8 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def _groups(docs: DataFrame, similarity: float) -> DataFrame:
     rows = materialize(signatures(docs), "signatures")
     classes = materialize(rows.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("id"), F.first(F.struct("bands", "sketch")).alias("s")).select("key", "id", "s.*"), "text-classes")
+        F.min("doc_id").alias("rep"), F.first(F.struct("bands", "sketch")).alias("s")).select(
+        "key", class_id(F.col("key")).alias("id"), "rep", "s.*"), "text-classes")
     entries = classes.select("id", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"),
@@ -377,7 +394,8 @@ def _groups(docs: DataFrame, similarity: float) -> DataFrame:
     sketches = classes.select("id", "sketch")
     near = materialize(_with_candidates(materialize(entries.join(apart, "band"), "buckets"), sketches), "candidates")
     members = materialize(near.join(near.groupBy("id").agg(F.count(F.lit(1)).alias("weight")), "id"), "members")
-    bags = materialize(_bags(docs, near.select("id").distinct()), "bags")
+    wanted = materialize(classes.select("id", "rep").join(near.select("id").distinct(), "id", "left_semi"), "wanted")
+    bags = materialize(_bags(docs, wanted), "bags")
 
     pivots = near.groupBy("band").agg(F.min("id").alias("pivot"))
     tested = materialize(_ordered(near.join(pivots, "band"), "id", "pivot"), "pairs-0")
@@ -404,14 +422,19 @@ def _groups(docs: DataFrame, similarity: float) -> DataFrame:
     rest = materialize(_open_links(materialize(placed.join(split.select("band"), "band"), "open"), bags, similarity), "links")
     if not rest.isEmpty():
         parts = materialize(connected_components(links.union(rest), "texts"), "parts")
-    owner = classes.join(parts, "id", "left").select("key", F.coalesce("component", "id").alias("group_id"))
+    linked = classes.select("key", "id", "rep").join(parts, "id")
+    first = linked.groupBy("component").agg(F.min(F.struct("rep", "key")).alias("first"))
+    owner = linked.join(first, "component").select("id", "first")
+    owner = classes.select("key", "id", "rep").join(owner, "id", "left").select(
+        "key", F.coalesce("first.rep", "rep").alias("group_id"), F.coalesce("first.key", "key").alias("_stays"))
     return rows.select("doc_id", "key").join(owner, "key", "left").select(
-        "doc_id", "key", F.coalesce("group_id", "doc_id").alias("group_id"))
+        "doc_id", "key", F.coalesce("group_id", "doc_id").alias("group_id"),
+        F.coalesce((F.col("doc_id") == F.col("group_id")) & (F.col("key") == F.col("_stays")), F.lit(True)).alias("kept"))
 
 
 def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group, all columns unchanged."""
-    stay = groups(docs, similarity).filter("doc_id = group_id").select(
+    stay = groups(docs, similarity).filter("kept").select(
         F.col("doc_id").alias("_id"), F.coalesce("key", F.lit("")).alias("_key")).distinct()
     text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
     marked = whole_rows(docs).withColumn("_id", F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(TOP))).withColumn(
@@ -422,5 +445,4 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def op2_minhash(spark, sf_dir: str) -> DataFrame:
     found = groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     real = F.nullif(F.col("doc_id"), F.lit(TOP))
-    return found.select(real.alias("doc_id"), F.nullif(F.col("group_id"), F.lit(TOP)).alias("group_id"),
-                        (F.col("doc_id") == F.col("group_id")).alias("kept"))
+    return found.select(real.alias("doc_id"), F.nullif(F.col("group_id"), F.lit(TOP)).alias("group_id"), "kept")

@@ -1,5 +1,6 @@
 """Near copies, vectors, repeated strings."""
 
+import hashlib
 import random
 
 import duckdb
@@ -80,6 +81,32 @@ def test_near_copy_edge_rows(spark):
     assert minhash.dedup(df.filter("false")).count() == 0
 
 
+def test_texts_without_an_id_or_under_one_id_are_told_apart(spark):
+    rnd = random.Random(12)
+    base, other = [f"p{j}" for j in range(80)], [f"q{j}" for j in range(80)]
+    alone = [" ".join(f"z{k}x{j}" for j in range(60)) for k in range(3)]
+    rows = [(3, " ".join(base)), (None, edited(rnd, base, 1)), (None, alone[0]), (None, alone[0]), (5, " ".join(other)),
+            (9, edited(rnd, other, 1)), (9, alone[1]), (8, edited(rnd, base, 1)), (None, alone[2]),
+            (20, "one two three four five six seven"), (20, "one two three four five six seven one two three four five six seven")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {t: (r["group_id"], r["kept"]) for r in minhash.groups(df.select("doc_id", "text")).collect()
+           for d, t in rows if (minhash.TOP if d is None else d) == r["doc_id"] and hashlib.sha256(t.encode()).hexdigest() == r["key"]}
+    top = minhash.TOP
+    assert [got[t] for _, t in rows] == [(3, True), (3, False), (top, True), (top, True), (5, True), (5, False), (9, True),
+                                         (3, False), (top, True), (20, True), (20, True)]
+    assert sorted(((r["doc_id"] or top, r["text"]) for r in minhash.dedup(df).collect())) == sorted(
+        [(d or top, t) for k, (d, t) in enumerate(rows) if k in (0, 2, 4, 6, 8, 9, 10)])
+
+
+def test_one_of_two_near_copies_under_one_id_stays(spark):
+    rnd = random.Random(13)
+    base = [f"w{j}" for j in range(80)]
+    for doc_id in (4, None):
+        df = spark.createDataFrame([(doc_id, " ".join(base)), (doc_id, edited(rnd, base, 1))], "doc_id long, text string")
+        assert [r["kept"] for r in minhash.groups(df).orderBy("kept").collect()] == [False, True]
+        assert minhash.dedup(df).count() == 1
+
+
 # -- vectors -------------------------------------------------------------------
 
 def cluster(rng, n, dim, spread):
