@@ -1,7 +1,7 @@
 """Near-duplicate vectors by cross-polytope hashing after fast Hadamard rotations.
 
 Equal vectors are first gathered into classes (smallest vec_id, number of
-copies).  Each table rotates a unit vector (three rounds of random signs and a fast Hadamard transform per
+copies), which a 64-bit hash of their numbers names in buckets, links and joins.  Each table rotates a unit vector (three rounds of random signs and a fast Hadamard transform per
 hash) and names the nearest axis; ``hashes`` of them make a bucket.  A vector
 is indexed in its own bucket and looks into the ``PROBES`` - 1 next likeliest ones.
 The number of hashes follows the logarithm of the number of classes, the
@@ -19,7 +19,7 @@ Cosines are taken in double precision and a link needs ``threshold`` or more.
 Defined cases: a vector that is null, empty, all zero, or holds a null or a
 non-finite number links with nothing; vectors of different lengths never link; rows that share a vec_id are
 counted as vectors of their own, but are one vertex of a component; a null vec_id counts as the largest
-id; an empty table gives an empty result; other columns are ignored.
+id, but different vectors without one are vertices of their own, and of a component without any id one vector stays; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -139,11 +139,11 @@ def _named(classes: DataFrame, hashes: int, tables: int, kind: str, name_kind: s
                     names[k] = row.tobytes()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.binary())], [*b.schema.names, "names"])
 
-    return classes.mapInArrow(run, "key string, rep long, copies long, vec binary, names binary")
+    return classes.mapInArrow(run, "id long, copies long, vec binary, names binary")
 
 
 def _entries(named: DataFrame, tables: int, kind: str, name_kind: str) -> DataFrame:
-    """One row for each bucket that a class is indexed in or looks into: (rep, dim, t, name, own)."""
+    """One row for each bucket that a class is indexed in or looks into: (id, dim, t, name, own)."""
     def run(batches):
         for b in batches:
             n = b.num_rows
@@ -156,8 +156,8 @@ def _entries(named: DataFrame, tables: int, kind: str, name_kind: str) -> DataFr
                 pa.array(names), pa.array(np.tile(np.arange(PROBES) == 0, n * tables))],
                 [*b.schema.names, "dim", "t", "name", "own"])
 
-    return named.select("rep", "copies", "vec", "names").mapInArrow(
-        run, "rep long, copies long, vec binary, names binary, dim int, t int, name long, own boolean")
+    return named.select("id", "copies", "vec", "names").mapInArrow(
+        run, "id long, copies long, vec binary, names binary, dim int, t int, name long, own boolean")
 
 
 def _first_meeting(na: np.ndarray, nb: np.ndarray, swap: np.ndarray, t: int, name: int) -> np.ndarray:
@@ -183,8 +183,8 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray
 
 
 def _compare(rows: dict[str, np.ndarray], t: int, name: int, across: bool, threshold: float):
-    """(rep, links, root) of the vectors of one unit that have a link counted here."""
-    unit, own, rep, copies = _unit(rows["vec"]), rows["own"], rows["rep"], rows["copies"]
+    """(id, links, root) of the vectors of one unit that have a link counted here."""
+    unit, own, ids, copies = _unit(rows["vec"]), rows["own"], rows["id"], rows["copies"]
     near = (unit @ unit.T) >= threshold
     near &= own[:, None] | own[None, :]
     if across:
@@ -193,13 +193,13 @@ def _compare(rows: dict[str, np.ndarray], t: int, name: int, across: bool, thres
     if not len(a):
         return None
     names = rows["names"]
-    keep = _first_meeting(names[a], names[b], rep[b] < rep[a], t, name)
+    keep = _first_meeting(names[a], names[b], ids[b] < ids[a], t, name)
     a, b = a[keep], b[keep]
     if not len(a):
         return None
-    links = np.bincount(a, copies[b], len(rep)) + np.bincount(b, copies[a], len(rep))
+    links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
     at = np.flatnonzero(links)
-    return rep[at], links[at].astype(np.int64), _forest(len(rep), a, b, rep)[at]
+    return ids[at], links[at].astype(np.int64), _forest(len(ids), a, b, ids)[at]
 
 
 def _units(placed: DataFrame, tables: int, threshold: float, kind: str, name_kind: str) -> DataFrame:
@@ -213,7 +213,7 @@ def _units(placed: DataFrame, tables: int, threshold: float, kind: str, name_kin
             if key is None or len(held) < 2 or not any(r[3] for r in held):
                 return None
             rows = {
-                "rep": np.array([r[0] for r in held], np.int64), "copies": np.array([r[1] for r in held], np.int64),
+                "id": np.array([r[0] for r in held], np.int64), "copies": np.array([r[1] for r in held], np.int64),
                 "vec": _doubles([r[2] for r in held], kind),
                 "own": np.array([r[3] for r in held], bool), "block": np.array([r[4] for r in held], np.int64),
                 "names": np.frombuffer(b"".join([r[5] for r in held]), name_kind).reshape(len(held), tables, PROBES)}
@@ -221,7 +221,7 @@ def _units(placed: DataFrame, tables: int, threshold: float, kind: str, name_kin
 
         for batch in batches:
             found = []
-            cols = [batch.column(c).to_pylist() for c in (*keys, "rep", "copies", "vec", "own", "block", "names")]
+            cols = [batch.column(c).to_pylist() for c in (*keys, "id", "copies", "vec", "own", "block", "names")]
             for row in zip(*cols, strict=True):
                 if row[:5] != key:
                     if (got := close()) is not None:
@@ -233,12 +233,19 @@ def _units(placed: DataFrame, tables: int, threshold: float, kind: str, name_kin
         if (got := close()) is not None:
             yield _links([got])
 
-    return ordered.mapInArrow(run, "rep long, links long, root long")
+    return ordered.mapInArrow(run, "id long, links long, root long")
 
 
 def _links(found) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)],
-                                      ["rep", "links", "root"])
+                                      ["id", "links", "root"])
+
+
+def _under_one_id(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of different vectors that share a vec_id."""
+    named = rows.filter("vec IS NOT NULL AND vec_id IS NOT NULL").select("vec_id", F.xxhash64("key").alias("a"))
+    several = named.groupBy("vec_id").agg(F.min("a").alias("b"), F.max("a").alias("_high")).filter("b <> _high")
+    return named.join(several, "vec_id").filter("a <> b").select("a", "b").distinct()
 
 
 def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -249,32 +256,36 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     top = F.lit((1 << 63) - 1)
     classes = rows.filter("vec IS NOT NULL").groupBy("key").agg(
         F.min(F.coalesce("vec_id", top)).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
-    classes = materialize(classes, "vector-classes")
+    classes = materialize(classes.withColumn("id", F.xxhash64("key")), "vector-classes")
     shape = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("vec")).alias("bytes")).first()
     dim = (shape["bytes"] or 16) // np.dtype(kind).itemsize
     hashes, tables = tables_for(shape["n"], dim)
     # a name is a number below (2 * padded length) ** hashes
     name_kind = "<i4" if hashes * (1 + max(1, (dim - 1).bit_length())) < 31 else "<i8"
-    named = materialize(_named(classes.select("key", "rep", "copies", "vec"), hashes, tables, kind, name_kind), "vector-names")
+    named = materialize(_named(classes.select("id", "copies", "vec"), hashes, tables, kind, name_kind), "vector-names")
     entries = _entries(named, tables, kind, name_kind)
     large = entries.groupBy("dim", "t", "name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK).select(
         "dim", "t", "name", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     placed = entries.join(large, ["dim", "t", "name"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(
-        "block", F.pmod(F.xxhash64("rep", "vec"), F.col("blocks")).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "bi", F.least("block", "_other")).withColumn("bj", F.greatest("block", "_other")).drop("_other", "blocks")
     found = materialize(_units(placed, tables, threshold, kind, name_kind), "vector-links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    parts = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vector-parts")
-    per_class = (classes.select("key", "rep", "copies").join(links, "rep", "left")
-                 .join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    edges = found.select(F.col("id").alias("a"), F.col("root").alias("b")).union(_under_one_id(rows))
+    linked = classes.select("id", "rep").join(connected_components(edges, "vector-parts"), "id")
+    first = linked.groupBy("component").agg(F.min(F.struct("rep", "id")).alias("first"))
+    per_class = (classes.select("key", "id", "rep", "copies").join(links, "id", "left")
+                 .join(linked.join(first, "component").select("id", "first"), "id", "left")
                  .select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                         F.coalesce("component", "rep").alias("component_id")))
+                         F.coalesce("first.rep", "rep").alias("component_id"),
+                         F.coalesce(F.col("first.id") == F.col("id"), F.lit(True)).alias("_first")))
     out = rows.select("vec_id", "key").join(per_class, "key", "left")
     own = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.nullif(own, top).alias("component_id"),
-                      F.coalesce(F.coalesce("vec_id", top) == own, F.lit(True)).alias("kept"))
+                      F.coalesce((F.coalesce("vec_id", top) == own) & (F.col("vec_id").isNotNull() | F.col("_first")),
+                                 F.lit(True)).alias("kept"))
 
 
 def op5_embedding_dedup(spark, sf_dir: str) -> DataFrame:

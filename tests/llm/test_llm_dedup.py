@@ -154,6 +154,23 @@ def test_vector_edge_rows(spark):
     assert embeddings.link(df.filter("false")).count() == 0
 
 
+def test_links_of_vectors_that_share_an_id_or_have_none(spark):
+    rng = np.random.default_rng(9)
+    a, b, c, d, e, f = rng.normal(size=(6, 64))
+
+    def near(x):
+        return (x + rng.normal(size=64) * 0.05).tolist()
+
+    rows = [(3, a.tolist()), (9, near(a)), (9, b.tolist()), (9, near(a)), (12, near(b)), (5, c.tolist())]
+    loose = [(None, near(c)), (None, d.tolist()), (None, d.tolist()), (None, e.tolist()), (None, near(e)), (None, f.tolist())]
+    df = spark.createDataFrame(rows + loose, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["vec_id"] or 99, r["n_links"], r["component_id"] or 99, r["kept"]) for r in embeddings.link(df).collect())
+    want = [(i, n, p, i == p) for (i, _), (n, p) in zip(rows, brute.linked_vectors(rows))]
+    want = [(i, n + (i == 5), p, k) for i, n, p, k in want]     # 5 has a near copy without an id
+    want += [(99, 1, 5, False), (99, 1, 99, True), (99, 1, 99, True), (99, 1, 99, False), (99, 1, 99, True), (99, 0, 99, True)]
+    assert got == sorted(want)
+
+
 # -- repeated strings ----------------------------------------------------------
 
 def passages(seed):
