@@ -9,7 +9,7 @@ zero; a fifth of the sample is set aside to fit one temperature.
 
 Learned from text and lang of rows outside the held-out fold only; a
 prediction sees the text alone.  Defined cases: null text, or one without a
-letter: ``und`` with score 0; no training row: ``und`` everywhere; very long texts
+letter: ``und`` with score 0; no training row: ``und`` everywhere, and ``keep`` drops only texts without a letter; very long texts
 are counted block by block; ties go to the first language in alphabetic order; equal rows
 get equal results; columns that bear the name of a new one are replaced.
 """
@@ -229,8 +229,17 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
 
 
 def keep(docs: DataFrame, model: LanguageModel, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is told with some certainty, all columns unchanged."""
-    rows = whole_rows(docs).withColumn("text", F.col("_row.text"))
+    """The rows of ``docs`` whose language is told with some certainty, all columns unchanged.
+
+    A model that learned no language can tell none: then every text that has a letter stays.
+    """
+    rows = whole_rows(docs).withColumn("text", F.col("_row.text").cast("string"))
+    if not model.languages:
+        def lettered(b):
+            texts = b.column(b.schema.names.index("text")).to_pylist()
+            return [pa.array([any(c.isalpha() for c in t or "") for t in texts], pa.bool_())]
+
+        return append_columns(rows, [("_lettered", T.BooleanType())], lettered).filter("_lettered").select("_row.*")
     return predict(rows, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_row.*")
 
 

@@ -42,6 +42,13 @@ def test_every_stage_keeps_the_columns_and_bears_empty_input(spark):
             assert out.columns == docs.columns
 
 
+def test_without_any_lang_the_language_stage_drops_only_texts_without_a_letter(spark):
+    rows = [(k, t, None) for k, t in enumerate(["Some plain words", "ein paar Wörter", "12 34 !", "", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, SF)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [0, 1]
+
+
 def test_queries_are_registered_and_the_library_stands_without_them(monkeypatch):
     import __spark_entry__ as entry
 
