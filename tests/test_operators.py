@@ -216,6 +216,13 @@ def test_group_medians_do_not_depend_on_group_size(spark):
         assert len(stats) == 4 and {r["g"]: r["__v_median"] for r in stats} == want
 
 
+def test_mode_is_counted_over_the_shuffle(spark):
+    df = spark.createDataFrame([("b", 1), ("b", 1), ("a", 1), ("a", 1), ("c", 1), (None, 2), (None, 3)], "s string, k int")
+    out = impute.mode_fill(df.withColumn("t", F.lit(None).cast("string")), ["s", "t"])
+    assert rows(out.filter("k > 1"), "s", "k", "t") == [("a", 2, None), ("a", 3, None)]
+    assert "mode(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_exact_sums_fall_back_to_doubles_for_values_outside_the_type(spark):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("b", 1e27), ("b", 1.0), ("c", float("nan")), ("c", 2.0), ("d", None)],
                                "k string, v double")
