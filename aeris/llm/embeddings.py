@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,18 +43,13 @@ BLOCK = 512
 PER_BUCKET = 4  # classes in a bucket, about, that the number of hashes aims at
 MISSED = 0.005  # share of pairs at the threshold that may meet in no table
 SEED = 41
+PAIRS, TRIED = 512, 8  # random pairs and tables that the chance to meet is estimated on
 # Chance that two vectors of cosine 0.9 meet in one table of two hashes and three probes, and
-# the factor for each further hash; measured on random pairs in 64 dimensions.
+# the factor for each further hash; measured on random pairs in 64 dimensions.  More dimensions meet less
+# often, so ``tables_for`` estimates the chance in the given ones and takes the smaller of both.
 HIT, HIT_STEP = 0.53, 0.53
 
 
-def tables_for(n: int, dim: int) -> tuple[int, int]:
-    """(hashes in a bucket name, tables) for ``n`` vectors."""
-    hashes = max(2, round(math.log(max(n, 2) / PER_BUCKET, 2 * max(dim, 2))))
-    hit = HIT * HIT_STEP ** (hashes - 2)
-    return hashes, math.ceil(math.log(MISSED) / math.log(1 - hit)) + 1
-
-
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast transform of each row; the row length is a power of two."""
     x, h, n = x.copy(), 1, x.shape[1]
@@ -94,6 +90,28 @@ def bucket_names(unit: np.ndarray, hashes: int, tables: int) -> np.ndarray:
     return out
 
 
+@lru_cache
+def hit_rate(dim: int, hashes: int, threshold: float) -> float:
+    """Share of ``PAIRS`` random pairs right at the threshold that meet, over ``TRIED`` tables."""
+    rng = np.random.default_rng([SEED, dim, hashes])
+    x, r = rng.normal(size=(2, PAIRS, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    r -= (r * x).sum(axis=1, keepdims=True) * x
+    r /= np.maximum(np.linalg.norm(r, axis=1, keepdims=True), 1e-300)
+    names = bucket_names(np.concatenate([x, threshold * x + math.sqrt(1 - threshold ** 2) * r]), hashes, TRIED)
+    a, b = names[:PAIRS], names[PAIRS:]
+    return float(((a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)).mean())
+
+
+def tables_for(n: int, dim: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """(hashes in a bucket name, tables) for ``n`` vectors."""
+    hashes = max(2, round(math.log(max(n, 2) / PER_BUCKET, 2 * max(dim, 2))))
+    hit = HIT * HIT_STEP ** (hashes - 2)
+    if dim > 1:
+        hit = min(hit, max(hit_rate(dim, hashes, threshold), 1 / (PAIRS * TRIED)))
+    return hashes, math.ceil(math.log(MISSED) / math.log(1 - hit)) + 1
+
+
 def _usable(v) -> np.ndarray | None:
     if v is None or len(v) == 0 or any(x is None for x in v):
         return None
@@ -259,7 +277,7 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = materialize(classes.withColumn("id", F.xxhash64("key")), "vector-classes")
     shape = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("vec")).alias("bytes")).first()
     dim = (shape["bytes"] or 16) // np.dtype(kind).itemsize
-    hashes, tables = tables_for(shape["n"], dim)
+    hashes, tables = tables_for(shape["n"], dim, threshold)
     # a name is a number below (2 * padded length) ** hashes
     name_kind = "<i4" if hashes * (1 + max(1, (dim - 1).bit_length())) < 31 else "<i8"
     named = materialize(_named(classes.select("id", "copies", "vec"), hashes, tables, kind, name_kind), "vector-names")

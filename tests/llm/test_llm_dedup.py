@@ -140,6 +140,19 @@ def test_recall_right_at_the_threshold(spark):
     assert got.filter("n_links > 0").count() >= 2 * 1500 * 0.98
 
 
+def test_tables_suffice_in_many_dimensions():
+    rng = np.random.default_rng(15)
+    x, r = rng.normal(size=(2, 600, 768))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    r -= (r * x).sum(axis=1)[:, None] * x
+    r /= np.linalg.norm(r, axis=1)[:, None]
+    hashes, tables = embeddings.tables_for(1500, 768)
+    names = embeddings.bucket_names(np.concatenate([x, 0.9 * x + (1 - 0.9 ** 2) ** 0.5 * r]), hashes, tables)
+    a, b = names[:600], names[600:]
+    met = ((a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)).any(axis=1)
+    assert met.mean() >= 0.99
+
+
 def test_vector_edge_rows(spark):
     rng = np.random.default_rng(1)
     a, b, c = rng.normal(size=(3, 5)).tolist()
