@@ -9,11 +9,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeris.session import materialize
+from aeris.session import materialize, remove_paths
 
 FOLDS = 5
 
 
+class Scratch:
+    """Tables that an operator writes on its way; all but the kept ones are deleted when the block ends.
+
+    ``with Scratch(spark) as made:`` ... ``made(df, name)`` writes and rereads a table, ``made.keep(df, name)`` does so for
+    one that the result reads.  Paths of kept tables go to ``kept``, for the caller to delete when the result is written.
+    """
+
+    def __init__(self, spark: SparkSession, kept: list[str] | None = None):
+        self.spark, self.paths, self.kept = spark, [], kept if kept is not None else []
+
+    def __enter__(self):
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name, self.paths)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name, self.kept)
+
+    def __exit__(self, *_):
+        remove_paths(self.spark, self.paths)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

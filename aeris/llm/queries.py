@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from aeris.llm import bpe, embeddings, langid, minhash, packing, quality_gam, quality_rules, suffix_dedup, toxicity, warc
+from aeris.llm import (
+    bpe,
+    embeddings,
+    langid,
+    minhash,
+    packing,
+    quality_gam,
+    quality_rules,
+    spelling,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,9 +27,11 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_packing": packing.op9_packing,
     "op10_quality": quality_gam.op10_quality,
+    "op11_spelling": spelling.op11_spelling,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
+    "op11_spelling": spelling.ORACLE_SQL,
 }
