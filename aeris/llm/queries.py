@@ -8,6 +8,8 @@ from aeris.llm import (
     langid,
     minhash,
     packing,
+    pii,
+    prefix_trie,
     quality_gam,
     quality_rules,
     spelling,
@@ -28,10 +30,13 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_quality": quality_gam.op10_quality,
     "op11_spelling": spelling.op11_spelling,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_pii": pii.op13_pii,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
     "op11_spelling": spelling.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
 }
