@@ -3,37 +3,48 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeris.session import materialize, remove_paths
+from aeris import session
+from aeris.session import remove_paths
 
 FOLDS = 5
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and reread it; an open ``Scratch`` deletes it when it ends."""
+    return session.materialize(df, name, _written.get())
 
 
 class Scratch:
     """Tables that an operator writes on its way; all but the kept ones are deleted when the block ends.
 
-    ``with Scratch(spark) as made:`` ... ``made(df, name)`` writes and rereads a table, ``made.keep(df, name)`` does so for
-    one that the result reads.  Paths of kept tables go to ``kept``, for the caller to delete when the result is written.
+    ``with Scratch(spark) as made:`` ... ``materialize(df, name)`` or ``made(df, name)`` writes and rereads a table,
+    ``made.keep(df, name)`` does so for one that the result reads.  Paths of kept tables go to ``kept``, for the caller to delete
+    when the result is written.
     """
 
     def __init__(self, spark: SparkSession, kept: list[str] | None = None):
         self.spark, self.paths, self.kept = spark, [], kept if kept is not None else []
 
     def __enter__(self):
+        self.token = _written.set(self.paths)
         return self
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, self.paths)
+        return session.materialize(df, name, self.paths)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, self.kept)
+        return session.materialize(df, name, self.kept)
 
     def __exit__(self, *_):
+        _written.reset(self.token)
         remove_paths(self.spark, self.paths)
 
 
@@ -82,19 +93,21 @@ def append_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], fn) -> D
     return kept.mapInArrow(run, schema)
 
 
-def bounded_sample(df: DataFrame, by: str, per_value: int, key: str = "doc_id", salt: int = 7):
-    """(about ``per_value`` rows for each value of ``by``, rows there are of each).
+def bounded_sample(df: DataFrame, by: str, per_value: int, key: str = "doc_id", salt: int = 7, values: int = 100):
+    """(about ``per_value`` rows for each of the ``values`` most frequent values of ``by``, rows there are of each).
 
-    The counts per value come from one partial aggregate (as many rows as
-    there are values); rows are chosen by a hash of ``key``, a filter, so nothing
-    is shuffled.  Where there are fewer rows than the bound, all are taken.
+    The counts per value come from one partial aggregate, of which ``values`` rows reach the driver; they are joined to the
+    rows as a small table.  Rows are chosen by a hash of all their columns, so nothing
+    else is shuffled and rows that share ``key`` are drawn one by one; equal rows come together.  Where there are fewer
+    rows than the bound, all are taken.
     """
-    counts = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(1.0, per_value / max(n, 1)))).otherwise(share)
-    spot = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    return df.filter(spot < share), counts
+    top = df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col(by)).limit(values).collect()
+    counts = {r[by]: r["n"] for r in top}
+    shares = df.sparkSession.createDataFrame([(v, min(1.0, per_value / max(n, 1))) for v, n in counts.items()],
+                                             T.StructType([T.StructField("_value", df.schema[by].dataType), T.StructField("_share", T.DoubleType())]))
+    spot = F.pmod(F.xxhash64(F.lit(salt), *[F.col(c) for c in dict.fromkeys([key, *df.columns])]), F.lit(1 << 30)) / float(1 << 30)
+    drawn = df.join(F.broadcast(shares), F.col(by).eqNullSafe(F.col("_value"))).filter(spot < F.col("_share"))
+    return drawn.select(*df.columns), counts
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: int):

@@ -5,8 +5,8 @@ unit levels and the levels are arranged in strips [0, 1), [1, 2), [2, 4), [4, 8)
 Poisson process of its own (seeded by shingle and strip, its rate the strip's width); a
 point names a register and a level and counts where the level lies below the weight.  A
 register keeps its earliest point, so two texts agree in a register with a probability equal to
-their weighted Jaccard similarity.  Only points up to a time by which all registers are
-filled with near certainty are ever drawn; where one is not, the time is doubled.
+their weighted Jaccard similarity.  Points are drawn in the order of time, stretch by stretch, and a text's processes end with
+the stretch that fills its last register.
 
 Signatures are cut into ``BANDS`` of ``ROWS`` registers.  Two texts are candidates if they share a band and
 agree in ``LIKELY`` registers (a pair of similarity 0.8 falls short of that with a probability of 1e-7); one
@@ -30,16 +30,14 @@ a null doc_id counts as the largest id; an empty table gives an empty result; ot
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import connected_components, read_table, shuffle_files_removed, whole_rows, whole_text
+from aeris.llm.common import Scratch, connected_components, materialize, read_table, shuffle_files_removed, whole_rows, whole_text
 from aeris.llm.hashing import mix, shingle_hashes, word_hashes
-from aeris.session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -52,6 +50,7 @@ BLOCK_BYTES = 1 << 24
 MARKS = 1 << 26  # bits of the map that tells texts without a candidate
 _COLUMNS = 1 << 13  # shingles that a comparison takes at a time
 TOP = (1 << 63) - 1
+_STRETCH, _FIRST = 0.5, 8  # stretches of time, in mean waits for a register, and how many are drawn before the first look
 _TOGETHER = 1 << 15  # shingles whose points are drawn together, at least
 _BATCH = 1 << 24  # bytes of shingles in a batch, about
 
@@ -66,9 +65,9 @@ def _times(constant: int, k: int) -> np.uint64:
     return np.uint64(constant * k & 0xFFFFFFFFFFFFFFFF)
 
 
-def _points(seed: np.ndarray, k: int, registers: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _points(seed: np.ndarray, k: np.ndarray, registers: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The k-th point of each process: waiting time at rate 1, register, level in [0, 1), name."""
-    name = mix(seed + _times(0x9E3779B97F4A7C15, k + 1))
+    name = mix(seed + np.uint64(0x9E3779B97F4A7C15) * (k + 1).astype(np.uint64))
     other = mix(name ^ np.uint64(0xD1B54A32D192ED03))
     wait = -np.log(((name >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53)
     register = ((other >> np.uint64(32)) * np.uint64(registers)) >> np.uint64(32)
@@ -89,34 +88,46 @@ def _strips(found: np.ndarray, weights: np.ndarray, owner: np.ndarray):
 
 
 def bag_minhashes(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> list[np.ndarray]:
-    """For each bag the names of the earliest points, one for each register (none for an empty bag)."""
+    """For each bag the names of the earliest points, one for each register (none for an empty bag).
+
+    Time goes on in stretches.  A process rests while its next point lies beyond the present one, and all processes of a bag
+    end with the stretch in which its last register is filled: later points could not change it.
+    """
+    todo = [k for k, (x, _) in enumerate(bags) if len(x)]
     names = [np.zeros(0, np.uint64)] * len(bags)
-    todo, stretch = [k for k, (x, _) in enumerate(bags) if len(x)], 1.0
-    while todo:
-        owner = np.repeat(np.arange(len(todo)), [len(bags[k][0]) for k in todo])
-        seed, start, width, limit, owner = _strips(np.concatenate([bags[k][0] for k in todo]),
-                                                   np.concatenate([bags[k][1] for k in todo]), owner)
-        until = stretch * (math.log(registers) + 4.0) / np.array([float(bags[k][1].sum()) for k in todo])
-        limit_time, rate = until[owner], registers * width.astype(np.float64)
-        at, time, k, got = np.arange(len(seed)), np.zeros(len(seed)), 0, []
-        while len(at):
-            wait, register, level, name = _points(seed[at], k, registers)
-            time = time + wait / rate[at]
-            early = time <= limit_time[at]
-            at, time = at[early], time[early]
-            counts = start[at] + np.floor(level[early] * width[at]) < limit[at]
-            got.append(((owner[at] * registers + register[early])[counts], time[counts], name[early][counts]))
-            k += 1
-        cell, time, name = (np.concatenate(x) for x in zip(*got, strict=True))
-        latest_first = np.argsort(-time, kind="stable")
-        table, filled = np.zeros(len(todo) * registers, np.uint64), np.zeros(len(todo) * registers, bool)
-        table[cell[latest_first]] = name[latest_first]  # the earliest point is written last
-        filled[cell] = True
-        full = filled.reshape(-1, registers).all(axis=1)
-        for j, sig in enumerate(table.reshape(-1, registers)):
-            if full[j]:
-                names[todo[j]] = sig
-        todo, stretch = [t for j, t in enumerate(todo) if not full[j]], stretch * 2
+    if not todo:
+        return names
+    owner = np.repeat(np.arange(len(todo)), [len(bags[k][0]) for k in todo])
+    seed, start, width, limit, owner = _strips(np.concatenate([bags[k][0] for k in todo]),
+                                               np.concatenate([bags[k][1] for k in todo]), owner)
+    rate = registers * width.astype(np.float64)
+    stretch = _STRETCH / np.array([float(bags[k][1].sum()) for k in todo])
+    until = _FIRST * stretch
+    table, filled = np.zeros((len(todo), registers), np.uint64), np.zeros((len(todo), registers), bool)
+    count = np.zeros(len(seed), np.int64)
+    wait, register, level, name = _points(seed, count, registers)
+    time = wait / rate
+    while len(seed):
+        due, got = np.flatnonzero(time <= until[owner]), []
+        while len(due):
+            counts = due[(start[due] + np.floor(level[due] * width[due]) < limit[due]) & ~filled[owner[due], register[due]]]
+            got.append((owner[counts] * registers + register[counts], time[counts], name[counts]))
+            count[due] += 1
+            wait, register[due], level[due], name[due] = _points(seed[due], count[due], registers)
+            time[due] += wait / rate[due]
+            due = due[time[due] <= until[owner[due]]]
+        if got:
+            cell, at, found = (np.concatenate(x) for x in zip(*got, strict=True))
+            latest_first = np.argsort(-at, kind="stable")
+            table.reshape(-1)[cell[latest_first]] = found[latest_first]  # the earliest point is written last
+            filled.reshape(-1)[cell] = True
+        until += stretch
+        live = ~filled.all(axis=1)[owner]
+        if not live.all():
+            seed, start, width, limit, owner, rate, count, time, register, level, name = (
+                x[live] for x in (seed, start, width, limit, owner, rate, count, time, register, level, name))
+    for j, k in enumerate(todo):
+        names[k] = table[j]
     return names
 
 
@@ -154,15 +165,21 @@ def signatures(docs: DataFrame) -> DataFrame:
     """
     def run(batches):
         for b in batches:
-            bands, sketches, bags, held = [], [], [], 0
-            for k, t in enumerate(b.column("_text")):
-                bags.append(shingles(t.as_py()))
+            bands, sketches, bags, held, known = [], [], [], 0, {}
+            keys = b.column("key").to_pylist()
+            place = [known.setdefault(k, len(known)) for k in keys]  # a text class is signed once in a batch
+            first = {}
+            for k, p in enumerate(place):
+                first.setdefault(p, k)
+            for p in range(len(known)):
+                bags.append(shingles(b.column("_text")[first[p]].as_py()))
                 held += len(bags[-1][0])
-                if held >= _TOGETHER or k == b.num_rows - 1:
+                if held >= _TOGETHER or p == len(known) - 1:
                     for sig in bag_minhashes(bags, BANDS * ROWS):
                         bands.append(band_names(sig, BANDS, ROWS) if len(sig) else None)
                         sketches.append(sig.astype(np.uint8).tobytes() if len(sig) else None)
                     bags, held = [], 0
+            bands, sketches = [bands[p] for p in place], [sketches[p] for p in place]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(bands, pa.list_(pa.int64())),
                                               pa.array(sketches, pa.binary())], ["doc_id", "key", "bands", "sketch"])
 
@@ -375,10 +392,13 @@ def _open_links(placed: DataFrame, bags: DataFrame, similarity: float) -> DataFr
     return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, key, group_id, kept) for every row of ``docs``; doc_id TOP stands for null."""
-    with shuffle_files_removed(docs.sparkSession):
-        return _groups(docs, similarity)
+def groups(docs: DataFrame, similarity: float = SIMILARITY, kept: list[str] | None = None) -> DataFrame:
+    """(doc_id, key, group_id, kept) for every row of ``docs``; doc_id TOP stands for null.
+
+    The one table that the result reads is named in ``kept``; what was written on the way is deleted.
+    """
+    with shuffle_files_removed(docs.sparkSession), Scratch(docs.sparkSession, kept) as made:
+        return made.keep(_groups(docs, similarity), "groups")
 
 
 def _groups(docs: DataFrame, similarity: float) -> DataFrame:
@@ -432,9 +452,9 @@ def _groups(docs: DataFrame, similarity: float) -> DataFrame:
         F.coalesce((F.col("doc_id") == F.col("group_id")) & (F.col("key") == F.col("_stays")), F.lit(True)).alias("kept"))
 
 
-def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def dedup(docs: DataFrame, similarity: float = SIMILARITY, kept: list[str] | None = None) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group, all columns unchanged."""
-    stay = groups(docs, similarity).filter("kept").select(
+    stay = groups(docs, similarity, kept).filter("kept").select(
         F.col("doc_id").alias("_id"), F.coalesce("key", F.lit("")).alias("_key")).distinct()
     text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
     marked = whole_rows(docs).withColumn("_id", F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(TOP))).withColumn(
