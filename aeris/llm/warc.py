@@ -10,9 +10,10 @@ is one record, the record separator is the line separator; files are gzipped.  A
 chunk becomes a segmented record (first segment and ``continuation`` records), so no row grows
 with its payload.
 
-Reading splits the files at the version line.  So that a payload cannot pass for one, a
-chunk also ends inside every version line that a payload holds; files can thus be split
-and read in parallel, and Content-Length is checked for every record.
+Reading splits the files at the version line.  So that no payload can pass for one, a
+chunk also ends inside every ``WARC/1.1`` that a payload holds (its end, where CRLF follows, included), and a URL that ends so is
+written with %2F.  A gzip file is read by one task, so files are bounded by ``FILE_RECORDS`` records of a chunk
+each; Content-Length is checked for every record.
 
 Of records with equal payloads of at least ``LEAST_REVISIT`` bytes the one with the smallest page_id (null
 ids last) is ``response``, the others are ``revisit`` records without payload.  Defined cases: null html counts as empty; a null page_id or url is written as an empty
@@ -23,32 +24,36 @@ an empty archive; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import read_table
-from aeris.session import materialize, scratch_path
+from aeris.llm.common import Scratch, materialize, read_table
+from aeris.session import scratch_path
 
 CHUNK = 1 << 16  # characters
 LEAST_REVISIT = 100  # bytes
 DATE = "2000-01-01T00:00:00Z"
-VERSION = "WARC/1.1\r\n"
+TOKEN = "WARC/1.1"
+VERSION = f"{TOKEN}\r\n"
+FILE_RECORDS = 1 << 13  # in one archive file, at most: gzip files are read by one task each
 _BATCH = 1 << 23  # bytes of data a batch of chunks holds, about
 _CHUNK_SCHEMA = ("record long, page_id long, url string, chunk int, data string, bytes_so_far long, "
                  "digest_so_far string, last boolean, payload_bytes long, payload_digest string")
 
 
 def pieces(text: str, size: int = CHUNK):
-    """The text in pieces of at most ``size`` characters; none holds a whole version line."""
+    """The text in pieces of at most ``size`` characters; none holds the token that starts a version line."""
     start, n = 0, len(text)
     while True:
         end = min(start + size, n)
-        mark = text.find(VERSION, start, min(end + len(VERSION), n))
-        if 0 <= mark < end:
-            end = min(end, mark + len(VERSION) // 2)
+        mark = text.find(TOKEN, start, end)
+        if mark >= 0:
+            end = mark + len(TOKEN) // 2
         yield text[start:end]
         start = end
         if start >= n:
@@ -131,7 +136,7 @@ def write_archive(chunks: DataFrame, revisits: DataFrame, path: str, date: str =
                     F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
     block = F.concat(F.when(first, http).otherwise(F.lit("")), F.when(again, F.lit("")).otherwise(F.col("data")))
     kind = F.when(again, F.lit("revisit")).when(first, F.lit("response")).otherwise(F.lit("continuation"))
-    url = F.regexp_replace(F.col("url"), r"[\x00-\x20\x7f]", "%20")
+    url = F.regexp_replace(F.regexp_replace(F.col("url"), r"[\x00-\x20\x7f]", "%20"), re.escape(TOKEN) + "$", quote(TOKEN, safe=""))
     record = F.concat(
         F.lit(VERSION), _header("WARC-Type", kind), _header("WARC-Record-ID", _urn(F.col("page_id"), F.col("payload_digest"), F.col("chunk"))),
         _header("WARC-Date", F.lit(date)), _header("WARC-Target-URI", url),
@@ -146,7 +151,8 @@ def write_archive(chunks: DataFrame, revisits: DataFrame, path: str, date: str =
         _header("Record-Number", F.col("record")), _header("Page-Id", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
         _header("Refers-To-Page-Id", F.when(again, F.coalesce(F.col("refers_to").cast("string"), F.lit("")))),
         _header("Content-Length", F.octet_length("_block")), F.lit("\r\n"), F.col("_block"))
-    rows.withColumn("_block", block).select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    rows.withColumn("_block", block).select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
+        "maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -225,10 +231,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive(pages: DataFrame, path: str | None = None, size: int = CHUNK) -> str:
-    """Write ``pages`` as archives and give their folder."""
+    """Write ``pages`` as archives and give their folder; nothing else is left behind."""
     path = path or scratch_path(pages.sparkSession, "warc")
     chunks = chunk_table(pages, size)
-    write_archive(chunks, revisits(chunks), path)
+    with Scratch(pages.sparkSession):
+        write_archive(chunks, revisits(chunks), path)
     return path
 
 
