@@ -9,7 +9,7 @@ The vocabulary file is read once on the driver and broadcast (a few MB, a
 fixed file), so executors need no copy of it.  Text is cut at white space;
 no piece of the pre-tokeniser's pattern crosses white space, so each run between blanks can be
 encoded on its own, and frequent runs are remembered in a table of bounded
-size (when it is full, further runs are encoded but not kept).
+size (when it is full, further runs are encoded but not kept; a task empties it at its end).
 
 Defined cases: null text counts as empty (0 tokens, digests of the empty
 string); names of special tokens in a text become their ids, as the public
@@ -24,7 +24,6 @@ import hashlib
 import heapq
 import json
 import re
-import struct
 import unicodedata
 from functools import lru_cache
 
@@ -33,11 +32,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from aeris.llm.common import read_table
 
-KNOWN_RUNS = 200_000
-KNOWN_PIECES = 200_000
+KNOWN_RUNS = 150_000
+KNOWN_PIECES = 50_000  # of runs that hold several
 LONGEST_KNOWN = 64  # characters; longer runs are rare and are not kept
 
 # The pre-tokeniser's pattern of the vocabulary file is read from it; white space is
@@ -90,6 +90,13 @@ class Bpe:
         split = next(p for p in d["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.byte_of = {s: b for b, s in enumerate(byte_symbols())}
+        whole = Tokenizer.from_str(spec)
+        self.normalizer, self.pre_tokenizer = whole.normalizer, whole.pre_tokenizer
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the tables of known runs and pieces; a task does so when it ends, as its worker may wait for others."""
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.runs: dict = {}
 
@@ -130,11 +137,11 @@ class Bpe:
         # characters are lowered one by one, so a capital sigma never becomes the final form
         low = unicodedata.normalize("NFC", run).replace("Σ", "σ").lower() if not run.isascii() else run.lower()
         if low.isalpha() and low.isascii():
-            return list(self._piece(low))
-        if max(low) > "\u024f" and any(unicodedata.category(c) == "Cn" for c in low):
-            # letters newer than the library's character tables: it takes them for symbols
-            shape = "".join("\ue000" if unicodedata.category(c) == "Cn" else c for c in low)
-            return [i for m in self.pattern.finditer(shape) for i in self._piece(low[m.start():m.end()])]
+            return self.merge(low.encode())
+        if max(run) > "\u024f" and any(unicodedata.category(c) == "Cn" for c in run):
+            # characters newer than Python's tables: case and class are those of the file's own normaliser and pre-tokeniser
+            parts = self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(run))
+            return [i for part, _ in parts for i in self.merge(bytes([self.byte_of[c] for c in part]))]
         return [i for piece in self.pattern.findall(low) for i in self._piece(piece)]
 
     def _ids(self, run: str) -> list[int]:
@@ -150,10 +157,9 @@ class Bpe:
             self.runs[run] = out
         return out
 
-    def _run(self, run: str) -> tuple[int, bytes, str, str]:
+    def _run(self, run: str) -> tuple[int, str, str]:
         ids = self._ids(run)
-        return self._keep(run, (len(ids), struct.pack(f"<{len(ids)}I", *ids), " ".join(map(str, ids)),
-                                self.decode(ids)))
+        return self._keep(run, (len(ids), " ".join(map(str, ids)), self.decode(ids)))
 
     def _encoded(self, text: str) -> list[tuple]:
         known, miss = self.runs.get, self._run
@@ -161,7 +167,7 @@ class Bpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, little-endian unsigned 32 bits."""
-        return np.frombuffer(b"".join([x[1] for x in self._encoded(text)]), "<u4")
+        return np.array(" ".join([x[1] for x in self._encoded(text)]).split(), "<u4")
 
     def decode(self, ids) -> str:
         """Vocabulary strings of the ids, joined by a blank (the file names no decoder that would do otherwise)."""
@@ -171,8 +177,8 @@ class Bpe:
     def digests(self, text: str) -> tuple[int, str, str]:
         """(number of ids, sha256 of the ids in decimal, sha256 of the decoded text)."""
         found = self._encoded(text)
-        return (sum([x[0] for x in found]), hashlib.sha256(" ".join([x[2] for x in found]).encode()).hexdigest(),
-                hashlib.sha256(" ".join([x[3] for x in found]).encode("utf-8")).hexdigest())
+        return (sum([x[0] for x in found]), hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
+                hashlib.sha256(" ".join([x[2] for x in found]).encode("utf-8")).hexdigest())
 
 
 @lru_cache(maxsize=2)
@@ -198,6 +204,7 @@ def map_texts(docs: DataFrame, spec: str, fn, schema: str, keep: list[str], text
             cols = list(zip(*out, strict=True)) if out else [()] * len(target)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, target, strict=True)],
                                              schema=target)
+        made.forget()
 
     return source.mapInArrow(run, schema)
 
@@ -228,6 +235,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         for b in batches:
             ids = [bpe.encode(t or "").astype("i4") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        bpe.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, "doc_id long, ids array<int>")

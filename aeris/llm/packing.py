@@ -36,8 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from aeris.llm import bpe
-from aeris.llm.common import read_table
-from aeris.session import materialize
+from aeris.llm.common import Scratch, read_table
 
 CAPACITY = 4096
 CLOSING_ID = 1
@@ -47,12 +46,12 @@ ROWS_PER_GROUP = 500  # pieces of one length ranked together, on average
 class LibraryCoder(bpe.Bpe):
     """Ids by the tokenizers library: its model merges each new piece, the run table answers for known ones."""
 
-    most_runs = 500_000  # ids only, so the table may be longer
+    most_runs = 250_000  # ids only, so the table may be longer
 
     def __init__(self, spec: str):
         super().__init__(spec)
         self.model = Tokenizer.from_str(spec).model
-        self.symbols = {b: s for b, s in enumerate(bpe.byte_symbols())}
+        self.symbols = dict(enumerate(bpe.byte_symbols()))
 
     def merge(self, piece: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.symbols))]
@@ -214,9 +213,9 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInPandas(assign, f"{schema}, sequence_id bigint, offset bigint")
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Cut, encode and pack whole documents."""
-    return place(materialize(cut(docs, path, capacity), "pieces"), capacity)
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, kept: list[str] | None = None) -> DataFrame:
+    """Cut, encode and pack whole documents; the result reads the table of pieces that is named in ``kept``."""
+    return place(Scratch(docs.sparkSession, kept).keep(cut(docs, path, capacity), "pieces"), capacity)
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:
