@@ -92,9 +92,10 @@ def measurements(text: Column) -> Column:
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the measurements and ``failed_bits`` (long, one bit per failed rule)."""
-    keep = [c for c in docs.columns if c not in {*MEASURES, "failed_bits"}]
-    measured = docs.select(*keep, measurements(whole_text(text_col)).alias("_m")).select(
-        *keep, *[F.col(f"_m.{m}").alias(m) for m in MEASURES])
+    replaced = {*MEASURES, "failed_bits"}
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in replaced]).alias("_row"),
+                       measurements(whole_text(text_col)).alias("_m"))
+    measured = rows.select("_row.*", *[F.col(f"_m.{m}").alias(m) for m in MEASURES])
     bits = F.lit(0).cast("long")
     for k, (_, fails) in enumerate(RULES):
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
@@ -131,8 +132,9 @@ def ablation(entries: DataFrame, policies: list[str] | None = None) -> DataFrame
 
 def judge(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The ledger with base_failed and kept; both follow from the bits alone."""
-    return ledger(docs).withColumn("base_failed", ~verdict("base-1")).withColumn(
-        "kept", verdict("base-1") & verdict(policy))
+    entries = ledger(docs)
+    entries = entries.select(*[f"`{c}`" for c in entries.columns if c.lower() not in {"base_failed", "kept"}])
+    return entries.withColumn("base_failed", ~verdict("base-1")).withColumn("kept", verdict("base-1") & verdict(policy))
 
 
 def keep(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
