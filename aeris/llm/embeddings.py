@@ -34,8 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeris.llm.common import connected_components, read_table
-from aeris.session import materialize
+from aeris.llm.common import Scratch, connected_components, materialize, read_table
 
 THRESHOLD = 0.9
 PROBES = 3
@@ -266,8 +265,16 @@ def _under_one_id(rows: DataFrame) -> DataFrame:
     return named.join(several, "vec_id").filter("a <> b").select("a", "b").distinct()
 
 
-def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row per row of ``vectors`` (vec_id, embedding)."""
+def link(vectors: DataFrame, threshold: float = THRESHOLD, kept: list[str] | None = None) -> DataFrame:
+    """(vec_id, n_links, component_id, kept), one row per row of ``vectors`` (vec_id, embedding).
+
+    The one table that the result reads is named in ``kept``; what was written on the way is deleted.
+    """
+    with Scratch(vectors.sparkSession, kept) as made:
+        return made.keep(_linked(vectors, threshold), "linked-vectors")
+
+
+def _linked(vectors: DataFrame, threshold: float) -> DataFrame:
     element = vectors.schema["embedding"].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"   # the numbers as they are; cosines are doubles
     rows = materialize(packed(vectors, kind).withColumn("key", F.sha2("vec", 256)), "vectors")

@@ -9,17 +9,20 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE = np.random.default_rng(97).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-BLOCK = 1 << 22  # bytes hashed at a time
-_power = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+BLOCK = 1 << 18  # bytes hashed at a time; tables of powers are kept for no more than that
+_power: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_power["up"]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            a = np.full(size, base, np.uint64)
-            a[0] = 1
-            _power[name] = np.multiply.accumulate(a)
+    def table(base: np.uint64, size: int) -> np.ndarray:
+        a = np.full(size, base, np.uint64)
+        a[0] = 1
+        return np.multiply.accumulate(a)
+
+    if n > 2 * BLOCK:  # a word or window of that length: made for this call
+        return table(_BASE, n), table(_INVERSE, n)
+    if not _power:
+        _power.update(up=table(_BASE, 2 * BLOCK), down=table(_INVERSE, 2 * BLOCK))
     return _power["up"][:n], _power["down"][:n]
 
 

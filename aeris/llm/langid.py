@@ -3,7 +3,7 @@
 Letters are lowered, everything else becomes a blank; uni-, bi- and trigrams
 are hashed into ``BUCKETS``.  Document frequencies count every training row (each task adds up
 its own before anything is shuffled).  The weights are learned on a bounded
-sample, ``PER_LANGUAGE`` rows of each language, by follow the regularised
+sample, ``PER_LANGUAGE`` rows of each of the ``LANGUAGES`` most frequent languages, by follow the regularised
 leader with L1 and L2 penalties, which leaves most weights at exactly
 zero; a fifth of the sample is set aside to fit one temperature.
 
@@ -29,6 +29,7 @@ from aeris.llm.common import append_columns, bounded_sample, fold, held_out, rea
 
 BUCKETS = 1 << 14
 PER_LANGUAGE = 500
+LANGUAGES = 100
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.05  # of the learner
 BLOCK = 1 << 19  # characters counted at a time
@@ -181,7 +182,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     n, df = document_frequencies(train)
     idf = np.log((1 + n) / (1 + df)) + 1
-    sample, counts = bounded_sample(train, "lang", per_language)
+    sample, counts = bounded_sample(train, "lang", per_language, values=LANGUAGES)
 
     def features(batches):
         for b in batches:

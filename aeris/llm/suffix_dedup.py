@@ -36,9 +36,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import read_table, shuffle_files_removed, whole_rows, whole_text
+from aeris.llm.common import Scratch, materialize, read_table, shuffle_files_removed, whole_rows, whole_text
 from aeris.llm.hashing import prefix_sums, range_hashes
-from aeris.session import materialize
 
 LENGTH = 200
 # The powers of 2 modulo 73 are a perfect difference set: every shift is a difference of two of them.
@@ -311,15 +310,16 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), whole_text().alias("text"))
 
 
-def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def spans(docs: DataFrame, kept: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: doc_id, digest, n_bytes; copies: digest, copies, first; texts: digest, ztext, spans).
 
-    ``texts`` holds those texts, one for all copies, that contain repeated strings.
+    ``texts`` holds those texts, one for all copies, that contain repeated strings.  These three tables are named in ``kept``; what
+    else was written is deleted.
     """
     spark = docs.sparkSession
-    with shuffle_files_removed(spark):
+    with shuffle_files_removed(spark), Scratch(spark, kept) as made:
         own = _numbered(docs)
-        rows = materialize(own.select("doc_id", F.sha2("text", 256).alias("digest"),
+        rows = made.keep(own.select("doc_id", F.sha2("text", 256).alias("digest"),
                                       F.octet_length("text").cast("long").alias("n_bytes")), "texts")
         size = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first()["n"]
         bits = max(4, (size // PER_BUCKET).bit_length())
@@ -327,14 +327,14 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         marks = materialize(_by_text(names, lambda about, flags: (about.hex(), np.packbits(flags).tobytes()),
                                      "digest string, marks binary", ["digest", "marks"], [pa.string(), pa.binary()])
                             .groupBy("digest").agg(F.first("marks").alias("marks")), "sample-marks")
-        copies = materialize(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first")), "copies")
+        copies = made.keep(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first")), "copies")
         chosen = marks.join(copies, "digest").select("digest", "marks", F.col("first").alias("_first"))
         texts = materialize(_zipped(own).join(chosen, "digest").filter(F.col("doc_id") == F.col("_first"))
                             .select("digest", "ztext", "marks"), "candidate-texts")
         prefixes = materialize(_sort_and_mark(_merge(texts, bits), PREFIX_BYTES), "prefixes")
         found = materialize(_by_text(prefixes, _covered, "digest string, spans binary", ["digest", "spans"],
                                      [pa.string(), pa.binary()]).groupBy("digest").agg(F.first("spans").alias("spans")), "spans")
-        held = materialize(texts.select("digest", "ztext").join(found, "digest").dropDuplicates(["digest"]), "span-texts")
+        held = made.keep(texts.select("digest", "ztext").join(found, "digest").dropDuplicates(["digest"]), "span-texts")
     return rows, copies, held
 
 
@@ -344,9 +344,9 @@ def _kept(raw: bytes, spans_: bytes) -> tuple[bytes, np.ndarray]:
     return b"".join([raw[a:b] for a, b in inner]), cut
 
 
-def removed(docs: DataFrame) -> DataFrame:
+def removed(docs: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
-    rows, copies, held = spans(docs)
+    rows, copies, held = spans(docs, kept)
 
     def run(batches):
         for b in batches:
@@ -382,9 +382,9 @@ def _clean(raw: bytes, spans_: bytes) -> str:
     return _kept(raw, cut[cut[:, 1] > cut[:, 0]].tobytes())[0].decode("utf-8")
 
 
-def strip_repeats(docs: DataFrame) -> DataFrame:
+def strip_repeats(docs: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """``docs`` with repeated strings taken out of text; n_chars follows where there is one."""
-    _, copies, held = spans(docs)
+    _, copies, held = spans(docs, kept)
 
     def run(batches):
         for b in batches:
