@@ -28,7 +28,14 @@ from aeris.plans import cleaning as jobs
 from aeris.plans import reports
 from aeris.plans.vulnerability import country_vulnerability
 from aeris.sources.readers import read_any
-from aeris.sources.schemas import CITY_SCHEMA, CO2_RAW_SCHEMA, COUNTRY_SCHEMA, WEATHER_RAW_SCHEMA
+from aeris.sources.schemas import (
+    CITY_SCHEMA,
+    CO2_CLEAN_SCHEMA,
+    CO2_RAW_SCHEMA,
+    COUNTRY_SCHEMA,
+    WEATHER_CLEAN_SCHEMA,
+    WEATHER_RAW_SCHEMA,
+)
 from aeris.streaming import ingest, vulnerability_stream
 
 REPORTS = {"top-day": reports.top_day_report, "extreme": reports.extreme_weather_report,
@@ -116,8 +123,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return summary
 
     cities, countries = _dims(spark, args)
-    weather = read_any(spark, args.weather) if args.weather else None
-    co2 = read_any(spark, args.co2) if getattr(args, "co2", None) else None
+    weather = read_any(spark, args.weather, known=WEATHER_CLEAN_SCHEMA) if args.weather else None
+    co2 = read_any(spark, args.co2, known=CO2_CLEAN_SCHEMA) if getattr(args, "co2", None) else None
 
     if args.cmd == "documents":
         out = args.output.rstrip("/")
@@ -174,7 +181,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
                                                 trigger_seconds=args.trigger_seconds,
                                                 timeout_seconds=args.timeout_seconds)
             return {"stream": "stopped"}
-        _emit(country_vulnerability(read_any(spark, args.weather), cities), args.output, "vulnerability")
+        _emit(country_vulnerability(weather, cities), args.output, "vulnerability")
         return {"vulnerability": "batch"}
     raise ValueError(args.cmd)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeris.functions.dates import document_dates
+from aeris.sources.keyed_table import upsert
 
 
 def _field(df: DataFrame, name: str, alias: str) -> Column:
@@ -55,6 +56,11 @@ def city_documents(df: DataFrame) -> DataFrame:
         "coordinates": [("latitude", "lat"), ("longitude", "long")]})
 
 
+def upsert_documents(df: DataFrame, path: str, keys: list[str], buckets: int = 64, batch_id: str | None = None) -> None:
+    """Keyed sink (S15): documents replace those of the same key, nothing is there twice after a repeated load."""
+    upsert(df, path, keys, buckets, batch_id=batch_id)
+
+
 def write_documents(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "json") -> None:
     """Document-collection sink (S15): one JSON document per row, or parquet."""
     writer = df.write.mode(mode)

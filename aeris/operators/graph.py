@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeris.functions.dates import graph_dates
+from aeris.sources.keyed_table import upsert
 
 
 def nodes(df: DataFrame, assume_unique: bool = False) -> DataFrame:
@@ -102,6 +103,11 @@ def merge_edges(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     return existing.unionByName(new.join(have, same, "left_anti").dropDuplicates(list(keys)))
 
 
+def link_edges(new: DataFrame, path: str, keys: Sequence[str], buckets: int = 64, batch_id: str | None = None) -> None:
+    """G8 on a stored table: add the edges whose key is not there yet; only their buckets are read and written."""
+    upsert(new, path, keys, buckets, batch_id=batch_id, update=False)
+
+
 def write_nodes(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Node/edge sink (S16): replace the label's table."""
     df.write.mode(mode).parquet(path)

@@ -109,6 +109,7 @@ class ValidationResult:
     def check_gates(self) -> dict[str, float]:
         """Raise below ``min_rows`` (V7); warn on drop ratio and coverage (V8, V9)."""
         s = self.summary()
+        self.warnings.clear()
         final = s["count.final_count"]
         if final < self.spec.min_rows:
             raise ValueError(f"too few valid rows: {int(final)}, at least {self.spec.min_rows} are wanted")

@@ -27,6 +27,7 @@ from aeris.operators.joins import attach_group_stats
 from aeris.operators.validate import ReferenceCheck, ValidationResult, ValidationSpec
 from aeris.session import materialize
 from aeris.sources.schemas import CO2_REQUIRED, WEATHER_REQUIRED
+from aeris.sources.month_table import write_by_month
 
 
 @dataclass(frozen=True)
@@ -241,11 +242,15 @@ def clean_co2(raw: DataFrame, countries: DataFrame | list | None = None,
 
 
 def write_cleaned(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
-                  compression: str = "gzip") -> None:
-    """Cleaned-table sink (S12): compressed parquet, optionally capped file count.
+                  compression: str = "gzip", by_month: bool = False) -> None:
+    """Cleaned-table sink (S12): compressed parquet, optionally capped file count, or in month folders.
 
     ``files=None`` lets AQE size the output (one file per shuffle partition);
-    a cap goes through ``coalesce`` so it adds no shuffle.
+    a cap goes through ``coalesce`` so it adds no shuffle.  ``by_month`` is for tables that are asked by day or month
+    (``month_table``); read them with ``read_by_month``.
     """
+    if by_month:
+        write_by_month(df, path, mode=mode, compression=compression)
+        return
     out = df.coalesce(files) if files else df
     out.write.mode(mode).option("compression", compression).parquet(path)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from aeris.functions.dates import month_key
 from aeris.functions.numeric import EXACT, exact_avg, exact_sum
+from aeris.sources.month_table import MONTH, on_days
 
 
 def list_countries(countries: DataFrame, column: str = "country") -> DataFrame:
@@ -50,13 +51,13 @@ def top_emission_day_with_cities(co2: DataFrame, weather: DataFrame, cities: Dat
     Returns date, country, total_emission and ``hottest_cities``: up to
     ``top_cities`` structs (city_name, max_temp) by max temperature
     descending (nulls last, ties by name); an empty array when no weather row
-    of that country exists on that day (J6).
+    of that country exists on that day (J6).  ``weather`` may be a table in month folders.
     """
     top = top_emission_day(co2, country, emission)
     day = top.select(F.col("date").alias("__d"), F.col("country").alias("__c"))
     city = cities.select("station_id", "city_name", F.col("country").alias("__city_country"))
-    cand = (weather.select("station_id", "date", "max_temp_c")
-            .join(F.broadcast(day), F.col("date") == F.col("__d"))      # one row by construction
+    # one day by construction; a weather table in month folders is read in that month only
+    cand = (on_days(weather.select("station_id", "date", "max_temp_c", *({MONTH} & {*weather.columns})), day.withColumn("date", F.col("__d")))
             .join(city, "station_id")
             .filter(F.col("__city_country") == F.col("__c")))
     per_city = cand.groupBy("__d", "__c", "city_name").agg(F.max("max_temp_c").alias("max_temp"))

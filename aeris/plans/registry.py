@@ -13,19 +13,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from aeris.functions import buckets
-from aeris.functions.dates import parse_multi_format_date
-from aeris.operators import cleaning, documents, enrich, graph, impute, validate
+from aeris.functions.dates import parse_iso_timestamp, parse_multi_format_date
+from aeris.operators import cleaning, compare, documents, enrich, graph, impute, profile, spi_state, validate
 from aeris.operators.joins import semi_join_reference
 from aeris.plans import cleaning as jobs
 from aeris.plans import climate_queries as cq
 from aeris.plans import reports
 from aeris.plans.vulnerability import country_vulnerability
-from aeris.session import scratch_path
-from aeris.sources import readers
+from aeris.session import materialize, scratch_path
+from aeris.sources import keyed_table, month_table, readers
 from aeris.sources import testdata as td
-from aeris.streaming import ingest, vulnerability_stream
+from aeris.sources.schemas import WEATHER_RAW_SCHEMA
+from aeris.streaming import gates, ingest, vulnerability_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 WEATHER_ID = ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "date"]
@@ -233,8 +235,11 @@ def q_top_emission_day(spark, sf_dir):
 
 
 def q_top_day_hottest_cities(spark, sf_dir):
-    r = cq.top_emission_day_with_cities(td.emissions(spark, sf_dir), td.weather_obs(spark, sf_dir),
-                                        td.stations(spark, sf_dir))
+    return _top_day_rows(cq.top_emission_day_with_cities(td.emissions(spark, sf_dir), td.weather_obs(spark, sf_dir),
+                                                         td.stations(spark, sf_dir)))
+
+
+def _top_day_rows(r):
     return r.select("date", "country", F.round("total_emission", 4).alias("total_emission"),
                     F.posexplode_outer("hottest_cities").alias("city_rank", "city")).select(
         "date", "country", "total_emission", "city_rank",
@@ -392,6 +397,61 @@ def q_vulnerability_stream(spark, sf_dir):
     return vulnerability_stream.latest_state(spark, f"{base}/state")
 
 
+def q_stream_state(spark, sf_dir):
+    """The stream over three files, its state on disk with changelogs, read back from the checkpoint."""
+    base = scratch_path(spark, "state")
+    scored_weather(spark, sf_dir).repartition(3).write.parquet(f"{base}/weather")
+    settings = {**vulnerability_stream.STREAM_CONF, **vulnerability_stream.ROCKSDB_CONF}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    vulnerability_stream.configure_stream_session(spark, settings)
+    try:
+        plan = vulnerability_stream.vulnerability_plan(spark, f"{base}/weather", td.stations(spark, sf_dir), max_files_per_trigger=1)
+        q = vulnerability_stream.start(plan, sink="table", path=f"{base}/table", checkpoint=f"{base}/checkpoint", available_now=True)
+        q.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return vulnerability_stream.stored_state(spark, f"{base}/checkpoint")
+
+
+def _publish_parts(df: DataFrame, base: str, parts: int) -> str:
+    """Events as ``parts`` text files, by event_id; gives a path that takes them all."""
+    for k in range(parts):
+        part = df.filter(F.pmod("event_id", F.lit(parts)) == k).drop("event_id")
+        part.coalesce(1).write.text(f"{base}/source/part{k}")
+    return f"{base}/source/part*"
+
+
+def q_gated_ingest(spark, sf_dir):
+    """V4-V10 on a stream: of four files one has a third of its payloads cut short and is diverted; counts by place."""
+    events = td.table(spark, sf_dir, "events")
+    base = scratch_path(spark, "gated")
+    lines = events.select("event_id", F.to_json(F.struct("*"), ingest.JSON_OPTIONS).alias("value"))
+    cut = (F.pmod("event_id", F.lit(4)) == 2) & (F.pmod("event_id", F.lit(3)) == 0) | (F.pmod("event_id", F.lit(100)) == 1)
+    source = _publish_parts(lines.withColumn("value", F.when(cut, F.expr("substring(value, 1, 9)")).otherwise(F.col("value"))), base, 4)
+    gate = gates.Gate(keys=["event_id"], rules=[validate.Rule("negative_value", lambda: F.col("value") >= 0)], min_rows=10, max_bad_ratio=0.1)
+    q = gates.gated_ingest(spark, source, f"{base}/sink", f"{base}/checkpoint", events.schema, gate, max_per_trigger=1)
+    ingest.await_query(q)
+    good = ingest.ingested(spark, f"{base}/sink", events.schema).select(F.lit("admitted").alias("place"))
+    away = gates.quarantined(spark, f"{base}/sink").select(F.concat(F.lit("away: "), F.coalesce("fault", F.lit("batch"))).alias("place"))
+    report = gates.gate_report(spark, f"{base}/sink").select(
+        F.concat(F.lit("report: "), F.when(F.col("admitted"), "admitted").otherwise("diverted")).alias("place"))
+    return good.unionByName(away).unionByName(report).groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_ingest_unique(spark, sf_dir):
+    """Events sent in three files, a third of them twice, arrive once."""
+    events = td.table(spark, sf_dir, "events")
+    base = scratch_path(spark, "unique")
+    lines = events.select("event_id", F.to_json(F.struct("*"), ingest.JSON_OPTIONS).alias("value"))
+    again = lines.filter("event_id % 3 = 0").withColumn("event_id", F.col("event_id") + 1)
+    source = _publish_parts(lines.unionByName(again), base, 3)
+    schema = StructType([f if f.name != "ts" else StructField("ts", TimestampType()) for f in events.schema.fields])
+    q = ingest.ingest_unique(spark, source, f"{base}/sink", f"{base}/checkpoint", events.schema, ["event_id"], "ts", "3650 days", max_per_trigger=1)
+    ingest.await_query(q)
+    return spark.read.schema(schema).parquet(f"{base}/sink").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # -- cleaning jobs ------------------------------------------------------------
 
 def q_weather_cleaned(spark, sf_dir):
@@ -445,6 +505,104 @@ def q_csv_round_trip(spark, sf_dir):
     return readers.read_many(spark, [("stations", path), ("none", None)], {"stations": schema})["stations"]
 
 
+def q_raw_feed_round_trip(spark, sf_dir):
+    """The raw weather feed as CSV, read with its schema, written by the cleaned-table sink and read again."""
+    base = scratch_path(spark, "feed")
+    w = td.weather_obs(spark, sf_dir)
+    have = [f.name for f in WEATHER_RAW_SCHEMA.fields if f.name in w.columns]
+    feed = w.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in WEATHER_RAW_SCHEMA.fields])
+    feed.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(f"{base}/raw.csv")
+    jobs.write_cleaned(readers.read_any(spark, f"{base}/raw.csv", WEATHER_RAW_SCHEMA), f"{base}/raw.parquet", files=4)
+    return readers.read_any(spark, f"{base}/raw.parquet").select(*have)
+
+
+def q_observation_timestamps(spark, sf_dir):
+    """The stream's reading of a date text."""
+    w = td.weather_obs(spark, sf_dir).withColumn("date", F.when(F.col("l_orderkey") % 19 == 0, "bad").otherwise(F.col("date").cast("string")))
+    return w.select("l_orderkey", "l_linenumber", "l_partkey",
+                    F.date_format(parse_iso_timestamp("date"), "yyyy-MM-dd HH:mm:ss").alias("observed"))
+
+
+def q_cleaning_steps(spark, sf_dir):
+    """Row counts after each step of the CO2 job and what its gates say."""
+    valid, result = co2_job(spark, sf_dir)
+    summary = result.check_gates()
+    valid.write.format("noop").mode("overwrite").save()
+    rows = [("step", k, float(v)) for k, v in jobs.step_counts(result.steps).items()]
+    rows += [("gate", "final_count", summary["count.final_count"]), ("gate", "warnings", float(len(result.warnings)))]
+    result.release(spark)
+    return spark.createDataFrame(rows, "kind string, name string, value double")
+
+
+def q_impute_average_only(spark, sf_dir):
+    """With statistics for the average alone the bounds are filled by nothing."""
+    w = impute.impute_temperatures(td.weather_obs(spark, sf_dir), mean_cols=("avg_temp_c", "precipitation_mm"))
+    return w.select(*WEATHER_ID, *[F.round(c, 6).alias(c) for c in TEMPS])
+
+
+# -- stored tables and states ---------------------------------------------------
+
+def q_top_day_month_table(spark, sf_dir):
+    """Q-A over a weather table in month folders, of which the winning day's month is read."""
+    path = f"{scratch_path(spark, 'months')}/weather"
+    jobs.write_cleaned(td.weather_obs(spark, sf_dir), path, by_month=True)
+    return _top_day_rows(cq.top_emission_day_with_cities(td.emissions(spark, sf_dir), month_table.read_by_month(spark, path),
+                                                         td.stations(spark, sf_dir)))
+
+
+def q_emissions_upserted(spark, sf_dir):
+    """Three loads into a keyed table, the second one twice: half without values, all, a revised hundredth."""
+    path = f"{scratch_path(spark, 'keyed')}/emissions"
+    e = td.emissions(spark, sf_dir)
+    load = {"keys": ["o_orderkey"], "buckets": 32}
+    keyed_table.upsert(e.filter("o_orderkey % 2 = 0").withColumn("MtCO2_per_day", F.lit(None).cast("double")), path, **load)
+    for _ in range(2):
+        keyed_table.upsert(e, path, batch_id="all", **load)
+    keyed_table.upsert(e.filter("o_orderkey % 100 = 0").withColumn("sector", F.lit("revised")), path, **load)
+    return keyed_table.read(spark, path)
+
+
+def q_edges_upserted(spark, sf_dir):
+    """Edges linked into a keyed table, then all of them twice over; those that are there are left alone."""
+    path = f"{scratch_path(spark, 'keyed')}/on_date"
+    e = graph.on_date(td.weather_obs(spark, sf_dir), keys=WEATHER_ID[:-1])
+    graph.link_edges(e.filter("l_linenumber % 2 = 0"), path, e.columns, buckets=32)
+    graph.link_edges(e.unionByName(e), path, e.columns)
+    return keyed_table.read(spark, path)
+
+
+def q_spi_from_state(spark, sf_dir):
+    """The index from a stored state of the history and a batch that starts in the middle of its last month."""
+    w = td.weather_obs(spark, sf_dir)
+    new = F.coalesce(F.col("date") >= F.lit("1998-01-15").cast("date"), F.lit(False))
+    history = materialize(spi_state.month_states(w.filter(~new)), "month-states")
+    stations = materialize(spi_state.station_states(history), "station-states")
+    months, states = spi_state.update(history, stations, materialize(spi_state.month_states(w.filter(new)), "batch-states"))
+    return spi_state.spi(months, states)
+
+
+def q_profile_merged(spark, sf_dir):
+    """The profile of four batches of emissions, added up; ``distinct_near`` holds the sketch against a count."""
+    e = td.emissions(spark, sf_dir)
+    parts = [materialize(profile.column_profile(e.filter(F.pmod("o_orderkey", F.lit(4)) == k)), f"profile-{k}") for k in range(4)]
+    report = profile.profile_report(profile.merge_profiles(*parts))
+    exact = e.agg(*[F.count_distinct(c).alias(c) for c in e.columns]).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in e.columns])))
+    return report.join(exact, "column_name").select(
+        "column_name", "total_rows", "null_count", "nan_count", "min_number", "max_number", "min_text", "max_text", "completeness_pct",
+        (F.abs(F.col("distinct_estimate") - F.col("exact")) <= 0.06 * F.col("exact")).alias("distinct_near"))
+
+
+def q_before_after_cleaning(spark, sf_dir):
+    """Raw weather against cleaned weather, histograms over shared cut points."""
+    raw = td.weather_obs(spark, sf_dir)
+    valid, _ = jobs.clean_weather(raw, td.stations(spark, sf_dir))
+    c = compare.compare(raw, valid, [*TEMPS, "precipitation_mm"])
+    return c.select("column_name", "rows_before", "rows_after", "nulls_before", "nulls_after", "distinct_before", "distinct_after", "distance",
+                    F.posexplode(F.arrays_zip(F.col("histogram_before").alias("b"), F.col("histogram_after").alias("a"))).alias("bin", "h")).select(
+        "*", F.col("h.b").alias("n_before"), F.col("h.a").alias("n_after")).drop("h")
+
+
 def q_extreme_weather_report(spark, sf_dir):
     """The report select of the extreme-weather question."""
     r = cq.emission_vs_extreme_weather(scored_weather(spark, sf_dir), td.stations(spark, sf_dir), td.emissions(spark, sf_dir),

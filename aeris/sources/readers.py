@@ -1,7 +1,8 @@
 """Batch readers.
 
-No reader triggers a job: counts and schema prints of the original are left
-to the caller (``df.count()`` when it is really wanted).
+Counts and schema prints of the original are left to the caller (``df.count()`` when it is really
+wanted).  A reader runs a job only to look at a folder's file names, where the path has no
+suffix, or at the header of a CSV file that is read by column name.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -29,6 +30,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     return reader.csv(path)
 
 
+def read_csv_named(spark: SparkSession, path: str, known: StructType) -> DataFrame:
+    """CSV whose columns have the types of ``known`` by name, in any order; other columns are text.
+
+    Nothing is inferred, so station ids that are all digits stay text (S2).
+    """
+    types = {f.name: f.dataType for f in known.fields}
+    header = spark.read.option("header", "true").csv(path).columns
+    return read_csv(spark, path, StructType([StructField(c, types.get(c, StringType())) for c in header]))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan (S3); filters and projections are pushed into the scan."""
     return spark.read.parquet(path)
@@ -46,10 +57,15 @@ def _format_of(spark: SparkSession, path: str) -> str:
     return "csv" if files.filter(F.lower("path").endswith(".parquet")).isEmpty() else "parquet"
 
 
-def read_any(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Path-dispatched scan (S4): parquet, or CSV with a header (inferred where no schema is given)."""
+def read_any(spark: SparkSession, path: str, schema: StructType | None = None, known: StructType | None = None) -> DataFrame:
+    """Path-dispatched scan (S4): parquet, or CSV with a header.
+
+    CSV is read with ``schema``, or by column name with the types of ``known``, or is inferred.
+    """
     if _format_of(spark, path) == "parquet":
         return read_parquet(spark, path)
+    if schema is None and known is not None:
+        return read_csv_named(spark, path, known)
     return read_csv(spark, path, schema=schema, infer=schema is None)
 
 

@@ -1,6 +1,6 @@
 """Fixed schemas of the climate feeds and their dimensions."""
 
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType
 
 # Field names and types of the two raw feeds and two dimensions.
 WEATHER_RAW_SCHEMA = StructType(
@@ -31,6 +31,18 @@ CO2_RAW_SCHEMA = StructType(
     ]
 )
 
+# What cleaning makes of the feeds: a date for its text, and the derived columns.
+WEATHER_CLEAN_SCHEMA = StructType(
+    [f if f.name != "date" else StructField("date", DateType()) for f in WEATHER_RAW_SCHEMA.fields]
+    + [StructField(c, DoubleType()) for c in ("temp_range_c", "spi_index", "climate_risk_score")]
+    + [StructField(c, StringType()) for c in ("temp_category", "precipitation_category", "climate_risk_level")]
+)
+
+CO2_CLEAN_SCHEMA = StructType(
+    [f if f.name != "date" else StructField("date", DateType()) for f in CO2_RAW_SCHEMA.fields]
+    + [StructField(c, StringType()) for c in ("emission_level", "sector_category")]
+)
+
 CITY_SCHEMA = StructType(
     [
         StructField("station_id", StringType(), True),

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from aeris.session import remove_paths
 from aeris.plans.vulnerability import (VULNERABILITY_COLUMNS, aggregate_risk, city_dimension,
@@ -34,6 +34,30 @@ STREAM_CONF = {
 }
 
 
+# State on local disk with changes uploaded batch by batch, for states larger than an executor's memory.
+ROCKSDB_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def stored_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """Country and counts as the query's state store holds them in a checkpoint, at a batch or the last one.
+
+    The buffers of ``aggregate_risk`` lie in its order and share names, so they are taken by place: those of the average
+    first, then greatest and least score, the counts by level, and the number of events.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    rows = reader.load(checkpoint)
+    buffers = rows.schema["value"].dataType.fields
+    named = rows.select(F.col("key")["country"].alias("country"),
+                        F.col("value").cast(StructType([StructField(f"b{k}", f.dataType) for k, f in enumerate(buffers)])).alias("s"))
+    last = ["max_risk_score", "min_risk_score", "low_cnt", "moderate_cnt", "high_cnt", "critical_cnt", "events"]
+    return named.select("country", *[F.col(f"s.b{len(buffers) - len(last) + k}").alias(c) for k, c in enumerate(last)])
+
+
 def configure_stream_session(spark: SparkSession, conf: dict[str, str] | None = None) -> None:
     """Apply the state-store settings (T4) to a session before starting the query."""
     for key, value in (conf or STREAM_CONF).items():

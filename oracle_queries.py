@@ -549,6 +549,17 @@ r AS (SELECT DISTINCT cc.city_name AS city, cc.country, hot.hot_days_count, pc.a
         "count(*) AS n FROM events WHERE event_id % 50 = 0 GROUP BY 1")
     q["vulnerability_stream"] = q["vulnerability_batch"]
 
+    q["stream_state"] = ("SELECT country, max_risk_score, min_risk_score, low_cnt, moderate_cnt, high_cnt, critical_cnt, events "
+                         f"FROM ({q['vulnerability_batch']})")
+    q["ingest_unique"] = "SELECT * FROM events"
+    q["gated_ingest"] = """
+WITH e AS (SELECT event_id % 4 AS part, CASE WHEN event_id % 4 = 2 AND event_id % 3 = 0 OR event_id % 100 = 1 THEN 'payload'
+                                             WHEN value IS NULL OR value < 0 THEN 'negative_value' END AS fault FROM events),
+b AS (SELECT part, count(*) AS n, count(*) FILTER (WHERE fault IS NULL) AS good FROM e GROUP BY part),
+p AS (SELECT e.fault, good >= 10 AND n - good <= 0.1 * n AS ok FROM e JOIN b USING (part))
+SELECT CASE WHEN ok AND fault IS NULL THEN 'admitted' ELSE 'away: ' || coalesce(fault, 'batch') END AS place, count(*) AS n FROM p GROUP BY 1
+UNION ALL SELECT CASE WHEN good >= 10 AND n - good <= 0.1 * n THEN 'report: admitted' ELSE 'report: diverted' END, count(*) FROM b GROUP BY 1"""
+
     # single operators
     q["country_top_day"] = with_(EMISSIONS) + (
         f" SELECT date, country, {rnd(xsum('MtCO2_per_day'), 4)} AS total_emission FROM emissions WHERE country = 'NATION_7' "
@@ -563,6 +574,57 @@ r AS (SELECT DISTINCT cc.city_name AS city, cc.country, hot.hot_days_count, pc.a
     q["timestamp_weather_cleaned"] = q["weather_cleaned"]
     q["csv_round_trip"] = with_(STATIONS) + (
         " SELECT station_id, city_name, country, iso3, latitude, longitude FROM stations")
+    q["raw_feed_round_trip"] = W + (
+        " SELECT station_id, city_name, strftime(date, '%Y-%m-%d') AS date, season, avg_temp_c, min_temp_c, max_temp_c, precipitation_mm FROM weather_obs")
+    q["observation_timestamps"] = W + (
+        " SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey % 19 <> 0 THEN strftime(date, '%Y-%m-%d %H:%M:%S') END AS observed FROM weather_obs")
+    q["cleaning_steps"] = cj + (
+        " SELECT 'step' AS kind, 'co2_input' AS name, count(*)::DOUBLE AS value FROM emissions"
+        " UNION ALL SELECT 'step', 'co2_after_dedup', count(*)::DOUBLE FROM c_dedup"
+        " UNION ALL SELECT 'step', 'co2_after_null_drop', count(*)::DOUBLE FROM c_keys"
+        " UNION ALL SELECT 'gate', 'final_count', final_count::DOUBLE FROM v_one"
+        " UNION ALL SELECT 'gate', 'warnings', ((initial_count - final_count) / initial_count > 0.05)::INT"
+        " + ((SELECT count(DISTINCT country) FROM v_valid) < 5)::INT + ((SELECT count(DISTINCT sector) FROM v_valid) < 3)::INT FROM v_one")
+    only = ("CASE WHEN avg_temp_c IS NOT NULL THEN avg_temp_c WHEN pavg >= coalesce(min_temp_c, pavg) AND pavg <= coalesce(max_temp_c, pavg) THEN pavg "
+            "ELSE (coalesce(min_temp_c, max_temp_c) + coalesce(max_temp_c, min_temp_c)) / 2 END")
+    q["impute_average_only"] = W + (
+        f", st AS (SELECT station_id AS st_id, {xavg('avg_temp_c')} AS pavg FROM weather_obs GROUP BY station_id)"
+        f", a AS (SELECT w.* REPLACE ({only} AS avg_temp_c) FROM weather_obs w LEFT JOIN st ON w.station_id IS NOT DISTINCT FROM st_id)"
+        f" SELECT {WID}, {rnd('avg_temp_c', 6)} AS avg_temp_c, {rnd('CASE WHEN min_temp_c IS NOT NULL THEN least(min_temp_c, avg_temp_c) END', 6)} AS min_temp_c, "
+        f"{rnd('CASE WHEN max_temp_c IS NOT NULL THEN greatest(max_temp_c, avg_temp_c) END', 6)} AS max_temp_c FROM a")
+
+    # stored tables and states
+    q["top_day_month_table"] = q["top_day_hottest_cities"]
+    q["emissions_upserted"] = with_(EMISSIONS) + (
+        " SELECT * REPLACE (CASE WHEN o_orderkey % 100 = 0 THEN 'revised' ELSE sector END AS sector) FROM emissions")
+    q["edges_upserted"] = q["edge_relinked"]
+    q["spi_from_state"] = with_(WEATHER_OBS, spi_cte("weather_obs")) + (
+        " SELECT DISTINCT station_id, year(date)::INTEGER AS year, month(date)::INTEGER AS month, spi_index FROM spi")
+    numbers, texts = {"o_orderkey": "o_orderkey", "date": "date_diff('day', DATE '1970-01-01', date)", "MtCO2_per_day": "MtCO2_per_day"}, ["country", "sector"]
+    parts = []
+    for c in EMISSION_COLS:
+        low, high = (f"min({numbers[c]})::DOUBLE", f"max({numbers[c]})::DOUBLE") if c in numbers else ("NULL::DOUBLE", "NULL::DOUBLE")
+        first, final = (f"min({c})", f"max({c})") if c in texts else ("NULL::VARCHAR", "NULL::VARCHAR")
+        parts.append(f"SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count, 0::BIGINT AS nan_count, {low} AS min_number, "
+                     f"{high} AS max_number, {first} AS min_text, {final} AS max_text, {rnd(f'count({c}) / count(*) * 100', 2)} AS completeness_pct, "
+                     "true AS distinct_near FROM emissions")
+    q["profile_merged"] = with_(EMISSIONS) + " " + " UNION ALL ".join(parts)
+    measured = ["avg_temp_c", "min_temp_c", "max_temp_c", "precipitation_mm"]
+    long = " UNION ALL ".join(f"SELECT '{c}' AS c, 0 AS t, {c}::DOUBLE AS v FROM weather_obs UNION ALL SELECT '{c}', 1, {c}::DOUBLE FROM v_valid" for c in measured)
+    q["before_after_cleaning"] = with_(WEATHER_OBS, STATIONS) + "," + weather_job_ctes() + f""",
+b_long AS ({long}),
+b_cut AS (SELECT c, min(v) AS low, max(v) AS high FROM b_long GROUP BY c),
+b_bin AS (SELECT c, t, least(greatest(floor((v - low) / (high - low) * 20), 0), 19)::INTEGER AS bin FROM b_long JOIN b_cut USING (c) WHERE v IS NOT NULL),
+b_hist AS (SELECT c, bin, count(*) FILTER (WHERE t = 0) AS n0, count(*) FILTER (WHERE t = 1) AS n1 FROM b_bin GROUP BY c, bin),
+b_grid AS (SELECT g.c, g.bin, coalesce(h.n0, 0) AS n0, coalesce(h.n1, 0) AS n1 FROM (SELECT c, i::INTEGER AS bin FROM b_cut CROSS JOIN range(20) r(i)) g
+           LEFT JOIN b_hist h ON h.c = g.c AND h.bin = g.bin),
+b_far AS (SELECT c, round(sum(abs(n0 / s0 - n1 / s1)) / 2, 6) AS distance FROM
+          (SELECT *, sum(n0) OVER (PARTITION BY c) AS s0, sum(n1) OVER (PARTITION BY c) AS s1 FROM b_grid) GROUP BY c),
+b_sum AS (SELECT c, count(*) FILTER (WHERE t = 0) AS rows_before, count(*) FILTER (WHERE t = 1) AS rows_after,
+          count(*) FILTER (WHERE t = 0 AND v IS NULL) AS nulls_before, count(*) FILTER (WHERE t = 1 AND v IS NULL) AS nulls_after,
+          count(DISTINCT v) FILTER (WHERE t = 0) AS distinct_before, count(DISTINCT v) FILTER (WHERE t = 1) AS distinct_after FROM b_long GROUP BY c)
+SELECT c AS column_name, rows_before, rows_after, nulls_before, nulls_after, distinct_before, distinct_after, distance, bin, n0 AS n_before, n1 AS n_after
+FROM b_grid JOIN b_far USING (c) JOIN b_sum USING (c)"""
     q["extreme_weather_report"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, scored_weather_cte(), f"""
 daily AS ({daily}),
 j AS (
