@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +38,7 @@ DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 6  # of each width
 PER_LABEL = 2000
+LANGUAGES = 32  # told apart, at most: the broadcast table has a column for each
 EPOCHS = 6
 RATE = 0.05
 BLOCK = 8192  # words convolved at a time
@@ -215,11 +217,12 @@ def calibrate(model: Cnn, docs: list[np.ndarray], y: np.ndarray, weight: np.ndar
 
 
 def learn_tongues(model: Cnn, docs: list[np.ndarray], langs: list[str | None]) -> None:
-    """Log-likelihood of each slot by language, from the sample's lang."""
-    names = sorted({x for x in langs if x is not None})
+    """Log-likelihood of each slot by language, from the sample's lang; of the ``LANGUAGES`` most frequent ones."""
+    common = Counter(x for x in langs if x is not None)
+    names = sorted(sorted(common, key=lambda x: (-common[x], x))[:LANGUAGES])
     counts = np.zeros((SLOTS, len(names)))
     for slots, lang in zip(docs, langs, strict=True):
-        if lang is not None:
+        if lang in names:
             np.add.at(counts[:, names.index(lang)], slots.ravel(), 1)
     seen = counts.sum(axis=1) > 1
     odds = np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * max(1, seen.sum())))
