@@ -1,13 +1,15 @@
 """Command line for the jobs a user of the upstream scripts runs.
 
     python -m aeris ingest        --source DIR --sink DIR --checkpoint DIR --dataset weather|co2
-    python -m aeris clean-weather --input PATH --cities CSV --output DIR
+                                  [--max-files-per-trigger N] [--max-bytes-per-trigger B] [--files-per-batch N]
+    python -m aeris clean-weather --input PATH --cities CSV --output DIR [--by-month]
     python -m aeris clean-co2     --input PATH --countries CSV --output DIR [--floor D] [--as-of D] [--mode append]
-    python -m aeris documents     --weather P --co2 P --cities CSV --countries CSV --output DIR
-    python -m aeris graph         --weather P --co2 P --cities CSV --countries CSV --output DIR
+    python -m aeris documents     --weather P --co2 P --cities CSV --countries CSV --output DIR [--mode append|upsert]
+    python -m aeris graph         --weather P --co2 P --cities CSV --countries CSV --output DIR [--mode append|upsert]
     python -m aeris query NAME    --weather P --co2 P --cities CSV --countries CSV [--output DIR] [--report]
                                   [--threshold T] [--risk-levels L ...] [--limit N] [--country C] [--true-sum]
-    python -m aeris vulnerability --weather DIR --cities CSV [--stream] [--checkpoint DIR]
+    python -m aeris vulnerability --weather DIR --cities CSV [--output DIR] [--stream] [--checkpoint DIR]
+                                  [--max-files-per-trigger N]
 
 Paths may be parquet or CSV (``read_any``); the city and country CSVs are
 read with their fixed schemas.  Results go to parquet (``--output``) or are
@@ -40,6 +42,9 @@ from aeris.streaming import ingest, vulnerability_stream
 
 REPORTS = {"top-day": reports.top_day_report, "extreme": reports.extreme_weather_report,
            "monthly": reports.monthly_report, "hot-cities": reports.hot_cities_report}
+# Fields that tell the documents of a collection apart.
+DOCUMENT_KEYS = {"weathers": ["station_id", "date"], "carbons": ["country", "date", "sector"], "cities": ["station_id"],
+                 "countries": ["country"]}
 QUERY_NAMES = ["top-day", "extreme", "monthly", "hot-cities", "countries"]
 
 
@@ -65,7 +70,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         i.add_argument(a, required=True)
     i.add_argument("--dataset", choices=["weather", "co2"], required=True)
     i.add_argument("--rejects")
-    i.add_argument("--max-files-per-trigger", type=int)
+    for a in ("--max-files-per-trigger", "--max-bytes-per-trigger", "--files-per-batch"):
+        i.add_argument(a, type=int)
     for name, extra in (("clean-weather", "--cities"), ("clean-co2", "--countries")):
         c = sub.add_parser(name)
         c.add_argument("--input", required=True)
@@ -76,6 +82,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         c.add_argument("--as-of")
         c.add_argument("--min-rows", type=int)
         c.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
+        c.add_argument("--by-month", action="store_true")
     for name in ("documents", "graph", "query"):
         c = sub.add_parser(name)
         if name == "query":
@@ -86,6 +93,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
             c.add_argument("--report", action="store_true")
             c.add_argument("--threshold", type=float)
             c.add_argument("--risk-levels", nargs="+", default=["HIGH", "SEVERE"])
+        else:
+            c.add_argument("--mode", choices=["overwrite", "append", "upsert"], default="overwrite")
         for a in ("--weather", "--co2", "--cities", "--countries", "--output"):
             c.add_argument(a)
     v = sub.add_parser("vulnerability")
@@ -94,6 +103,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     v.add_argument("--stream", action="store_true")
     v.add_argument("--checkpoint")
     v.add_argument("--output")
+    v.add_argument("--max-files-per-trigger", type=int)
     v.add_argument("--trigger-seconds", type=int, default=20)
     v.add_argument("--timeout-seconds", type=float)
     args = p.parse_args(argv)
@@ -101,7 +111,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if args.cmd == "ingest":
         schema = WEATHER_RAW_SCHEMA if args.dataset == "weather" else CO2_RAW_SCHEMA
         ingest.await_query(ingest.ingest(spark, args.source, args.sink, args.checkpoint, schema,
-                                         max_per_trigger=args.max_files_per_trigger, rejects=args.rejects))
+                                         max_per_trigger=args.max_files_per_trigger, rejects=args.rejects,
+                                         max_bytes_per_trigger=args.max_bytes_per_trigger, files_per_batch=args.files_per_batch))
         return {"ingested": args.sink}
 
     if args.cmd in ("clean-weather", "clean-co2"):
@@ -114,7 +125,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
             valid, result = jobs.clean_co2(raw, countries,
                                            spec=jobs.co2_spec(floor=args.floor, as_of=args.as_of, **gate))
         summary = result.check_gates()          # raises before anything is written (V7)
-        jobs.write_cleaned(valid, args.output, mode=args.mode, files=args.files)
+        jobs.write_cleaned(valid, args.output, mode=args.mode, files=args.files, by_month=args.by_month)
         result.release(spark)
         summary["steps"] = jobs.step_counts(result.steps)
         summary["issues_found"] = result.issues_found()
@@ -132,8 +143,10 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
                                 ("carbons", co2, documents.co2_documents),
                                 ("cities", cities, documents.city_documents),
                                 ("countries", countries, documents.country_documents)]:
-            if df is not None:
-                documents.write_documents(shape(df), f"{out}/{name}")
+            if df is not None and args.mode == "upsert":
+                documents.upsert_documents(shape(df), f"{out}/{name}", DOCUMENT_KEYS[name])
+            elif df is not None:
+                documents.write_documents(shape(df), f"{out}/{name}", mode=args.mode)
         return {"documents": out}
 
     if args.cmd == "graph":
@@ -152,7 +165,10 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
             "edges/HAS_VALUE": graph.has_value(co2),
         }
         for name, df in tables.items():
-            graph.write_nodes(df, f"{out}/{name}")
+            if args.mode == "upsert":  # merged on all properties, as the store does
+                graph.link_edges(df, f"{out}/{name}", df.columns)
+            else:
+                graph.write_nodes(df, f"{out}/{name}", mode=args.mode)
         return {"graph": out}
 
     if args.cmd == "query":
@@ -179,7 +195,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         if args.stream:
             vulnerability_stream.process_stream(spark, args.weather, cities, checkpoint=args.checkpoint,
                                                 trigger_seconds=args.trigger_seconds,
-                                                timeout_seconds=args.timeout_seconds)
+                                                timeout_seconds=args.timeout_seconds, output=args.output,
+                                                max_files_per_trigger=args.max_files_per_trigger)
             return {"stream": "stopped"}
         _emit(country_vulnerability(weather, cities), args.output, "vulnerability")
         return {"vulnerability": "batch"}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from aeris.functions import buckets
-from aeris.functions.dates import parse_iso_timestamp, parse_multi_format_date
+from aeris.functions.dates import month_key, parse_iso_timestamp, parse_multi_format_date
 from aeris.operators import cleaning, compare, documents, enrich, graph, impute, profile, spi_state, validate
 from aeris.operators.joins import semi_join_reference
 from aeris.plans import cleaning as jobs
@@ -24,7 +24,7 @@ from aeris.plans import climate_queries as cq
 from aeris.plans import reports
 from aeris.plans.vulnerability import country_vulnerability
 from aeris.session import materialize, scratch_path
-from aeris.sources import keyed_table, month_table, readers
+from aeris.sources import bucketed_table, keyed_table, month_table, readers
 from aeris.sources import testdata as td
 from aeris.sources.schemas import WEATHER_RAW_SCHEMA
 from aeris.streaming import gates, ingest, vulnerability_stream
@@ -581,6 +581,17 @@ def q_spi_from_state(spark, sf_dir):
     return spi_state.spi(months, states)
 
 
+def q_spi_bucketed(spark, sf_dir):
+    """Facts and the index bucketed alike by station and month, joined without a shuffle."""
+    base = scratch_path(spark, "bucketed")
+    w = td.weather_obs(spark, sf_dir).filter("station_id IS NOT NULL AND date IS NOT NULL").withColumn("month", month_key("date"))
+    facts = bucketed_table.write_bucketed(w.select(*WEATHER_ID, "month", "precipitation_mm"), f"{base}/facts", 8)
+    rows = bucketed_table.read_bucketed(spark, facts)
+    index = enrich.spi_table(rows).select("station_id", F.format_string("%04d-%02d", "__y", "__m").alias("month"), "spi_index")
+    stats = bucketed_table.write_bucketed(index, f"{base}/index", 8)
+    return bucketed_table.attach_month_stats(rows, bucketed_table.read_bucketed(spark, stats)).select(*WEATHER_ID, "spi_index")
+
+
 def q_profile_merged(spark, sf_dir):
     """The profile of four batches of emissions, added up; ``distinct_near`` holds the sketch against a count."""
     e = td.emissions(spark, sf_dir)
@@ -603,6 +614,23 @@ def q_before_after_cleaning(spark, sf_dir):
         "*", F.col("h.b").alias("n_before"), F.col("h.a").alias("n_after")).drop("h")
 
 
+def q_top_day_report(spark, sf_dir):
+    """The report select of the top-day question."""
+    return reports.top_day_report(cq.top_emission_day_with_cities(td.emissions(spark, sf_dir), td.weather_obs(spark, sf_dir),
+                                                                  td.stations(spark, sf_dir)))
+
+
+def q_monthly_report(spark, sf_dir):
+    """The report select of the monthly question."""
+    return reports.monthly_report(_monthly(spark, sf_dir, dedup_fanout=True))
+
+
+def q_hot_cities_report(spark, sf_dir):
+    """The report select of the hot-cities question, with its threshold and length given."""
+    return reports.hot_cities_report(cq.hot_cities_vs_co2(td.weather_obs(spark, sf_dir), td.stations(spark, sf_dir),
+                                                          td.countries(spark, sf_dir), td.emissions(spark, sf_dir), limit=7, hot_threshold=35.0))
+
+
 def q_extreme_weather_report(spark, sf_dir):
     """The report select of the extreme-weather question."""
     r = cq.emission_vs_extreme_weather(scored_weather(spark, sf_dir), td.stations(spark, sf_dir), td.emissions(spark, sf_dir),

@@ -11,7 +11,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
+
+from aeris.functions.dates import parse_multi_format_date
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -33,11 +35,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
 def read_csv_named(spark: SparkSession, path: str, known: StructType) -> DataFrame:
     """CSV whose columns have the types of ``known`` by name, in any order; other columns are text.
 
-    Nothing is inferred, so station ids that are all digits stay text (S2).
+    Nothing is inferred, so station ids that are all digits stay text (S2).  Dates may have any spelling that cleaning accepts.
     """
     types = {f.name: f.dataType for f in known.fields}
     header = spark.read.option("header", "true").csv(path).columns
-    return read_csv(spark, path, StructType([StructField(c, types.get(c, StringType())) for c in header]))
+    dates = [c for c in header if isinstance(types.get(c), DateType)]
+    rows = read_csv(spark, path, StructType([StructField(c, StringType() if c in dates else types.get(c, StringType())) for c in header]))
+    return rows.withColumns({c: parse_multi_format_date(c) for c in dates}) if dates else rows
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

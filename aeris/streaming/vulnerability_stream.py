@@ -140,16 +140,18 @@ def latest_state(spark: SparkSession, path: str) -> DataFrame:
 
 def process_stream(spark: SparkSession, weather_path: str, cities: DataFrame,
                    checkpoint: str | None = None, trigger_seconds: int = 20,
-                   timeout_seconds: float | None = None) -> StreamingQuery:
-    """Run the vulnerability stream on the console in update mode until stopped.
+                   timeout_seconds: float | None = None, output: str | None = None,
+                   max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Run the vulnerability stream in update mode until stopped (E3): on the console, or into the keyed table ``output``.
 
     The session gets the state-store settings first.  ``timeout_seconds`` bounds
     the wait (``None`` waits until the query ends); an interrupt stops the
     query cleanly, and a failed query raises.
     """
     configure_stream_session(spark)
-    query = start(vulnerability_plan(spark, weather_path, cities), sink="console",
-                  output_mode="update", checkpoint=checkpoint, trigger_seconds=trigger_seconds)
+    query = start(vulnerability_plan(spark, weather_path, cities, max_files_per_trigger=max_files_per_trigger),
+                  sink="table" if output else "console", path=output, output_mode="update", checkpoint=checkpoint,
+                  trigger_seconds=trigger_seconds)
     try:
         query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
     except KeyboardInterrupt:

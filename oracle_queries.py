@@ -600,6 +600,8 @@ UNION ALL SELECT CASE WHEN good >= 10 AND n - good <= 0.1 * n THEN 'report: admi
     q["edges_upserted"] = q["edge_relinked"]
     q["spi_from_state"] = with_(WEATHER_OBS, spi_cte("weather_obs")) + (
         " SELECT DISTINCT station_id, year(date)::INTEGER AS year, month(date)::INTEGER AS month, spi_index FROM spi")
+    q["spi_bucketed"] = (f"WITH {WEATHER_OBS}, kept AS (SELECT * FROM weather_obs WHERE station_id IS NOT NULL AND date IS NOT NULL),"
+                         + spi_cte("kept") + f" SELECT {WID}, spi_index FROM spi")
     numbers, texts = {"o_orderkey": "o_orderkey", "date": "date_diff('day', DATE '1970-01-01', date)", "MtCO2_per_day": "MtCO2_per_day"}, ["country", "sector"]
     parts = []
     for c in EMISSION_COLS:
@@ -625,6 +627,12 @@ b_sum AS (SELECT c, count(*) FILTER (WHERE t = 0) AS rows_before, count(*) FILTE
           count(DISTINCT v) FILTER (WHERE t = 0) AS distinct_before, count(DISTINCT v) FILTER (WHERE t = 1) AS distinct_after FROM b_long GROUP BY c)
 SELECT c AS column_name, rows_before, rows_after, nulls_before, nulls_after, distinct_before, distinct_after, distance, bin, n0 AS n_before, n1 AS n_after
 FROM b_grid JOIN b_far USING (c) JOIN b_sum USING (c)"""
+    q["top_day_report"] = ("SELECT date AS \"Date\", country AS \"Country\", total_emission AS \"Total CO₂\", city_name AS \"City\", "
+                           f"max_temp AS \"Max Temp (°C)\" FROM ({q['top_day_hottest_cities']})")
+    q["monthly_report"] = ("SELECT country AS \"Country\", month AS \"Month\", monthly_avg_temp AS \"Monthly Avg Temp (°C)\", "
+                           f"monthly_total_co2 AS \"Monthly Total CO₂\" FROM ({q['monthly_temp_co2_true']})")
+    q["hot_cities_report"] = ("SELECT city AS \"City\", country AS \"Country\", hot_days_count AS \"Hot Days Count\", avg_co2 AS \"Avg CO₂ (MtCO₂/day)\" "
+                              f"FROM ({q['hot_cities_co2'].replace('avg_temp_c > 30', 'avg_temp_c > 35').replace('LIMIT 20', 'LIMIT 7')})")
     q["extreme_weather_report"] = with_(WEATHER_OBS, EMISSIONS, STATIONS, scored_weather_cte(), f"""
 daily AS ({daily}),
 j AS (

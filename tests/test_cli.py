@@ -5,6 +5,8 @@ import os
 import tempfile
 
 from aeris.cli import run
+from aeris.sources import keyed_table
+from aeris.streaming import vulnerability_stream
 
 CITIES = """station_id,city_name,country,state,iso2,iso3,latitude,longitude
 1,Paris,France,IDF,FR,FRA,48.8,2.3
@@ -66,3 +68,29 @@ def test_cli_end_to_end(spark):
                 "--output", f"{base}/v"])
     got = {r["country"] for r in spark.read.parquet(f"{base}/v/vulnerability").collect()}
     assert got == {"France", "Russia"}
+
+
+def test_cli_sinks(spark):
+    """Month folders, repeated loads with upsert and append, one file per batch, the stream into a keyed table."""
+    base = tempfile.mkdtemp(prefix="cli-")
+    os.makedirs(f"{base}/events")
+    _weather_json(f"{base}/events")
+    open(f"{base}/cities.csv", "w").write(CITIES)
+    open(f"{base}/countries.csv", "w").write(COUNTRIES)
+    _co2_csv(f"{base}/co2.csv")
+    run(spark, ["ingest", "--source", f"{base}/events", "--sink", f"{base}/raw", "--checkpoint", f"{base}/ckpt", "--dataset", "weather",
+                "--files-per-batch", "1", "--max-bytes-per-trigger", "1000000"])
+    assert len([f for f in os.listdir(f"{base}/raw/batch_id=0") if f.endswith(".parquet")]) == 1
+    run(spark, ["clean-weather", "--input", f"{base}/raw/", "--cities", f"{base}/cities.csv", "--output", f"{base}/weather", "--by-month"])
+    assert sorted(f for f in os.listdir(f"{base}/weather") if f.startswith("month=")) == ["month=2020-07", "month=2020-08"]
+    dims = ["--cities", f"{base}/cities.csv", "--countries", f"{base}/countries.csv"]
+    data = ["--weather", f"{base}/weather/", "--co2", f"{base}/co2.csv"]
+    for _ in range(2):
+        run(spark, ["documents", *data, *dims, "--output", f"{base}/docs", "--mode", "upsert"])
+        run(spark, ["documents", *data, *dims, "--output", f"{base}/twice", "--mode", "append"])
+    assert keyed_table.read(spark, f"{base}/docs/weathers").count() == 120
+    assert keyed_table.read(spark, f"{base}/docs/carbons").select("sector.type").count() == 180
+    assert spark.read.json(f"{base}/twice/cities").count() == 4
+    run(spark, ["vulnerability", "--weather", f"{base}/weather/", "--cities", f"{base}/cities.csv", "--stream", "--output", f"{base}/v",
+                "--checkpoint", f"{base}/vc", "--trigger-seconds", "1", "--timeout-seconds", "20", "--max-files-per-trigger", "1"])
+    assert {r["country"] for r in vulnerability_stream.latest_state(spark, f"{base}/v").collect()} == {"France", "Russia"}

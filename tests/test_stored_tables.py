@@ -13,7 +13,7 @@ from aeris import cli
 from aeris.operators import compare, documents, enrich, graph, impute, profile, spi_state
 from aeris.plans import climate_queries as cq
 from aeris.plans.cleaning import write_cleaned
-from aeris.sources import keyed_table, month_table, readers
+from aeris.sources import bucketed_table, keyed_table, month_table, readers
 from aeris.sources.schemas import WEATHER_CLEAN_SCHEMA
 from aeris.streaming import ingest
 from tests.conftest import rows
@@ -178,6 +178,29 @@ def test_index_from_states_equals_one_pass(spark, cuts):
     assert rows(spi_state.spi(months, stations)) == rows(want)
 
 
+# -- bucketed tables -----------------------------------------------------------
+
+def test_bucketed_tables_join_without_an_exchange(spark, weather, tmp_path):
+    keyed = weather.filter("date IS NOT NULL").withColumn("month", F.date_format("date", "yyyy-MM"))
+    facts = bucketed_table.write_bucketed(keyed, str(tmp_path / "facts"), 4)
+    means = bucketed_table.read_bucketed(spark, facts).groupBy("station_id", "month").agg(F.avg("precipitation_mm").alias("mean"))
+    assert "Exchange" not in means._jdf.queryExecution().executedPlan().toString()
+    stats = bucketed_table.write_bucketed(means, str(tmp_path / "stats"), 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = bucketed_table.attach_month_stats(bucketed_table.read_bucketed(spark, facts), bucketed_table.read_bucketed(spark, stats))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = keyed.join(keyed.groupBy("station_id", "month").agg(F.avg("precipitation_mm").alias("mean")), ["station_id", "month"])
+        assert rows(got, *want.columns) == rows(want)
+        assert len(os.listdir(tmp_path / "facts")) <= 2 * 4 + 2  # a file (and its checksum) per bucket
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in (facts, stats):
+            spark.sql(f"DROP TABLE {t}")
+
+
 # -- profiles ------------------------------------------------------------------
 
 def test_profiles_add_up(spark):
