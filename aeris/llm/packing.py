@@ -46,7 +46,7 @@ ROWS_PER_GROUP = 500  # pieces of one length ranked together, on average
 class LibraryCoder(bpe.Bpe):
     """Ids by the tokenizers library: its model merges each new piece, the run table answers for known ones."""
 
-    most_runs = 250_000  # ids only, so the table may be longer
+    most_runs = 500_000  # ids only, so the table may be longer; emptied when the task ends
 
     def __init__(self, spec: str):
         super().__init__(spec)

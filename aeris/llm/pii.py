@@ -247,7 +247,7 @@ def training_graph(documents: list[list[tuple[str, int]]], seed: int = 3):
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Weights | None:
-    """The field learned from ``sample`` texts with base spans, chosen by hash; None where no text has any."""
+    """The field learned from ``sample`` texts with base spans at most, chosen by hash; None where no text has any."""
     def run(batches):
         for b in batches:
             texts, kinds, spots = [], [], []
@@ -262,7 +262,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Weights | None:
                                               pa.array(kinds, pa.list_(pa.int32()))], ["spot", "units", "kinds"])
 
     rows = docs.select(F.col("text").cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]")).mapInArrow(
-        run, "spot string, units array<string>, kinds array<int>").orderBy("spot", "units", "kinds").limit(sample).collect()
+        run, "spot string, units array<string>, kinds array<int>")
+    # one text for each of ``sample`` classes of the hash, the least of it: tasks and the driver hold that many rows at most
+    rows = sorted(r["t"] for r in rows.groupBy(F.pmod(F.xxhash64("spot"), F.lit(sample))).agg(
+        F.min(F.struct("spot", "units", "kinds")).alias("t")).collect())
     if not rows:
         return None
     graph, truth, asked = training_graph([list(zip(r["units"], r["kinds"], strict=True)) for r in rows])
