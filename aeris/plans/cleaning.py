@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,9 @@ from aeris.operators.validate import ReferenceCheck, ValidationResult, Validatio
 from aeris.session import materialize
 from aeris.sources.schemas import CO2_REQUIRED, WEATHER_REQUIRED
 from aeris.sources.month_table import write_by_month
+from aeris.sources.readers import input_bytes
+
+BYTES_PER_FILE = 256 << 20   # input that one task of a capped write takes, about
 
 
 @dataclass(frozen=True)
@@ -246,11 +250,12 @@ def write_cleaned(df: DataFrame, path: str, mode: str = "overwrite", files: int
     """Cleaned-table sink (S12): compressed parquet, optionally capped file count, or in month folders.
 
     ``files=None`` lets AQE size the output (one file per shuffle partition);
-    a cap goes through ``coalesce`` so it adds no shuffle.  ``by_month`` is for tables that are asked by day or month
+    a cap goes through ``coalesce`` so it adds no shuffle.  It holds while a file is made of ``BYTES_PER_FILE`` of input
+    at most; larger tables get more files, so that no task's share grows with the table.  ``by_month`` is for tables that are asked by day or month
     (``month_table``); read them with ``read_by_month``.
     """
     if by_month:
         write_by_month(df, path, mode=mode, compression=compression)
         return
-    out = df.coalesce(files) if files else df
+    out = df.coalesce(max(files, math.ceil(input_bytes(df) / BYTES_PER_FILE))) if files else df
     out.write.mode(mode).option("compression", compression).parquet(path)

@@ -73,6 +73,13 @@ def read_any(spark: SparkSession, path: str, schema: StructType | None = None, k
     return read_csv(spark, path, schema=schema, infer=schema is None)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, each counted once; no job."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in df.inputFiles()]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+
+
 def read_many(spark: SparkSession, items: Iterable[tuple[str, str | None]],
               schemas: dict[str, StructType] | None = None) -> dict[str, DataFrame]:
     """Read (name, path) pairs, skipping entries without a path."""
