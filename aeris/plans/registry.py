@@ -9,6 +9,7 @@ upstream reports do) so that summation order cannot change the hash.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from aeris.streaming import gates, ingest, vulnerability_stream
 Query = Callable[[SparkSession, str], DataFrame]
 WEATHER_ID = ["l_orderkey", "l_linenumber", "l_partkey", "station_id", "date"]
 TEMPS = ["avg_temp_c", "min_temp_c", "max_temp_c"]
+LOADS, BYTES_PER_LOAD_FILE = 3, 32 << 20   # the state's stream: loads, and the input that a file of a load is made of, about
 CO2_FLOOR, CO2_AS_OF = "1996-01-01", "2001-06-30"   # the test dates span 1995-2001
 
 
@@ -400,12 +402,14 @@ def q_vulnerability_stream(spark, sf_dir):
 def q_stream_state(spark, sf_dir):
     """The stream over three files, its state on disk with changelogs, read back from the checkpoint."""
     base = scratch_path(spark, "state")
-    scored_weather(spark, sf_dir).repartition(3).write.parquet(f"{base}/weather")
+    scored = scored_weather(spark, sf_dir)
+    files = max(1, math.ceil(readers.input_bytes(scored) / (LOADS * BYTES_PER_LOAD_FILE)))   # of a load
+    scored.repartition(LOADS * files).write.parquet(f"{base}/weather")
     settings = {**vulnerability_stream.STREAM_CONF, **vulnerability_stream.ROCKSDB_CONF}
     before = {k: spark.conf.get(k, None) for k in settings}
     vulnerability_stream.configure_stream_session(spark, settings)
     try:
-        plan = vulnerability_stream.vulnerability_plan(spark, f"{base}/weather", td.stations(spark, sf_dir), max_files_per_trigger=1)
+        plan = vulnerability_stream.vulnerability_plan(spark, f"{base}/weather", td.stations(spark, sf_dir), max_files_per_trigger=files)
         q = vulnerability_stream.start(plan, sink="table", path=f"{base}/table", checkpoint=f"{base}/checkpoint", available_now=True)
         q.awaitTermination()
     finally:

@@ -27,3 +27,27 @@ def test_file_cap_gives_way_to_size(spark, tmp_path, monkeypatch):
     cleaning.write_cleaned(df, out, files=2)
     assert len(parquet_files(out)) >= 5
     assert spark.read.parquet(out).count() == 4000
+
+
+def small_tables(spark, path):
+    day = dt.datetime(1997, 3, 1)
+    spark.createDataFrame([(k, k % 9, k % 4, k % 5, float(k % 50), 9.0, 0.01 * (k % 10), 0.01 * (k % 8), "RNA"[k % 3], "O", day + dt.timedelta(days=k % 60))
+                           for k in range(1, 300)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+                          ).write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame([(k, f"Supplier#{k:09d}", k % 2, 1.0) for k in range(4)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+                          ).write.parquet(f"{path}/supplier.parquet")
+    spark.createDataFrame([(k, f"NATION_{k}", 0) for k in range(2)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{path}/nation.parquet")
+
+
+def test_stream_loads_have_files_by_size(spark, tmp_path, monkeypatch):
+    small_tables(spark, str(tmp_path))
+    scratch = iter(range(9))
+    monkeypatch.setattr(registry, "scratch_path", lambda _, name: str(tmp_path / f"{name}-{next(scratch)}"))
+    want = rows(registry.q_stream_state(spark, str(tmp_path)))
+    assert sum(r[-1] for r in want) == 299
+    monkeypatch.setattr(registry, "BYTES_PER_LOAD_FILE", 1000, raising=False)
+    assert rows(registry.q_stream_state(spark, str(tmp_path))) == want
+    assert len(parquet_files(tmp_path / "state-0" / "weather")) == 3 and len(parquet_files(tmp_path / "state-1" / "weather")) > 6
+    for k in range(2):
+        assert len([f for f in os.listdir(tmp_path / f"state-{k}" / "checkpoint" / "commits") if f.isdigit()]) == 3
