@@ -58,10 +58,15 @@ def date_nodes(weather: DataFrame, date: str = "date") -> DataFrame:
 
 
 def on_date(weather: DataFrame, keys: Sequence[str] = ("station_id", "date"),
-            assume_unique: bool = False) -> DataFrame:
-    """Weather -[:ON_DATE]-> Date."""
-    w = nodes(weather, assume_unique)
-    return w.filter(F.col("date").isNotNull()).select(*keys, F.col("date").alias("date_value"))
+            assume_unique: bool = False, merge_edges: bool = False) -> DataFrame:
+    """Weather -[:ON_DATE]-> Date.
+
+    ``merge_edges`` merges equal edges too, for a store that holds each once.  Equal nodes have equal edges, so the
+    merge on the edge's columns does for both, and only these columns are shuffled.
+    """
+    w = nodes(weather, assume_unique or merge_edges)
+    edges = w.filter(F.col("date").isNotNull()).select(*keys, F.col("date").alias("date_value"))
+    return edges.dropDuplicates() if merge_edges else edges
 
 
 def sector_nodes(co2: DataFrame) -> DataFrame:

@@ -569,7 +569,7 @@ def q_emissions_upserted(spark, sf_dir):
 def q_edges_upserted(spark, sf_dir):
     """Edges linked into a keyed table, then all of them twice over; those that are there are left alone."""
     path = f"{scratch_path(spark, 'keyed')}/on_date"
-    e = graph.on_date(td.weather_obs(spark, sf_dir), keys=WEATHER_ID[:-1])
+    e = graph.on_date(td.weather_obs(spark, sf_dir), keys=WEATHER_ID[:-1], merge_edges=True)
     graph.link_edges(e.filter("l_linenumber % 2 = 0"), path, e.columns, buckets=32)
     graph.link_edges(e.unionByName(e), path, e.columns)
     return keyed_table.read(spark, path)

@@ -7,6 +7,9 @@ manifest by a rename, which fails where another writer was faster.  Files are ne
 older version go on; a load that breaks off leaves folders that no manifest names, which ``vacuum`` deletes.
 A load that is repeated finds nothing to change, and one with a known ``batch_id`` is not even read.
 
+Where all columns are keys (and none is a float or nested), a row that is there cannot differ: digests are left null, and
+one aggregate by key over the loaded and the stored rows tells which are new.
+
 Rows with a null in a key column are rows like others (null equals null).  Of loaded rows with the same
 key the last by ``order_by`` wins, then the largest by all columns.
 """
@@ -20,7 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType, VariantType
 
 from aeris.session import remove_paths
 
@@ -103,6 +106,38 @@ def _matches(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
     return on
 
 
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """Buckets below a folder, in order."""
+    fs, p = _file_system(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n.split("=")[1] for n in names if n.startswith(f"{BUCKET}="))
+
+
+def _same_if_equal(kind: DataType) -> bool:
+    """Equal values are the same value: not so with -0.0 and 0.0."""
+    return not isinstance(kind, (FloatType, DoubleType, ArrayType, MapType, StructType, VariantType))
+
+
+def _new_keys(own: DataFrame, there: DataFrame | None) -> DataFrame:
+    """The distinct rows of ``own`` that are not ``there``, by all columns."""
+    if there is None:
+        return own.dropDuplicates()
+    both = own.withColumn("_there", F.lit(False)).unionByName(there.withColumn("_there", F.lit(True)))
+    return both.groupBy(*[F.col(f"`{c}`") for c in own.columns]).agg(F.bool_or("_there").alias("_there")).filter("NOT _there").drop("_there")
+
+
+def _new_or_different(own: DataFrame, there: DataFrame | None, keys: Sequence[str], order_by: str | None, update: bool) -> DataFrame:
+    """One row of ``own`` for each key, with its digest, without those that are ``there``: by key and digest, or by key."""
+    last = [F.desc(order_by)] if order_by else []
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in own.columns]), {"ignoreNullFields": "false"}), 256)
+    first = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*last, F.desc(DIGEST))
+    fresh = own.withColumn(DIGEST, digest).withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
+    if there is None:
+        return fresh
+    there = there.select(*[F.col(f"`{c}`") for c in keys], DIGEST)
+    return fresh.join(there, _matches(fresh, there, [*keys, DIGEST] if update else keys), "left_anti")
+
+
 def upsert(df: DataFrame, table: str, keys: Sequence[str], buckets: int = 64, bucket_by: Sequence[str] | None = None,
            order_by: str | None = None, batch_id: str | None = None, update: bool = True) -> Manifest:
     """Bring the rows of ``df`` into the table and give the new manifest (the present one if nothing changes).
@@ -117,31 +152,33 @@ def upsert(df: DataFrame, table: str, keys: Sequence[str], buckets: int = 64, bu
     count = now.buckets if now else buckets
     columns = StructType.fromJson(json.loads(now.schema)).names if now else df.columns
     own = df.select(*[F.col(f"`{c}`") for c in columns])
-    last = [F.desc(order_by)] if order_by else []
-    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"}), 256)
-    first = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*last, F.desc(DIGEST))
-    fresh = own.withColumn(DIGEST, digest).withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
-    if now:
-        there = _rows(spark, table, now).select(*[F.col(f"`{c}`") for c in keys], DIGEST)
-        fresh = fresh.join(there, _matches(fresh, there, [*keys, DIGEST] if update else keys), "left_anti")
     made = f"data/{(now.version if now else 0) + 1:012d}-{uuid.uuid4().hex[:12]}"
-    # what changes is written once; its buckets, at most as many as the table has, are then known
-    fresh.withColumn(BUCKET, _bucket(by, count)).write.parquet(f"{table}/{made}/changes")
-    changes = spark.read.parquet(f"{table}/{made}/changes")
-    touched = sorted(str(r[0]) for r in changes.select(BUCKET).distinct().collect())
-    if not touched and now is not None:
-        remove_paths(spark, [f"{table}/{made}"])
-        if batch_id is None:
-            return now
-        m = Manifest(**{**now.__dict__, "version": now.version + 1, "batches": [*now.batches, batch_id], "rewritten": 0})
-        _commit(spark, table, m)
-        return m
-    rows = changes
-    if now:
+    if set(columns) <= set(keys) and all(_same_if_equal(f.dataType) for f in own.schema.fields):
+        fresh = _new_keys(own, _rows(spark, table, now).drop(DIGEST) if now else None).withColumn(DIGEST, F.lit(None).cast("string"))
+    else:
+        fresh = _new_or_different(own, _rows(spark, table, now) if now else None, keys, order_by, update)
+    fresh = fresh.withColumn(BUCKET, _bucket(by, count))
+    if now is None:
+        fresh.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{table}/{made}/rows")
+        touched = _listed(spark, f"{table}/{made}/rows")
+    else:
+        # what changes is written once; its buckets, at most as many as the table has, are then known
+        fresh.write.parquet(f"{table}/{made}/changes")
+        changes = spark.read.parquet(f"{table}/{made}/changes")
+        touched = sorted(str(r[0]) for r in changes.select(BUCKET).distinct().collect())
+        if not touched:
+            remove_paths(spark, [f"{table}/{made}"])
+            if batch_id is None:
+                return now
+            m = Manifest(**{**now.__dict__, "version": now.version + 1, "batches": [*now.batches, batch_id], "rewritten": 0})
+            _commit(spark, table, m)
+            return m
         old = _rows(spark, table, now, touched)
-        rows = old.join(changes, _matches(old, changes, keys), "left_anti").withColumn(BUCKET, _bucket(by, count)).unionByName(changes)
-    rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{table}/{made}/rows")
-    remove_paths(spark, [f"{table}/{made}/changes"])
+        if update:  # else no key of the changes is there
+            old = old.join(changes, _matches(old, changes, keys), "left_anti")
+        rows = old.withColumn(BUCKET, _bucket(by, count)).unionByName(changes)
+        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{table}/{made}/rows")
+        remove_paths(spark, [f"{table}/{made}/changes"])
     folders = {**(now.folders if now else {}), **{b: f"{made}/rows/{BUCKET}={b}" for b in touched}}
     m = Manifest(now.version + 1 if now else 1, keys, by, count, own.schema.json(), folders,
                  [*(now.batches if now else []), *([batch_id] if batch_id else [])], len(touched))

@@ -51,3 +51,34 @@ def test_stream_loads_have_files_by_size(spark, tmp_path, monkeypatch):
     assert len(parquet_files(tmp_path / "state-0" / "weather")) == 3 and len(parquet_files(tmp_path / "state-1" / "weather")) > 6
     for k in range(2):
         assert len([f for f in os.listdir(tmp_path / f"state-{k}" / "checkpoint" / "commits") if f.isdigit()]) == 3
+
+
+def test_edges_that_are_all_key_need_no_digest(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "edges")
+    first = spark.createDataFrame([("a", 1), (None, 2), ("a", None)], "x string, n int")
+    second = spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), (None, 2), (None, None)], "x string, n int")
+    graph.link_edges(first, path, ["x", "n"], buckets=2)
+    graph.link_edges(second, path, ["x", "n"])
+    want = rows(first.unionByName(second).distinct())
+    assert rows(keyed_table.read(spark, path)) == want
+    m = keyed_table.manifest(spark, path)
+    stored = keyed_table._rows(spark, path, m)
+    assert stored.filter(F.col(keyed_table.DIGEST).isNotNull()).isEmpty()
+    graph.link_edges(second.unionByName(first), path, ["x", "n"])
+    assert keyed_table.manifest(spark, path).version == m.version   # all there
+    old = str(tmp_path / "old")   # a table whose rows have digests goes on
+    with monkeypatch.context() as c:
+        c.setattr(keyed_table, "_same_if_equal", lambda _: False)
+        keyed_table.upsert(first, old, ["x", "n"], buckets=2)
+    keyed_table.upsert(second, old, ["x", "n"])
+    assert rows(keyed_table.read(spark, old)) == want
+    zero = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),)], "x double")
+    keyed_table.upsert(zero, str(tmp_path / "zero"), ["x"], buckets=2)
+    assert keyed_table.read(spark, str(tmp_path / "zero")).count() == 2
+
+
+def test_merged_edges(spark):
+    w = spark.createDataFrame([("s", dt.date(2020, 1, 1), 1.0), ("s", dt.date(2020, 1, 1), 2.0), ("s", dt.date(2020, 1, 1), 2.0), ("s", None, 1.0)],
+                              "station_id string, date date, v double")
+    assert rows(graph.on_date(w, keys=["station_id"])) == [("s", "2020-01-01")] * 2
+    assert rows(graph.on_date(w, keys=["station_id"], merge_edges=True)) == [("s", "2020-01-01")]
