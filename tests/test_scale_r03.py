@@ -82,3 +82,19 @@ def test_merged_edges(spark):
                               "station_id string, date date, v double")
     assert rows(graph.on_date(w, keys=["station_id"])) == [("s", "2020-01-01")] * 2
     assert rows(graph.on_date(w, keys=["station_id"], merge_edges=True)) == [("s", "2020-01-01")]
+
+
+def test_comparison_reads_each_table_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    before = spark.range(60).select(F.col("id").cast("double").alias("x"), (F.col("id") % 3).alias("k"))
+    after = before.filter("x < 30").select(counted("x").alias("x"), "k")
+    got = {r["column_name"]: r for r in compare.compare(before, after, ["x", "k"], bins=3).collect()}
+    assert seen.value == 30
+    assert got["x"]["histogram_after"] == [20, 10, 0] and got["k"]["histogram_before"] == [20, 20, 20]
+    assert (got["k"]["distinct_before"], got["x"]["distinct_after"]) == (3, 30)
