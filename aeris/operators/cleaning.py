@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
-    missing = F.size(F.filter(F.array(*[F.col(c).isNull() for c in rest]), lambda gone: gone))
+    missing = reduce(Column.__add__, [F.col(c).isNull().cast("int") for c in rest])
     order = [c for c in (order_by or []) if c in rest]
     order += [c for c in rest if c not in order]
     best_first = Window.partitionBy(*keys).orderBy(missing, *[F.col(c).asc_nulls_last() for c in order])

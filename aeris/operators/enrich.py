@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from aeris.functions import buckets
 from aeris.functions.dates import as_date
-from aeris.functions.numeric import exact_avg, exact_sum_over
+from aeris.functions.numeric import exact_avg, exact_sums_over, with_exact
 from aeris.operators.joins import attach_group_stats
 
 
@@ -37,13 +37,13 @@ def spi_from_monthly(monthly: DataFrame, station: str = "station_id") -> DataFra
     by_station = Window.partitionBy(station)
     # rows of a month without any precipitation value carry no monthly mean
     n = F.when(F.col("__mavg").isNotNull(), F.col("__n"))
-    with_mean = monthly.withColumn("__cnt", F.sum(n).over(by_station)).withColumn(
-        "__mean", exact_sum_over(n * F.col("__mavg"), by_station) / F.col("__cnt"))
-    ss = exact_sum_over(n * (F.col("__mavg") - F.col("__mean")) ** 2, by_station)
-    std = F.when(F.col("__cnt") > 1, F.sqrt(ss / (F.col("__cnt") - 1)))
+    with_mean = monthly.withColumns(exact_sums_over({"__total": n * F.col("__mavg")}, by_station) | {"__cnt": F.sum(n).over(by_station)})
+    with_mean = with_exact(with_mean, "__total").withColumn("__mean", F.col("__total") / F.col("__cnt")).drop("__total")
+    with_ss = with_exact(with_mean.withColumns(exact_sums_over({"__ss": n * (F.col("__mavg") - F.col("__mean")) ** 2}, by_station)), "__ss")
+    std = F.when(F.col("__cnt") > 1, F.sqrt(F.col("__ss") / (F.col("__cnt") - 1)))
     spi = F.when(std.isNull() | (std == 0), F.lit(None).cast("double")).otherwise(
         (F.col("__mavg") - F.col("__mean")) / std)
-    return with_mean.withColumn("spi_index", F.round(spi, 1)).drop("__cnt", "__mean")
+    return with_ss.withColumn("spi_index", F.round(spi, 1)).drop("__cnt", "__mean", "__ss")
 
 
 def spi_table(df: DataFrame, station: str = "station_id", date: str = "date",

@@ -41,6 +41,7 @@ class ReferenceCheck:
     ref_column: str | None = None
     transform: Callable[[Column], Column] | None = None  # applied to reference keys
     name: str = "referential_integrity"
+    hit: str | None = None  # column of the checked rows that is true where the reference has the key; spares the join
 
 
 @dataclass(frozen=True)
@@ -158,17 +159,24 @@ def null_profile(df: DataFrame) -> DataFrame:
          .otherwise(0.0).alias("completeness_pct"))
 
 
+def reference_hits(df: DataFrame, reference: ReferenceCheck, reference_df: DataFrame) -> DataFrame:
+    """The reference's distinct keys as ``__ref_key``, with a true ``__ref_hit``."""
+    key = F.col(reference.ref_column or reference.column)
+    if reference.transform is not None:
+        key = reference.transform(key)
+    return reference_keys(df, reference.column, reference_df, key).withColumn("__ref_hit", F.lit(True))
+
+
 def flag_rules(df: DataFrame, rules: Sequence[Rule], reference: ReferenceCheck | None = None,
                reference_df: DataFrame | list | None = None) -> DataFrame:
     """Add ``first_failed_rule`` (V4, V5)."""
     out = df
     ref_ok = None
     if reference is not None and reference_df is not None:
-        if isinstance(reference_df, DataFrame):
-            key = F.col(reference.ref_column or reference.column)
-            if reference.transform is not None:
-                key = reference.transform(key)
-            keys = reference_keys(df, reference.column, reference_df, key).withColumn("__ref_hit", F.lit(True))
+        if reference.hit is not None:
+            ref_ok = F.col(reference.hit)
+        elif isinstance(reference_df, DataFrame):
+            keys = reference_hits(df, reference, reference_df)
             out = out.join(keys, out[reference.column] == keys["__ref_key"], "left").drop("__ref_key")
             ref_ok = F.col("__ref_hit").isNotNull()
         else:
@@ -182,7 +190,7 @@ def flag_rules(df: DataFrame, rules: Sequence[Rule], reference: ReferenceCheck |
         expr = F.when(fails, reference.name) if expr is None else expr.when(fails, reference.name)
     flag = expr if expr is not None else F.lit(None).cast("string")
     out = out.withColumn("first_failed_rule", flag.cast("string"))
-    return out.drop("__ref_hit") if ref_ok is not None and "__ref_hit" in out.columns else out
+    return out.drop("__ref_hit", *([reference.hit] if reference is not None and reference.hit else []))
 
 
 def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list | None = None,
@@ -211,7 +219,8 @@ def validate(df: DataFrame, spec: ValidationSpec, reference_df: DataFrame | list
         )
         # one pass over the input gives its row count, non-null keys and null profile; the
         # one row enters the flagged side as a scalar
-        before, cols = _null_counts(df, [F.count_if(key_ok).alias("non_null_keys")])
+        hit = [spec.reference.hit] if spec.reference is not None and spec.reference.hit else []
+        before, cols = _null_counts(df.drop(*hit), [F.count_if(key_ok).alias("non_null_keys")])
         both = counts.withColumn("__b", before.select(F.struct("*")).scalar())
         total, non_null, final = F.col("__b.__n"), F.col("__b.non_null_keys"), F.col("final_count")
         items = [("count", "initial_count", total),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from aeris.functions.dates import as_date, parse_multi_format_date
-from aeris.functions.numeric import EXACT, exact_avg
+from aeris.functions.numeric import EXACT, exact_avg, not_exact
 from aeris.operators import cleaning, enrich, impute, validate
 from aeris.operators.joins import attach_group_stats
 from aeris.operators.validate import ReferenceCheck, ValidationResult, ValidationSpec
@@ -131,7 +131,7 @@ def _dedup_survives_standardizing(raw: DataFrame, config: CleaningConfig, spec:
             and not (keys - {"date"}) & rewritten)
 
 
-def _impute_and_standardize_fused(df: DataFrame, config: CleaningConfig, std: dict) -> DataFrame:
+def _impute_and_standardize_fused(df: DataFrame, config: CleaningConfig, std: dict, hits: DataFrame | None = None) -> DataFrame:
     """Imputation (I1-I4) + standardising + SPI (W1-W4) from one station-month aggregate.
 
     Per (station, year, month of the standardised date) the aggregate keeps
@@ -139,7 +139,8 @@ def _impute_and_standardize_fused(df: DataFrame, config: CleaningConfig, std: di
     and row count of the standardised precipitation.  Windows by station over
     that small table give the station means (sum of sums / sum of counts, the
     same decimal division as an average) and the SPI.  One join brings both back
-    to the rows.
+    to the rows.  ``hits`` (station keys as ``__ref_key``, with a ``__ref_hit``) is joined to the small table too, so the
+    rows need no second join for the referential rule.
     """
     temps = [c for c in config.mean_cols if c in impute.TEMP_COLUMNS and c in df.columns]
     d = as_date(df, "date")
@@ -149,17 +150,23 @@ def _impute_and_standardize_fused(df: DataFrame, config: CleaningConfig, std: di
     for c in temps:
         value = F.col(c).cast("double")
         aggs += [F.try_sum(value.try_cast(EXACT)).alias(f"__s_{c}"), F.sum(value).alias(f"__p_{c}"), F.count(c).alias(f"__c_{c}"),
-                 F.count_if(value.isNotNull() & value.try_cast(EXACT).isNull()).alias(f"__o_{c}")]
-    monthly = keyed.groupBy("station_id", "__y", "__m").agg(*aggs)
+                 F.count_if(not_exact(value)).alias(f"__o_{c}")]
+    # a station's month has a row a day after the dedup, so nothing is gained by summing before the shuffle: the values
+    # are smaller than the sums
+    month = ["station_id", "__y", "__m"]
+    monthly = keyed.select(*month, *temps, "precipitation_mm").repartition(*month).groupBy(*month).agg(*aggs)
     by_station = Window.partitionBy("station_id")
+    # each sum is a column of its own: an expression that names it twice would have it summed twice
+    totals = monthly.withColumns({f"__{f}_{c}": (F.try_sum if f == "s" else F.sum)(f"__{f}_{c}").over(by_station) for c in temps for f in "spco"})
     means = {}
     for c in temps:
-        total, count = F.try_sum(f"__s_{c}").over(by_station), F.sum(f"__c_{c}").over(by_station)
-        plain, outside = F.sum(f"__p_{c}").over(by_station), F.sum(f"__o_{c}").over(by_station)
+        total, plain, count, outside = (F.col(f"__{f}_{c}") for f in "spco")
         mean = F.when(outside == 0, F.coalesce((total / count).cast("double"), plain / count)).otherwise(plain / count)
         means[f"__{c}_mean"] = F.when(count > 0, mean)
-    stats = enrich.spi_from_monthly(monthly.withColumns(means)).select(
+    stats = enrich.spi_from_monthly(totals.withColumns(means).drop(*[f"__{f}_{c}" for c in temps for f in "spco"])).select(
         "station_id", "__y", "__m", "spi_index", *means)
+    if hits is not None:
+        stats = stats.join(hits, stats["station_id"] == hits["__ref_key"], "left").drop("__ref_key")
     joined = attach_group_stats(keyed, stats, ["station_id", "__y", "__m"])
     filled = impute.fill_temperatures(joined, {c: F.col(f"__{c}_mean") for c in temps})
     filled = _declared_fills(filled.drop(*means, "__y", "__m"), config)
@@ -196,8 +203,13 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
     for c in config.double_cols:
         if c in out.columns:
             std[c] = F.round(F.col(c).cast("double"), 1)
+    spec = spec or weather_spec()
     if fuse_statistics and not config.median_cols and {"station_id", "date", "precipitation_mm"} <= set(out.columns):
-        out = _impute_and_standardize_fused(out, config, std)
+        hits = None
+        if isinstance(stations, DataFrame) and spec.reference is not None and spec.reference.column == "station_id":
+            hits = validate.reference_hits(out, spec.reference, stations)
+            spec = dataclasses.replace(spec, reference=dataclasses.replace(spec.reference, hit="__ref_hit"))
+        out = _impute_and_standardize_fused(out, config, std, hits)
     else:
         out = impute.impute_temperatures(out, mean_cols=config.mean_cols, median_cols=config.median_cols,
                                          accuracy=config.median_accuracy, paths=scratch)
@@ -207,7 +219,8 @@ def clean_weather(raw: DataFrame, stations: DataFrame | list | None = None,
     out = out.select(*[c for c in out.columns if c not in ("spi_index", "climate_risk_score",
                                                             "climate_risk_level")],
                      "spi_index", "climate_risk_score", "climate_risk_level")
-    spec = spec or weather_spec()
+    # counted here, the finished columns are computed once: filters on them would else be rewritten in terms of the raw ones
+    out = out.observe("weather_standardized", F.count(F.lit(1)).alias("rows"))
     if _dedup_survives_standardizing(raw, config, spec):
         spec = dataclasses.replace(spec, keys_unique=True)
     result = validate.validate(out, spec, stations)

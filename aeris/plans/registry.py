@@ -400,7 +400,7 @@ def q_vulnerability_stream(spark, sf_dir):
 
 
 def q_stream_state(spark, sf_dir):
-    """The stream over three files, its state on disk with changelogs, read back from the checkpoint."""
+    """The stream over three loads of files, its state on disk with changelogs, read back from the checkpoint."""
     base = scratch_path(spark, "state")
     scored = scored_weather(spark, sf_dir)
     files = max(1, math.ceil(readers.input_bytes(scored) / (LOADS * BYTES_PER_LOAD_FILE)))   # of a load

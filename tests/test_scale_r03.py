@@ -98,3 +98,24 @@ def test_comparison_reads_each_table_once(spark):
     assert seen.value == 30
     assert got["x"]["histogram_after"] == [20, 10, 0] and got["k"]["histogram_before"] == [20, 20, 20]
     assert (got["k"]["distinct_before"], got["x"]["distinct_after"]) == (3, 30)
+
+
+def joins(plan, column):
+    """Join nodes of a logical plan that put out ``column``."""
+    here = plan.nodeName() == "Join" and any(plan.output().apply(i).name() == column for i in range(plan.output().size()))
+    return here + sum(joins(plan.children().apply(i), column) for i in range(plan.children().size()))
+
+
+def test_weather_job_joins_its_rows_once(spark):
+    day = dt.date(2020, 1, 1)
+    raw = spark.createDataFrame([(f"s{k % 3}", "c", day + dt.timedelta(days=k), "winter", 1.0, 0.0, None if k % 5 else 2.0, 1.0 * (k % 4)) for k in range(40)],
+                                "station_id string, city_name string, date date, season string, avg_temp_c double, min_temp_c double, "
+                                "max_temp_c double, precipitation_mm double")
+    stations = spark.createDataFrame([("s0",), ("s1",), (None,)], "station_id string")
+    valid, result = cleaning.clean_weather(raw, stations)
+    assert {r[0] for r in valid.select("station_id").collect()} == {"s0", "s1"} and "__ref_hit" not in valid.columns
+    assert joins(valid._jdf.queryExecution().optimizedPlan(), "city_name") == 1
+    s = result.summary()
+    assert s["issue.referential_integrity"] == 13 and s["count.final_count"] == 27 and not any("__ref" in k for k in s)
+    twice, other = cleaning.clean_weather(raw, stations, fuse_statistics=False)
+    assert rows(twice.drop("processing_time")) == rows(valid.drop("processing_time")) and other.summary() == s
